@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import WINDOW, contamination_digest
 from .hilbert_shards import hilbert_shards
 from .license_scan import COPYRIGHT_LINE, NOTICES, PUNCTUATION, SPELLINGS, license_scan
+from .pack import best_fit_pack
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(_table(spark, sf_dir, "documents"))
 
 
+def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_pack(_table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
