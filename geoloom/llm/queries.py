@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import WINDOW, contamination_digest
 from .hilbert_shards import hilbert_shards
+from .language_id import language_digest
 from .license_scan import COPYRIGHT_LINE, NOTICES, PUNCTUATION, SPELLINGS, license_scan
 from .minhash_dedup import near_duplicates
 from .pack import best_fit_pack
+from .quality_fm import quality_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,14 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(_table(spark, sf_dir, "documents"))
+
+
+def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -76,8 +86,8 @@ _MINHASH_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, greatest(1, len(w) - 1))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 80 * (x.n + y.n - both)),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
 r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id),
 m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)"""
