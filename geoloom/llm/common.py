@@ -41,6 +41,7 @@ class Stage:
         self.n += 1
         path = f"{self.base}/{self.n}"
         df.write.parquet(path)
+        self.spark.sparkContext._jvm.System.gc()  # what the write shuffled is of no use now; Spark drops it once the driver's JVM has collected it
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stage_path = path
         return out

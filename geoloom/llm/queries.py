@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import WINDOW, contamination_digest
+from .ego_join import embedding_duplicates
 from .hilbert_shards import hilbert_shards
 from .language_id import language_digest
 from .license_scan import COPYRIGHT_LINE, NOTICES, PUNCTUATION, SPELLINGS, license_scan
 from .minhash_dedup import near_duplicates
 from .pack import best_fit_pack
+from .phrase_dedup import repeated_phrase_digest
 from .quality_fm import quality_digest
 
 
@@ -37,6 +39,14 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op7_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_phrase_digest(_table(spark, sf_dir, "documents"))
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(_table(spark, sf_dir, "documents"))
 
@@ -92,6 +102,24 @@ r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e
 m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)"""
 
+_EGO_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id),
+m AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, component_id = vec_id AS kept FROM m LEFT JOIN n USING (vec_id)"""
+
+_PHRASE_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 50], ' ') AS p FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT p, min(doc_id) AS first FROM s GROUP BY p),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM s JOIN f USING (p) WHERE first < doc_id),
+k AS (SELECT doc_id, unnest(range(0, len(w))) AS i, unnest(w) AS x FROM d),
+t AS (SELECT k.doc_id, count(*) FILTER (g.i IS NOT NULL) AS n_removed, string_agg(x, ' ' ORDER BY k.i) FILTER (g.i IS NULL) AS kept FROM k LEFT JOIN g ON g.doc_id = k.doc_id AND g.i = k.i GROUP BY k.doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _license_sql(), "op5_decontaminate": _DECONTAMINATE_SQL, "op6_minhash_dedup": _MINHASH_SQL}
+    return {"op1_license_scan": _license_sql(), "op5_decontaminate": _DECONTAMINATE_SQL, "op6_minhash_dedup": _MINHASH_SQL, "op7_ego_join": _EGO_SQL, "op8_phrase_dedup": _PHRASE_SQL}
