@@ -12,6 +12,7 @@ from .license_scan import COPYRIGHT_LINE, NOTICES, PUNCTUATION, SPELLINGS, licen
 from .minhash_dedup import near_duplicates
 from .pack import best_fit_pack
 from .phrase_dedup import repeated_phrase_digest
+from .pii import personal_data_digest
 from .quality_fm import quality_digest
 
 
@@ -31,6 +32,10 @@ def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
