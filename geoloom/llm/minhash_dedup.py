@@ -25,8 +25,8 @@ HALVES, ROWS = 10, 3
 STAR_ROUNDS, FULL_PAIRS = 2, 2
 #: Members of a bucket compared at once; larger buckets are dealt into blocks of about as many.
 BLOCK = 256
-#: Pairs whose minhashes agree in so many standard deviations fewer than the threshold's share are not compared further; a link is lost so with a chance below 1 in 10,000.
-DEVIATIONS = 4.0
+#: Bits of a parity sketch.
+SKETCH_BITS = 4096
 
 
 def shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
@@ -36,7 +36,7 @@ def shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
 
 
 def sketch_rows(texts: list[str | None], size: int, halves: int, rows: int):
-    """For each text: (number of shingles, digest of their set or None, half keys of the one and of the other collection, a byte of each minhash)."""
+    """For each text: (number of shingles, digest of their set or None, half keys of the one and of the other collection)."""
     seeds = np.random.default_rng(20240607).integers(0, 1 << 63, (2, 2 * halves * rows), np.int64).astype(np.uint64)
     for _, data, low, high in chunks(texts, LOWER_SPACES):
         words, start, _ = word_hashes(data)
@@ -49,7 +49,6 @@ def sketch_rows(texts: list[str | None], size: int, halves: int, rows: int):
         counts = np.array([len(x) for x in sets])
         full = np.flatnonzero(counts)
         keys = np.zeros((len(sets), 2 * halves), np.uint64)
-        marks = np.zeros((len(sets), 2 * halves * rows), np.uint8)
         if len(full):
             joined, at = np.concatenate([sets[i] for i in full]), np.concatenate(([0], np.cumsum(counts[full])[:-1]))
             for k in range(2 * halves * rows):
@@ -57,23 +56,22 @@ def sketch_rows(texts: list[str | None], size: int, halves: int, rows: int):
                     value = (joined ^ seeds[0, k]) * (seeds[1, k] | np.uint64(1))
                     value ^= value >> np.uint64(32)
                     low_ = np.minimum.reduceat(value, at)
-                    marks[full, k] = (low_ >> np.uint64(40)).astype(np.uint8)
                     keys[full, k // rows] = (keys[full, k // rows] * np.uint64(0x9FB21C651E98DF25)) ^ low_
-        for n, x, k, m in zip(counts.tolist(), sets, keys.astype(np.int64), marks, strict=True):
-            yield n, hashlib.blake2b(x.tobytes(), digest_size=16).digest() if n else None, k[:halves], k[halves:], m.tobytes()
+        for n, x, k in zip(counts.tolist(), sets, keys.astype(np.int64), strict=True):
+            yield n, hashlib.blake2b(x.tobytes(), digest_size=16).digest() if n else None, k[:halves], k[halves:]
 
 
 def sketches(docs: DataFrame, size: int, halves: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, digest, one, two, marks."""
+    """doc_id, n_shingles, digest, one, two."""
 
     def run(batches):
         for batch in batches:
             out = list(sketch_rows(batch.column(1).to_pylist(), size, halves, rows))
-            n, digest, one, two, marks = zip(*out, strict=True) if out else ((), (), (), (), ())
+            n, digest, one, two = zip(*out, strict=True) if out else ((), (), (), ())
             keys = [pa.array([x.tolist() for x in side], pa.list_(pa.int64())) for side in (one, two)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *keys, pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "digest", "one", "two", "marks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *keys], ["doc_id", "n_shingles", "digest", "one", "two"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, one array<long>, two array<long>, marks binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, one array<long>, two array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -111,7 +109,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = picked(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     sketched = stage.table(sketches(base, size, halves, rows))
     usable = sketched.where("digest is not null and doc_id is not null")
-    reps = stage.table(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "one", "two", "marks")).alias("x")).select("digest", "x.*"))
+    reps = stage.table(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "one", "two")).alias("x")).select("digest", "x.*"))
 
     # Every representative under each of its table keys; buckets of one are of no use.
     pair_keys = F.expr("flatten(transform(one, (x, i) -> transform(two, (y, j) -> xxhash64(i, j, x, y))))")
@@ -137,8 +135,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         full = turn == STAR_ROUNDS or across <= FULL_PAIRS * in_open
         near = f"least(n, n_b) * 100 >= {percent} * greatest(n, n_b)"
         if full:
-            marks = reps.select(F.col("doc_id").alias("rep"), "marks")
-            pairs = _across(stage, live.join(open_.select("key", "n_all"), "key").join(marks, "rep"), percent)
+            pairs = _across(stage, live.select("rep", "n", "label").distinct(), reps, texts, size, percent)
         else:
             order = F.struct("spent", F.negative("hub"), "rep")
             live = live.withColumn("spent", F.lit(False)) if tested is None else live.join(tested, ["key", "rep"], "left").withColumn("spent", F.col("used").isNotNull())
@@ -165,34 +162,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def _across(stage: Stage, live: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of the members of a bucket that have different labels, near sizes and enough alike minhashes, found block by block."""
-    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n_all") / BLOCK))
-    blocks = stage.table(live.groupBy("key", block.alias("block")).agg(F.collect_list(F.struct("rep", "n", "label", "marks")).alias("x")))
-    pairs = blocks.join(blocks.select("key", F.col("block").alias("block_b"), F.col("x").alias("y")), "key").where("block <= block_b")
+def parity_sketch(x: np.ndarray) -> bytes:
+    """A bit for each part of the hash range: whether an odd number of the set is there. Two sets' sketches differ in no more bits than the sets have members of one alone, so too many bits prove a pair apart."""
+    bits = np.bincount((x >> np.uint64(20) & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def _across(stage: Stage, who: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that meet in a table and that neither sizes nor sketches prove apart.
+
+    Rows are grouped by the half keys of the one collection and meet if they also share one of the other, which is to
+    share a table key, at a row for each half key instead of each pair of them. Large groups are compared block by block.
+    """
+    who = stage.table(who)
+
+    def sketched(batches):
+        for batch in batches:
+            found = []
+            for text in batch.column(1):
+                words, _, _ = word_hashes((text.as_py() or "").encode("utf-8", "surrogatepass").translate(LOWER_SPACES))
+                found.append(parity_sketch(np.unique(ngram_hashes(words, min(size, max(1, len(words)))))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "sketch"])
+
+    sketch = texts.join(who.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sketched, "rep long, sketch binary")
+    halves = who.join(reps.select(F.col("doc_id").alias("rep"), "one", "two"), "rep")
+    crowd = halves.select("rep", "label", F.posexplode("one").alias("i", "half")).groupBy("i", "half").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    crowd = stage.table(crowd.select("i", "half", "members"))
+    keyed = halves.join(sketch, "rep").select("rep", "n", "label", "two", "sketch", F.posexplode("one").alias("i", "half")).join(crowd, ["i", "half"])
+    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / BLOCK))
+    blocks = stage.table(keyed.groupBy("i", "half", block.alias("block")).agg(F.collect_list(F.struct("rep", "n", "label", "two", "sketch")).alias("x")))
+    pairs = blocks.join(blocks.select("i", "half", F.col("block").alias("block_b"), F.col("x").alias("y")), ["i", "half"]).where("block <= block_b")
 
     def parts(column):
-        offsets, values = column.offsets.to_numpy(), column.values
-        rep, n, label, marks = (values.field(i) for i in range(4))
-        width = len(marks[0].as_py()) if len(marks) else 0
-        data = np.frombuffer(b"".join(marks.to_pylist()), np.uint8).reshape(len(marks), width)
-        return offsets, rep.to_numpy(), n.to_numpy(), label.to_numpy(), data
+        values = column.values
+        rep, n, label, two, sketch = (values.field(i) for i in range(5))
+        keys = two.values.to_numpy().reshape(len(rep), -1)
+        bits = np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(len(rep), -1)
+        return column.offsets.to_numpy(), rep.to_numpy(), n.to_numpy(), label.to_numpy(), keys, bits
 
     def run(batches):
         for batch in batches:
-            (at, rep, n, label, marks), (at_b, rep_b, n_b, label_b, marks_b) = parts(batch.column(0)), parts(batch.column(1))
-            width, share = marks.shape[1], percent / 100
-            least = width * share - DEVIATIONS * (width * share * (1 - share)) ** 0.5
+            (at, rep, n, label, keys, bits), (at_b, rep_b, n_b, label_b, keys_b, bits_b) = parts(batch.column(0)), parts(batch.column(1))
             a, b = [], []
             for i in range(batch.num_rows):
                 x, y = slice(at[i], at[i + 1]), slice(at_b[i], at_b[i + 1])
                 low, high = np.minimum(n[x][:, None], n_b[y]), np.maximum(n[x][:, None], n_b[y])
-                p, q = np.nonzero((label[x][:, None] != label_b[y]) & (rep[x][:, None] != rep_b[y]) & (100 * low >= percent * high))
-                for k in range(0, len(p), 1 << 16):
-                    p_, q_ = p[k : k + (1 << 16)], q[k : k + (1 << 16)]
-                    like = (marks[x][p_] == marks_b[y][q_]).sum(1) >= least
-                    a.append(rep[x][p_[like]])
-                    b.append(rep_b[y][q_[like]])
+                near = (label[x][:, None] != label_b[y]) & (100 * low >= percent * high)
+                if not near.any():
+                    continue
+                met = np.zeros_like(near)
+                for j in range(keys.shape[1]):
+                    met |= keys[x, j][:, None] == keys_b[y, j]
+                p, q = np.nonzero(near & met)
+                for k in range(0, len(p), 1 << 14):
+                    p_, q_ = p[k : k + (1 << 14)], q[k : k + (1 << 14)]
+                    apart = np.bitwise_count(bits[x][p_] ^ bits_b[y][q_]).sum(1, dtype=np.int64)
+                    keep = apart * (100 + percent) <= (n[x][p_].astype(np.int64) + n_b[y][q_]) * (100 - percent)
+                    a.append(rep[x][p_[keep]])
+                    b.append(rep_b[y][q_[keep]])
             a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
