@@ -1,0 +1,347 @@
+"""Each operator against a brute-force version, a round trip or held-out accuracy, and all of them on awkward tables."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from geoloom.llm import decontaminate, ego_join, hilbert_shards, language_id, license_scan, minhash_dedup, pack, phrase_dedup, pii, quality_fm
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = ("digest", "n_words", "score", "row", "spans", "key", "rep", "label", "shard", "kept")
+LONG = " ".join(f"w{i * i % 977}" for i in range(20_000))
+
+
+def documents(spark, texts, first=0):
+    rows = [(first + i, t, None if i % 7 == 3 else "en", f"s{i % 3}", None if t is None else len(t)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def sha(words):
+    return hashlib.sha256(" ".join(words).encode()).hexdigest()
+
+
+def components(ids, links):
+    label = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def prose(rng, words, n):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Nulls in every column, empty, blank, long and repeated texts, repeated rows, one source with most rows."""
+    texts = [None, "", "  \n\t ", "!!", "one", "One two", LONG, LONG, "Released under the MIT License.\nmail me@example.org", *["the same line of words again"] * 5]
+    rows = [(i, t, None if i % 2 else "de", None if i == 3 else "hot", None if i % 3 else 5) for i, t in enumerate(texts)]
+    rows += [(None, "text without an id", "en", "hot", 3), (4, "one", "de", "hot", 5)]
+    df = spark.createDataFrame(rows, DOCS)
+    for name in CLASHES:
+        df = df.withColumn(name, F.lit("clash"))
+    return df
+
+
+def labels_of(spark):
+    return spark.createDataFrame([(0, 1, 0), (1, 0, None), (2, None, 1), (None, 1, 1), (4, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int").withColumn("y", F.lit("clash"))
+
+
+def items_of(spark):
+    return spark.createDataFrame([(1, "one two"), (2, None), (3, ""), (None, "one"), (3, "the same line")], "item_id long, text string").withColumn("pattern", F.lit("clash"))
+
+
+def applied(spark):
+    return {
+        "license": license_scan.license_scan,
+        "language": language_id.language_digest,
+        "quality": lambda d: quality_fm.quality_digest(d, labels_of(spark)),
+        "pii": pii.personal_data_digest,
+        "decontaminate": lambda d: decontaminate.contamination_digest(d, items_of(spark)),
+        "minhash": lambda d: minhash_dedup.near_duplicates(d, size=2),
+        "phrases": phrase_dedup.repeated_phrase_digest,
+        "hilbert": hilbert_shards.hilbert_shards,
+        "pack": lambda d: pack.best_fit_pack(d, keep_ids=False).where("piece = 0"),
+    }
+
+
+@pytest.mark.parametrize("name", ["license", "language", "quality", "pii", "decontaminate", "minhash", "phrases", "hilbert", "pack"])
+def test_awkward_and_empty_tables(spark, awkward, name):
+    operator = applied(spark)[name]
+    got = operator(awkward)
+    ids = sorted((r["doc_id"] for r in got.collect()), key=str)
+    assert ids == sorted((r["doc_id"] for r in awkward.select("doc_id").collect()), key=str)
+    empty = operator(awkward.limit(0))
+    assert empty.columns == got.columns and empty.count() == 0
+
+
+def test_license_scan_is_brute_force(spark):
+    def canonical(line):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+        low = "" if re.search(license_scan.COPYRIGHT_LINE, low) else low
+        words = " " + re.sub(license_scan.PUNCTUATION, " ", low) + " "
+        for old, new in license_scan.SPELLINGS:
+            words = words.replace(f" {old} ", f" {new} ")
+        return re.sub(" +", " ", words).strip(" ")
+
+    def digest(text):
+        return sha([c for c in map(canonical, (text or "").split("\n")) if c])
+
+    texts = [None, "", "Copyright (c) 2020 Someone", "# Released under the MIT LICENCE!", "Copyright 2019 A\n" + license_scan.NOTICES[23][1].upper(), "prose\nLicensed under CC BY 4.0.\nmore\n(c) 2001 X", "prose Licensed under CC BY 4.0.", LONG]
+    known = {digest(t): k for k, t in sorted(license_scan.NOTICES, reverse=True)}
+    got = {r["doc_id"]: r for r in license_scan.license_scan(documents(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        hits = [known[d] for line in (t or "").split("\n") if canonical(line) and (d := digest(line)) in known]
+        assert (got[i]["digest"], got[i]["license_id"], got[i]["line_license_ids"], got[i]["n_license_lines"]) == (digest(t), known.get(digest(t)), sorted(set(hits)), len(hits))
+    assert got[3]["license_id"] == "MIT" and got[4]["license_id"] == "MIT" and got[5]["line_license_ids"] == ["CC-BY-4.0"] and not got[6]["n_license_lines"]
+
+
+def held(i, parts, part):
+    return zlib.crc32(str(i).encode()) % parts == part
+
+
+def test_language_is_right_on_held_out_rows_and_blind_to_their_labels(spark):
+    rng = random.Random(1)
+    words = {"aa": ["schnell", "über", "nicht", "wagen", "zwischen"], "bb": ["quick", "over", "with", "whether", "thing"], "cc": ["rápido", "sobre", "niño", "coche", "ella"]}
+    rows = [(i, prose(rng, words[k], 20), k, "s", 1) for i in range(300) for k in [rng.choice(sorted(words))]] + [(900, None, "aa", "s", 1), (901, "12 34", "bb", "s", 1)]
+    one = {r["doc_id"]: r for r in language_id.language_digest(spark.createDataFrame(rows, DOCS)).collect()}
+    asked = [r for r in rows if held(r[0], 4, 2) and r[0] < 900]
+    assert asked and np.mean([one[r[0]]["lang_pred"] == r[2] for r in asked]) > 0.95
+    assert all(one[i]["held_out"] == held(i, 4, 2) and 0 <= one[i]["score"] <= 1 for i in one)
+    assert one[900]["lang_pred"] == one[901]["lang_pred"] == "und"
+    turned = [(i, t, "cc" if held(i, 4, 2) else k, "other", n) for i, t, k, _, n in rows]
+    assert {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.language_digest(spark.createDataFrame(turned, DOCS)).collect()} == {i: (r["lang_pred"], r["score"]) for i, r in one.items()}
+
+
+def test_quality_ranks_held_out_rows(spark):
+    rng = random.Random(2)
+    good, bad = [f"clear{i}" for i in range(40)], [f"spam{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(400):
+        y = rng.random() < 0.5
+        text = prose(rng, good if y else bad, 30) + ("." if y else " $$$ @@ ##" * 3)
+        rows.append((i, text, "en", "s", len(text)))
+        labels.append((i, int(y), 0))
+    got = {r["doc_id"]: r for r in quality_fm.quality_digest(spark.createDataFrame([*rows, (900, None, None, None, None)], DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    asked = [(got[i]["score"], y) for i, y, _ in labels if held(i, 5, 0)]
+    wins = [a > b for a, x in asked for b, y in asked if x > y]
+    assert np.mean(wins) > 0.95 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got.values())
+    machine = quality_fm.learned([(1, np.array([1, 5, 9]), np.array([0.5, 1.0, 2.0])), (0, np.array([2, 5]), np.array([1.0, 1.0]))], 3, 4, 0.1, 0.0)
+    at, x = np.array([1, 5, 9]), np.array([0.5, 1.0, 2.0])
+    pairs = sum(machine.factors[at[i]] @ machine.factors[at[j]] * x[i] * x[j] for i in range(3) for j in range(i))
+    assert machine.margin(at, x) == pytest.approx(machine.bias + machine.weights[at] @ x + pairs)
+
+
+def test_entities_are_those_of_plain_patterns():
+    rng = random.Random(3)
+    patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+    def valid(kind, x):
+        d = re.sub("[^0-9]", "", x)
+        if kind == 1:
+            return all(int(p) <= 255 for p in x.split("."))
+        if kind == 2:
+            return 14 <= len(d) <= 19 and sum(int(c) if k % 2 == 0 else sum(map(int, str(2 * int(c)))) for k, c in enumerate(reversed(d))) % 10 == 0
+        return kind == 0 or 10 <= len(d) <= 15
+
+    seen = set()
+    for n in range(6000):
+        text = "".join(rng.choice("ab1.@- " if n % 3 else "0123456789+-. (") for _ in range(rng.randint(0, 40)))
+        text += rng.choice(["", " 4111 1111 1111 1111", "x 10.0.0.255.1.2.3.4", " +49 (30) 123-4567", "é a.b@c.d@e.f"])
+        want = sorted((m.start(), m.end(), k) for k, p in enumerate(patterns) for m in re.finditer(p, text) if valid(k, m[0]))
+        assert sorted(pii.entities(text)) == want
+        seen |= {k for _, _, k in want}
+    assert seen == {0, 1, 2, 3}
+
+
+def test_words_that_disclose_are_removed(spark):
+    texts = [f"plain words here contact zebra user{i}@mail.org now plain words" for i in range(30)] + ["plain words here now and plain words again"] * 200
+    got = pii.sanitise(documents(spark, texts)).collect()
+    for r in got:
+        assert ("zebra" in r["text"]) == (r["n_email"] == 1)
+        if r["n_email"]:
+            assert "zebra" not in r["sanitised_text"] and "@" not in r["sanitised_text"] and "<EMAIL>" in r["sanitised_text"] and r["sanitised_text"].startswith("plain words")
+            start = r["text"].index("user")
+            assert r["base_spans"] == f"email:{start}:{start + r['text'][start:].index(' ')}" and r["base_spans"] in r["spans"]
+        else:
+            assert r["sanitised_text"] == r["text"] and r["spans"] == ""
+    few = pii.sanitise(documents(spark, texts), words_a_pass=1).collect()
+    assert sorted((r["doc_id"], r["sanitised_text"]) for r in few) == sorted((r["doc_id"], r["sanitised_text"]) for r in got)
+
+
+def test_decontamination_is_brute_force(spark):
+    rng = random.Random(4)
+    words = ["ab", "b", "c1", "été", "X", "y"]
+    texts = [None, "", *(prose(rng, words, rng.randint(0, 60)) for _ in range(40))]
+    items = [(0, None), (1, ""), (2, "ab B"), (3, "c1"), *((10 + i, prose(rng, words, rng.randint(3, 14))) for i in range(10)), (11, "x y")]
+    items += [(30, " ".join(texts[7].split()[2:14])), (31, "zz qq")]
+    split = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    df = decontaminate.decontaminate(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string"), patterns_a_pass=20)
+    got = {r["doc_id"]: r for r in df.collect()}
+    assert got[7]["n_hit"] >= 10
+    for i, t in enumerate(texts):
+        own, hit, found = split(t), set(), set()
+        for k, item in items:
+            w = split(item)
+            for p in {tuple(w[j : j + 10]) for j in range(max(1, len(w) - 9))} - {()}:
+                for s in range(len(own) - len(p) + 1):
+                    if tuple(own[s : s + len(p)]) == p:
+                        hit |= set(range(s, s + len(p)))
+                        found.add(str(k))
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["item_ids"]) == (len(own), len(hit), sorted(found))
+
+
+def near_copies(rng, words, groups, size):
+    texts = []
+    for _ in range(groups):
+        base = [rng.choice(words) for _ in range(size)]
+        for _ in range(rng.randint(1, 5)):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 12])):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_minhash_components_are_brute_force(spark, size):
+    rng = random.Random(5)
+    texts = [None, "", " ", "alone", "Alone", *near_copies(rng, [f"v{i}" for i in range(400)], 40, 90)]
+    rng.shuffle(texts)
+    sets = {i: minhash_dedup.shingles(t, size) for i, t in enumerate(texts)}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = components(sets, links)
+    got = {r["doc_id"]: r for r in minhash_dedup.near_duplicates(documents(spark, texts), size=size).collect()}
+    assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == {i: (len(sets[i]), want[i], want[i] == i) for i in sets}
+    assert len(links) > 20
+
+
+def test_embedding_links_are_brute_force(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 16))
+    rows = []
+    for i in range(400):
+        x = centres[rng.integers(12)] + rng.normal(size=16) * rng.choice([0.0, 0.1, 0.3])
+        rows.append((i, [float(v) for v in x * rng.uniform(0.1, 9)]))
+    rows += [(500, None), (501, []), (502, [0.0] * 16), (503, [math.nan] * 16), (504, [None] * 16), (505, [1.0, 2.0]), (506, [2.0, 4.0]), (507, [math.inf] * 16)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rep", F.lit(1)).withColumn("label", F.lit(None).cast("int"))
+    links = []
+    for a, x in rows:
+        for b, y in rows:
+            if a < b and x and y and len(x) == len(y) and None not in x and None not in y and np.isfinite(x).all() and np.isfinite(y).all() and any(x) and any(y):
+                if np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95:
+                    links.append((a, b))
+    want, degree = components([i for i, _ in rows], links), defaultdict(int)
+    for a, b in links:
+        degree[a] += 1
+        degree[b] += 1
+    got = ego_join.embedding_duplicates(df, axes=3, block=32)
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got.collect()} == {i: (degree[i], want[i], want[i] == i) for i, _ in rows}
+    assert len(links) > 400
+    assert ego_join.embedding_duplicates(df.limit(0)).count() == 0
+    assert ego_join.embedding_duplicates(df.where("vec_id = 500")).first()["kept"]
+
+
+@pytest.mark.parametrize(("window", "anchor"), [(5, 2), (50, 8)])
+def test_phrases_are_brute_force(spark, window, anchor):
+    rng = random.Random(7)
+    words = [f"q{i}" for i in range(6 if window == 5 else 3000)]
+    shared = [[rng.choice(words) for _ in range(3 * window)] for _ in range(4)]
+    texts = [None, "", "a b c"]
+    for _ in range(40):
+        own = [rng.choice(words) for _ in range(rng.randint(0, 3 * window))]
+        if rng.random() < 0.6:
+            s, k = rng.choice(shared), rng.randrange(window)
+            own[len(own) // 2 : len(own) // 2] = s[k : k + rng.randint(window - 1, 2 * window)]
+        texts.append(rng.choice([" ", "\n"]).join(own))
+    texts += [texts[10], "  ".join(texts[11].split())]
+    first = {}
+    split = [(t or "").split() for t in texts]
+    for i, w in enumerate(split):
+        for k in range(len(w) - window + 1):
+            first.setdefault(tuple(w[k : k + window]), i)
+    df = phrase_dedup.phrase_duplicates(documents(spark, texts), window=window, anchor=anchor, shard_words=300, task_docs=5)
+    got = {r["doc_id"]: r for r in df.collect()}
+    removed = 0
+    for i, w in enumerate(split):
+        gone = {k + j for k in range(len(w) - window + 1) if first[tuple(w[k : k + window])] < i for j in range(window)}
+        kept = [x for k, x in enumerate(w) if k not in gone]
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (len(w), len(gone), sha(kept))
+        assert {k for a, b in got[i]["removed"] for k in range(a, b)} == gone
+        removed += bool(gone)
+    assert removed > 5
+
+
+def test_hilbert_curve_is_whole_and_steps_to_neighbours():
+    for dims, bits in ((2, 4), (3, 3)):
+        cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims), -1).reshape(-1, dims)
+        order = hilbert_shards.hilbert_index(cells, bits)
+        assert sorted(order.tolist()) == list(range(len(cells)))
+        assert (np.abs(np.diff(cells[np.argsort(order)], axis=0)).sum(1) == 1).all()
+
+
+def test_shards_are_level_and_gapless(spark, tmp_path):
+    docs = documents(spark, [None, "", "éé", *(f"text {i % 11}" for i in range(200))])
+    sharded = hilbert_shards.hilbert_shards(docs, shards=24)
+    rows = sharded.collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r["slot"])
+    assert sorted(by) == list(range(24)) and all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {r["doc_id"]: (len((r["text"] or "").encode()) + 8, zlib.crc32((r["text"] or "").encode())) for r in docs.collect()}
+    ordered = sorted(rows, key=lambda r: (r["shard"], r["slot"]))
+    assert [r["curve"] for r in ordered] == sorted(r["curve"] for r in rows)
+    assert hilbert_shards.manifest(sharded).agg(F.sum("n_rows")).first()[0] == len(rows)
+    hilbert_shards.write_shards(docs, sharded, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == len(rows) and back.select("shard").distinct().count() == 24
+
+
+def test_packing_is_a_round_trip_near_the_bound(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(8)
+    words = ["Hello", "world,", "café", "e.g.", "x_y", "don't", "İstanbul", "中文", "A1b2", "ßß", "  ", "\n\nnew", "Ångström"]
+    texts = [None, "", " ", LONG, *(prose(rng, words, rng.choice([3, 40, 300, 900])) for _ in range(150))]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    rows = pack.best_fit_pack(documents(spark, texts)).collect()
+    by, bins = defaultdict(list), defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["piece"])):
+        assert r["start"] == len(by[r["doc_id"]]) and r["length"] == len(r["ids"]) and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        by[r["doc_id"]] += r["ids"]
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert by == want
+    for b in bins.values():
+        at = 0
+        for offset, length in sorted(b):
+            assert offset == at
+            at += length
+        assert at <= pack.LENGTH
+    least = pack.least_bins(np.array([r["length"] for r in rows]), pack.LENGTH)
+    assert least <= len(bins) <= 1.03 * least + 1
+
+
+def test_crossing_keeps_every_piece_once():
+    rng = random.Random(9)
+    sizes = [rng.randint(1, 99) for _ in range(200)]
+    one, two = (pack.Bins(sizes, 100).fit(x).bins for x in (list(range(200)), list(range(199, -1, -1))))
+    for _ in range(20):
+        two = pack.crossed(one, two, sizes, 100, rng)
+        assert sorted(x for b in two for x in b) == list(range(200)) and all(sum(sizes[x] for x in b) <= 100 for b in two)
+    assert len(pack.evolve(sizes, [], 1, 100, 4, 5)) <= len(one)
