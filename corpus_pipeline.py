@@ -28,9 +28,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near-duplicates: five-word shingles, a similarity of 0.8."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """Keeps the document with the least id of each group of near-duplicates: five-word shingles, a similarity of 0.8. A document without id links with none and stays."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
