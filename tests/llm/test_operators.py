@@ -345,3 +345,26 @@ def test_crossing_keeps_every_piece_once():
         two = pack.crossed(one, two, sizes, 100, rng)
         assert sorted(x for b in two for x in b) == list(range(200)) and all(sum(sizes[x] for x in b) <= 100 for b in two)
     assert len(pack.evolve(sizes, [], 1, 100, 4, 5)) <= len(one)
+
+
+def test_kept_stems_give_the_ids_of_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from geoloom.llm.pack import KEPT_LETTERS, Kept, _tokenizer, stem_ids, token_bytes
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, ends, kept, stems = _tokenizer(path)
+    ids = lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+    texts = ["", None, " ", "\x00", "a\x00b c", "́a b́", "it's d's 's x", "tab\there\r\nnew", "a" * 3000 + " b", "x　y  z", "ΑΣ ΟΔΟΣ", "12 3,4!! ?", "Same same, SAME!!"]
+    for _ in range(2):  # the second time from what is kept
+        assert token_bytes(texts, path) == [ids(x) for x in texts]
+    assert all(len(x) <= KEPT_LETTERS for memory in (kept, stems) for x in memory.young)
+    # Without marked ends each stem takes a call of its own.
+    assert stem_ids(["same", "!!"], tokenizer, np.zeros_like(ends)) == stem_ids(["same", "!!"], tokenizer, ends) == [ids("same"), ids("!!")]
+    # Nothing is lost when the generations turn.
+    small = Kept(2)
+    for word in ("p", "q", "r", "p", "s", "p"):
+        small.young.update((x, x) for x in small.missing({word}))
+        assert small.young[word] == word
+    assert isinstance(tokenizer, Tokenizer)
