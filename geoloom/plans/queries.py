@@ -173,8 +173,18 @@ c AS (SELECT DISTINCT factor, d, r.g AS "row", c.g AS col FROM s, range(30) r(g)
 SELECT "row", col, sum(factor + 1) AS score FROM c GROUP BY "row", col""")
 def factor_mask_score(spark, sf_dir):
     """Cells near shapes, each factor and distance once."""
+    return _factor_masks(table(spark, sf_dir, "part").where("p_size <= 5"))
+
+
+@query(_SQL["factor_mask_score"].replace(" WHERE p_size <= 5", ""))
+def factor_mask_score_whole(spark, sf_dir):
+    """factor_mask_score over all parts."""
+    return _factor_masks(table(spark, sf_dir, "part"))
+
+
+def _factor_masks(parts):
     k = F.col("p_partkey")
-    shapes = table(spark, sf_dir, "part").where("p_size <= 5").select(k.alias("id"), (k % 3).alias("factor"), F.when(k % 2 == 0, 1.5).otherwise(2.5).alias("d"), ((k * 7919 % 3000) / 100.0).alias("ax"), ((k * 104729 % 3000) / 100.0).alias("ay"))
+    shapes = parts.select(k.alias("id"), (k % 3).alias("factor"), F.when(k % 2 == 0, 1.5).otherwise(2.5).alias("d"), ((k * 7919 % 3000) / 100.0).alias("ax"), ((k * 104729 % 3000) / 100.0).alias("ay"))
     shapes = shapes.withColumn("bx", F.col("ax")).withColumn("by", F.col("ay")).withColumn("key", F.struct("factor", "d"))
     cells = spatial.cells_within(shapes, "key", F.col("d"), 1.0, 30, 30)
     scored = cells.select("row", "col", F.col("key.factor").alias("factor"), F.col("key.d").alias("distance"), (F.col("key.factor") + 1).alias("score"))
@@ -215,9 +225,19 @@ u AS (SELECT c_custkey, 1 AS tier, target FROM t1 UNION ALL SELECT c_custkey, 2,
 SELECT s.c_custkey, m.tier, u.target FROM s LEFT JOIN m USING (c_custkey) LEFT JOIN u ON u.c_custkey = s.c_custkey AND u.tier = m.tier""")
 def cascade_match(spark, sf_dir):
     """The matches of the first tier that has any."""
+    return _cascade(spark, sf_dir, "c_custkey % 5 = 0")
+
+
+@query(_SQL["cascade_match"].replace(" WHERE c_custkey % 5 = 0", ""))
+def cascade_match_whole(spark, sf_dir):
+    """cascade_match with a second tier for all customers."""
+    return _cascade(spark, sf_dir, "true")
+
+
+def _cascade(spark, sf_dir, in_second):
     c, s = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), table(spark, sf_dir, "supplier")
     first = c.join(s, c.c_custkey == s.s_suppkey).select("c_custkey", F.col("s_suppkey").alias("target"))
-    second = c.where("c_custkey % 5 = 0").join(s, c.c_nationkey == s.s_nationkey).select("c_custkey", F.col("s_suppkey").alias("target"))
+    second = c.where(in_second).join(s, c.c_nationkey == s.s_nationkey).select("c_custkey", F.col("s_suppkey").alias("target"))
     return relational.cascade(c, "c_custkey", [first, second], "target")
 
 
@@ -254,7 +274,17 @@ def stop_span_summary(spark, sf_dir):
 @query("""WITH r AS (SELECT DISTINCT l_suppkey, l_partkey % 50 AS edge FROM lineitem WHERE l_suppkey <= 20), w AS (SELECT edge, l_suppkey, count(*) OVER (PARTITION BY edge) AS shared, row_number() OVER (PARTITION BY edge ORDER BY l_suppkey) - 1 AS place FROM r) SELECT edge, l_suppkey, shared, CASE WHEN shared > 1 THEN (place - (shared - 1) / 2.0) * 4.0 ELSE 0.0 END AS "offset" FROM w""")
 def edge_route_offsets(spark, sf_dir):
     """Routes of an edge side by side."""
-    r = table(spark, sf_dir, "lineitem").where("l_suppkey <= 20").select("l_suppkey", (F.col("l_partkey") % 50).alias("edge")).distinct()
+    return _edge_routes(table(spark, sf_dir, "lineitem").where("l_suppkey <= 20"))
+
+
+@query(_SQL["edge_route_offsets"].replace(" WHERE l_suppkey <= 20", ""))
+def edge_route_offsets_whole(spark, sf_dir):
+    """edge_route_offsets over all routes."""
+    return _edge_routes(table(spark, sf_dir, "lineitem"))
+
+
+def _edge_routes(lineitem):
+    r = lineitem.select("l_suppkey", (F.col("l_partkey") % 50).alias("edge")).distinct()
     return agg.edge_offsets(r, ["edge"], [agg.numeric_first(F.col("l_suppkey").cast("string")), F.col("l_suppkey")]).select("edge", "l_suppkey", "shared", "offset")
 
 
@@ -414,7 +444,17 @@ def contained_names(spark, sf_dir):
 @query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def pending_work(spark, sf_dir):
     """What is wanted and not done."""
-    return relational.pending(table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").select("o_orderkey"), table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+    return _pending(spark, sf_dir, table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0"))
+
+
+@query(_SQL["pending_work"].replace("o_orderkey % 4 = 0 AND ", ""))
+def pending_work_whole(spark, sf_dir):
+    """pending_work over all orders."""
+    return _pending(spark, sf_dir, table(spark, sf_dir, "orders"))
+
+
+def _pending(spark, sf_dir, orders):
+    return relational.pending(orders.select("o_orderkey"), table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
 
 
 @query("""SELECT o * 250 AS "offset", least(250, (SELECT count(*) FROM orders) - o * 250) AS size FROM range(CAST(ceil((SELECT count(*) FROM orders) / 250.0) AS BIGINT)) t(o)""")
