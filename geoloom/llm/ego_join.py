@@ -161,12 +161,12 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     """A row for each row of vectors: vec_id, n_links (other rows whose vectors have at least that cosine with it), component_id (the least id reachable by links), kept (whether that is its own).
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, as do those of
-    different lengths with each other. Equal vectors are compared once and count as often as they occur. Ids should be
+    different lengths with each other. A null id links with nothing and is kept, as its component is null. Equal vectors are compared once and count as often as they occur. Ids should be
     unique; extra columns are ignored; an empty table gives an empty result.
     """
     stage = Stage(vectors.sparkSession, "ego")
     base = picked(vectors, vec_id=(id_col, "long"), values=(vector_col, "array<double>"))
-    rows = stage.table(_vectors(base))
+    rows = stage.table(_vectors(base).withColumn("digest", F.when(F.col("vec_id").isNotNull(), F.col("digest"))))
     reps = stage.table(rows.where("digest is not null").groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("dims").alias("dims"), F.first("vector").alias("vector")))
     found = None
     for r in reps.select("dims").distinct().collect():  # as many as there are lengths of vectors

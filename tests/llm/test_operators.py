@@ -255,6 +255,16 @@ def test_embedding_links_are_brute_force(spark):
     assert ego_join.embedding_duplicates(df.where("vec_id = 500")).first()["kept"]
 
 
+def test_embedding_without_id_leaves_its_block_alone(spark):
+    rng = np.random.default_rng(11)
+    near = [[float(v) for v in 1 + 0.01 * rng.normal(size=16)] for _ in range(30)]
+    rows = [(None if i % 10 == 4 else i, x) for i, x in enumerate(near)] + [(None, near[0]), (None, near[4]), (None, None), (None, [0.0] * 16)]
+    got = ego_join.embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    ids = [i for i, _ in rows if i is not None]
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got if r["vec_id"] is not None} == {i: (len(ids) - 1, 0, i == 0) for i in ids}
+    assert [(r["n_links"], r["component_id"], r["kept"]) for r in got if r["vec_id"] is None] == [(0, None, True)] * (len(rows) - len(ids))
+
+
 @pytest.mark.parametrize(("window", "anchor"), [(5, 2), (50, 8)])
 def test_phrases_are_brute_force(spark, window, anchor):
     rng = random.Random(7)
