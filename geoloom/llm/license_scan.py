@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import picked
+from .license_digests import DIGESTS
 
 #: Known digests up to this many are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
@@ -73,10 +74,14 @@ def canonical_line(line: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, notices: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, license_id) of known texts; where texts of two licences are alike, the first name in order stands."""
+    """(digest, license_id) of known texts, by default NOTICES and DIGESTS; where texts of two licences are alike, the first name in order stands."""
     rows = F.array(*(F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("license_text")) for k, v in notices or NOTICES))
     texts = spark.range(1).select(F.inline(rows))
-    return texts.select("license_id", digest(lines(F.col("license_text"))).alias("digest")).groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    known = texts.select("license_id", digest(lines(F.col("license_text"))).alias("digest"))
+    if notices is None:
+        whole = F.array(*(F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("digest")) for k, v in DIGESTS))
+        known = known.unionByName(spark.range(1).select(F.inline(whole)))
+    return known.groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
 def lines(text: Column) -> Column:
@@ -97,7 +102,7 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     """
     spark = docs.sparkSession
     if known is None:
-        known, known_rows = known_digests(spark), len(NOTICES)
+        known, known_rows = known_digests(spark), len(NOTICES) + len(DIGESTS)
     known = known.select("digest", "license_id")
     side = F.broadcast(known) if known_rows is not None and known_rows <= BROADCAST_ROWS else known
     base = picked(docs, doc_id=(id_col, docs.schema[id_col].dataType.simpleString()), text=(text_col, "string"))

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, ego_join, hilbert_shards, language_id, license_scan, minhash_dedup, pack, phrase_dedup, pii, quality_fm
+from geoloom.llm import decontaminate, ego_join, hilbert_shards, language_id, license_digests, license_scan, license_texts, minhash_dedup, pack, phrase_dedup, pii, quality_fm
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = ("digest", "n_words", "score", "row", "spans", "key", "rep", "label", "shard", "kept")
@@ -109,6 +109,20 @@ def test_license_scan_is_brute_force(spark):
     assert got[3]["license_id"] == "MIT" and got[4]["license_id"] == "MIT" and got[5]["line_license_ids"] == ["CC-BY-4.0"] and not got[6]["n_license_lines"]
 
 
+def test_whole_licences_are_known(spark):
+    mit = license_scan.NOTICES[23][1]
+    bsd = license_texts.short_texts()[4][1]
+    unlicense = license_texts.short_texts()[-2][1]
+    texts = [f"MIT License\n\nCopyright (c) 2020 Someone\n\n{mit}", f"BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n{bsd}", bsd.replace(", ", ",\n"), f"The Unlicense\n{unlicense}", "ISC License", f"{mit}\nand more"]
+    got = {r["doc_id"]: (r["license_id"], r["line_license_ids"]) for r in license_scan.license_scan(documents(spark, texts)).collect()}
+    assert got == {0: ("MIT", ["MIT"]), 1: ("BSD-3-Clause", ["BSD-3-Clause"]), 2: ("BSD-3-Clause", []), 3: ("Unlicense", ["Unlicense"]), 4: ("ISC", ["ISC"]), 5: (None, [])}
+
+
+@pytest.mark.skipif(not license_texts.COMMON.is_dir(), reason="no folder of licences here")
+def test_licence_digests_are_those_of_the_texts():
+    assert {(k, hashlib.sha256(license_texts.canonical(t).encode()).hexdigest()) for k, t in license_texts.variants()} == set(license_digests.DIGESTS)
+
+
 def held(i, parts, part):
     return zlib.crc32(str(i).encode()) % parts == part
 
