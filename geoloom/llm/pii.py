@@ -1,9 +1,10 @@
 """Information-theoretic removal of personal data.
 
 Patterns find the protected entities. Over the whole corpus, words near them are counted together with the kind of
-entity, and all their other occurrences too; how much of a kind's information a word discloses is its pointwise mutual
-information with that kind over the kind's own information. In texts that hold entities, words over the upper
-threshold are removed and those over the lower one generalised, as the entities are.
+entity, words in a wider window together with the entity itself, and all their other occurrences too; how much of a
+kind's or an entity's information a word discloses is its pointwise mutual information with it over its own
+information. Words over the upper threshold are removed and those over the lower one generalised, as the entities are:
+those that disclose an entity in all texts, those that only disclose a kind in texts that hold entities.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from .common import Stage, added, chunks, pick, word_hashes
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that count as near, and distinct entities a word must be near to be judged.
 NEAR, ENTITIES = 3, 5
+#: Words on either side of an entity that can disclose itself, and how often a word must be there to be judged.
+WIDE, OCCURRENCES = 25, 5
 GENERALISE, REMOVE = 0.8, 0.95
 #: Words of one broadcast table; more are searched by further passes. Bits of the filter that picks the words to count.
 WORDS_A_PASS, FILTER_BITS = 200_000, 20
@@ -83,7 +86,9 @@ def near_words(start: np.ndarray, end: np.ndarray, low: int, high: int, near: in
     return np.concatenate((np.arange(max(0, before - near), before), np.arange(after, min(len(start), after + near))))
 
 
-def _near_counts(at: int, near: int):
+def _near_counts(at: int, near: int, wide: int):
+    """Rows of (word, kind, entity) for words near entities, and of (word, null, entity) for those in the wider window: each word once for each entity, however often that is spelled out there."""
+
     def run(batches):
         for batch in batches:
             rows = []
@@ -92,9 +97,13 @@ def _near_counts(at: int, near: int):
                 if not text or not (found := entities(text)):
                     continue
                 hashes, start, end = words_at(text)
+                around = {}
                 for low, high, kind in found:
                     entity = int.from_bytes(hashlib.blake2b(text[low:high].encode(), digest_size=8).digest(), "little", signed=True)
                     rows += [(h, kind, entity) for h in hashes[near_words(start, end, low, high, near)].astype(np.int64).tolist()]
+                    around.setdefault(entity, set()).update(near_words(start, end, low, high, wide).tolist())
+                for entity, places in around.items():
+                    rows += [(h, None, entity) for h in hashes[sorted(places)].astype(np.int64).tolist()]
             columns = zip(*rows, strict=True) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["word", "kind", "entity"])
 
@@ -118,38 +127,46 @@ def _all_counts(at: int, shared):
     return run
 
 
-def disclosures(docs: DataFrame, text_col: str = "text", near: int = NEAR, least: int = ENTITIES) -> DataFrame:
-    """(word, disclosure) for the hashes of words near at least so many distinct entities of a kind: the greatest share of a kind's information that the word gives away, 1 if it never occurs elsewhere. Counted over all rows."""
+def disclosures(docs: DataFrame, text_col: str = "text", near: int = NEAR, least: int = ENTITIES, wide: int = WIDE, occurrences: int = OCCURRENCES) -> DataFrame:
+    """(word, disclosure, of_entity) for the hashes of words near at least so many distinct entities of a kind, or at least so often in the wider window of one entity: the greatest share of a kind's or an entity's information, and of an entity's alone, that the word gives away, 1 if it never occurs elsewhere. A word gives away an entity only if half of its occurrences at least are in the entity's window. Counted over all rows."""
     spark, at = docs.sparkSession, docs.columns.index(text_col)
     stage = Stage(spark, "pii")
-    met = stage.table(docs.mapInArrow(_near_counts(at, near), "word long, kind int, entity long").groupBy("word", "kind", "entity").agg(F.count("*").alias("n")))
-    near_kind = {r["kind"]: r["n"] for r in met.groupBy("kind").agg(F.sum("n").alias("n")).collect()}  # one row a kind
-    judged = stage.table(met.groupBy("word", "kind").agg(F.count("*").alias("entities"), F.sum("n").alias("n")).where(F.col("entities") >= least))
+    met = stage.table(docs.mapInArrow(_near_counts(at, near, wide), "word long, kind int, entity long").groupBy("word", "kind", "entity").agg(F.count("*").alias("n")))
+    by_kind, by_entity = met.where("kind is not null"), met.where("kind is null")
+    near_kind = {r["kind"]: r["n"] for r in by_kind.groupBy("kind").agg(F.sum("n").alias("n")).collect()}  # one row a kind
+    kinds = by_kind.groupBy("word", "kind").agg(F.count("*").alias("entities"), F.sum("n").alias("n")).where(F.col("entities") >= least)
+    around = by_entity.groupBy("entity").agg(F.sum("n").alias("around"))
+    owned = by_entity.where(F.col("n") >= occurrences).join(around, "entity")
+    judged = stage.table(kinds.select("word", "kind", "n", F.lit(None).cast("long").alias("around")).unionByName(owned.select("word", "kind", "n", "around")))
     bits = np.zeros(1 << FILTER_BITS, bool)
     # As many rows as the filter has bits at most.
     bits[[r[0] for r in judged.select(F.col("word").bitwiseAND((1 << FILTER_BITS) - 1).alias("bit")).distinct().collect()]] = True
     counts = stage.table(docs.mapInArrow(_all_counts(at, spark.sparkContext.broadcast(bits)), "word long, n long").groupBy("word").agg(F.sum("n").alias("all")))
     total = counts.where("word is null").agg(F.sum("all")).first()[0] or 1
-    share = F.element_at(F.create_map(*(F.lit(v) for k in range(len(KINDS)) for v in (k, near_kind.get(k, 1) / total))), F.col("kind"))
+    of_kind = F.element_at(F.create_map(*(F.lit(v) for k in range(len(KINDS)) for v in (k, near_kind.get(k, 1) / total))), F.col("kind"))
+    # The information of an entity grows with the corpus: without a majority, ever commoner words would pass the thresholds.
+    share = F.when(F.col("kind").isNull(), F.col("around") / F.lit(total)).otherwise(of_kind)
     gained = F.log2(F.col("n") / F.col("all") / share) / -F.log2(share)
-    return judged.join(counts, "word").select("word", F.when(share < 1, F.least(gained, F.lit(1.0))).otherwise(0.0).alias("disclosure")).groupBy("word").agg(F.max("disclosure").alias("disclosure"))
+    told = judged.join(counts, "word").select("word", "kind", F.when((share < 1) & (F.col("kind").isNotNull() | (2 * F.col("n") >= F.col("all"))), F.least(gained, F.lit(1.0))).otherwise(0.0).alias("disclosure"))
+    return told.groupBy("word").agg(F.max("disclosure").alias("disclosure"), F.max(F.when(F.col("kind").isNull(), F.col("disclosure"))).alias("of_entity"))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", near: int = NEAR, entities_least: int = ENTITIES, generalise: float = GENERALISE, remove: float = REMOVE, with_text: bool = True, words_a_pass: int = WORDS_A_PASS) -> DataFrame:
     """docs with more columns at its end: n_email, n_ip, n_card, n_phone, base_spans and spans (kind:start:end by start, then kind, joined by commas; of the patterns, and with the method's own of the kinds `term` and `removed`) and, if wanted, sanitised_text.
 
-    Null texts count as empty and stay null. Texts without entities are left alone, as are words inside of entities.
+    Null texts count as empty and stay null. In texts without entities only words that disclose an entity are changed;
+    words inside of entities are left alone.
     Rows may repeat and other columns clash; an empty table gives an empty result.
     """
     spark, at, kept = docs.sparkSession, docs.columns.index(text_col), len(docs.columns)
     stage = Stage(spark, "pii")
-    words = stage.table(disclosures(docs, text_col, near, entities_least).where(F.col("disclosure") >= generalise).select("word", (F.col("disclosure") >= remove).alias("remove")))
+    words = stage.table(disclosures(docs, text_col, near, entities_least).where(F.col("disclosure") >= generalise).select("word", (F.col("disclosure") >= remove).alias("remove"), (F.coalesce("of_entity", F.lit(0.0)) >= generalise).alias("everywhere"), (F.coalesce("of_entity", F.lit(0.0)) >= remove).alias("remove_everywhere")))
     passes = max(1, -(-words.count() // words_a_pass))
     pairs = T.ArrayType(T.ArrayType(T.LongType()))
     rows = docs
     for k in range(passes):
         part = words.where(F.pmod("word", F.lit(passes)) == k) if passes > 1 else words
-        table = spark.sparkContext.broadcast({r[0]: r[1] for r in part.toLocalIterator()})
+        table = spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in part.toLocalIterator()})
         last = k == passes - 1
         new = [(f"n_{x}", T.LongType()) for x in KINDS] + [("base_spans", T.StringType()), ("spans", T.StringType())] + [("sanitised_text", T.StringType())] * with_text if last else [("terms", pairs)]
         rows = rows.mapInArrow(_marked(table, at, kept, last, with_text), added(docs, *new))
@@ -159,18 +176,21 @@ def sanitise(docs: DataFrame, text_col: str = "text", near: int = NEAR, entities
 def _marked(table, at: int, kept: int, last: bool, with_text: bool):
     def run(batches):
         known = np.array(sorted(table.value), np.int64)
+        alone = np.array([w for w in known.tolist() if table.value[w][1]], np.int64)
         for batch in batches:
             before = batch.column(kept).to_pylist() if batch.num_columns > kept else [[]] * batch.num_rows
             rows, terms_out = [], []
             for value, terms in zip(batch.column(at), before, strict=True):
                 text = value.as_py() or ""
                 found, terms = entities(text), list(terms)
-                if found and len(known):
+                wanted = known if found else alone
+                if text and len(wanted):
                     hashes, start, end = words_at(text)
-                    for i in np.flatnonzero(np.isin(hashes.astype(np.int64), known)).tolist():
+                    hashes = hashes.astype(np.int64)
+                    for i in np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes).tolist():
                         low, high = int(start[i]), int(end[i])
                         if not any(a < high and low < b for a, b, _ in found):
-                            terms.append([low, high, int(table.value[int(hashes[i].astype(np.int64))])])
+                            terms.append([low, high, int(table.value[int(hashes[i])][0 if found else 2])])
                 terms_out.append(terms)
                 if last:
                     rows.append(_result(text, value.as_py() is None, found, terms, with_text))

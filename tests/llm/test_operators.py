@@ -196,6 +196,18 @@ def test_words_that_disclose_are_removed(spark):
     assert sorted((r["doc_id"], r["sanitised_text"]) for r in few) == sorted((r["doc_id"], r["sanitised_text"]) for r in got)
 
 
+def test_names_that_disclose_one_address_are_removed_everywhere(spark):
+    rng = random.Random(12)
+    common = [f"word{c}" for c in "abcdefghijklmnopqrst"]
+    words = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    texts = [f"{words(40)} Zelda {words(7)} zq@corp.example {words(40)}" for _ in range(40)] + [words(60) for _ in range(200)] + [f"{words(30)} Zelda {words(30)}"]
+    got = pii.sanitise(documents(spark, texts)).collect()
+    assert not any("zelda" in r["sanitised_text"].lower() or "@" in r["sanitised_text"] for r in got)
+    assert all(r["sanitised_text"] == r["text"] for r in got if 40 <= r["doc_id"] < 240)
+    alone = next(r for r in got if r["doc_id"] == 240)
+    assert alone["base_spans"] == "" and alone["spans"].count(":") == 2
+
+
 def test_decontamination_is_brute_force(spark):
     rng = random.Random(4)
     words = ["ab", "b", "c1", "été", "X", "y"]
