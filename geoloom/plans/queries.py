@@ -290,7 +290,7 @@ def _edge_routes(lineitem):
 
 @query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<(script|style)\b.*?</(script|style)>', ' ', 'gsi'), '<[^>]*>', ' ', 'gs'), '&nbsp;', ' '), '&ndash;', '-'), '&mdash;', '-'), '&rsquo;', ''''), '&ldquo;', '"'), '&rdquo;', '"'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS plain FROM pages""")
 def html_strip(spark, sf_dir):
-    """The text of pages."""
+    """The text of HTML pages."""
     return table(spark, sf_dir, "pages").select("page_id", text.html_text(F.col("html")).alias("plain"))
 
 
