@@ -383,24 +383,47 @@ def test_crossing_keeps_every_piece_once():
     assert len(pack.evolve(sizes, [], 1, 100, 4, 5)) <= len(one)
 
 
-def test_kept_stems_give_the_ids_of_whole_texts():
+def test_runs_give_the_ids_of_whole_texts(monkeypatch):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    from geoloom.llm.pack import KEPT_LETTERS, Kept, _tokenizer, stem_ids, token_bytes
-
     path = public_tokenizers.path("word_bpe_49k.json")
-    tokenizer, ends, kept, stems = _tokenizer(path)
-    ids = lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
-    texts = ["", None, " ", "\x00", "a\x00b c", "́a b́", "it's d's 's x", "tab\there\r\nnew", "a" * 3000 + " b", "x　y  z", "ΑΣ ΟΔΟΣ", "12 3,4!! ?", "Same same, SAME!!"]
-    for _ in range(2):  # the second time from what is kept
-        assert token_bytes(texts, path) == [ids(x) for x in texts]
-    assert all(len(x) <= KEPT_LETTERS for memory in (kept, stems) for x in memory.young)
-    # Without marked ends each stem takes a call of its own.
-    assert stem_ids(["same", "!!"], tokenizer, np.zeros_like(ends)) == stem_ids(["same", "!!"], tokenizer, ends) == [ids("same"), ids("!!")]
+    tokenizer, ends, kept = pack._tokenizer(path)
+    ids = lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+    rng = random.Random(13)
+    parts = ["a", "B", "é", "É", "ß", "×", "÷", "'", "'s", "'T", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "\n", "\t", "\x00", "\x1c", "\x85", "\xa0", "\u3000", "İ", "Σ", "ς", "\u0301", "1", "²", "中", "😀", "-", "!", "_", "ÿ", "Ÿ", "ª", "ﬁ", "don't"]
+    texts = ["", None, " ", "\x00", "a\x00b c", "\u0301a b\u0301", "it's d's 's x", "tab\there\r\nnew", "a" * 3000 + " b", "x\u3000y  z", "ΑΣ ΟΔΟΣ", "12 3,4!! ?", "Same same, SAME!!"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    want = [ids(x) for x in texts]
+    for chunk in (pack.CHUNK, 40, 40):  # the last time from what is kept, in pieces of a few words
+        monkeypatch.setattr(pack, "CHUNK", chunk)
+        monkeypatch.setattr(pack.segments, "__defaults__", (chunk,))
+        assert [x.tolist() for x in pack.token_ids(texts, path)] == want
+    assert all(len(x) <= pack.KEPT_BYTES for x in kept.young)
+    # Without marked ends each run takes a call of its own; other rules take whole texts.
+    assert pack.run_ids([b"same", b"!!"], tokenizer, np.zeros_like(ends)) == pack.run_ids([b"same", b"!!"], tokenizer, ends) == [np.array(ids(x), "<u4").tobytes() for x in ("same", "!!")]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert pack._tokenizer(other)[1] is None and [x.tolist() for x in pack.token_ids(["Same two", None], other)] == [Tokenizer.from_file(other).encode(x, add_special_tokens=False).ids for x in ("Same two", "")]
     # Nothing is lost when the generations turn.
-    small = Kept(2)
+    small = pack.Kept(2)
     for word in ("p", "q", "r", "p", "s", "p"):
         small.young.update((x, x) for x in small.missing({word}))
         assert small.young[word] == word
-    assert isinstance(tokenizer, Tokenizer)
+
+
+def test_crossing_takes_fewer_bins_than_best_fit():
+    won = 0
+    for seed in range(6):
+        rng = random.Random(seed)
+        sizes = []
+        for _ in range(20):  # three pieces fill a bin, and only these three
+            a = rng.randint(380, 490)
+            b = rng.randint(max(250, 510 - a), (1000 - a) // 2)
+            sizes += [a, b, 1000 - a - b]
+        fitted = pack.Bins(sizes, 1000).fit(list(range(60))).bins
+        elites = [pack.evolve(sizes, [], i, 1000, pack.POPULATION, pack.GENERATIONS) for i in range(pack.ISLANDS)]
+        best = pack.evolve(sizes, elites, 9, 1000, pack.POPULATION, pack.GENERATIONS)
+        assert sorted(x for b in best for x in b) == list(range(60)) and all(sum(sizes[x] for x in b) <= 1000 for b in best)
+        assert pack.ideal(sizes, 1000) <= pack.cost(best, sizes, 1000) <= min(pack.cost(e, sizes, 1000) for e in [*elites, fitted])
+        won += len(best) < len(fitted)
+    assert won == 6
