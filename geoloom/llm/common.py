@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,17 @@ class Stage:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ranked(stage: Stage, df: DataFrame, *keys: str) -> tuple[DataFrame, int]:
+    """(df with `place`, each row's number in the order of keys, from 0 without gaps; the number of rows). Places come from the counts of sorted ranges: no task sees more than its range, and the table of counts has a row for each shuffle partition."""
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    # The ids are the partition's number in the upper bits and the row's place in its partition in the lower 33.
+    ranged = stage.table(ranged.withColumn("_range", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1)))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("n"))
+    before = stage.table(counts.select("_range", "n", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_before")))
+    n = before.agg(F.sum("n")).first()[0] or 0
+    return ranged.join(before.drop("n"), "_range").withColumn("place", F.col("_before") + F.col("_at")).drop("_range", "_at", "_before"), n
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the given new names, found by exact name and position, so that other columns may clash in anything."""
     names = df.columns

@@ -274,7 +274,7 @@ def test_embedding_links_are_brute_force(spark):
     for a, b in links:
         degree[a] += 1
         degree[b] += 1
-    got = ego_join.embedding_duplicates(df, axes=3, block=32)
+    got = ego_join.embedding_duplicates(df, axes=3, leaf=8)
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got.collect()} == {i: (degree[i], want[i], want[i] == i) for i, _ in rows}
     assert len(links) > 400
     assert ego_join.embedding_duplicates(df.limit(0)).count() == 0
@@ -291,6 +291,37 @@ def test_embedding_without_id_leaves_its_block_alone(spark):
     assert [(r["n_links"], r["component_id"], r["kept"]) for r in got if r["vec_id"] is None] == [(0, None, True)] * (len(rows) - len(ids))
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_embedding_rows_are_told_apart_by_their_vectors(spark, kind):
+    rng = np.random.default_rng(14)
+    near = lambda scale: (scale * (1 + 0.01 * rng.normal(size=8))).astype("<f4" if kind == "float" else "<f8").tolist()
+    big, small = (1e30, 1e-30) if kind == "float" else (1e200, 1e-200)
+    far = [1.0, -1.0] * 4
+    rows = [(1, near(1)), (1, near(1)), (1, near(1)), (2, near(big)), (3, near(small)), (4, far), (4, far), (5, far), (6, near(1)), (6, far), (7, None)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    for name in ("digest", "component", "place", "copies", "bundle"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = sorted(tuple(r) for r in ego_join.embedding_duplicates(df, leaf=2).collect())
+    assert got == sorted([(1, 5, 1, True)] * 3 + [(2, 5, 1, False), (3, 5, 1, False), (6, 5, 1, False), (4, 3, 4, True), (4, 3, 4, True), (5, 3, 4, False), (6, 3, 4, False), (7, 0, 7, True)])
+
+
+@pytest.mark.parametrize(("bundles", "kept"), [(1, 10), (5, 1 << 20)])
+def test_one_large_group_of_near_vectors(spark, monkeypatch, bundles, kept):
+    """All of a group link with all, whether they meet in one bundle or across them."""
+    monkeypatch.setattr(ego_join, "BUNDLE_BYTES", 8 * 8 * (601 // bundles + 1))
+    monkeypatch.setattr(ego_join, "BUNDLES", 1)
+    monkeypatch.setattr(ego_join, "KEPT_LINKS", kept)
+    rng = np.random.default_rng(15)
+    x = np.concatenate((np.eye(8)[0] + 0.01 * rng.normal(size=(400, 8)), rng.normal(size=(200, 8)), [[-1.0] + [0.0] * 7]))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = y @ y.T >= 0.95
+    links = [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b]
+    want = components(range(len(x)), links)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ego_join.embedding_duplicates(df, leaf=32).collect()}
+    assert got == {i: (int(near[i].sum()) - 1, want[i]) for i in range(len(x))} and len(links) > 79_000
+
+
 @pytest.mark.parametrize(("window", "anchor"), [(5, 2), (50, 8)])
 def test_phrases_are_brute_force(spark, window, anchor):
     rng = random.Random(7)
