@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Stage, picked, ranked
-from .components import connected_components
+from .components import connected_components, forest
 
 #: Axes of the grid, axes of the projections that prove pairs too far, and rows of an interval that is compared at once.
 COSINE, AXES, SHADOW, LEAF = 0.95, 8, 24, 256
@@ -108,20 +108,6 @@ def joined(x: slice, y: slice, shadow: tuple[np.ndarray, np.ndarray], distance:
             yield from joined(a, b, shadow, distance, leaf)
 
 
-def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """The least node reachable from each of n nodes over the links (i, j)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def linked(x: np.ndarray, y: np.ndarray, copies_x: np.ndarray, copies_y: np.ndarray, base: np.ndarray, distance: float, cosine: float, leaf: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(how many vectors of y each of x links with, as many times as they were copied; the same of x for each of y; links (i, j) that connect what all links connect, y numbered after x). x and y may be the same object."""
     same, m = x is y, len(x)

@@ -1,8 +1,7 @@
 """MinHash near-duplicates with tensored banding.
 
 Each text has two small collections of half keys, each half key made of a few minhashes; a table key is a pair of one
-from either collection, so 2 * m half keys give m * m tables. Texts with equal sets of shingles are one
-representative. In each bucket the representatives are compared with the one that meets most others, round by round,
+from either collection, so 2 * m half keys give m * m tables. Texts of the same words are one representative. In each bucket the representatives are compared with the one that meets most others, round by round,
 and what is still in different components then is compared in full; every link is confirmed on the full sets.
 """
 
@@ -14,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import LOWER_SPACES, Stage, chunks, ngram_hashes, picked, word_hashes
+from .common import LOWER_SPACES, Stage, added, chunks, ngram_hashes, picked, word_hashes
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 80
@@ -35,10 +35,16 @@ def shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
+def words_digest(text: str | None) -> bytes | None:
+    """The digest of a text's words; texts that have the same are copies. None without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(LOWER_SPACES).split()
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
+
+
 def sketch_rows(texts: list[str | None], size: int, halves: int, rows: int):
-    """For each text: (number of shingles, digest of their set or None, half keys of the one and of the other collection)."""
+    """For each text: (number of shingles, digest of its words or None, half keys of the one and of the other collection)."""
     seeds = np.random.default_rng(20240607).integers(0, 1 << 63, (2, 2 * halves * rows), np.int64).astype(np.uint64)
-    for _, data, low, high in chunks(texts, LOWER_SPACES):
+    for at_text, data, low, high in chunks(texts, LOWER_SPACES):
         words, start, _ = word_hashes(data)
         first, last = np.searchsorted(start, low), np.searchsorted(start, high)
         all_ = ngram_hashes(words, size)
@@ -57,8 +63,8 @@ def sketch_rows(texts: list[str | None], size: int, halves: int, rows: int):
                     value ^= value >> np.uint64(32)
                     low_ = np.minimum.reduceat(value, at)
                     keys[full, k // rows] = (keys[full, k // rows] * np.uint64(0x9FB21C651E98DF25)) ^ low_
-        for n, x, k in zip(counts.tolist(), sets, keys.astype(np.int64), strict=True):
-            yield n, hashlib.blake2b(x.tobytes(), digest_size=16).digest() if n else None, k[:halves], k[halves:]
+        for i, (n, k) in enumerate(zip(counts.tolist(), keys.astype(np.int64), strict=True)):
+            yield n, words_digest(texts[at_text + i]), k[:halves], k[halves:]
 
 
 def sketches(docs: DataFrame, size: int, halves: int, rows: int) -> DataFrame:
@@ -75,7 +81,7 @@ def sketches(docs: DataFrame, size: int, halves: int, rows: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sets overlap enough. texts: doc_id and text of all that are paired."""
+    """Those pairs (a, b) whose sets overlap enough. texts: rep and text of all that are paired."""
 
     def run(batches):
         last, known = None, set()
@@ -91,36 +97,74 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    with_a = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
+    with_b = with_a.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
     return with_b.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def table_keys(reps: DataFrame, m: int) -> DataFrame:
+    """(rep, n, key): each representative under those of its table keys of which another one has either half too."""
+    halves = reps.select("rep", F.col("n_shingles").cast("int").alias("n"), F.posexplode(F.concat("one", "two")).alias("slot", "half"))
+    shared = halves.groupBy("slot", "half").agg(F.count("*").alias("members")).where("members > 1").select("slot", "half")
+    alive = halves.join(shared, ["slot", "half"]).groupBy("rep", "n").agg(F.collect_list(F.struct("slot", "half")).alias("halves"))  # as many as there are half keys at most
+    pairs = F.expr(f"flatten(transform(filter(halves, x -> x.slot < {m}), x -> transform(filter(halves, y -> y.slot >= {m}), y -> xxhash64(x.slot, y.slot, x.half, y.half))))")
+    return alive.select("rep", "n", F.explode(pairs).alias("key"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, rows: int = ROWS) -> DataFrame:
     """A row for each row of docs: doc_id, n_shingles, component_id (the least id reachable by links), kept (whether that is its own).
 
     A link joins texts with 100 * intersection >= percent * union of their sets of shingles (runs of `size` words, ASCII
-    letters lower-cased; fewer words are one shingle). Texts that are null or without words link with nothing. Rows that
-    repeat an id get equal results where their texts are equal; a null id links with nothing. Extra columns are
-    ignored; an empty table gives an empty result. What tensoring cannot meet in any table is lost: with the defaults
-    one in some hundreds of the pairs just at the threshold, and hardly any above 85 percent.
+    letters lower-cased; fewer words are one shingle). Texts that are null or without words link with nothing, as does a
+    null id, whose component is null. Rows that repeat an id with another text are told apart: each has the component of
+    its text. Extra columns are ignored; an empty table gives an empty result. What tensoring cannot meet in any table is
+    lost: with the defaults one in some hundreds of the pairs just at the threshold, and hardly any above 85 percent.
     """
-    stage = Stage(docs.sparkSession, "minhash")
+    return _near(picked(docs, doc_id=(id_col, "long"), text=(text_col, "string")), size, percent, halves, rows).drop("digest", "component")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """docs with one row of each group of near-duplicates: that with the least id, of several such that with the least digest of its words, of rows that repeat both any one. Rows without id or words stay."""
+    names, flat = docs.columns, docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in (id_col, text_col))
     base = picked(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    sketched = stage.table(sketches(base, size, halves, rows))
-    usable = sketched.where("digest is not null and doc_id is not null")
-    reps = stage.table(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "one", "two")).alias("x")).select("digest", "x.*"))
+    found = _near(base, size, percent, HALVES, ROWS).where("digest is not null")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("x")).select("x.doc_id", "x.digest")
+
+    def digests(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([words_digest(t.as_py()) for t in batch.column(len(names) + 1)], pa.binary())], [f"c{i}" for i in range(len(names) + 3)])
+
+    told = flat.select("*", doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
+    told = told.mapInArrow(digests, added(told, ("digest", T.BinaryType())))
+    told = told.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest")))
+    loose = told.where("digest is null").select(*flat.columns)
+    kept = told.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]).select(*flat.columns)
+    return kept.unionByName(loose).toDF(*names)
+
+
+def _near(base: DataFrame, size: int, percent: int, halves: int, rows: int) -> DataFrame:
+    """doc_id, digest (null for rows that link with nothing), component (a number of its own), n_shingles, component_id, kept."""
+    stage = Stage(base.sparkSession, "minhash")
+    sketched = stage.table(sketches(base, size, halves, rows).withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest"))))
+    reps = sketched.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "one", "two")).alias("x")).select("digest", "x.*")
+    reps = stage.table(reps.withColumn("rep", F.monotonically_increasing_id()))
 
     # Every representative under each of its table keys; buckets of one are of no use.
-    pair_keys = F.expr("flatten(transform(one, (x, i) -> transform(two, (y, j) -> xxhash64(i, j, x, y))))")
-    keyed = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"), F.explode(pair_keys).alias("key"))
+    keyed = stage.table(table_keys(reps, halves))
     crowded = stage.table(keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
     met = keyed.join(crowded, "key")
     hubs = stage.table(met.groupBy("rep").agg(F.sum("members").alias("hub")))
     members = stage.table(met.join(hubs, "rep").select("key", "rep", "n", "hub"))
-    stage.drop(crowded)
-    wanted = hubs.select(F.col("rep").alias("doc_id"))
-    texts = stage.table(base.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+    stage.drop(crowded, keyed)
+    wanted = reps.join(hubs, "rep", "left_semi").select("doc_id", "digest", "rep")
+
+    def same_text(batches):  # an id may repeat with another text
+        for batch in batches:
+            yield batch.filter(pa.array([words_digest(t.as_py()) == d.as_py() for t, d in zip(batch.column(1), batch.column(2), strict=True)], pa.bool_())).select([0, 1])
+
+    own = base.join(wanted, "doc_id").select("rep", "text", "digest").mapInArrow(same_text, "rep long, text string")
+    texts = stage.table(own.groupBy("rep").agg(F.min("text").alias("text")))
 
     links = labels = tested = None
     for turn in range(STAR_ROUNDS + 1):
@@ -135,7 +179,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         full = turn == STAR_ROUNDS or across <= FULL_PAIRS * in_open
         near = f"least(n, n_b) * 100 >= {percent} * greatest(n, n_b)"
         if full:
-            pairs = _across(stage, live.select("rep", "n", "label").distinct(), reps, texts, size, percent)
+            pairs = _across(stage, live.join(open_.select("key", "n_all"), "key").select("key", "n_all", "rep", "n", "label"), texts, size, percent)
         else:
             order = F.struct("spent", F.negative("hub"), "rep")
             live = live.withColumn("spent", F.lit(False)) if tested is None else live.join(tested, ["key", "rep"], "left").withColumn("spent", F.col("used").isNotNull())
@@ -150,16 +194,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if full:
             break
 
-    of_digest = reps.select("digest", F.col("doc_id").alias("node"))
+    of_rep = reps.select("digest", "rep", "doc_id")
     if labels is not None:
-        of_digest = of_digest.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        of_rep = of_rep.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     else:
-        of_digest = of_digest.withColumn("component", F.col("node"))
-    of_digest = stage.table(of_digest.select("digest", "component"))
-    slim = sketched.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-    joined = slim.join(of_digest, "digest", "left")
-    component = F.coalesce("component", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+        of_rep = of_rep.withColumn("component", F.col("rep"))
+    of_rep = stage.table(of_rep)
+    least = stage.table(of_rep.groupBy("component").agg(F.min("doc_id").alias("component_id")))
+    of_digest = stage.table(of_rep.join(least, "component").select("digest", "component", "component_id"))
+    joined = sketched.select("doc_id", "n_shingles", "digest").join(of_digest, "digest", "left")
+    component = F.coalesce("component_id", "doc_id")
+    return joined.select("doc_id", "digest", "component", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def parity_sketch(x: np.ndarray) -> bytes:
@@ -168,13 +213,12 @@ def parity_sketch(x: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
-def _across(stage: Stage, who: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different labels that meet in a table and that neither sizes nor sketches prove apart.
 
-    Rows are grouped by the half keys of the one collection and meet if they also share one of the other, which is to
-    share a table key, at a row for each half key instead of each pair of them. Large groups are compared block by block.
+    live: key, n_all (how many have it), rep, n, label. The members of a crowded key are dealt into blocks, which meet
+    in pairs; only what is not proven apart leaves the task that compares them.
     """
-    who = stage.table(who)
 
     def sketched(batches):
         for batch in batches:
@@ -184,47 +228,48 @@ def _across(stage: Stage, who: DataFrame, reps: DataFrame, texts: DataFrame, siz
                 found.append(parity_sketch(np.unique(ngram_hashes(words, min(size, max(1, len(words)))))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "sketch"])
 
-    sketch = texts.join(who.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sketched, "rep long, sketch binary")
-    halves = who.join(reps.select(F.col("doc_id").alias("rep"), "one", "two"), "rep")
-    crowd = halves.select("rep", "label", F.posexplode("one").alias("i", "half")).groupBy("i", "half").agg(F.count("*").alias("members"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    crowd = stage.table(crowd.select("i", "half", "members"))
-    keyed = halves.join(sketch, "rep").select("rep", "n", "label", "two", "sketch", F.posexplode("one").alias("i", "half")).join(crowd, ["i", "half"])
-    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / BLOCK))
-    blocks = stage.table(keyed.groupBy("i", "half", block.alias("block")).agg(F.collect_list(F.struct("rep", "n", "label", "two", "sketch")).alias("x")))
-    pairs = blocks.join(blocks.select("i", "half", F.col("block").alias("block_b"), F.col("x").alias("y")), ["i", "half"]).where("block <= block_b")
-
-    def parts(column):
-        values = column.values
-        rep, n, label, two, sketch = (values.field(i) for i in range(5))
-        keys = two.values.to_numpy().reshape(len(rep), -1)
-        bits = np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(len(rep), -1)
-        return column.offsets.to_numpy(), rep.to_numpy(), n.to_numpy(), label.to_numpy(), keys, bits
+    live = stage.table(live)
+    who = live.select("rep").distinct()
+    sketch = stage.table(texts.join(who, "rep", "left_semi").select("rep", "text").mapInArrow(sketched, "rep long, sketch binary"))
+    parts = F.ceil(F.col("n_all") / BLOCK).cast("int")
+    dealt = live.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    dealt = dealt.join(sketch, "rep").select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") <= F.col("other")).alias("first"), "rep", "n", "label", "sketch")
+
+    def near(group: list) -> tuple[np.ndarray, np.ndarray]:
+        first, rep, n, label, bits = zip(*group, strict=True)
+        first, rep, n, label = (np.array(c) for c in (first, rep, n, label))
+        bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(rep), -1)
+        one = first.all()
+        x, y = (np.arange(len(rep)),) * 2 if one else (np.flatnonzero(first), np.flatnonzero(~first))
+        low, high = np.minimum(n[x][:, None], n[y]), np.maximum(n[x][:, None], n[y])
+        p, q = np.nonzero((label[x][:, None] != label[y]) & (100 * low >= percent * high) & ((rep[x][:, None] < rep[y]) | (not one)))
+        p, q = x[p], y[q]
+        keep = np.zeros(len(p), bool)
+        for k in range(0, len(p), 1 << 14):
+            s = slice(k, k + (1 << 14))
+            apart = np.bitwise_count(bits[p[s]] ^ bits[q[s]]).sum(1, dtype=np.int64)
+            keep[s] = apart * (100 + percent) <= (n[p[s]].astype(np.int64) + n[q[s]]) * (100 - percent)
+        return np.minimum(rep[p], rep[q])[keep], np.maximum(rep[p], rep[q])[keep]
 
     def run(batches):
+        key, group = None, []
         for batch in batches:
-            (at, rep, n, label, keys, bits), (at_b, rep_b, n_b, label_b, keys_b, bits_b) = parts(batch.column(0)), parts(batch.column(1))
-            a, b = [], []
-            for i in range(batch.num_rows):
-                x, y = slice(at[i], at[i + 1]), slice(at_b[i], at_b[i + 1])
-                low, high = np.minimum(n[x][:, None], n_b[y]), np.maximum(n[x][:, None], n_b[y])
-                near = (label[x][:, None] != label_b[y]) & (100 * low >= percent * high)
-                if not near.any():
-                    continue
-                met = np.zeros_like(near)
-                for j in range(keys.shape[1]):
-                    met |= keys[x, j][:, None] == keys_b[y, j]
-                p, q = np.nonzero(near & met)
-                for k in range(0, len(p), 1 << 14):
-                    p_, q_ = p[k : k + (1 << 14)], q[k : k + (1 << 14)]
-                    apart = np.bitwise_count(bits[x][p_] ^ bits_b[y][q_]).sum(1, dtype=np.int64)
-                    keep = apart * (100 + percent) <= (n[x][p_].astype(np.int64) + n_b[y][q_]) * (100 - percent)
-                    a.append(rep[x][p_[keep]])
-                    b.append(rep_b[y][q_[keep]])
-            a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            found = []
+            for k, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (k, low, high) != key:
+                    if len(group) > 1:
+                        found.append(near(group))
+                    key, group = (k, low, high), []
+                group.append(row)
+            a, b = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+            both = np.unique(np.stack([a, b]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+        if len(group) > 1:
+            a, b = near(group)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return pairs.select("x", "y").mapInArrow(run, "a long, b long")
+    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a long, b long")
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:

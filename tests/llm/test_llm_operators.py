@@ -11,7 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from geoloom.llm import components as component_search
 from geoloom.llm import decontaminate, ego_join, hilbert_shards, language_id, license_digests, license_scan, license_texts, minhash_dedup, pack, phrase_dedup, pii, quality_fm
+from geoloom.llm.common import Stage
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = ("digest", "n_words", "score", "row", "spans", "key", "rep", "label", "shard", "kept")
@@ -291,6 +293,52 @@ def test_embedding_without_id_leaves_its_block_alone(spark):
     assert [(r["n_links"], r["component_id"], r["kept"]) for r in got if r["vec_id"] is None] == [(0, None, True)] * (len(rows) - len(ids))
 
 
+def test_minhash_finds_nearly_all_pairs_at_the_threshold(spark):
+    rng = random.Random(16)
+    words, texts = [f"v{i}" for i in range(5000)], []
+    for _ in range(700):
+        base = [rng.choice(words) for _ in range(rng.randint(60, 140))]
+        own = list(base)
+        for k in rng.sample(range(len(base) // 6), round(len(base) * rng.uniform(0.02, 0.05))):
+            own[6 * k] = rng.choice(words)
+        texts += [" ".join(base), " ".join(own)]
+    sets = [minhash_dedup.shingles(t, 2) for t in texts]
+    near = {k for k in range(0, len(texts), 2) if 100 * len(sets[k] & sets[k + 1]) >= 80 * len(sets[k] | sets[k + 1])}
+    close = {k for k in near if 100 * len(sets[k] & sets[k + 1]) < 86 * len(sets[k] | sets[k + 1])}
+    got = {r["doc_id"]: r["component_id"] for r in minhash_dedup.near_duplicates(documents(spark, texts), size=2).collect()}
+    found = {k for k in range(0, len(texts), 2) if got[k + 1] == k}
+    assert len(close) > 150 and found <= near and len(found) >= 0.99 * len(near) and len(found & close) >= 0.99 * len(close)
+
+
+def test_minhash_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(17)
+    one, two = (" ".join(rng.choice("abcdefghijklmnop") + str(rng.randint(0, 99)) for _ in range(80)) for _ in range(2))
+    rows = [(5, one), (5, two), (7, two + " more"), (8, one + " more"), (5, one), (9, "other words"), (None, one), (4, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    for name in ("digest", "rep", "key", "doc", "c0"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(5, 5, True)] * 3 + [(7, 5, False), (8, 5, False), (9, 9, True), (None, None, True), (4, 4, True), (4, 4, True)], key=str)
+    kept = minhash_dedup.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(5, one), (5, two), (9, "other words"), (None, one), (4, None), (4, "")], key=str)
+    assert minhash_dedup.without_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_of_long_chains_and_stars(spark, monkeypatch):
+    monkeypatch.setattr(component_search, "KEPT_LINKS", 16)
+    rng = random.Random(18)
+    links = [(i, i + 1) for i in range(300)] + [(1000, 1001 + i) for i in range(200)] + [(2000 + 2 * i, 2001 + 2 * i) for i in range(50)] + [(3, 3)]
+    names = list(range(3000))
+    rng.shuffle(names)
+    links = [(names[a], names[b]) for a, b in links]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long").repartition(7)
+    got = {r["node"]: r["component"] for r in component_search.connected_components(Stage(spark, "test"), df).collect()}
+    want = components({x for e in links for x in e}, links)
+    assert {i: got.get(i, i) for i in want} == want
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_embedding_rows_are_told_apart_by_their_vectors(spark, kind):
     rng = np.random.default_rng(14)
