@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from geoloom.llm.common import Stage
 from geoloom.llm.decontaminate import decontaminate
 from geoloom.llm.language_id import UNKNOWN, fit_language_model, held_out_share, predict_language
-from geoloom.llm.minhash_dedup import near_duplicates
+from geoloom.llm.minhash_dedup import without_near_duplicates
 from geoloom.llm.pack import best_fit_pack
 from geoloom.llm.pii import sanitise
 
@@ -28,9 +28,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near-duplicates: five-word shingles, a similarity of 0.8. A document without id links with none and stays."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Keeps one document of each group of near-duplicates, that with the least id: five-word shingles, a similarity of 0.8. Rows that repeat an id are told apart by their texts; a document without id links with none and stays."""
+    return without_near_duplicates(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
