@@ -1,10 +1,11 @@
 """Substring deduplication with automata of repeated phrases.
 
 Candidate passages come from anchors: the least of the short phrases in each window, which equal windows share. Windows
-with an anchor of two documents are confirmed by grouping them whole; runs of confirmed windows are passages of the
-first document that has them. Passages are sharded, the phrases at regular places in them compiled to Aho-Corasick
-automata with pyahocorasick, and all documents that share windows with a shard are streamed through its automaton;
-each window around a hit is confirmed by comparing its words with the passage.
+with an anchor of two documents are grouped by two 64-bit hashes of their words; runs of windows that two documents have
+are passages of the first one. Passages are sharded, long ones over several shards, the phrases at regular places in
+them compiled to Aho-Corasick automata with pyahocorasick, and every document that shares a window with a shard is
+streamed through its automaton; each window around a hit is confirmed by comparing its words with the passage. A
+document whose words are a copy of another's is streamed once, by its first row, and loses all in the others.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .common import SPACES, Stage, mixed, ngram_hashes, picked, powers, word_has
 WINDOW, ANCHOR = 50, 8
 #: Words of passages in one automaton, and documents of one task of a shard.
 SHARD_WORDS, TASK_DOCS = 200_000, 400
+#: Words of one document after which its passages may go to another shard.
+PART_WORDS = 50_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -100,7 +103,7 @@ class Phrases:
         return np.array(out, np.int64)
 
 
-def phrase_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, task_docs: int = TASK_DOCS, with_text: bool = True) -> DataFrame:
+def phrase_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS, task_docs: int = TASK_DOCS, part_words: int = PART_WORDS, with_text: bool = True) -> DataFrame:
     """A row for each row of docs: doc_id, n_words, n_removed, kept_sha256 (of the kept words, joined by one space), removed (merged runs of removed words, as arrays of start and end) and, if wanted, changed_text (the kept words; null where none is removed).
 
     Removed is each word inside a run of `window` words that also occurs in a document with a smaller id, judged on the
@@ -146,35 +149,39 @@ def phrase_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     hashes = hashes_of(words_of(text))
                     at = np.flatnonzero(np.isin(window_anchors(hashes, window, anchor), np.array(own, np.int64).astype(np.uint64)))
                     h, first = np.unique(window_hashes(hashes, window)[at].astype(np.int64), return_index=True)
-                    found.append((h, np.full(len(h), doc), at[first]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["h", "doc_id", "at"])
+                    other = window_hashes(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)), window)[at[first]].astype(np.int64)
+                    found.append((h, other, np.full(len(h), doc), at[first]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["h", "g", "doc_id", "at"])
 
-    seen = texts.mapInArrow(windows, "h long, doc_id long, at long")
-    confirmed = stage.table(seen.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("h", F.col("first.doc_id").alias("first"), F.col("first.at").alias("at")))
+    seen = texts.mapInArrow(windows, "h long, g long, doc_id long, at long")
+    confirmed = stage.table(seen.groupBy("h", "g").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("h", "g", F.col("first.doc_id").alias("first"), F.col("first.at").alias("at")))
     sources = stage.table(confirmed.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("at").alias("starts")))
 
     def passages(batches):
         for batch in batches:
-            ids, sizes, found = [], [], []
+            ids, parts, sizes, found = [], [], [], []
             for doc, text, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = words_of(text)
-                for a, b in runs(np.unique(starts), window):
-                    ids.append(doc)
-                    sizes.append(b - a)
-                    found.append(b" ".join(words[a:b]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "size", "passage"])
-
-    phrases = stage.table(texts.join(sources, "doc_id").select("doc_id", "text", "starts").mapInArrow(passages, "doc_id long, size long, passage binary"))
+                words, starts = words_of(text), np.unique(starts)
+                for part in np.unique(starts // part_words).tolist():
+                    for a, b in runs(starts[starts // part_words == part], window):
+                        ids.append(doc)
+                        parts.append(part)
+                        sizes.append(b - a)
+                        found.append(b" ".join(words[a:b]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "place", "size", "passage"])
+
+    phrases = stage.table(texts.join(sources, "doc_id").select("doc_id", "text", "starts").mapInArrow(passages, "doc_id long, place long, size long, passage binary"))
     total = phrases.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
-    shard_of = lambda c: F.pmod(F.xxhash64(c), F.lit(shards))
+    shard_of = lambda doc, place: F.pmod(F.xxhash64(doc, place), F.lit(shards))
 
     # Each document goes to the shards that hold a window of it, and crowded shards are dealt to several tasks.
-    routed = stage.table(seen.join(confirmed.select("h", "first"), "h").where("doc_id > first").select("doc_id", shard_of("first").alias("shard")).distinct())
+    owners = confirmed.select("h", "g", "first", F.expr(f"at div {part_words}").alias("place"))
+    routed = stage.table(seen.join(owners, ["h", "g"]).where("doc_id > first").select("doc_id", shard_of("first", "place").alias("shard")).distinct())
     crowds = stage.table(routed.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(float(task_docs))).cast("long").alias("parts")))
     visits = routed.join(crowds, "shard").select("doc_id", "shard", F.pmod(F.xxhash64("doc_id", "shard"), F.col("parts")).alias("part"))
     documents = texts.select("doc_id", F.col("text").cast("binary").alias("data")).join(visits, "doc_id").select("shard", "part", F.lit(1).alias("kind"), "doc_id", "data")
-    patterns = phrases.withColumn("shard", shard_of("doc_id")).join(crowds, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "doc_id", F.col("passage").alias("data"))
+    patterns = phrases.withColumn("shard", shard_of("doc_id", "place")).join(crowds, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "doc_id", F.col("passage").alias("data"))
 
     def streamed(batches):
         key, own, engine = None, [], None
