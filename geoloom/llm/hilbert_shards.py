@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stage, picked
+from .common import Stage, picked, ranked
 
 BITS = 10
 
@@ -72,22 +72,9 @@ def hilbert_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     def curve(*columns: pd.Series) -> pd.Series:
         return pd.Series(hilbert_index(np.stack([c.to_numpy() for c in columns], 1), bits))
 
-    stage = Stage(spark, "hilbert")
-    keys = ["curve", "text_crc32", "doc_id"]
-    placed = base.withColumn("curve", curve(*cells))
-    ranged = placed.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
-    # The ids are the partition's number in the upper bits and the row's place in its partition in the lower 33.
-    ranged = stage.table(ranged.withColumn("range", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND((1 << 33) - 1)))
-    counts = ranged.groupBy("range").agg(F.count("*").alias("n")).orderBy("range").collect()  # one row for each shuffle partition
-    before = np.cumsum([0, *(r["n"] for r in counts)]).tolist()
-    n = before[-1]
-    if not n:
-        offsets = F.lit(0).cast("long")
-    else:
-        offsets = F.element_at(F.create_map(*(F.lit(v) for r, b in zip(counts, before, strict=False) for v in (int(r["range"]), int(b)))), F.col("range").cast("int"))
-    place = (offsets + F.col("at")).cast("long")
+    placed, n = ranked(Stage(spark, "hilbert"), base.withColumn("curve", curve(*cells)), "curve", "text_crc32", "doc_id")
     # In whole numbers: the first place of shard s is the least p with p * shards >= s * n.
-    exact = ranged.withColumn("place", place).withColumn("shard", F.expr(f"(place * {shards}L) div {max(n, 1)}L"))
+    exact = placed.withColumn("shard", F.expr(f"(place * {shards}L) div {max(n, 1)}L"))
     slot = F.col("place") - F.expr(f"(shard * {n}L + {shards - 1}L) div {shards}L")
     return exact.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve", *cells)
 

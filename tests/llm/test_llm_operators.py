@@ -388,7 +388,7 @@ def test_phrases_are_brute_force(spark, window, anchor):
     for i, w in enumerate(split):
         for k in range(len(w) - window + 1):
             first.setdefault(tuple(w[k : k + window]), i)
-    df = phrase_dedup.phrase_duplicates(documents(spark, texts), window=window, anchor=anchor, shard_words=300, task_docs=5)
+    df = phrase_dedup.phrase_duplicates(documents(spark, texts), window=window, anchor=anchor, shard_words=300, task_docs=5, part_words=3 * window // 2)
     got = {r["doc_id"]: r for r in df.collect()}
     removed = 0
     for i, w in enumerate(split):
@@ -452,6 +452,23 @@ def test_packing_is_a_round_trip_near_the_bound(spark):
     assert least <= len(bins) <= 1.03 * least + 1
 
 
+def test_shards_are_runs_of_the_whole_order_and_prune(spark):
+    rng = random.Random(19)
+    rows = [(i, "x" * rng.choice([0, 3, 40, 500, 9000]), rng.choice(["de", "en", "fr", None]), rng.choice("abcdefgh"), 1) for i in range(600)]
+    rows = [(rng.randrange(300), *r[1:]) for r in rows]
+    sharded = hilbert_shards.hilbert_shards(spark.createDataFrame(rows, DOCS).repartition(9), shards=24)
+    got = sorted(sharded.collect(), key=lambda r: (r["shard"], r["slot"]))
+    assert [(r["curve"], r["text_crc32"], r["doc_id"]) for r in got] == sorted((r["curve"], r["text_crc32"], r["doc_id"]) for r in got)
+    assert [r["shard"] for r in got] == [p * 24 // 600 for p in range(600)]
+    whole = hilbert_shards.hilbert_index(np.array([[r["cell_0"], r["cell_1"], r["cell_2"]] for r in got]), hilbert_shards.BITS)
+    assert [r["curve"] for r in got] == whole.tolist()
+    # A reader that asks for one label value opens few of the shards.
+    told = hilbert_shards.manifest(sharded).collect()
+    for value in {r["cell_1"] for r in got}:
+        opened = sum(m["min_cell_1"] <= value <= m["max_cell_1"] for m in told)
+        assert opened <= 14 and opened >= len({r["shard"] for r in got if r["cell_1"] == value})
+
+
 def test_crossing_keeps_every_piece_once():
     rng = random.Random(9)
     sizes = [rng.randint(1, 99) for _ in range(200)]
