@@ -10,7 +10,7 @@ import re
 import sys
 from pathlib import Path
 
-from .license_scan import COPYRIGHT_LINE, NOTICES, PUNCTUATION, SPELLINGS
+from .license_scan import COPYRIGHT_LINE, HOLDER_LINE, NOTICES, PUNCTUATION, SPELLINGS
 
 COMMON = Path("/usr/share/common-licenses")
 #: Of the long texts: file and licence. Their first line is the title, the second often a version.
@@ -59,7 +59,7 @@ def canonical(text: str) -> str:
     out = []
     for line in text.split("\n"):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
-        words = " " + re.sub(PUNCTUATION, " ", "" if re.search(COPYRIGHT_LINE, low) else low) + " "
+        words = " " + re.sub(PUNCTUATION, " ", "" if re.search(COPYRIGHT_LINE, low) or re.search(HOLDER_LINE, line) else low) + " "
         for old, new in SPELLINGS:
             words = words.replace(f" {old} ", f" {new} ")
         out.append(re.sub(" +", " ", words).strip(" "))
