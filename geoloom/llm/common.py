@@ -87,6 +87,25 @@ def text_at(df: DataFrame, text_col: str) -> int:
     return df.columns.index(text_col)
 
 
+def in_passes(stage: Stage, docs: DataFrame, at: int, tables, search, **found: str) -> DataFrame:
+    """docs with columns named c0 and so on, and at the end what all passes found in column `at` of each row: arrays, null where there is nothing.
+
+    tables: an iterator of what each pass looks for, of bounded size; one pass's table is broadcast, its finds are
+    written, and only then the next one's is made. search(table) is a function of Arrow batches (row, text) that yields
+    batches (row, then arrays of the types in found) of the rows with finds.
+    """
+    spark, width = docs.sparkSession, len(docs.columns)
+    flat = stage.table(docs.toDF(*(f"c{i}" for i in range(width))).withColumn("row", F.monotonically_increasing_id()))
+    hits = None
+    for wanted in tables:
+        table = spark.sparkContext.broadcast(wanted)
+        part = stage.table(flat.select("row", f"c{at}").mapInArrow(search(table), "row long, " + ", ".join(f"{k} {v}" for k, v in found.items())))
+        table.destroy()
+        hits = part if hits is None else hits.unionByName(part)
+    of_row = hits.groupBy("row").agg(*(F.flatten(F.collect_list(k)).alias(k) for k in found))
+    return flat.join(of_row, "row", "left").select(*flat.columns[:-1], *found)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every bit of the result depends on every bit of h."""
     h = h.copy()

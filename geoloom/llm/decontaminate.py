@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_LOWER, added, pick, picked
+from .common import ALNUM_LOWER, Stage, added, in_passes, pick, picked
 
 WINDOW = 10
-#: Patterns of one table; more are searched by further passes in the same stage.
+#: Windows of items in one table; more are searched by further passes, one after the other.
 PATTERNS_A_PASS = 400_000
 
 
@@ -80,44 +80,67 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null and empty texts have no words and no hits, items with neither never occur, rows and items may repeat, and an
     item without id is no item. A column of docs that bears one of the new names keeps its place; callers tell them by
-    position. The items' windows go to the tasks by broadcast, patterns_a_pass at most at once: further ones are
-    searched by further passes over the same rows in the same stage, each with its own table.
+    position. The items' windows go to the tasks by broadcast, patterns_a_pass of (window, item) at most at once: if
+    there are more, each pass's hits are written before the next one begins, and meet by row at the end.
     """
-    spark = docs.sparkSession
-    patterns = patterns_of(benchmark, item_id_col, item_text_col, window)
-    grouped = patterns.groupBy("pattern").agg(F.sort_array(F.collect_set("item_id")).alias("items")).persist()
-    n = grouped.count()
-    passes = max(1, -(-n // patterns_a_pass))
+    stage = Stage(docs.sparkSession, "patterns")
+    patterns = stage.table(patterns_of(benchmark, item_id_col, item_text_col, window))
+    passes = max(1, -(-patterns.count() // patterns_a_pass))
     at, kept = docs.columns.index(text_col), len(docs.columns)
+
+    def table(k: int) -> list[tuple[bytes, list[str]]]:
+        part = patterns.where(F.pmod(F.xxhash64("pattern", "item_id"), F.lit(passes)) == k) if passes > 1 else patterns
+        return [(bytes(r[0]), r[1]) for r in part.groupBy("pattern").agg(F.collect_list("item_id")).toLocalIterator()]
+
     spans = T.ArrayType(T.ArrayType(T.LongType()))
-    schema = added(docs, ("hit_spans", spans), ("item_ids", T.ArrayType(T.StringType())))
-    rows = docs
-    for k in range(passes):
-        part = grouped.where(F.pmod(F.xxhash64("pattern"), F.lit(passes)) == k) if passes > 1 else grouped
-        table = spark.sparkContext.broadcast([(bytes(r[0]), r[1]) for r in part.toLocalIterator()])
-        rows = rows.mapInArrow(_search(table, at, kept, last=k == passes - 1), added(docs, ("n_words", T.LongType()), ("n_hit", T.LongType()), ("item_ids", T.ArrayType(T.StringType())), ("hit_spans", spans)) if k == passes - 1 else schema)
-    grouped.unpersist()
-    return rows
+    schema = added(docs, ("n_words", T.LongType()), ("n_hit", T.LongType()), ("item_ids", T.ArrayType(T.StringType())), ("hit_spans", spans))
+    if passes == 1:
+        return docs.mapInArrow(_told(at, kept, docs.sparkSession.sparkContext.broadcast(table(0))), schema)
+    found = in_passes(stage, docs, at, map(table, range(passes)), _search, spans="array<array<long>>", items="array<string>")
+    return found.mapInArrow(_told(at, kept, None), schema)
+
+
+def engines_of(table: list[tuple[bytes, list[str]]]) -> list[WuManber]:
+    by_length: dict[int, dict[tuple[bytes, ...], list[str]]] = defaultdict(dict)
+    for p, items in table:
+        words = tuple(p.split(b" "))
+        by_length[len(words)][words] = items
+    return [WuManber(v) for _, v in sorted(by_length.items())]
+
+
+def occurrences(engines: list[WuManber], words: list[bytes]) -> tuple[list[list[int]], list[str]]:
+    """(spans of words, items) of all occurrences."""
+    spans, items = [], []
+    for engine in engines:
+        for start, found in engine.find(words):
+            spans.append([start, start + engine.m])
+            items += found
+    return spans, items
+
+
+def _search(table):
+    def run(batches):
+        engines = engines_of(table.value)
+        for batch in batches:
+            found = [occurrences(engines, words_of(x.as_py())) for x in batch.column(1)]
+            some = [i for i, (spans, _) in enumerate(found) if spans]
+            columns = [pa.array([found[i][0] for i in some], pa.list_(pa.list_(pa.int64()))), pa.array([sorted(set(found[i][1])) for i in some], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), *columns], ["row", "spans", "items"])
+
+    return run
+
 
+def _told(at: int, kept: int, table):
+    """The new columns of each row, from what the broadcast table's engines find or else from what passes found before."""
 
-def _search(table, at: int, kept: int, last: bool):
     def run(batches):
-        by_length: dict[int, dict[tuple[bytes, ...], list[str]]] = defaultdict(dict)
-        for p, items in table.value:
-            words = tuple(p.split(b" "))
-            by_length[len(words)][words] = items
-        engines = [WuManber(v) for _, v in sorted(by_length.items())]
+        engines = engines_of(table.value) if table else []
         for batch in batches:
-            old = batch.num_columns > kept
-            before = zip(batch.column(kept).to_pylist(), batch.column(kept + 1).to_pylist(), strict=True) if old else None
+            before = [(a or [], b or []) for a, b in zip(batch.column(kept).to_pylist(), batch.column(kept + 1).to_pylist(), strict=True)] if not table else None
             counts, hits, items_out, spans_out = [], [], [], []
-            for value in batch.column(at):
+            for i, value in enumerate(batch.column(at)):
                 words = words_of(value.as_py())
-                spans, items = map(list, next(before)) if old else ([], [])
-                for engine in engines:
-                    for start, found in engine.find(words):
-                        spans.append([start, start + engine.m])
-                        items += found
+                spans, items = before[i] if before else occurrences(engines, words)
                 merged: list[list[int]] = []
                 for s, e in sorted(spans):
                     if merged and s <= merged[-1][1]:
@@ -128,8 +151,7 @@ def _search(table, at: int, kept: int, last: bool):
                 hits.append(sum(e - s for s, e in merged))
                 spans_out.append(merged)
                 items_out.append(sorted(set(items)))
-            ids, places = pa.array(items_out, pa.list_(pa.string())), pa.array(spans_out, pa.list_(pa.list_(pa.int64())))
-            new = [pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), ids, places] if last else [places, ids]
+            new = [pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array(items_out, pa.list_(pa.string())), pa.array(spans_out, pa.list_(pa.list_(pa.int64())))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *new], [f"c{i}" for i in range(kept + len(new))])
 
     return run
