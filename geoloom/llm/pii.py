@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stage, added, chunks, pick, word_hashes
+from .common import Stage, added, chunks, in_passes, pick, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that count as near, and distinct entities a word must be near to be judged.
@@ -27,7 +27,7 @@ NEAR, ENTITIES = 3, 5
 #: Words on either side of an entity that can disclose itself, and how often a word must be there to be judged.
 WIDE, OCCURRENCES = 25, 5
 GENERALISE, REMOVE = 0.8, 0.95
-#: Words of one broadcast table; more are searched by further passes. Bits of the filter that picks the words to count.
+#: Words of one broadcast table; more are searched by further passes, one after the other. Bits of the filter that picks the words to count.
 WORDS_A_PASS, FILTER_BITS = 200_000, 20
 # Letters and all that is not ASCII make words, A to Z lower-cased.
 LETTERS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -162,43 +162,63 @@ def sanitise(docs: DataFrame, text_col: str = "text", near: int = NEAR, entities
     stage = Stage(spark, "pii")
     words = stage.table(disclosures(docs, text_col, near, entities_least).where(F.col("disclosure") >= generalise).select("word", (F.col("disclosure") >= remove).alias("remove"), (F.coalesce("of_entity", F.lit(0.0)) >= generalise).alias("everywhere"), (F.coalesce("of_entity", F.lit(0.0)) >= remove).alias("remove_everywhere")))
     passes = max(1, -(-words.count() // words_a_pass))
-    pairs = T.ArrayType(T.ArrayType(T.LongType()))
-    rows = docs
-    for k in range(passes):
+
+    def table(k: int) -> dict:
         part = words.where(F.pmod("word", F.lit(passes)) == k) if passes > 1 else words
-        table = spark.sparkContext.broadcast({r[0]: tuple(r[1:]) for r in part.toLocalIterator()})
-        last = k == passes - 1
-        new = [(f"n_{x}", T.LongType()) for x in KINDS] + [("base_spans", T.StringType()), ("spans", T.StringType())] + [("sanitised_text", T.StringType())] * with_text if last else [("terms", pairs)]
-        rows = rows.mapInArrow(_marked(table, at, kept, last, with_text), added(docs, *new))
-    return rows
+        return {r[0]: tuple(r[1:]) for r in part.toLocalIterator()}
+
+    schema = added(docs, *((f"n_{x}", T.LongType()) for x in KINDS), ("base_spans", T.StringType()), ("spans", T.StringType()), *[("sanitised_text", T.StringType())] * with_text)
+    if passes == 1:
+        return docs.mapInArrow(_told(at, kept, with_text, spark.sparkContext.broadcast(table(0))), schema)
+    found = in_passes(stage, docs, at, map(table, range(passes)), _search, terms="array<array<long>>")
+    return found.mapInArrow(_told(at, kept, with_text, None), schema)
+
+
+class Terms:
+    """Words of a table in texts. table: hash of a word to (whether it is removed near entities, whether it counts in all texts, whether it is removed there)."""
+
+    def __init__(self, table: dict):
+        self.table, self.known = table, np.array(sorted(table), np.int64)
+        self.alone = np.array([w for w in self.known.tolist() if table[w][1]], np.int64)
+
+    def found(self, text: str, base: list[tuple[int, int, int]]) -> list[list[int]]:
+        """[start, end, whether removed] of the terms outside of the entities."""
+        wanted, out = self.known if base else self.alone, []
+        if text and len(wanted):
+            hashes, start, end = words_at(text)
+            hashes = hashes.astype(np.int64)
+            for i in np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes).tolist():
+                low, high = int(start[i]), int(end[i])
+                if not any(a < high and low < b for a, b, _ in base):
+                    out.append([low, high, int(self.table[int(hashes[i])][0 if base else 2])])
+        return out
+
 
+def _search(table):
+    def run(batches):
+        terms = Terms(table.value)
+        for batch in batches:
+            found = [terms.found(text, entities(text)) for x in batch.column(1) for text in [x.as_py() or ""]]
+            some = [i for i, x in enumerate(found) if x]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some, pa.int64())), pa.array([found[i] for i in some], pa.list_(pa.list_(pa.int64())))], ["row", "terms"])
+
+    return run
+
+
+def _told(at: int, kept: int, with_text: bool, table):
+    """The new columns of each row, with terms of the broadcast table or else those that passes found before."""
 
-def _marked(table, at: int, kept: int, last: bool, with_text: bool):
     def run(batches):
-        known = np.array(sorted(table.value), np.int64)
-        alone = np.array([w for w in known.tolist() if table.value[w][1]], np.int64)
+        terms = Terms(table.value) if table else None
+        kinds = [pa.int64()] * len(KINDS) + [pa.string()] * (2 + with_text)
         for batch in batches:
-            before = batch.column(kept).to_pylist() if batch.num_columns > kept else [[]] * batch.num_rows
-            rows, terms_out = [], []
-            for value, terms in zip(batch.column(at), before, strict=True):
+            before = None if terms else batch.column(kept).to_pylist()
+            rows = []
+            for i, value in enumerate(batch.column(at)):
                 text = value.as_py() or ""
-                found, terms = entities(text), list(terms)
-                wanted = known if found else alone
-                if text and len(wanted):
-                    hashes, start, end = words_at(text)
-                    hashes = hashes.astype(np.int64)
-                    for i in np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes).tolist():
-                        low, high = int(start[i]), int(end[i])
-                        if not any(a < high and low < b for a, b, _ in found):
-                            terms.append([low, high, int(table.value[int(hashes[i])][0 if found else 2])])
-                terms_out.append(terms)
-                if last:
-                    rows.append(_result(text, value.as_py() is None, found, terms, with_text))
-            if last:
-                kinds = [pa.int64()] * len(KINDS) + [pa.string()] * (2 + with_text)
-                new = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)]
-            else:
-                new = [pa.array(terms_out, pa.list_(pa.list_(pa.int64())))]
+                base = entities(text)
+                rows.append(_result(text, value.as_py() is None, base, terms.found(text, base) if terms else before[i] or [], with_text))
+            new = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], *new], [f"c{i}" for i in range(kept + len(new))])
 
     return run
