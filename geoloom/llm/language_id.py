@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from .common import added, pick, picked
 
 BUCKETS, ORDERS = 1 << 15, (1, 2, 3)
-#: Rows of each language that the weights are learned from, in expectation, and languages at most (the most frequent).
-SAMPLE_A_LANGUAGE, LANGUAGES = 800, 256
+#: Rows of each language that the weights are learned from, in expectation (twice as many at most), and languages of one model: more raise an error, as none may be left out.
+SAMPLE_A_LANGUAGE, LANGUAGES = 800, 512
 UNKNOWN = "und"
 
 
@@ -113,9 +113,11 @@ def calibrated(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_A_LANGUAGE, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> LanguageModel:
-    """Learns from the rows of train whose label is not null and whose text has letters."""
+    """Learns from the rows of train whose label is not null and whose text has letters; rows that repeat an id and a label count once among the sampled ones."""
     rows = picked(train, doc_id=(id_col, "string"), text=(text_col, "string"), lang=(lang_col, "string")).where("lang is not null and text is not null")
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    top = rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(top) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different labels: give a table of languages, or raise LANGUAGES if the driver has the memory")
     languages = sorted(r["lang"] for r in top)
 
     def frequencies(batches):
@@ -139,6 +141,7 @@ def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str =
 
     share = F.element_at(F.create_map(*(F.lit(v) for r in top for v in (r["lang"], min(1.0, sample / r["count"])))), F.col("lang"))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
+    chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang").limit(2 * sample * len(languages))
 
     def encoded(batches):
         for batch in batches:

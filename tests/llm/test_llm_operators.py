@@ -142,6 +142,63 @@ def test_language_is_right_on_held_out_rows_and_blind_to_their_labels(spark):
     assert {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.language_digest(spark.createDataFrame(turned, DOCS)).collect()} == {i: (r["lang_pred"], r["score"]) for i, r in one.items()}
 
 
+def test_no_language_is_left_out(spark, monkeypatch):
+    rng = random.Random(20)
+    stems = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(300)]
+    rows = [(3 * k + i, f"{w} {w}{w} {w}", f"l{k:03}", "s", 1) for k, w in enumerate(stems) for i in range(3)] + [(5000, stems[0], "l000", "s", 1)] * 40
+    docs = spark.createDataFrame(rows, DOCS)
+    model = language_id.fit_language_model(docs, sample=5, epochs=2)
+    assert model.languages == sorted({r[2] for r in rows})
+    got = language_id.predict_language(docs, model).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.9
+    monkeypatch.setattr(language_id, "LANGUAGES", 299)
+    with pytest.raises(ValueError, match="299"):
+        language_id.fit_language_model(docs)
+
+
+def naive_leader(languages, rows, epochs, alpha, beta, l1, l2):
+    """Follow-the-regularised-leader, a weight at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(key):
+        if abs(z[key]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[key]) - z[key]) / ((beta + math.sqrt(n[key])) / alpha + l2)
+
+    for epoch in range(epochs):
+        for i in np.random.default_rng(epoch).permutation(len(rows)):
+            y, at, x = rows[i]
+            keys = [[*((a, k) for a in at), ("bias", k)] for k in range(languages)]
+            values = [*x, 1.0]
+            w = [[weight(key) for key in own] for own in keys]
+            logits = [sum(a * b for a, b in zip(own, values, strict=True)) for own in w]
+            e = [math.exp(v - max(logits)) for v in logits]
+            for k in range(languages):
+                error = e[k] / sum(e) - (k == y)
+                for key, v, old in zip(keys[k], values, w[k], strict=True):
+                    g = error * v
+                    z[key] += g - (math.sqrt(n[key] + g * g) - math.sqrt(n[key])) / alpha * old
+                    n[key] += g * g
+    return weight
+
+
+def test_leader_and_pairs_are_those_of_plain_loops():
+    rng = np.random.default_rng(21)
+    rows = [(int(rng.integers(3)), np.sort(rng.choice(12, 4, replace=False)), rng.random(4)) for _ in range(40)]
+    model = language_id.LanguageModel(["a", "b", "c"], np.ones(language_id.BUCKETS), np.zeros((language_id.BUCKETS, 3)), np.zeros(3))
+    language_id.follow_leader(model, rows, 2, 0.5, 1.0, 0.02, 0.5)
+    weight = naive_leader(3, rows, 2, 0.5, 1.0, 0.02, 0.5)
+    assert np.allclose(model.weights[:12], [[weight((a, k)) for k in range(3)] for a in range(12)])
+    assert np.allclose(model.bias, [weight(("bias", k)) for k in range(3)]) and (model.weights[:12] == 0).any()
+    # A temperature that is best for the scores it is fitted on.
+    logits = 4 * rng.normal(size=(200, 3))
+    labels = language_id.softmax(logits / 3).cumsum(1)
+    labels = (rng.random((200, 1)) > labels).sum(1).clip(0, 2)
+    loss = lambda t: -np.log(language_id.softmax(logits / t)[np.arange(200), labels]).mean()
+    best = language_id.calibrated(logits, labels)
+    assert all(loss(best) <= loss(best * f) + 1e-9 for f in (0.8, 0.95, 1.05, 1.25))
+
+
 def test_quality_ranks_held_out_rows(spark):
     rng = random.Random(2)
     good, bad = [f"clear{i}" for i in range(40)], [f"spam{i}" for i in range(40)]
