@@ -171,7 +171,7 @@ def _near(base: DataFrame, size: int, percent: int, halves: int, rows: int) -> D
         # Buckets that still hold several components, and how many pairs across them there are.
         known = members.withColumn("label", F.col("rep")) if labels is None else _labelled(members, labels)
         parts = stage.table(known.groupBy("key", "label").agg(F.count("*").alias("own")))
-        open_ = stage.table(parts.groupBy("key").agg(F.count("*").alias("labels"), F.sum("own").alias("n_all"), F.sum(F.col("own") * F.col("own")).alias("squares")).where("labels > 1"))
+        open_ = stage.table(parts.groupBy("key").agg(F.count("*").alias("labels"), F.sum("own").alias("n_all"), F.sum(F.col("own") * F.col("own")).alias("squares"), F.max(F.struct("own", "label")).alias("main")).where("labels > 1"))
         across, in_open = open_.agg(F.sum((F.col("n_all") * F.col("n_all") - F.col("squares")) / 2), F.sum("n_all")).first()
         if not across:
             break
@@ -179,7 +179,7 @@ def _near(base: DataFrame, size: int, percent: int, halves: int, rows: int) -> D
         full = turn == STAR_ROUNDS or across <= FULL_PAIRS * in_open
         near = f"least(n, n_b) * 100 >= {percent} * greatest(n, n_b)"
         if full:
-            pairs = _across(stage, live.join(open_.select("key", "n_all"), "key").select("key", "n_all", "rep", "n", "label"), texts, size, percent)
+            pairs = _across(stage, live.join(open_.select("key", F.col("main.own").alias("n_main"), (F.col("n_all") - F.col("main.own")).alias("n_rest"), F.col("main.label").alias("main")), "key").select("key", "n_main", "n_rest", "rep", "n", "label", (F.col("label") == F.col("main")).alias("is_main")), texts, size, percent)
         else:
             order = F.struct("spent", F.negative("hub"), "rep")
             live = live.withColumn("spent", F.lit(False)) if tested is None else live.join(tested, ["key", "rep"], "left").withColumn("spent", F.col("used").isNotNull())
@@ -216,8 +216,10 @@ def parity_sketch(x: np.ndarray) -> bytes:
 def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of different labels that meet in a table and that neither sizes nor sketches prove apart.
 
-    live: key, n_all (how many have it), rep, n, label. The members of a crowded key are dealt into blocks, which meet
-    in pairs; only what is not proven apart leaves the task that compares them.
+    live: key, rep, n, label, is_main (whether that is the key's most frequent label), n_main, n_rest (how many of the
+    key's rows are of that label, and how many of others). Rows of the main label need not meet each other: blocks of
+    theirs meet blocks of the rest, and these each other. So a large group that is already one component costs a row
+    for each member, and only what is not proven apart leaves the task that compares it.
     """
 
     def sketched(batches):
@@ -231,10 +233,16 @@ def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent:
     live = stage.table(live)
     who = live.select("rep").distinct()
     sketch = stage.table(texts.join(who, "rep", "left_semi").select("rep", "text").mapInArrow(sketched, "rep long, sketch binary"))
-    parts = F.ceil(F.col("n_all") / BLOCK).cast("int")
-    dealt = live.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    dealt = dealt.join(sketch, "rep").select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") <= F.col("other")).alias("first"), "rep", "n", "label", "sketch")
+    mains, rests = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_main", "n_rest"))
+    dealt = live.join(sketch, "rep").withColumn("mains", mains).withColumn("rests", rests)
+    own = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
+    sent = ["rep", "n", "label", "sketch"]
+    main = own.where("is_main").select("key", F.col("block").alias("low"), F.explode(F.expr("sequence(0, rests - 1)")).alias("high"), F.lit(0).alias("kind"), F.lit(True).alias("first"), *sent)
+    rest = own.where("not is_main")
+    met = rest.select("key", F.explode(F.expr("sequence(0, mains - 1)")).alias("low"), F.col("block").alias("high"), F.lit(0).alias("kind"), F.lit(False).alias("first"), *sent)
+    other = rest.select("*", F.explode(F.expr("sequence(0, rests - 1)")).alias("other"))
+    among = other.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.lit(1).alias("kind"), (F.col("block") <= F.col("other")).alias("first"), *sent)
+    dealt = main.unionByName(met).unionByName(among)
 
     def near(group: list) -> tuple[np.ndarray, np.ndarray]:
         first, rep, n, label, bits = zip(*group, strict=True)
@@ -256,11 +264,12 @@ def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent:
         key, group = None, []
         for batch in batches:
             found = []
-            for k, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (k, low, high) != key:
+            for *place, first, rep, n, label, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = (first, rep, n, label, bits)
+                if place != key:
                     if len(group) > 1:
                         found.append(near(group))
-                    key, group = (k, low, high), []
+                    key, group = place, []
                 group.append(row)
             a, b = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
             both = np.unique(np.stack([a, b]), axis=1)
@@ -269,7 +278,7 @@ def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent:
             a, b = near(group)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a long, b long")
+    return dealt.repartition("key", "kind", "low", "high").sortWithinPartitions("key", "kind", "low", "high").mapInArrow(run, "a long, b long")
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
