@@ -28,8 +28,8 @@ def local_xy(lon: Column, lat: Column, lat0: float, lon0: float = 0.0) -> tuple[
 
 
 def utm10(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """Easting and northing in metres of zone 10 north, by the usual series on the GRS80 ellipsoid."""
-    a, f, k0 = 6_378_137.0, 1 / 298.257222101, 0.9996
+    """Easting and northing in metres of zone 10 north, by the usual series on the WGS84 ellipsoid."""
+    a, f, k0 = 6_378_137.0, 1 / 298.257223563, 0.9996
     e2 = f * (2 - f)
     ep2 = e2 / (1 - e2)
     p, dl = F.radians(lat), F.radians(lon + 123.0)
@@ -44,7 +44,7 @@ def utm10(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 def utm10_inverse(east: Column, north: Column) -> tuple[Column, Column]:
     """Longitude and latitude from zone 10 north."""
-    a, f, k0 = 6_378_137.0, 1 / 298.257222101, 0.9996
+    a, f, k0 = 6_378_137.0, 1 / 298.257223563, 0.9996
     e2 = f * (2 - f)
     ep2, e1 = e2 / (1 - e2), (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
     mu = north / k0 / (a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
@@ -188,3 +188,48 @@ def edge_key(x1: Column, y1: Column, x2: Column, y2: Column, digits: int = 5) ->
 
 def snapped(v: Column, step: float) -> Column:
     return F.floor(v / step + 0.5) * step
+
+
+def bound(c: Column, use) -> Column:
+    """use(c) with c evaluated once, however often use names it."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
+def closed(ring: Column) -> Column:
+    """A ring whose last point is its first."""
+    return F.when((F.size(ring) > 0) & (F.element_at(ring, 1) != F.element_at(ring, -1)), F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
+
+
+def _half(ring: Column, axis: str, limit: float, above: bool) -> Column:
+    """A closed ring cut by a line along an axis: the part on one side."""
+    other = "y" if axis == "x" else "x"
+    inside = lambda p: p[axis] >= limit if above else p[axis] <= limit
+
+    def kept(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        share = (F.lit(limit) - a[axis]) / F.nullif(b[axis] - a[axis], F.lit(0.0))
+        cross = {axis: F.lit(float(limit)), other: a[other] + share * (b[other] - a[other])}
+        at = F.struct(cross["x"].alias("x"), cross["y"].alias("y"))
+        own = F.struct(b["x"].alias("x"), b["y"].alias("y"))
+        return F.when(inside(a) & inside(b), F.array(own)).when(inside(a), F.array(at)).when(inside(b), F.array(at, own)).otherwise(F.array().cast(RING))
+
+    return bound(F.flatten(F.transform(edges(ring), kept)), closed)
+
+
+def clipped(parts: Column, west: float, south: float, east: float, north: float) -> Column:
+    """A multipolygon cut by a box, edge by edge; rings of fewer than four points go, and polygons without an outer ring. Null where nothing is left."""
+    cut = lambda r: bound(bound(bound(_half(r, "x", west, True), lambda q: _half(q, "x", east, False)), lambda q: _half(q, "y", south, True)), lambda q: _half(q, "y", north, False))
+    polygon = lambda p: bound(F.transform(p, cut), lambda rings: F.when(F.size(F.element_at(rings, 1)) >= 4, F.filter(rings, lambda r: F.size(r) >= 4)))
+    return bound(F.filter(F.transform(parts, polygon), lambda p: p.isNotNull()), lambda m: F.when(F.size(m) > 0, m))
+
+
+def geometry_text(parts: Column) -> Column:
+    """A multipolygon as JSON text of coordinates."""
+    return F.to_json(F.transform(parts, lambda p: F.transform(p, lambda r: F.transform(r, lambda q: F.array(q["x"], q["y"])))))
+
+
+def projected_or_degrees(x: Column, y: Column) -> tuple[Column, Column]:
+    """Metres of zone 10 north, whether the pair is given so or in degrees."""
+    east, north = utm10(x, y)
+    metres = looks_projected(x, y)
+    return F.when(metres, x).otherwise(east), F.when(metres, y).otherwise(north)

@@ -65,18 +65,23 @@ def variant_scores(df: DataFrame, key: str, variants: dict[str, dict[str, float]
     return df.select(key, *(weighted_score(w).alias(v) for v, w in variants.items()))
 
 
+def ranked_counts(counts: DataFrame, value: str) -> DataFrame:
+    """(value, _upto): of (value, _n), how many rows there are up to each value, by running sums within sorted ranges and a table with a row for each range."""
+    ranged = counts.repartitionByRange(value).withColumn("_p", F.spark_partition_id())
+    ranged = ranged.checkpoint() if counts.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
+    sizes = ranged.groupBy("_p").agg(F.sum("_n").alias("_size"))
+    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))  # a row for each partition
+    within = F.sum("_n").over(Window.partitionBy("_p").orderBy(value))
+    return ranged.join(before.select("_p", F.coalesce("_before", F.lit(0)).alias("_before")), "_p").select(value, (F.col("_before") + within).alias("_upto"))
+
+
 def quantile_bands(df: DataFrame, value: str, shares: tuple[float, ...] = QUINTILES, band: str = "band") -> DataFrame:
     """A band from 1 on by nearest-rank cuts of the positive values: the cut of share q is the value at place floor(q * n) - 1, at least the first; what is not positive is in band 1.
 
     The cuts come from exact counts of distinct values, a running sum over their sorted ranges, not from one sorted task.
     """
     positive = df.where(F.col(value) > 0).groupBy(value).agg(F.count("*").alias("_n"))
-    ranged = positive.repartitionByRange(value).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
-    sizes = ranged.groupBy("_p").agg(F.sum("_n").alias("_size"))
-    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))  # a row for each partition
-    within = F.sum("_n").over(Window.partitionBy("_p").orderBy(value))
-    places = ranged.join(F.broadcast(before.select("_p", F.coalesce("_before", F.lit(0)).alias("_before"))), "_p").select(F.col(value).alias("_v"), (F.col("_before") + within).alias("_upto"))
+    places = ranked_counts(positive, value).withColumnRenamed(value, "_v")
     total = F.broadcast(positive.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total")))
     place = lambda q: F.greatest(F.lit(0), F.least(F.floor(F.col("_total") * q) - 1, F.col("_total") - 1))
     cuts = places.crossJoin(total).agg(*(F.min(F.when(F.col("_upto") > place(q), F.col("_v"))).alias(f"_cut_{i}") for i, q in enumerate(shares)))
@@ -88,10 +93,10 @@ def quantile_bands(df: DataFrame, value: str, shares: tuple[float, ...] = QUINTI
 
 
 def score_band(value: Column, cuts: tuple[float, ...] = BANDS) -> Column:
-    """1 to 5 by thresholds; null and what is not above zero is 0."""
-    out = F.when(value.isNull() | (value <= 0), 0)
+    """1 to 5 by thresholds, each the least value of the next band; null, which is outside, is 0."""
+    out = F.when(value.isNull(), 0)
     for i, c in enumerate(cuts, 1):
-        out = out.when(value <= c, i)
+        out = out.when(value < c, i)
     return out.otherwise(len(cuts) + 1)
 
 
@@ -118,7 +123,7 @@ def run_lengths(df: DataFrame, order: str, value: str, by: tuple[str, ...] = ())
     following = F.lead(order).over(Window.partitionBy("_p", *keys).orderBy(order))
     next_head = heads.select(*keys, "_p", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_p")).alias("_next")) if keys else heads.select("_p", F.lead("_head").over(Window.orderBy("_p")).alias("_next"))
     ends = df.groupBy(*keys).agg((F.max(order) + 1).alias("_end"))
-    joined = ranged.withColumn("_following", following).join(F.broadcast(next_head), ["_p", *keys])
+    joined = ranged.withColumn("_following", following).join(next_head, ["_p", *keys])
     joined = joined.join(ends, keys) if keys else joined.crossJoin(F.broadcast(ends))
     return joined.select(*keys, F.col(order).alias("start"), value, (F.coalesce("_following", "_next", "_end") - F.col(order)).alias("run"))
 
@@ -175,17 +180,26 @@ def label_counts(df: DataFrame, labels: str, empty: str = "Unknown") -> DataFram
 
 
 def hierarchy(df: DataFrame, levels: list[str], sums: list[str], area: str, population: str) -> DataFrame:
-    """Sums of each level of nested keys (nulls as 0), its rows, and people per area, from one pass over the rows."""
+    """Sums of each level of nested keys (nulls as 0), its rows as `rows_n`, the number of keys it has as `level`, and people per area, from one pass over the rows. A key that is null itself is a key like others: levels are told by the grouping, not by nulls."""
     sets = [levels[: i + 1] for i in range(len(levels))]
-    keyed = df.groupingSets(sets, *levels).agg(*(F.sum(F.coalesce(s, F.lit(0))).alias(s) for s in sums), F.count("*").alias("n"), F.grouping_id().alias("_g"))
-    depth = sum((F.when(F.col(lv).isNotNull(), 1).otherwise(0) for lv in levels), F.lit(0))
-    return keyed.withColumn("level", depth).drop("_g").withColumn("density", F.try_divide(F.col(population), F.nullif(F.col(area), F.lit(0))))
+    keyed = df.groupingSets(sets, *levels).agg(*(F.sum(F.coalesce(s, F.lit(0))).alias(s) for s in sums), F.count("*").alias("rows_n"), F.grouping_id().alias("_g"))
+    # Each key that a set lacks is a bit of the grouping's number.
+    depth = F.lit(len(levels)) - F.bit_count("_g")
+    return keyed.withColumn("level", depth.cast("int")).drop("_g").withColumn("density", F.try_divide(F.col(population), F.nullif(F.col(area), F.lit(0))))
 
 
-def distribution(df: DataFrame, value: str) -> DataFrame:
-    """n, mean, median and 90th percentile; percentiles are exact, interpolated."""
+def distribution(df: DataFrame, value: str, shares: dict[str, float] = {"median": 0.5, "p90": 0.9}) -> DataFrame:  # noqa: B006
+    """One row: n, mean, and exact, interpolated percentiles, from counts of distinct values over sorted ranges; no task sees more than its range."""
     v = F.col(value)
-    return df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.percentile(v, 0.5).alias("median"), F.percentile(v, 0.9).alias("p90"))
+    base = df.where(v.isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
+    totals = base.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), (F.sum(v * F.col("_n")) / F.sum("_n")).alias("mean"))
+    places = ranked_counts(base, value)
+    low = lambda q: F.floor((F.col("n") - 1) * q)
+    at = lambda p: F.min(F.when(F.col("_upto") > p, v))
+    found = places.crossJoin(F.broadcast(totals)).groupBy("n", "mean").agg(*(c for k, q in shares.items() for c in (at(low(q)).alias(f"_{k}"), at(F.least(low(q) + 1, F.col("n") - 1)).alias(f"_{k}_next"))))  # one row
+    share = lambda q: (F.col("n") - 1) * q - low(q)
+    out = totals.join(found.drop("mean"), "n", "left")
+    return out.select("n", "mean", *((F.col(f"_{k}") + (F.col(f"_{k}_next") - F.col(f"_{k}")) * share(q)).alias(k) for k, q in shares.items()))
 
 
 def inventory(files: DataFrame, key: str, size: str, cadence: str, path: str, examples: int = 3) -> DataFrame:

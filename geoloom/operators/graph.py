@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,30 +52,51 @@ def chains(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
     return df.select(group, F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b)).groupBy(group).applyInPandas(walk, f"{group} {kind}, chain int, nodes array<string>")
 
 
-def flatten_tree(edges: DataFrame, roots: DataFrame, most: int = 32) -> DataFrame:
-    """(id, depth, path) of all nodes below the roots of (parent, child); level by level, as deep as the tree is."""
-    level = roots.select(F.col("id"), F.lit(0).alias("depth"), F.col("id").cast("string").alias("path"))
-    out = level
-    for depth in range(1, most + 1):
-        level = level.join(edges, F.col("id") == F.col("parent")).select(F.col("child").alias("id"), F.lit(depth).alias("depth"), F.concat_ws(" / ", "path", F.col("child").cast("string")).alias("path"))
+def flatten_tree(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, depth, path) of all nodes below the roots of (parent, child); level by level, as deep as the tree is. A path that comes back to a node of its own raises an error."""
+    level = roots.select(F.col("id"), F.lit(0).alias("depth"), F.array(F.col("id").cast("string")).alias("path"))
+    levels, depth = [level], 0
+    while True:
+        depth += 1
+        below = level.join(edges, F.col("id") == F.col("parent")).select(F.col("child").alias("id"), F.lit(depth).alias("depth"), "path", F.col("child").cast("string").alias("own"))
+        known = F.assert_true(~F.array_contains("path", F.col("own")), F.concat(F.lit("circle at "), F.col("own")))
+        level = _cut(below.select("id", "depth", F.concat("path", F.array(F.col("own"))).alias("path"), known.alias("ok")).where("ok is null").drop("ok"))
         if level.isEmpty():
             break
-        out = out.unionByName(level)
-    return out
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels).withColumn("path", F.array_join("path", " / "))
+
 
+def fill_holes(cells: DataFrame, rows: int, cols: int) -> DataFrame:
+    """Cells (row, col) and all empty ones of the grid that no path of empty neighbours joins to its edge.
 
-def fill_holes(cells: DataFrame, rows: int, cols: int, most: int = 10_000) -> DataFrame:
-    """Cells (row, col) and all empty ones of the grid that no path of empty neighbours joins to its edge. Outside spreads by steps until it stops."""
+    Empty cells of a row that touch are one run; runs that touch a run of the row below take the least label of both,
+    round by round, until none changes; what has the label of a run on the edge is outside.
+    """
     spark = cells.sparkSession
     grid = spark.range(rows).select(F.col("id").cast("int").alias("row")).crossJoin(spark.range(cols).select(F.col("id").cast("int").alias("col")))  # the grid itself
-    empty = grid.join(cells, ["row", "col"], "left_anti").persist()
-    outside = empty.where((F.col("row").isin(0, rows - 1)) | (F.col("col").isin(0, cols - 1)))
-    n = outside.count()
-    for _ in range(most):
-        around = outside.select(F.explode(F.array(*(F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col")) for i, j in ((0, 0), (0, 1), (1, 0), (0, -1), (-1, 0))))).alias("c")).select("c.*").distinct()
-        outside = empty.join(around, ["row", "col"], "left_semi")
-        outside = outside.checkpoint() if spark.sparkContext.getCheckpointDir() else outside.persist()
-        if (m := outside.count()) == n:
+    empty = grid.join(cells, ["row", "col"], "left_anti")
+    w = Window.partitionBy("row").orderBy("col")
+    runs = empty.withColumn("run", F.col("col") - F.row_number().over(w)).groupBy("row", "run").agg(F.min("col").alias("low"), F.max("col").alias("high"))
+    runs = _cut(runs.select("row", "low", "high", (F.col("row").cast("long") * cols + F.col("low") + 1).alias("id")))
+    below = runs.select((F.col("row") - 1).alias("row"), F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("id").alias("b"))
+    links = runs.join(below, "row").where("low <= high_b and low_b <= high").select(F.col("id").alias("a"), "b")
+    links = _cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    at_edge = F.col("row").isin(0, rows - 1) | (F.col("low") == 0) | (F.col("high") == cols - 1)
+    labels = _cut(runs.select("id", F.when(at_edge, F.lit(0)).otherwise(F.col("id")).cast("long").alias("label")))
+    while True:
+        near = links.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("label").alias("near"))
+        # A label is a run's own number: that run's label is a step further.
+        hop = labels.select(F.col("id").alias("label"), F.col("label").alias("onward"))
+        new = labels.join(near, F.col("id") == F.col("a"), "left").join(hop, "label", "left").select("id", F.least(F.col("label"), F.coalesce("near", "label"), F.coalesce("onward", "label")).alias("label"))
+        new = _cut(new)
+        if not new.join(labels.withColumnRenamed("label", "old"), "id").where("label < old").limit(1).count():
             break
-        n = m
+        labels = new
+    outside = runs.join(labels.where("label = 0"), "id").select("row", F.explode(F.sequence("low", "high")).alias("col"))
     return grid.join(outside, ["row", "col"], "left_anti")
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut where the session has a folder for that."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()

@@ -85,13 +85,17 @@ def merge_discoveries(df: DataFrame, key: str, methods: str, hint: str, order: s
     return df.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(methods)))).alias(methods), F.min_by(hint, F.when(F.col(hint).isNotNull(), F.col(order))).alias(hint))
 
 
-def dedupe_listing_duplicates(df: DataFrame, key: Column, row_id: str, order: Column, methods: str | None = None) -> DataFrame:
-    """The first row of each key, with the ids of the others in `duplicates` (sorted) and their methods united."""
+def dedupe_listing_duplicates(df: DataFrame, key: Column, row_id: str, order: Column, methods: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the first row of each key, with the sorted union of all rows' methods; a row (kept, duplicate) for each other row of a key). However many rows share a key, none gathers them: duplicates are rows, and methods are distinct before they meet."""
     keyed = df.withColumn("_key", key)
     rest = [c for c in df.columns if c != methods]
-    extra = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(methods)))).alias(methods)] if methods else []
-    grouped = keyed.groupBy("_key").agg(F.min_by(F.struct(*rest), F.struct(order, row_id)).alias("_first"), F.array_sort(F.collect_list(row_id)).alias("_all"), *extra)
-    return grouped.select("_first.*", *([methods] if methods else []), F.array_except("_all", F.array(F.col(f"_first.{row_id}"))).alias("duplicates"))
+    first = keyed.groupBy("_key").agg(F.min_by(F.struct(*rest), F.struct(order, row_id)).alias("_first"))
+    out = first.select("_key", "_first.*")
+    if methods:
+        united = keyed.select("_key", F.explode(methods).alias("_m")).distinct().groupBy("_key").agg(F.array_sort(F.collect_list("_m")).alias(methods))
+        out = out.join(united, "_key", "left")
+    duplicates = keyed.select("_key", F.col(row_id).alias("duplicate")).join(first.select("_key", F.col(f"_first.{row_id}").alias("kept")), "_key").where("duplicate != kept").select("kept", "duplicate")
+    return out.drop("_key"), duplicates
 
 
 def cascade(source: DataFrame, source_id: str, tiers: list[DataFrame], target_id: str) -> DataFrame:
@@ -126,31 +130,31 @@ def part_set_matches(left: DataFrame, right: DataFrame, left_id: str, right_id:
     """(left_id, right_id, exact): the last right row with the same set of parts, else the one that shares most, at least two and all of one side; of these the one with fewer parts, then the first."""
     keyed = lambda df: df.withColumn("_key", F.array_join(F.array_sort(parts), "|"))
     exact = keyed(left).join(keyed(right).groupBy("_key").agg(F.max(right_id).alias(right_id)), "_key").select(left_id, right_id, F.lit(True).alias("exact"))
-    open_ = left.join(exact, left_id, "left_anti").select(left_id, F.size(parts).alias("n"), F.explode(parts).alias("part"))
-    have = right.select(right_id, F.size(parts).alias("m"), F.explode(parts).alias("part"))
-    near = open_.join(have, "part").groupBy(left_id, right_id).agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("m").alias("m")).where((F.col("k") >= 2) & ((F.col("k") == F.col("n")) | (F.col("k") == F.col("m"))))
-    best = near.groupBy(left_id).agg(F.min_by(right_id, F.struct(-F.col("k"), "m", right_id)).alias(right_id))
+    open_ = left.join(exact, left_id, "left_anti").select(left_id, F.size(parts).alias("_n"), F.explode(parts).alias("_part"))
+    have = right.select(right_id, F.size(parts).alias("_m"), F.explode(parts).alias("_part"))
+    near = open_.join(have, "_part").groupBy(left_id, right_id).agg(F.count("*").alias("_k"), F.first("_n").alias("_n"), F.first("_m").alias("_m")).where("_k >= 2 and (_k = _n or _k = _m)")
+    best = near.groupBy(left_id).agg(F.min_by(right_id, F.struct(-F.col("_k"), "_m", right_id)).alias(right_id))
     return exact.unionByName(best.select(left_id, right_id, F.lit(False).alias("exact")))
 
 
 def contained_names(texts: DataFrame, names: DataFrame, text_id: str, text: str, name_id: str, name: str, least: int = 4) -> DataFrame:
-    """(text_id, name_id): names of so many letters that occur in the lower-cased text. The first word of a name is the equi-join key where names start at a word."""
+    """(text_id, name_id): names of so many letters that occur in the lower-cased text. Texts and names meet by runs of `least` letters of a text and the first letters of a name; only ids go through that join, texts come back for the pairs that met."""
     low = texts.select(text_id, F.lower(text).alias("_text"))
-    known = names.where(F.length(name) >= least).select(name_id, F.lower(name).alias("_name")).dropDuplicates([name_id])
-    grams = low.select(text_id, "_text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - least + 1, F.lit(1))), lambda i: F.substring("_text", i, F.lit(least))))).alias("_gram"))
-    return grams.join(known.withColumn("_gram", F.substring("_name", 1, least)), "_gram").where(F.contains("_text", "_name")).select(text_id, name_id).distinct()
+    known = names.where(F.length(name) >= least).select(name_id, F.lower(name).alias("_name")).dropDuplicates([name_id, "_name"])
+    starts = known.select(F.substring("_name", 1, least).alias("_gram")).distinct()
+    places = F.sequence(F.lit(1), F.greatest(F.length("_text") - least + 1, F.lit(1)))
+    grams = low.select(text_id, F.explode(F.array_distinct(F.transform(places, lambda i: F.substring("_text", i, F.lit(least))))).alias("_gram")).join(starts, "_gram", "left_semi")
+    pairs = grams.join(known.withColumn("_gram", F.substring("_name", 1, least)), "_gram").select(text_id, name_id, "_name")
+    return pairs.join(low, text_id).where(F.contains("_text", "_name")).select(text_id, name_id).distinct()
 
 
 def wide_merge(batches: list[DataFrame], key: str, base: list[str]) -> DataFrame:
-    """One row a key of batches with the same key: base columns of the first batch that has them, all others of the last."""
-    long = None
-    for i, b in enumerate(batches):
-        cols = [c for c in b.columns if c != key]
-        one = b.select(key, F.explode(F.map_from_entries(F.array(*(F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cols)))).alias("k", "v")).where("v is not null").withColumn("i", F.lit(i))
-        long = one if long is None else long.unionByName(one)
+    """One row a key of batches with the same key, unique in each: base columns of the first batch that has a value, all others of the last. Types stay as they are."""
+    renamed = [b.select(key, *(F.col(f"`{c}`").alias(f"_{i}_{c}") for c in b.columns if c != key)) for i, b in enumerate(batches)]
+    wide = reduce(lambda a, b: a.join(b, key, "full_outer"), renamed)
     names = list(dict.fromkeys(c for b in batches for c in b.columns if c != key))
-    kept = long.groupBy(key, "k").agg(F.min_by("v", F.when(F.col("k").isin(*base), F.col("i")).otherwise(-F.col("i"))).alias("v"))
-    return kept.groupBy(key).pivot("k", names).agg(F.first("v"))
+    have = {c: [f"_{i}_{c}" for i, b in enumerate(batches) if c in b.columns] for c in names}
+    return wide.select(key, *(F.coalesce(*(F.col(f"`{x}`") for x in (have[c] if c in base else reversed(have[c])))).alias(c) for c in names))
 
 
 def geocoded(candidates: DataFrame, cache: DataFrame, locality: str, least: float = 75, high: float = 95) -> DataFrame:

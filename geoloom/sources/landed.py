@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 
+#: The characters of windows-1252 where it differs from ISO-8859-1.
+CP1252 = {b: c for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))}
 COORDINATES = "array<array<array<array<double>>>>"
 
 
@@ -34,11 +36,20 @@ def header_names(names) -> list[str]:
     return out
 
 
-def geojson(spark: SparkSession, path: str | list[str], properties: str) -> DataFrame:
-    """Features of collections (or of line-delimited files) with typed properties and `parts`, a multipolygon. properties: their DDL schema."""
+def geojson(spark: SparkSession, path: str | list[str], properties: str, lines: bool = False) -> DataFrame:
+    """Features with typed properties, geometry_type and coordinates (as text). properties: their DDL schema. A file is one collection, whose text a task reads whole and whose features are rows from then on; with lines, each line is a feature, which reads in parallel: large sets belong there. What is not JSON or no collection (feature) raises an error."""
     feature = f"struct<type:string,id:string,geometry:struct<type:string,coordinates:string>,properties:struct<{properties}>>"
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<type:string,features:array<{feature}>>").alias("c"))
-    return raw.where(F.col("c.type") == "FeatureCollection").select(F.posexplode("c.features").alias("feature_index", "f")).select("feature_index", F.col("f.properties.*"), F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
+    raw = spark.read.text(path, wholetext=not lines).where(F.trim("value") != "")
+    if lines:
+        found = raw.select(F.from_json("value", feature).alias("f"), "value").where(_proven(F.col("f.type") == "Feature", "value"))
+        return found.select(F.lit(None).cast("int").alias("feature_index"), F.col("f.properties.*"), F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
+    found = raw.select(F.from_json("value", f"struct<type:string,features:array<{feature}>>").alias("c"), "value").where(_proven(F.col("c.type") == "FeatureCollection", "value"))
+    return found.select(F.posexplode("c.features").alias("feature_index", "f")).select("feature_index", F.col("f.properties.*"), F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
+
+
+def _proven(condition: Column, text: str) -> Column:
+    """True, or an error that shows where the text begins."""
+    return F.coalesce(F.when(condition, True), F.raise_error(F.concat(F.lit("no feature or collection: "), F.substring(text, 1, 80))).cast("boolean"))
 
 
 def polygon_parts(kind: Column, coordinates: Column) -> Column:
@@ -103,9 +114,10 @@ def archive_csv(zips: DataFrame, pattern: str, columns: list[str]) -> DataFrame:
 
 
 def decoded(content: Column) -> Column:
-    """UTF-8 text, or what a western single-byte set reads where that is not valid."""
+    """UTF-8 text, or what windows-1252 reads where that is not valid; its five bytes without a character are control characters."""
     text = content.cast("string")
-    return F.when(F.is_valid_utf8(text), text).otherwise(F.decode(content, "ISO-8859-1"))
+    western = F.translate(F.decode(content, "ISO-8859-1"), "".join(chr(b) for b in CP1252), "".join(CP1252.values()))
+    return F.when(F.is_valid_utf8(text), text).otherwise(western)
 
 
 def jsonp(text: Column, schema: str) -> Column:

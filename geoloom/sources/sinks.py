@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Features of one collection.
+MOST_FEATURES = 200_000
+
+
 def feature(geometry: Column, **properties: Column) -> Column:
     """One feature as JSON text; properties that are null are left out."""
     return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*(c.alias(k) for k, c in properties.items())).alias("properties"), geometry.alias("geometry")))
@@ -22,7 +26,9 @@ def write_feature_lines(df: DataFrame, path: str, feature_column: str, *order: s
 
 
 def feature_collection(df: DataFrame, feature_column: str, *order: str) -> DataFrame:
-    """One row with the text of a collection: for small results; large ones go out as lines."""
+    """One row with the text of a collection, which one task makes: for results that a page can load. More than MOST_FEATURES raise an error: those go out as lines."""
+    if df.limit(MOST_FEATURES + 1).count() > MOST_FEATURES:
+        raise ValueError(f"more than {MOST_FEATURES} features: write them as lines")
     rows = df.agg(F.array_sort(F.collect_list(F.struct(*order, feature_column))).alias("f"))
     return rows.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.transform("f", lambda x: x[feature_column]), ","), F.lit("]}")).alias("value"))
 
@@ -38,8 +44,9 @@ def manifest(df: DataFrame, *aggregates: Column) -> DataFrame:
 
 
 def row_arrays(df: DataFrame, codes: dict[str, str]) -> DataFrame:
-    """Rows as JSON arrays in the order of codes ({column: short code}), and the codes with them."""
-    return df.select(F.to_json(F.array(*(F.col(c).cast("string") for c in codes))).alias("row"), F.lit(list(codes.values())).alias("fields"))
+    """Rows as JSON arrays in the order of codes ({column: short code}), each value in its own JSON type, and the codes with them."""
+    values = F.concat(F.lit("["), F.concat_ws(",", *(F.coalesce(F.regexp_extract(F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}), r'(?s)^\{"v":(.*)\}$', 1), F.lit("null")) for c in codes)), F.lit("]"))
+    return df.select(values.alias("row"), F.lit(list(codes.values())).alias("fields"))
 
 
 def compression_ratio(raw: Column, packed: Column) -> Column:
