@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,21 +89,24 @@ def _rows(polygons: list[list[np.ndarray]]) -> list:
     return [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in p] for p in polygons]
 
 
-def simplified(parts: Column, tolerance: float) -> Column:
-    """Each ring of a multipolygon simplified by itself."""
+ARROW = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
+
 
-    @F.pandas_udf(MULTIPOLYGON)
-    def run(c: pd.Series) -> pd.Series:
-        return c.map(lambda m: None if m is None else _rows([[simplified_ring(_array(r), tolerance) for r in p] for p in m]))
+def _each(parts: Column, work) -> Column:
+    """work on the rings of each multipolygon, by Arrow batches (rings of different lengths are no matrix)."""
+
+    @F.arrow_udf(MULTIPOLYGON)
+    def run(c: pa.Array) -> pa.Array:
+        return pa.array([None if m is None else _rows(work([[_array(r) for r in p] for p in m])) for m in c.to_pylist()], ARROW)
 
     return run(parts)
 
 
-@F.pandas_udf(MULTIPOLYGON)
-def _regrouped(c: pd.Series) -> pd.Series:
-    return c.map(lambda m: None if m is None else _rows(regrouped([_array(r) for p in m for r in p])))
+def simplified(parts: Column, tolerance: float) -> Column:
+    """Each ring of a multipolygon simplified by itself."""
+    return _each(parts, lambda m: [[simplified_ring(r, tolerance) for r in p] for p in m])
 
 
 def repaired(parts: Column) -> Column:
     """A multipolygon whose rings are grouped anew by what lies in what; degenerate rings go."""
-    return _regrouped(parts)
+    return _each(parts, lambda m: regrouped([r for p in m for r in p]))

@@ -220,11 +220,12 @@ def violation_kinds(spark, sf_dir):
 
 
 _NUMBERS = ("", " 7.5 ", "x", "1,234.5 ha", "-9999.0", "NULL", "$1,200.75", None, "NaN", "3e2", "F", "-12")
+_LEADING = r"nullif(regexp_extract(replace(s, ',', ''), '^\s*([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)', 1), '')"
 _DOUBLE = "CASE WHEN isfinite(try_cast({0} AS DOUBLE)) THEN try_cast({0} AS DOUBLE) END"
 
 
 @query(rf"""WITH n AS (SELECT o_orderkey AS k, {cycled_sql("o_orderkey", *_NUMBERS)} AS s FROM orders)
-SELECT k, CASE WHEN trim(s) = '' THEN 0.0 ELSE {_DOUBLE.format("trim(s)")} END AS js, {_DOUBLE.format("nullif(regexp_extract(replace(s, ',', ''), '^\s*([-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?)', 1), '')")} AS lead,
+SELECT k, CASE WHEN trim(s) = '' THEN 0.0 ELSE {_DOUBLE.format("trim(s)")} END AS js, {_DOUBLE.format(_LEADING)} AS lead,
 CASE WHEN trim(s) NOT IN ('', 'NULL', '-9999', '-9999.0', '-9999.00') THEN {_DOUBLE.format("trim(s)")} END AS sentinel, CAST(trunc({_DOUBLE.format("regexp_replace(trim(s), '[$,]', '', 'g')")}) AS BIGINT) AS money,
 CASE WHEN trim(s) NOT IN ('', 'x', 'F') THEN round_even({_DOUBLE.format("replace(trim(s), ',', '')")}, 2) END AS census FROM n""")
 def parsed_numbers(spark, sf_dir):

@@ -77,10 +77,11 @@ def plane_coordinates(spark, sf_dir):
     """Metres of a local plane, and of zone 10 north and back."""
     k = F.col("s_suppkey")
     pts = table(spark, sf_dir, "supplier").select(k.alias("k"), lon(k).alias("x"), lat(k).alias("y")).where("x between -126 and -120")
-    e, n = geo.projected_or_degrees(F.col("x"), F.col("y"))
-    east, north = geo.projected_or_degrees(e, n)  # metres stay metres
-    back = geo.utm10_inverse(east, north)
     lx, ly = geo.local_xy(F.col("x"), F.col("y"), 53.9, -122.75)
+    east, north = geo.utm10(F.col("x"), F.col("y"))
+    pts = pts.select("k", lx.alias("lx"), ly.alias("ly"), east.alias("e"), north.alias("n"))
+    back = geo.utm10_inverse(F.when(geo.looks_projected(F.col("e"), F.col("n")), F.col("e")), F.col("n"))  # metres are told by their size
+    lx, ly = F.col("lx"), F.col("ly")
     return pts.select("k", F.round(back[0], 6).alias("x"), F.round(back[1], 6).alias("y"), F.round(lx, 3).alias("lx"), F.round(ly, 3).alias("ly"))
 
 

@@ -1 +1,297 @@
-"""."""
+"""Queries of the sources and sinks: tables are written in a form that services and archives give, read back by the source, and must be the tables they were."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import graph, relational
+from ..sources import landed, sinks
+from ..sources.scratch import scratch_path
+from .base import query, table, values
+from .function_queries import cycled, cycled_sql
+
+
+@query(r"""SELECT doc_id, replace(source || ', "' || lang || '"', 'x', '') AS label, coalesce(n_chars::VARCHAR, '') AS size FROM documents""")
+def csv_round_trip(spark, sf_dir):
+    """Text with commas and quotes, written and read by line."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.replace(F.concat("source", F.lit(', "'), "lang", F.lit('"')), F.lit("x"), F.lit("")).alias("label"), F.col("n_chars").cast("string").alias("size"))
+    sinks.write_csv(d, path := scratch_path(spark, "csv"))
+    return landed.csv_rows(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"), "label", F.coalesce("size", F.lit("")).alias("size"))
+
+
+@query("""SELECT turn, conv_id, role, text FROM conversations""")
+def gzip_csv_round_trip(spark, sf_dir):
+    """Compressed documents with line breaks in quotes."""
+    c = table(spark, sf_dir, "conversations").select(F.col("turn").cast("string").alias("turn"), F.col("conv_id").cast("string").alias("conv_id"), "role", F.concat("text", F.lit("\nend")).alias("text"))
+    sinks.write_csv(c, path := scratch_path(spark, "csvgz"), "gzip")
+    back = landed.csv_rows(spark, path, multiline=True)
+    return back.select(F.col("turn").cast("long").alias("turn"), F.col("conv_id").cast("long").alias("conv_id"), "role", F.regexp_replace("text", "\nend$", "").alias("text"))
+
+
+@query("""SELECT year(o_orderdate) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
+def exports_of_years(spark, sf_dir):
+    """One folder a year, the year from its name."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    o.write.partitionBy("year").csv(path := scratch_path(spark, "years"), header=True)
+    back = landed.csv_of_years(spark, path, "o_orderkey bigint, o_totalprice double, year int")
+    return back.groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("""SELECT s_suppkey AS k, s_name AS name, s_suppkey % 9 + 0.5 AS x FROM supplier""")
+def feature_lines(spark, sf_dir):
+    """Features by line, written in order and read back."""
+    k = F.col("s_suppkey")
+    f = table(spark, sf_dir, "supplier").select(k.alias("k"), sinks.feature(sinks.point(k % 9 + F.lit(0.5), F.lit(1.0)), k=k, name=F.col("s_name")).alias("f"))
+    sinks.write_feature_lines(f, path := scratch_path(spark, "features"), "f", "k")
+    back = landed.geojson(spark, path, "k bigint, name string", lines=True)
+    return back.select("k", "name", F.from_json("coordinates", "array<double>")[0].alias("x"))
+
+
+@query("""SELECT n_nationkey AS k, n_name AS name, 'Polygon' AS kind, 4 AS points FROM nation""")
+def feature_collections(spark, sf_dir):
+    """A collection as one document, its polygons read back."""
+    k = F.col("n_nationkey")
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*(F.array(k + F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0))))).alias("coordinates"))
+    f = table(spark, sf_dir, "nation").select(k.alias("k"), sinks.feature(shape, k=k, name=F.col("n_name")).alias("f"))
+    sinks.feature_collection(f, "f", "k").write.text(path := scratch_path(spark, "collection"))
+    back = landed.geojson(spark, path, "k int, name string")
+    parts = landed.polygon_parts(F.col("geometry_type"), F.col("coordinates"))
+    return back.where(F.trim(F.coalesce("name", F.lit(""))) != "").select("k", "name", F.col("geometry_type").alias("kind"), F.size(parts[0][0]).alias("points"))
+
+
+@query("""SELECT c_custkey, c_name, c_acctbal AS x FROM customer""")
+def paged_services(spark, sf_dir):
+    """Pages of features, united; their number must be the one that the service counts."""
+    c = table(spark, sf_dir, "customer")
+    batches = landed.id_batches(c, "c_custkey", 50)
+    attributes = F.struct("c_custkey", "c_name")
+    features = c.select(F.floor(F.col("c_custkey") / 50).alias("batch"), F.struct(attributes.alias("attributes"), F.struct(F.col("c_acctbal").alias("x"), F.lit(0.0).alias("y")).alias("geometry")).alias("f"))
+    pages = features.groupBy("batch").agg(F.collect_list("f").alias("features")).join(batches.select("batch"), "batch")
+    pages.select(F.to_json(F.struct("features")).alias("value")).write.text(path := scratch_path(spark, "pages"))
+    # A line is a page here, as a file is where pages are landed one by one.
+    lines = spark.read.text(path)
+    feature = "struct<attributes:struct<c_custkey:bigint,c_name:string>,geometry:struct<x:double,y:double>>"
+    rows = lines.select(F.explode(F.from_json("value", f"struct<features:array<{feature}>>")["features"]).alias("f")).select("f.attributes.*", F.col("f.geometry.x").alias("x"))
+    return landed.checked_count(rows, c.count())
+
+
+@query("""SELECT n_nationkey AS code, n_name AS name FROM nation""")
+def page_files(spark, sf_dir):
+    """A landed page as a file of its own; an error payload would fail."""
+    n = table(spark, sf_dir, "nation").select(F.struct(F.struct(F.col("n_nationkey").alias("code"), F.col("n_name").alias("name")).alias("attributes")).alias("f"))
+    n.agg(F.collect_list("f").alias("features")).select(F.to_json(F.struct("features")).alias("value")).write.text(path := scratch_path(spark, "page"))  # one page
+    return landed.arcgis_pages(spark, path, "code int, name string", geometry=False)
+
+
+@query("""SELECT r_regionkey AS k, 'metres' AS unit, r_regionkey * 10.0 AS x FROM region""")
+def esri_arrays(spark, sf_dir):
+    """Arrays of attributes and projected geometries."""
+    r = table(spark, sf_dir, "region")
+    f = r.select(F.struct(F.struct(F.col("r_regionkey").alias("k"), F.lit("metres").alias("unit")).alias("attributes"), F.struct((F.col("r_regionkey") * 10.0).alias("x"), F.lit(5.0).alias("y")).alias("geometry")).alias("f"))
+    f.agg(F.collect_list("f").alias("a")).select(F.to_json("a").alias("value")).write.text(path := scratch_path(spark, "esri"))  # one file
+    return landed.esri_features(spark, path, "k int, unit string").select("k", "unit", "x")
+
+
+@query("""SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal <= 0""")
+def server_filters(spark, sf_dir):
+    """The conditions of a request, on landed rows."""
+    conditions = {"SEGMENT": "BUILDING", "CREDIT": None}
+    assert landed.wfs_request("layer", (1, 2, 3, 4), conditions, 20000)["CQL_FILTER"] == "BBOX(GEOMETRY,1,2,3,4) AND SEGMENT='BUILDING' AND CREDIT IS NULL"
+    columns = {"SEGMENT": F.col("c_mktsegment"), "CREDIT": F.when(F.col("c_acctbal") > 0, F.col("c_acctbal"))}
+    return table(spark, sf_dir, "customer").where(landed.wfs_matches(columns, conditions)).select(F.col("c_custkey").alias("k"))
+
+
+@query("""SELECT event_id AS id, value AS cloud, 'landsat-' || (8 + event_id % 2) AS platform FROM events WHERE value < 40 AND event_id % 4 < 2""")
+def scene_records(spark, sf_dir):
+    """Scenes of a catalogue's answers, filtered by nested fields."""
+    e = F.col("event_id")
+    platform = F.concat(F.lit("landsat-"), F.when(e % 4 < 2, F.lit(8) + e % 2).otherwise(7).cast("string"))
+    raw = table(spark, sf_dir, "events").select(F.to_json(F.struct(e.alias("id"), F.struct(F.col("value").alias("cloud"), platform.alias("platform")).alias("properties"))).alias("t"))
+    s = raw.select(F.from_json("t", "id bigint, properties struct<cloud:double, platform:string>").alias("s"))
+    return s.where("s.properties.cloud < 40 and s.properties.platform in ('landsat-8', 'landsat-9')").select("s.id", "s.properties.cloud", "s.properties.platform")
+
+
+@query("""SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS name FROM supplier""")
+def map_elements(spark, sf_dir):
+    """Elements with maps of tags."""
+    k = F.col("s_suppkey")
+    tags = F.when(k % 2 == 0, F.create_map(F.lit("name"), F.col("s_name"))).otherwise(F.create_map(F.lit("shop"), F.lit("x")))
+    one = table(spark, sf_dir, "supplier").select(F.to_json(F.struct(F.array(F.struct(F.lit("node").alias("type"), k.alias("id"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), tags.alias("tags"))).alias("elements"))).alias("t"))
+    return one.select(F.explode(landed.overpass_elements(F.col("t"))).alias("e")).select("e.id", F.try_element_at("e.tags", F.lit("name")).alias("name"))
+
+
+def _zipped(df, by: str, member: str, names: dict[str, str]):
+    """(path, length, content): a ZIP file with a CSV member for each value of `by`; groups are as small as such files are."""
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt", "x")
+            z.writestr(member, "﻿" + frame[list(names)].rename(columns=names).to_csv(index=False))
+        return pd.DataFrame([(f"/z/{frame[by].iloc[0]}.zip", len(out.getvalue()), out.getvalue())], columns=["path", "length", "content"])
+
+    return df.groupBy(by).applyInPandas(pack, "path string, length long, content binary")
+
+
+@query("""SELECT '/z/' || c_nationkey || '.zip' AS path, c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer""")
+def zipped_csv(spark, sf_dir):
+    """CSV members of archives, streamed from each."""
+    zips = _zipped(table(spark, sf_dir, "customer"), "c_nationkey", "stops.txt", {"c_custkey": "k", "c_name": "name", "c_mktsegment": "segment"})
+    return landed.archive_csv(zips, r"^stops\.txt$", ["k", "name", "segment"]).select("path", F.col("k").cast("long").alias("k"), "name", "segment")
+
+
+@query("""SELECT '/z/' || n_regionkey || '.zip' AS path, m AS member FROM (SELECT DISTINCT n_regionkey FROM nation), (VALUES ('readme.txt'), ('nations.csv')) v(m) UNION ALL SELECT '/z/bad.zip', NULL""")
+def archive_listing(spark, sf_dir):
+    """Members of archives; one that cannot be read is a row."""
+    zips = _zipped(table(spark, sf_dir, "nation"), "n_regionkey", "nations.csv", {"n_name": "name"})
+    bad = values(spark, [("/z/bad.zip", 2, b"no")], "path string, length long, content binary")
+    return landed.archive_members(zips.unionByName(bad)).select("path", "member")
+
+
+def workbook(frame: pd.DataFrame) -> bytes:
+    """A small workbook with shared and plain values, as a source for workbook_rows."""
+    names, shared = list(frame.columns), []
+    space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+    def cell(row: int, col: int, v) -> str:
+        at = f"{chr(65 + col)}{row}"
+        if isinstance(v, str):
+            shared.append(v.replace("&", "&amp;").replace("<", "&lt;"))
+            return f'<c r="{at}" t="s"><v>{len(shared) - 1}</v></c>'
+        return f'<c r="{at}"><v>{v}</v></c>'
+
+    rows = [names, *frame.itertuples(index=False)]
+    body = "".join(f'<row r="{i}">{"".join(cell(i, j, v) for j, v in enumerate(r))}</row>' for i, r in enumerate(rows, 1))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {space}><sheetData>{body}</sheetData></worksheet>")
+        z.writestr("xl/worksheets/sheet2.xml", f"<worksheet {space}><sheetData/></worksheet>")
+        z.writestr("xl/sharedStrings.xml", f"<sst {space}>{''.join(f'<si><t>{s}</t></si>' for s in shared)}</sst>")
+    return out.getvalue()
+
+
+@query("""SELECT p_partkey AS k, p_name AS "name", p_size AS size, NULL::VARCHAR AS absent FROM part""")
+def workbook_tables(spark, sf_dir):
+    """Rows of workbooks by the names in their first row."""
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(frame["p_brand"].iloc[0], workbook(frame[["p_size", "p_partkey", "p_name"]]))], columns=["path", "content"])
+
+    files = table(spark, sf_dir, "part").groupBy("p_brand").applyInPandas(pack, "path string, content binary")
+    rows = landed.workbook_rows(files, ["p_partkey", "p_name", "p_size", "absent"])
+    return rows.select(F.col("p_partkey").cast("long").alias("k"), F.col("p_name").alias("name"), F.col("p_size").cast("int").alias("size"), "absent")
+
+
+@query("""SELECT c_custkey AS k, c_name AS facility_name, c_mktsegment AS hazard_rating FROM customer""")
+def html_key_values(spark, sf_dir):
+    """Labelled values of a page's table."""
+    c = F.col
+    html = F.concat(F.lit("<table class='x'><tr><th colspan=2>Details</th></tr><tr><td>Facility  Name:</td><td> <b>"), c("c_name"), F.lit("</b></td></tr><tr><td>Hazard-Rating</td><td>"), c("c_mktsegment"), F.lit("</td></tr><tr><td>Hazard rating</td><td>later</td></tr></table>"))
+    rows = landed.html_tables(table(spark, sf_dir, "customer").select(c("c_custkey").alias("k"), html.alias("html")), "html")
+    pairs = rows.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_index", "cells"))), lambda r: r["cells"]).alias("cells"))  # the rows of one page
+    m = landed.key_values(c("cells"))
+    return pairs.select("k", m["facility_name"].alias("facility_name"), m["hazard_rating"].alias("hazard_rating"))
+
+
+@query("""SELECT o_orderkey, o_custkey AS a, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS b FROM orders""")
+def callbacks(spark, sf_dir):
+    """The argument of a callback, or plain JSON."""
+    k = F.col("o_orderkey")
+    inner = F.to_json(F.struct(F.col("o_custkey").alias("a"), F.when(k % 2 == 0, F.col("o_orderstatus")).alias("b")))
+    raw = F.when(k % 3 == 0, F.concat(F.lit("cb$.x( "), inner, F.lit(" );"))).when(k % 3 == 1, F.concat(F.lit(" call("), inner, F.lit(")"))).otherwise(inner)
+    p = landed.jsonp(raw, "a bigint, b string")
+    return table(spark, sf_dir, "orders").select("o_orderkey", p["a"].alias("a"), p["b"].alias("b"))
+
+
+@query("""WITH c AS (SELECT 'a' || i || '.pdf' AS url, 'numbered' AS m FROM range(1, 13) t(i) UNION SELECT 'a' || lpad(i::VARCHAR, 2, '0') || '.pdf', 'numbered' FROM range(1, 13) t(i) UNION SELECT 'a' || n_nationkey || '.pdf', 'index' FROM nation)
+SELECT url, array_to_string(list_sort(list(m)), '+') AS methods FROM c GROUP BY url""")
+def discovered_urls(spark, sf_dir):
+    """Addresses found in several ways, each with the ways that found it."""
+    numbered = landed.candidate_urls(spark, "a", ".pdf", 12).select("url", F.array(F.lit("numbered")).alias("methods"), F.lit(None).cast("string").alias("hint"), F.lit(0).alias("i"))
+    index = table(spark, sf_dir, "nation").select(F.concat(F.lit("a"), F.col("n_nationkey").cast("string"), F.lit(".pdf")).alias("url"), F.array(F.lit("index")).alias("methods"), F.col("n_name").alias("hint"), F.lit(1).alias("i"))
+    return relational.merge_discoveries(numbered.unionByName(index), "url", "methods", "hint", "i").select("url", F.array_join("methods", "+").alias("methods"))
+
+
+@query("""SELECT page_id, page_id % 4 = 0 AS ok, CASE page_id % 4 WHEN 0 THEN 200 WHEN 1 THEN 404 END AS status, CASE WHEN page_id % 4 = 0 THEN page_id * 10 END AS content_length, CASE WHEN page_id % 4 > 1 THEN 'timeout' END AS error FROM pages""")
+def probes(spark, sf_dir):
+    """Outcomes of probes as rows."""
+    k = F.col("page_id")
+    status = F.when(k % 4 == 0, 200).when(k % 4 == 1, 404)
+    length = F.when(k % 4 == 0, (k * 10).cast("string")).when(k % 4 == 1, "n/a")
+    o = landed.probe_outcome(status, length, F.when(k % 4 > 1, "timeout"))
+    return table(spark, sf_dir, "pages").select("page_id", *(o[f].alias(f) for f in ("ok", "status", "content_length", "error")))
+
+
+@query(f"""SELECT c_custkey, {cycled_sql("c_custkey", "café €", "plain", "naïve “x”")} AS t FROM customer""")
+def charset_fallback(spark, sf_dir):
+    """UTF-8, or what windows-1252 reads."""
+    k = F.col("c_custkey")
+    utf8 = cycled(k, "café €", "plain", "naïve “x”").cast("binary")
+    western = F.element_at(F.array(*(F.lit(x.encode("cp1252")) for x in ("café €", "plain", "naïve “x”"))), (k % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select("c_custkey", landed.decoded(F.when(k % 2 == 0, utf8).otherwise(western)).alias("t"))
+
+
+@query("""SELECT i AS "offset", least(30, (SELECT count(*) FROM customer) - i) AS size, least(30, (SELECT count(*) FROM customer) - i) < 30 AS last FROM range(0, (SELECT count(*) FROM customer), 30) t(i)""")
+def page_loop(spark, sf_dir):
+    """The pages of a loop that stops at a short one."""
+    return landed.paged_offsets(spark, table(spark, sf_dir, "customer").count(), 30).withColumn("last", F.col("size") < 30)
+
+
+@query("""SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def dimension_join(spark, sf_dir):
+    """Names of a static dimension by id."""
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "n_name", "r_name")
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'root' AS parent, p_brand AS child FROM part UNION SELECT DISTINCT p_brand, p_brand || '/' || p_size FROM part UNION SELECT p_brand || '/' || p_size, p_partkey::VARCHAR FROM part), t AS (SELECT 'root' AS id, 0 AS depth UNION ALL SELECT child, depth + 1 FROM t JOIN e ON parent = id) SELECT depth, count(*) AS n FROM t GROUP BY depth""")
+def vector_tree(spark, sf_dir):
+    """A listing of nested groups as rows."""
+    p = table(spark, sf_dir, "part")
+    size = F.concat_ws("/", "p_brand", F.col("p_size").cast("string"))
+    e = p.select(F.lit("root").alias("parent"), F.col("p_brand").alias("child")).unionByName(p.select(F.col("p_brand").alias("parent"), size.alias("child"))).distinct().unionByName(p.select(size.alias("parent"), F.col("p_partkey").cast("string").alias("child")))
+    return graph.flatten_tree(e, values(spark, [("root",)], "id string")).groupBy("depth").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'archive' ELSE 'live' END AS downloaded_from, CASE WHEN page_id % 3 = 0 THEN length(url) ELSE length(html) END AS size, left(sha1(url), 12) AS short FROM pages""")
+def archived_fallback(spark, sf_dir):
+    """What is live, else what is archived, and where it is from."""
+    k = F.col("page_id")
+    live = F.when(k % 3 != 0, F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.when(live.isNotNull(), "live").otherwise("archive").alias("downloaded_from"), F.length(F.coalesce(live, F.col("url"))).alias("size"), text.short_hash(F.col("url")).alias("short"))
+
+
+@query("""SELECT o_orderpriority AS p, '{"rows":' || count(*) || ',"first":"' || strftime(min(o_orderdate), '%Y-%m-%d') || '","last":"' || strftime(max(o_orderdate), '%Y-%m-%d') || '"}' AS value FROM orders GROUP BY 1""")
+def manifests(spark, sf_dir):
+    """Counts and ranges of each part as JSON text."""
+    d = F.date_format
+    rows = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("p")).agg(F.count("*").alias("rows"), d(F.min("o_orderdate"), "yyyy-MM-dd").alias("first"), d(F.max("o_orderdate"), "yyyy-MM-dd").alias("last"))
+    return rows.select("p", F.to_json(F.struct("rows", "first", "last")).alias("value"))
+
+
+@query("""SELECT '[' || n_nationkey || ',"' || n_name || '",' || CASE WHEN n_regionkey > 0 THEN n_regionkey::VARCHAR ELSE 'null' END || ']' AS "row", 'k,n,r' AS fields FROM nation""")
+def compact_rows(spark, sf_dir):
+    """Rows as arrays of JSON values under short codes."""
+    n = table(spark, sf_dir, "nation").withColumn("region", F.when(F.col("n_regionkey") > 0, F.col("n_regionkey")))
+    return sinks.row_arrays(n, {"n_nationkey": "k", "n_name": "n", "region": "r"}).select("row", F.array_join("fields", ",").alias("fields"))
+
+
+@query("""SELECT source, round(sum(n_chars) FILTER (lang = 'en') / nullif(sum(n_chars), 0)::DOUBLE, 4) AS ratio FROM documents GROUP BY source""")
+def packed_ratios(spark, sf_dir):
+    """Packed sizes as a share of raw ones, four decimals."""
+    d = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum(F.when(F.col("lang") == "en", F.col("n_chars"))).alias("packed"), F.sum("n_chars").alias("raw"))
+    return d.select("source", sinks.compression_ratio(F.col("raw"), F.col("packed")).alias("ratio"))
+
+
+@query("""SELECT 'c_acctbal' AS "column" UNION ALL SELECT 'c_custkey' UNION ALL SELECT 'c_nationkey'""")
+def number_columns(spark, sf_dir):
+    """Columns that hold numbers."""
+    from ..functions import parse
+
+    c = table(spark, sf_dir, "customer")
+    return values(spark, [(n,) for n in parse.numeric_columns(c)], "column string")

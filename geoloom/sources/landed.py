@@ -156,3 +156,106 @@ def checked_count(df: DataFrame, expected: int) -> DataFrame:
     """df, or an error where it has another number of rows."""
     got = df.agg(F.count("*").alias("n")).select(F.assert_true(F.col("n") == expected, F.concat(F.lit(f"expected {expected} rows, got "), F.col("n").cast("string"))).alias("ok"))
     return df.crossJoin(F.broadcast(got)).drop("ok")  # one row
+
+
+def csv_of_years(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Exports landed as one folder a year (year=2020 and so on) under one schema, with the year as a column."""
+    return spark.read.csv(path, header=True, schema=schema, quote='"', escape='"')
+
+
+def arcgis_pages(spark: SparkSession, path: str | list[str], attributes: str, geometry: bool = True) -> DataFrame:
+    """The features of all landed pages ({features: [{attributes, geometry}]}), one file a page: their typed attributes and, if wanted, geometry. An {error} payload raises an error."""
+    feature = f"struct<attributes:struct<{attributes}>" + (",geometry:struct<x:double,y:double,rings:array<array<array<double>>>>" if geometry else "") + ">"
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<error:string,features:array<{feature}>>").alias("p"))
+    ok = F.when(F.col("p.error").isNotNull(), F.raise_error(F.concat(F.lit("service error: "), F.col("p.error"))).cast("boolean")).otherwise(True)
+    rows = raw.where(ok).select(F.explode("p.features").alias("f"))
+    return rows.select("f.attributes.*", *(["f.geometry"] if geometry else []))
+
+
+def overpass_elements(text: Column) -> Column:
+    """Elements of a map query's answer, with their tags as a map."""
+    return F.from_json(text, "elements array<struct<type:string,id:bigint,lat:double,lon:double,tags:map<string,string>>>")["elements"]
+
+
+def wfs_request(layer: str, box: tuple[float, float, float, float], conditions: dict[str, str | None], most: int) -> dict[str, str]:
+    """Parameters of one request: the box and the conditions (null: the field is) as one filter of the server."""
+    parts = [f"BBOX(GEOMETRY,{','.join(map(str, box))})", *(f"{k} IS NULL" if v is None else f"{k}='{v}'" for k, v in conditions.items())]
+    return {"service": "WFS", "request": "GetFeature", "typeNames": layer, "outputFormat": "application/json", "maxFeatures": str(most), "CQL_FILTER": " AND ".join(parts)}
+
+
+def wfs_matches(columns: dict[str, Column], conditions: dict[str, str | None]) -> Column:
+    """The same conditions on landed rows."""
+    from functools import reduce
+
+    return reduce(lambda a, b: a & b, (columns[k].isNull() if v is None else columns[k] == v for k, v in conditions.items()), F.lit(True))
+
+
+def key_values(cells: Column) -> Column:
+    """A map of snake-case labels to texts, of the rows of a two-column table (an array of arrays of cells); rows without both are left out and the first of equal labels stands."""
+    clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"\s+", " "))
+    label = lambda r: F.regexp_replace(F.regexp_replace(F.lower(clean(r[0])), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    entries = F.transform(F.filter(cells, lambda r: F.size(r) >= 2), lambda r: F.struct(label(r).alias("key"), clean(r[1]).alias("value")))
+    named = F.filter(entries, lambda e: e["key"] != "")
+    firsts = F.filter(named, lambda e, i: ~F.exists(F.slice(named, 1, i), lambda o: o["key"] == e["key"]))
+    return F.map_from_entries(firsts)
+
+
+def workbook_rows(files: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of the first sheet of workbooks (path, content), by the names in its first row: (path, row, columns... as text); a column that a sheet lacks is null. A workbook is a ZIP file of XML; sheets are read as streams."""
+    import re
+    import xml.etree.ElementTree as ET
+
+    space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+    def text_of(node) -> str:
+        return "".join(t.text or "" for t in node.iter(f"{space}t"))
+
+    def column_of(reference: str) -> int:
+        n = 0
+        for c in re.match("[A-Z]+", reference)[0]:
+            n = 26 * n + ord(c) - 64
+        return n - 1
+
+    def cells(content: bytes):
+        z = zipfile.ZipFile(io.BytesIO(content))
+        shared = []
+        if "xl/sharedStrings.xml" in z.namelist():
+            with z.open("xl/sharedStrings.xml") as f:
+                shared = [text_of(e) for _, e in ET.iterparse(f) if e.tag == f"{space}si"]
+        first = min((n for n in z.namelist() if re.fullmatch(r"xl/worksheets/sheet[0-9]+\.xml", n)), key=lambda n: int(re.search("[0-9]+", n)[0]))
+        with z.open(first) as f:
+            for _, row in ET.iterparse(f):
+                if row.tag == f"{space}row":
+                    out = {}
+                    for i, c in enumerate(row.iter(f"{space}c")):
+                        value = c.find(f"{space}v")
+                        kind = c.get("t")
+                        text = text_of(c) if kind == "inlineStr" else None if value is None else shared[int(value.text)] if kind == "s" else value.text
+                        out[column_of(c.get("r")) if c.get("r") else i] = text
+                    yield out
+                    row.clear()
+
+    def rows(frames):
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                at, out, n = None, [], 0
+                for row in cells(content):
+                    if at is None:
+                        names = {(v or "").strip(): k for k, v in row.items()}
+                        at = [names.get(c) for c in columns]
+                        continue
+                    out.append((path, n, *(row.get(k) for k in at)))
+                    n += 1
+                    if len(out) == 10_000:
+                        yield pd.DataFrame(out, columns=["path", "row", *columns])
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=["path", "row", *columns])
+
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("row", T.LongType()), *(T.StructField(c, T.StringType()) for c in columns)])
+    return files.select("path", "content").mapInPandas(rows, schema)
+
+
+def probe_outcome(status: Column, length: Column, error: Column) -> Column:
+    """struct(ok, status, content_length, error) of a probe of an address: a failure is a value, not an exception."""
+    return F.struct((error.isNull() & status.between(200, 299)).alias("ok"), status.alias("status"), length.try_cast("long").alias("content_length"), error.alias("error"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from geoloom.operators import aggregates, graph, relational, spatial
@@ -25,8 +26,8 @@ def test_part_sets_and_scores(spark):
 
 def test_wide_merge_geocode_and_bridge(spark):
     a = spark.createDataFrame([("1", "x", "5")], "id string, name string, v1 string")
-    b = spark.createDataFrame([("1", "y", "6", "7"), ("2", "w", None, "8")], "id string, name string, v1 string, v2 string")
-    assert sorted(map(tuple, relational.wide_merge([a, b], "id", ["name"]).select("id", "name", "v1", "v2").collect())) == [("1", "x", "6", "7"), ("2", "w", None, "8")]
+    b = spark.createDataFrame([("1", "y", "6", 7), ("2", "w", None, 8)], "id string, name string, v1 string, v2 int")
+    assert sorted(map(tuple, relational.wide_merge([a, b], "id", ["name"]).select("id", "name", "v1", "v2").collect())) == [("1", "x", "6", 7), ("2", "w", None, 8)]
     cache = spark.createDataFrame([("q1", "matched", 74.0, "Town", 1.0, 2.0), ("q2", "matched", 96.0, "town", 3.0, 4.0)], "query string, status string, score double, locality string, lon double, lat double")
     asked = spark.createDataFrame([("i", 0, "q1"), ("i", 1, "q2")], "id string, rank int, query string")
     assert tuple(relational.geocoded(asked, cache, "Town").first()) == ("i", "q2", 96.0, 3.0, 4.0, "high")
@@ -118,3 +119,64 @@ def test_incremental_upsert(spark, tmp_path):
         stream = spark.readStream.schema("k string, i int, v int").parquet(str(tmp_path / "in"))
         incremental.upsert_batches(stream, str(tmp_path / "t"), ["k"], "i", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(60)
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t" / "1")).collect())) == [("a", 2, 5), ("b", 1, 7)]
+
+
+def test_trees_are_followed_to_their_end_and_circles_raise(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "parent int, child int")
+    got = graph.flatten_tree(chain, spark.createDataFrame([(0,)], "id int"))
+    assert got.count() == 41 and got.agg(F.max("depth")).first()[0] == 40
+    with pytest.raises(Exception, match="circle"):
+        graph.flatten_tree(spark.createDataFrame([(0, 1), (1, 0)], "parent int, child int"), spark.createDataFrame([(0,)], "id int")).count()
+
+
+def test_holes_behind_long_ways(spark):
+    """A spiral that is open to the outside encloses nothing; closed, all of its inside."""
+    n = 13
+    wall, (r, c), turn, steps = set(), (1, 1), 0, [n - 3]
+    while steps[-1] > 1:
+        steps += [steps[-1] if len(steps) % 2 == 0 or len(steps) == 1 else steps[-1] - 2]
+    for k in steps:
+        for _ in range(k):
+            wall.add((r, c))
+            r, c = r + (0, 1, 0, -1)[turn % 4], c + (1, 0, -1, 0)[turn % 4]
+        turn += 1
+    outside, grow = set(), [(0, 0)]
+    while grow:
+        p = grow.pop()
+        if p in outside or p in wall or not (0 <= p[0] < n and 0 <= p[1] < n):
+            continue
+        outside.add(p)
+        grow += [(p[0] + i, p[1] + j) for i, j in ((0, 1), (1, 0), (0, -1), (-1, 0))]
+    got = {tuple(x) for x in graph.fill_holes(spark.createDataFrame(sorted(wall), "row int, col int"), n, n).collect()}
+    assert got == {(i, j) for i in range(n) for j in range(n)} - outside
+
+
+def test_levels_are_told_from_null_keys(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", None, 2.0), (None, None, 4.0)], "n string, b string, v double").withColumn("area", F.lit(2.0))
+    got = aggregates.hierarchy(df, ["n", "b"], ["v", "area"], "area", "v").select("level", "n", "b", "v", "rows_n").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "a", None, 3.0, 2), (1, None, None, 4.0, 1), (2, "a", "x", 1.0, 1), (2, "a", None, 2.0, 1), (2, None, None, 4.0, 1)], key=str)
+
+
+def test_duplicates_are_rows(spark):
+    df = spark.createDataFrame([(1, "k", ["a"]), (2, "k", ["b", "a"]), (3, "m", ["c"])], "i int, key string, ways array<string>")
+    first, others = relational.dedupe_listing_duplicates(df, F.col("key"), "i", F.lit(0), "ways")
+    assert sorted((r["i"], r["ways"]) for r in first.collect()) == [(1, ["a", "b"]), (3, ["c"])]
+    assert [tuple(r) for r in others.collect()] == [(1, 2)]
+
+
+def test_percentiles_are_those_of_all_values(spark):
+    random.seed(4)
+    values = [random.choice([1.0, 2.5, 2.5, 7.0, 11.0]) for _ in range(31)]
+    got = aggregates.distribution(spark.createDataFrame([(v,) for v in [*values, None]], "v double"), "v").first()
+    assert got["n"] == 31 and np.allclose((got["mean"], got["median"], got["p90"]), (np.mean(values), np.quantile(values, 0.5), np.quantile(values, 0.9)))
+
+
+def test_lines_of_features_and_files_that_are_none(spark, tmp_path):
+    (tmp_path / "l.json").write_text("\n".join('{"type":"Feature","properties":{"n":"%d"},"geometry":{"type":"Point","coordinates":[1,2]}}' % i for i in range(3)) + "\n")
+    assert sorted(r["n"] for r in landed.geojson(spark, str(tmp_path / "l.json"), "n string", lines=True).collect()) == ["0", "1", "2"]
+    (tmp_path / "x.json").write_text("<html>busy</html>")
+    with pytest.raises(Exception, match="no feature or collection"):
+        landed.geojson(spark, str(tmp_path / "x.json"), "n string").collect()
+    assert spark.range(1).select(landed.decoded(F.lit(b"\x80 caf\xe9"))).first()[0] == "€ café"
+    df = spark.createDataFrame([(1, "a", 2.5, None)], "i int, s string, d double, n int")
+    assert sinks.row_arrays(df, {"i": "i", "s": "s", "d": "d", "n": "n"}).first()["row"] == '[1,"a",2.5,null]'
