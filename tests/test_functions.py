@@ -53,7 +53,7 @@ def test_text(spark):
     assert one(spark, text.prefix_family(F.col("c")), c="ale_can") == "built-environment"
     assert one(spark, text.dataset_label(F.col("c")), c="grlan_lsat") == "Land greenness lsat"
     assert one(spark, text.keyword_class(F.col("c"), text.PARCEL_CLASSES), c="2 STY house") == "residential"
-    assert one(spark, text.business_class(F.lit("x"), F.lit("y"), F.col("c")), c="Banks and other Financial")["category"] == "retail_service_candidate"
+    assert one(spark, text.business_class(F.lit("x"), F.lit("y"), F.col("c")), c="Commercial Service")["category"] == "retail_service_candidate"
     assert one(spark, text.html_text(F.col("c")), c="a&#233;&#8211;&mdash;&lt;&#x;&#65601;") == "aé--&lt;&#x;A"
     assert one(spark, text.section(F.col("c"), "Observation", ("Corrective Action",)), c="Observation: dirty\nCorrective Action: clean") == "dirty"
     assert one(spark, text.byte_size(F.col("c")), c=1536.0) == "1.5 KB"
