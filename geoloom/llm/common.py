@@ -25,9 +25,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    root = f"file://{tempfile.gettempdir()}/checkpoints"
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return f"file://{tempfile.gettempdir()}/checkpoints"
 
 
 class Stage:

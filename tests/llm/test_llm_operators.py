@@ -255,6 +255,50 @@ def test_words_that_disclose_are_removed(spark):
     assert sorted((r["doc_id"], r["sanitised_text"]) for r in few) == sorted((r["doc_id"], r["sanitised_text"]) for r in got)
 
 
+def test_disclosure_is_brute_force(spark):
+    rng = random.Random(22)
+    common = [f"w{c}" for c in "abcdefgh"]
+    people = ["ann@a.org", "bob@b.org", "10.1.2.3"]
+    texts = []
+    for i in range(120):
+        words = [rng.choice(common) for _ in range(rng.randint(5, 90))]
+        if rng.random() < 0.5:
+            k = rng.randrange(3)
+            at = rng.randrange(len(words))
+            words[at:at] = [["anna", "bobby", "router"][k], people[k]]
+        texts.append(" ".join(words))
+    near, wide, least, often = 3, 6, 2, 3
+    total, every, by_kind, by_entity = 0, defaultdict(int), defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    around, near_kind = defaultdict(int), defaultdict(int)
+    for t in texts:
+        words = [(m[0], m.start(), m.end()) for m in re.finditer("[a-z]+", t)]
+        total += len(words)
+        for w, _, _ in words:
+            every[w] += 1
+        places = defaultdict(set)
+        for low, high, kind in pii.entities(t):
+            before, after = [i for i, w in enumerate(words) if w[2] <= low], [i for i, w in enumerate(words) if w[1] >= high]
+            for i in before[-near:] + after[:near]:
+                by_kind[words[i][0], kind][t[low:high]] += 1
+                near_kind[kind] += 1
+            places[t[low:high]] |= set(before[-wide:] + after[:wide])
+        for e, own in places.items():
+            around[e] += len(own)
+            for i in own:
+                by_entity[words[i][0], e] += 1
+    want = {}
+    told = lambda n, w, share: min(1.0, math.log2(n / every[w] / share) / -math.log2(share))
+    for (w, kind), of in by_kind.items():
+        if len(of) >= least:
+            want[w] = max(want.get(w, -9), told(sum(of.values()), w, near_kind[kind] / total))
+    for (w, e), n in by_entity.items():
+        if n >= often:
+            want[w] = max(want.get(w, -9), told(n, w, around[e] / total) if 2 * n >= every[w] else 0.0)
+    got = {r["word"]: r["disclosure"] for r in pii.disclosures(documents(spark, texts), near=near, least=least, wide=wide, occurrences=often).collect()}
+    assert got == {int(pii.words_at(w)[0].astype(np.int64)[0]): pytest.approx(v) for w, v in want.items()}
+    assert {"anna", "bobby", "router"} <= set(want) and max(want[w] for w in common if w in want) < min(want[w] for w in ("anna", "bobby", "router"))
+
+
 def test_names_that_disclose_one_address_are_removed_everywhere(spark):
     rng = random.Random(12)
     common = [f"word{c}" for c in "abcdefghijklmnopqrst"]

@@ -57,3 +57,23 @@ def test_pipeline_stages(spark, tmp_path):
             assert len(kept[name]) == len(before)
             for r in kept[name]:
                 assert r["n_chars"] == len(r["text"] or "") and not pii.entities(r["text"] or "")
+
+
+def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, rows of one id with two texts, an empty table."""
+    long = " ".join(f"word{i % 977} and the ring of it" for i in range(6000))
+    prose = "the quick thing over there with whether and " * 30
+    rows = [(0, None, None, None, None), (1, "", "en", "s", 0), (2, long, "en", None, None), (2, long, "en", None, None), (3, prose, "en", "s", 1), (3, prose + "other words at the end", "en", "s", 1), (3, "was nicht zwischen den wagen über uns " * 20, "de", "s", 1), (None, prose, "en", "s", 1), (5, "mail me@example.org " + prose, None, "s", 3), (6, "!!", "de", "s", 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, schema)
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, DATA)
+            out.write.parquet(str(tmp_path / f"{len(given)}-{k}"))
+            after = spark.read.parquet(str(tmp_path / f"{len(given)}-{k}"))
+            if name == "minhash_dedup" and given:
+                assert sum(r["doc_id"] == 2 for r in after.collect()) <= 1 and any(r["doc_id"] is None for r in after.collect()) == any(r["doc_id"] is None for r in docs.collect())
+            if name != "pack":
+                assert after.columns == docs.columns and after.count() <= docs.count()
+            docs = after
+        assert given or docs.count() == 0
