@@ -485,3 +485,12 @@ def filled_region(spark, sf_dir):
     rows, cols = spark.range(2, 9).select(F.col("id").cast("int").alias("row")), spark.range(3, 12).select(F.col("id").cast("int").alias("col"))
     ring = rows.crossJoin(cols).where("row in (2, 8) or col in (3, 11)")  # literals
     return graph.fill_holes(ring, 20, 20).agg(F.count("*").alias("cells"), F.min("row").cast("long").alias("low"))
+
+
+@query("""SELECT true AS known_form, count(*) AS n FROM nation""")
+def stamped_rows(spark, sf_dir):
+    """Rows with the time they were made at, of which only the form can be compared."""
+    from ..functions import dates
+
+    n = table(spark, sf_dir, "nation").withColumn("made", dates.generated_at())
+    return n.groupBy(F.col("made").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$").alias("known_form")).agg(F.count("*").alias("n"))

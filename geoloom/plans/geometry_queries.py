@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import geo, predicates, shapes
-from ..operators import spatial
+from ..operators import spatial, topology
 from ..sources import sinks
 from .base import lat, lat_sql, lon, lon_sql, query, table, values
 
@@ -164,3 +164,14 @@ def finite_points(spark, sf_dir):
     """rows with finite coordinates, within bounds."""
     k = F.col("c_custkey")
     return table(spark, sf_dir, "customer").where(predicates.finite(lon(k), lat(k), F.col("c_acctbal")) & lon(k).between(-130, -120)).select("c_custkey")
+
+
+@query("""SELECT n_nationkey AS k, 5 AS points, 1.0 AS area FROM nation""")
+def simplified_borders(spark, sf_dir):
+    """A layer of neighbours simplified together: bumps of shared borders go on both sides, corners where more meet stay."""
+    k = F.col("n_nationkey")
+    x, y = (k % 5).cast("double"), F.floor(k / 5).cast("double")
+    cell = ring((x, y), (x + 0.5, y + 0.01), (x + 1, y), (x + 1, y + 0.5), (x + 1, y + 1), (x + 0.5, y + 1.01), (x, y + 1), (x, y + 0.5), (x, y))
+    layer = table(spark, sf_dir, "nation").select(k.alias("k"), F.array(F.array(cell)).alias("parts"))
+    out = topology.simplified_layer(layer, "k", 0.1)
+    return out.select("k", F.size(F.col("parts")[0][0]).alias("points"), geo.multipolygon_area(F.col("parts")).alias("area"))

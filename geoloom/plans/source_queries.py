@@ -295,3 +295,12 @@ def number_columns(spark, sf_dir):
 
     c = table(spark, sf_dir, "customer")
     return values(spark, [(n,) for n in parse.numeric_columns(c)], "column string")
+
+
+@query("""SELECT c_custkey, (SELECT count(*) FROM customer) AS expected FROM customer""")
+def counted_layers(spark, sf_dir):
+    """Rows with the number that a service's probe told, landed as one answer; another number would fail."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    c.agg(F.count("*").alias("count")).select(F.to_json(F.struct("count")).alias("value")).write.text(path := scratch_path(spark, "probe"))
+    probe = spark.read.text(path).select(F.from_json("value", "count bigint")["count"].alias("expected"))
+    return landed.checked_count(c, probe.first()["expected"]).crossJoin(F.broadcast(probe))  # one row
