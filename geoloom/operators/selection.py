@@ -75,12 +75,21 @@ def public_url(base: str, *parts: Column) -> Column:
 
 
 def varied_factors(factors: DataFrame, variants: DataFrame) -> DataFrame:
-    """Factors of each variant. factors: ref, description, layer, values; variants: variant, drop_refs, drop_descriptions, drop_layers, narrow (a map of ref to the values that stay). A factor that keeps none of its values goes."""
+    """Factors of each variant, with all their columns and the variant's buffer. factors: ref, description, layer, values and more; variants: variant, drop_refs, drop_descriptions, drop_layers, narrow (a map of ref to the values that stay), buffer. A factor that keeps none of its values goes."""
     pairs = factors.crossJoin(F.broadcast(variants))  # literals both, some hundred pairs
     kept = pairs.where(~F.array_contains("drop_refs", F.col("ref")) & ~F.array_contains("drop_descriptions", F.col("description")) & ~F.array_contains("drop_layers", F.col("layer")))
     narrow = F.try_element_at("narrow", F.col("ref"))
     values = F.when(narrow.isNull(), F.col("values")).otherwise(F.array_intersect("values", narrow))
-    return kept.select("variant", "ref", "description", "layer", values.alias("values"), narrow.isNotNull().alias("narrowed")).where(~F.col("narrowed") | (F.size("values") > 0))
+    rest = [c for c in factors.columns if c != "values"]
+    narrowed = kept.select("variant", "buffer", *rest, values.alias("values"), narrow.isNotNull().alias("_narrowed"))
+    return narrowed.where(~F.col("_narrowed") | (F.size("values") > 0)).drop("_narrowed")
+
+
+def scored_distances(factors: DataFrame) -> DataFrame:
+    """A row for each distance at which a factor scores: those of its own that score above 0 where it is of proximity, else its variant's buffer."""
+    near = F.filter("distances", lambda d: d["score"] > 0)
+    own = F.when(F.col("mode") == "proximity", near).otherwise(F.array(F.struct(F.col("buffer").alias("distance"), F.col("score").alias("score"))))
+    return factors.withColumn("_d", F.explode(own)).drop("distances", "score").select("*", "_d.*").drop("_d")
 
 
 def labelled_variables(variables: DataFrame, metadata: DataFrame, headers: DataFrame) -> DataFrame:

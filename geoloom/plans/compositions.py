@@ -8,6 +8,7 @@ from ..functions import predicates
 from ..operators import aggregates as agg
 from ..operators import graph, relational, selection
 from .base import query, table, values
+from .factors import FACTORS, VARIANTS
 from .function_queries import cycled, cycled_sql
 
 # Joins
@@ -386,57 +387,23 @@ def variable_labels(spark, sf_dir):
     return selection.labelled_variables(variables, metadata, headers).withColumn("groups", F.array_join("groups", "|"))
 
 
-# Refs, layers and given values of factors that the toggles of variants touch; one of each other kind.
-FACTORS = [
-    ("A2", "Park - Park Site", "parks", []),
-    ("B3", "Schools - Post Secondary", "schools", ["4", "5", "Post Secondary"]),
-    ("F9", "Transit - Bus Stops (GTFS, all)", "gtfs_stops", []),
-    ("F9", "Transit - Bus Stops (GTFS, high frequency, band >= 4)", "gtfs_stops", ["4", "5"]),
-    ("A1", "Entertainment - POI Supplement", "poi_supplement", ["Entertainment"]),
-    ("E0", "Affordable Housing - Low Income", "poi_supplement", ["Low Income Housing"]),
-    ("C0", "Daycares (BC Child Care Locations)", "bc_childcare", []),
-    ("F0", "Crosswalks - OSM Marked Crossings", "osm_crossings", []),
-    ("F0", "Crosswalks - Report Class 3 List (Geocoded)", "report_crosswalks", []),
-    ("F8", "Intercity Bus Depot", "intercity_bus", []),
-    ("F2", "Population Density - High (Census Block 2021, top quintile)", "census_blocks_2021", ["5"]),
-    ("F6", "Seniors Density - High (DA 2021, top quintile)", "census_da_age", ["5"]),
-    ("A0", "Community Space - Cultural / Leased", "civic_facility_buildings", ["Cultural", "Leased"]),
-    ("A5", "Recreation - Aquatic / Arena / Stadium", "civic_facility_buildings", ["Aquatic", "Arena", "Stadium"]),
-    ("C1", "Government Services - Administration / Fire / Police", "civic_facility_buildings", ["Administration", "Fire Hall", "Police"]),
-    ("E4", "Growth Area - Priority / Infill", "growth_management", ["1", "2"]),
-    ("E5", "Growth Area - Future / Phased", "growth_management", ["3", "4", "5"]),
-]
-# What each toggle drops, and the values that narrowed factors keep.
-HIGH_FREQUENCY = "Transit - Bus Stops (GTFS, high frequency, band >= 4)"
-POP_AGE, CIVIC, GROWTH = ["F2", "F3", "F4", "F6", "F7"], {"A0": ["Cultural"], "A5": ["Aquatic"], "C1": ["Administration"]}, {"E4": ["1"], "E5": ["3"]}
-# The variants: (name, refs dropped, descriptions dropped, layers dropped, narrowed values).
-VARIANTS = [
-    ("full", [], [], [], {}),
-    ("no_gtfs_hf", [], [HIGH_FREQUENCY], [], {}),
-    ("narrow_civic", [], [HIGH_FREQUENCY], [], CIVIC),
-    ("narrow_growth", [], [HIGH_FREQUENCY], [], CIVIC | GROWTH),
-    ("report_fidelity", POP_AGE, [HIGH_FREQUENCY], [], CIVIC | GROWTH),
-    ("rf_drop_f0", [*POP_AGE, "F0"], [HIGH_FREQUENCY], [], CIVIC | GROWTH),
-    ("rf_drop_c0", [*POP_AGE, "C0"], [HIGH_FREQUENCY], [], CIVIC | GROWTH),
-    ("rf_drop_f8", [*POP_AGE, "F8"], [HIGH_FREQUENCY], [], CIVIC | GROWTH),
-    ("rf_drop_supp_poi", POP_AGE, [HIGH_FREQUENCY], ["poi_supplement"], CIVIC | GROWTH),
-    ("rf_tight_buffer_10m", POP_AGE, [HIGH_FREQUENCY], [], CIVIC | GROWTH),
-    ("most_conservative", [*POP_AGE, "F0", "C0", "F8"], [HIGH_FREQUENCY], ["poi_supplement"], CIVIC | GROWTH),
-]
-
-
 def _list_sql(x: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in x) + "]::VARCHAR[]"
 
 
-@query(f"""WITH f(ref, description, layer, given) AS (VALUES {", ".join(f"('{r}', '{d}', '{y}', {_list_sql(v)})" for r, d, y, v in FACTORS)}), v(variant, refs, descriptions, layers) AS (VALUES {", ".join(f"('{k}', {_list_sql(r)}, {_list_sql(d)}, {_list_sql(y)})" for k, r, d, y, _ in VARIANTS)}),
-n(variant, ref, kept) AS (VALUES {", ".join(f"('{k}', '{r}', {_list_sql(kept)})" for k, _, _, _, narrow in VARIANTS for r, kept in narrow.items())})
-SELECT variant, ref, description, array_to_string(CASE WHEN kept IS NULL THEN given ELSE list_filter(given, lambda x: list_contains(kept, x)) END, '|') AS "values" FROM f CROSS JOIN v LEFT JOIN n USING (variant, ref) WHERE NOT list_contains(refs, ref) AND NOT list_contains(descriptions, description) AND NOT list_contains(layers, layer)""")
+_DISTANCES = ", ".join(f"('{d}', {m}, {s})" for _, d, _, mode, _, _, near, _, _ in FACTORS if mode == "proximity" for m, s in near if s)
+
+
+@query(f"""WITH f(ref, description, layer, mode, given, score) AS (VALUES {", ".join(f"('{r}', '{d}', '{y}', '{m}', {_list_sql(v)}, {s})" for r, d, y, m, _, v, _, s, _ in FACTORS)}), v(variant, refs, descriptions, layers, buffer) AS (VALUES {", ".join(f"('{k}', {_list_sql(r)}, {_list_sql(d)}, {_list_sql(y)}, {b})" for k, r, d, y, _, b in VARIANTS)}),
+n(variant, ref, kept) AS (VALUES {", ".join(f"('{k}', '{r}', {_list_sql(kept)})" for k, _, _, _, narrow, _ in VARIANTS for r, kept in narrow.items())}), m(description, metres, points) AS (VALUES {_DISTANCES}),
+k AS (SELECT variant, ref, f.description, array_to_string(CASE WHEN kept IS NULL THEN given ELSE list_filter(given, lambda x: list_contains(kept, x)) END, '|') AS "values", mode, score, buffer FROM f CROSS JOIN v LEFT JOIN n USING (variant, ref) WHERE NOT list_contains(refs, ref) AND NOT list_contains(descriptions, f.description) AND NOT list_contains(layers, layer))
+SELECT variant, ref, description, "values", CASE WHEN mode = 'proximity' THEN metres ELSE buffer END AS distance, CASE WHEN mode = 'proximity' THEN points ELSE score END AS score FROM k LEFT JOIN m USING (description)""")
 def factor_variants(spark, sf_dir):
-    """The factors of each variant, some dropped, some narrowed."""
-    factors = values(spark, FACTORS, "ref string, description string, layer string, values array<string>")
-    variants = values(spark, VARIANTS, "variant string, drop_refs array<string>, drop_descriptions array<string>, drop_layers array<string>, narrow map<string, array<string>>")
-    return selection.varied_factors(factors, variants).select("variant", "ref", "description", F.array_join("values", "|").alias("values"))
+    """The factors of each variant, some dropped, some narrowed, by the distances at which they score."""
+    factors = values(spark, FACTORS, "ref string, description string, layer string, mode string, field string, values array<string>, distances array<struct<distance:int, score:int>>, score int, condition string")
+    variants = values(spark, VARIANTS, "variant string, drop_refs array<string>, drop_descriptions array<string>, drop_layers array<string>, narrow map<string, array<string>>, buffer int")
+    scored = selection.scored_distances(selection.varied_factors(factors, variants))
+    return scored.select("variant", "ref", "description", F.array_join("values", "|").alias("values"), "distance", "score")
 
 
 @query("""SELECT event_id, try_cast(CASE WHEN user_id % 3 = 0 THEN 'x' ELSE event_id::VARCHAR END AS BIGINT) AS result, CASE WHEN user_id % 3 = 0 THEN 'no number' END AS error FROM events""")
