@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, Stage, mixed, ngram_hashes, picked, powers, word_hashes
+from .common import Stage, mixed, ngram_hashes, picked, powers, word_hashes
 
 WINDOW, ANCHOR = 50, 8
 #: Words of passages in one automaton, and documents of one task of a shard.
