@@ -72,10 +72,11 @@ def sketches(docs: DataFrame, size: int, halves: int, rows: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out = list(sketch_rows(batch.column(1).to_pylist(), size, halves, rows))
-            n, digest, one, two = zip(*out, strict=True) if out else ((), (), (), ())
-            keys = [pa.array([x.tolist() for x in side], pa.list_(pa.int64())) for side in (one, two)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *keys], ["doc_id", "n_shingles", "digest", "one", "two"])
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                n, digest, one, two = zip(*sketch_rows(part.column(1).to_pylist(), size, halves, rows), strict=True)
+                keys = [pa.array([x.tolist() for x in side], pa.list_(pa.int64())) for side in (one, two)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *keys], ["doc_id", "n_shingles", "digest", "one", "two"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, one array<long>, two array<long>")
 
@@ -132,8 +133,10 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     first = found.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("x")).select("x.doc_id", "x.digest")
 
     def digests(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([words_digest(t.as_py()) for t in batch.column(len(names) + 1)], pa.binary())], [f"c{i}" for i in range(len(names) + 3)])
+        for whole in batches:
+            for low in range(0, whole.num_rows, 512):
+                batch = whole.slice(low, 512)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([words_digest(t.as_py()) for t in batch.column(len(names) + 1)], pa.binary())], [f"c{i}" for i in range(len(names) + 3)])
 
     told = flat.select("*", doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
     told = told.mapInArrow(digests, added(told, ("digest", T.BinaryType())))

@@ -27,7 +27,7 @@ LENGTH = 2048
 BUCKET = 4096
 ISLANDS, POPULATION, EPOCHS, GENERATIONS = 2, 4, 2, 4
 #: Entries of each of the two generations of runs that a Python worker keeps the ids of, bytes of such an entry at most, and bytes of text split at once.
-KEPT_RUNS, KEPT_BYTES, CHUNK = 400_000, 64, 4 << 20
+KEPT_RUNS, KEPT_BYTES, CHUNK = 150_000, 64, 2 << 20
 #: The rules of a tokenizer under which a text's ids are those of its runs: letters, punctuation, single digits. Others get whole texts.
 RULES = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -193,8 +193,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def cut(batches):
         for batch in batches:
-            for low in range(0, batch.num_rows, 2048):
-                part = batch.slice(low, 2048)
+            for low in range(0, batch.num_rows, 1024):
+                part = batch.slice(low, 1024)
                 at, rows, ids = [], [], []
                 for i, data in enumerate(token_ids(part.column(1).to_pylist(), tokenizer_path)):
                     n = len(data) + 1
