@@ -79,7 +79,7 @@ def scored_pairs(spark, sf_dir):
 
 
 @query("""WITH q AS (SELECT c_custkey AS id, unnest([0, 1]) AS rank, unnest([c_custkey % 50, c_nationkey + 100]) AS q FROM customer), g AS (SELECT q, 60.0 + q % 41 AS score FROM range(200) t(q) WHERE q % 7 <> 0 AND 60 + q % 41 >= 75 AND q % 3 <> 0)
-SELECT id, q::VARCHAR AS query, score, CASE WHEN score >= 95 THEN 'high' ELSE 'medium' END AS confidence FROM q JOIN g USING (q) QUALIFY row_number() OVER (PARTITION BY id ORDER BY rank) = 1""")
+SELECT id, q::VARCHAR AS query, score::DOUBLE AS score, CASE WHEN score >= 95 THEN 'high' ELSE 'medium' END AS confidence FROM q JOIN g USING (q) QUALIFY row_number() OVER (PARTITION BY id ORDER BY rank) = 1""")
 def geocoded_customers(spark, sf_dir):
     """The first query that the cache answers well enough."""
     c = table(spark, sf_dir, "customer")

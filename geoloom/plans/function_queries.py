@@ -212,7 +212,7 @@ def byte_sizes(spark, sf_dir):
 _MARKS = ("Number of critical violations", "Number of Non-Critical violations", "Inspection date")
 
 
-@query(f"""SELECT CASE WHEN contains(l, 'non-critical violations') THEN 'non_critical' WHEN contains(l, 'critical violations') THEN 'critical' END AS kind, sum(turn) AS n FROM (SELECT turn, lower({cycled_sql("conv_id", *_MARKS)}) AS l FROM conversations) GROUP BY 1""")
+@query(f"""SELECT CASE WHEN contains(l, 'non-critical violations') THEN 'non_critical' WHEN contains(l, 'critical violations') THEN 'critical' END AS kind, sum(turn)::BIGINT AS n FROM (SELECT turn, lower({cycled_sql("conv_id", *_MARKS)}) AS l FROM conversations) GROUP BY 1""")
 def violation_kinds(spark, sf_dir):
     """Values by a label that may hold another's name."""
     c = table(spark, sf_dir, "conversations").select("turn", text.violation_kind(cycled(F.col("conv_id"), *_MARKS)).alias("kind"))

@@ -88,7 +88,7 @@ def plane_coordinates(spark, sf_dir):
 _LEN = "2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(1.0) / 2) ** 2)))"
 
 
-@query(f"""SELECT s_suppkey AS k, round((s_suppkey % 4 + 1) * {_LEN}, 4) AS length, CASE WHEN s_suppkey % 2 = 0 THEN 45.0 ELSE 0.0 END AS penalty, round(6371000.0 ** 2 * radians(2.0) * (sin(radians({_Y} + 1)) - sin(radians({_Y}))), -6) / 1000000 AS sphere_km2 FROM supplier""")
+@query(f"""SELECT s_suppkey AS k, round((s_suppkey % 4 + 1) * {_LEN}, 4) AS length, CASE WHEN s_suppkey % 2 = 0 THEN 45.0 ELSE 0.0 END::DOUBLE AS penalty, round(6371000.0 ** 2 * radians(2.0) * (sin(radians({_Y} + 1)) - sin(radians({_Y}))), -6) / 1000000 AS sphere_km2 FROM supplier""")
 def line_measures(spark, sf_dir):
     """Lengths of lines, penalties of angles, areas on the sphere."""
     k = F.col("s_suppkey")
@@ -166,7 +166,7 @@ def finite_points(spark, sf_dir):
     return table(spark, sf_dir, "customer").where(predicates.finite(lon(k), lat(k), F.col("c_acctbal")) & lon(k).between(-130, -120)).select("c_custkey")
 
 
-@query("""SELECT n_nationkey AS k, 5 AS points, 1.0 AS area FROM nation""")
+@query("""SELECT n_nationkey AS k, 5 AS points, 1.0::DOUBLE AS area FROM nation""")
 def simplified_borders(spark, sf_dir):
     """A layer of neighbours simplified together: bumps of shared borders go on both sides, corners where more meet stay."""
     k = F.col("n_nationkey")

@@ -42,7 +42,7 @@ def exports_of_years(spark, sf_dir):
     return back.groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("""SELECT s_suppkey AS k, s_name AS name, s_suppkey % 9 + 0.5 AS x FROM supplier""")
+@query("""SELECT s_suppkey AS k, s_name AS name, (s_suppkey % 9 + 0.5)::DOUBLE AS x FROM supplier""")
 def feature_lines(spark, sf_dir):
     """Features by line, written in order and read back."""
     k = F.col("s_suppkey")
@@ -88,7 +88,7 @@ def page_files(spark, sf_dir):
     return landed.arcgis_pages(spark, path, "code int, name string", geometry=False)
 
 
-@query("""SELECT r_regionkey AS k, 'metres' AS unit, r_regionkey * 10.0 AS x FROM region""")
+@query("""SELECT r_regionkey AS k, 'metres' AS unit, (r_regionkey * 10.0)::DOUBLE AS x FROM region""")
 def esri_arrays(spark, sf_dir):
     """Arrays of attributes and projected geometries."""
     r = table(spark, sf_dir, "region")
