@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +82,16 @@ def added(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])
 
 
+def released(run):
+    """A function of Arrow batches that at its end gives back what Arrow keeps of their memory: Python workers live on from task to task."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def text_at(df: DataFrame, text_col: str) -> int:
     return df.columns.index(text_col)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER_SPACES, Stage, added, chunks, ngram_hashes, picked, word_hashes
+from .common import LOWER_SPACES, Stage, added, chunks, ngram_hashes, picked, released, word_hashes
 from .components import connected_components
 
 SHINGLE, PERCENT = 5, 80
@@ -78,7 +78,7 @@ def sketches(docs: DataFrame, size: int, halves: int, rows: int) -> DataFrame:
                 keys = [pa.array([x.tolist() for x in side], pa.list_(pa.int64())) for side in (one, two)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), *keys], ["doc_id", "n_shingles", "digest", "one", "two"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, one array<long>, two array<long>")
+    return docs.mapInArrow(released(run), "doc_id long, n_shingles long, digest binary, one array<long>, two array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -100,7 +100,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
     with_a = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-    return with_b.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return with_b.select("a", "b", "text_a", "text_b").mapInArrow(released(run), "a long, b long")
 
 
 def table_keys(reps: DataFrame, m: int) -> DataFrame:
@@ -139,7 +139,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([words_digest(t.as_py()) for t in batch.column(len(names) + 1)], pa.binary())], [f"c{i}" for i in range(len(names) + 3)])
 
     told = flat.select("*", doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
-    told = told.mapInArrow(digests, added(told, ("digest", T.BinaryType())))
+    told = told.mapInArrow(released(digests), added(told, ("digest", T.BinaryType())))
     told = told.withColumn("digest", F.when(F.col("doc_id").isNotNull(), F.col("digest")))
     loose = told.where("digest is null").select(*flat.columns)
     kept = told.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]).select(*flat.columns)
@@ -166,7 +166,7 @@ def _near(base: DataFrame, size: int, percent: int, halves: int, rows: int) -> D
         for batch in batches:
             yield batch.filter(pa.array([words_digest(t.as_py()) == d.as_py() for t, d in zip(batch.column(1), batch.column(2), strict=True)], pa.bool_())).select([0, 1])
 
-    own = base.join(wanted, "doc_id").select("rep", "text", "digest").mapInArrow(same_text, "rep long, text string")
+    own = base.join(wanted, "doc_id").select("rep", "text", "digest").mapInArrow(released(same_text), "rep long, text string")
     texts = stage.table(own.groupBy("rep").agg(F.min("text").alias("text")))
 
     links = labels = tested = None

@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, Stage, picked
+from .common import LOWER, SPACES, Stage, picked, released
 
 LENGTH = 2048
 BUCKET = 4096
 ISLANDS, POPULATION, EPOCHS, GENERATIONS = 2, 4, 2, 4
 #: Entries of each of the two generations of runs that a Python worker keeps the ids of, bytes of such an entry at most, and bytes of text split at once.
-KEPT_RUNS, KEPT_BYTES, CHUNK = 150_000, 64, 2 << 20
+KEPT_RUNS, KEPT_BYTES, CHUNK = 100_000, 64, 2 << 20
 #: The rules of a tokenizer under which a text's ids are those of its runs: letters, punctuation, single digits. Others get whole texts.
 RULES = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -210,7 +210,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                     columns.append(pa.array(ids, pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return base.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids)
+    return base.mapInArrow(released(cut), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids)
 
 
 def least_bins(sizes: np.ndarray, length: int) -> int:
