@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversation_repair import damaged, repair_report
 from .decontaminate import WINDOW, contamination_digest
 from .ego_join import embedding_duplicates
 from .hilbert_shards import hilbert_shards
 from .language_id import language_digest
+from .lexical_search import ranked_search
 from .license_scan import COPYRIGHT_LINE, HOLDER_LINE, NOTICES, PUNCTUATION, SPELLINGS, license_scan
 from .minhash_dedup import near_duplicates
 from .pack import best_fit_pack
 from .phrase_dedup import repeated_phrase_digest
 from .pii import personal_data_digest
+from .pivot_search import top_products
 from .quality_fm import quality_digest
 
 
@@ -60,6 +63,19 @@ def op10_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(_table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def op11_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
@@ -126,5 +142,60 @@ t AS (SELECT k.doc_id, count(*) FILTER (g.i IS NOT NULL) AS n_removed, string_ag
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)"""
 
 
+_PIVOT_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+_LEXICAL_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_distinct(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS w FROM benchmark),
+i AS (SELECT item_id, unnest(w) AS t FROM b),
+k AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w))::BIGINT AS l FROM d),
+p AS (SELECT doc_id, t, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY doc_id, t),
+f AS (SELECT t, floor(1000 * ln((2 * n + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM p GROUP BY t), k),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * p.n * k.n) // k.l))))::BIGINT AS score FROM p JOIN f USING (t) JOIN i USING (t), k GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
+def _repair_sql() -> str:
+    """The programme with its audits as plain strings, a turn a step; then the audit is replayed. States 1 to 4: nothing, s, u, a."""
+    turn, white, steps = (3, 3, 4, 3), "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)", {k: [] for k in range(1, 5)}
+    for parent in range(1, 5):
+        state = parent
+        for k in range(3):
+            run = "I" * k
+            steps[state].append((parent, 5 * k + 2, run + "D", "true"))
+            steps[turn[state - 1]].append((parent, 5 * k + 1, run + "R", "f NOT IN ('blank', 'duplicate')"))
+            for initial, to in {1: [("s", 2), ("u", 3)], 2: [("u", 3)], 3: [("a", 4)], 4: [("u", 3)]}[state]:
+                steps[to].append((parent, 5 * k, run + "K", f"f NOT IN ('blank', 'duplicate') AND c = '{initial}'"))
+            state = turn[state - 1]
+    cut = "CASE WHEN f = 'truncated' THEN 5 ELSE 0 END"
+    paid = lambda edit: "" if edit[-1] == "D" else f" + {cut}"
+    least = lambda options: "list_min(list_filter([" + ", ".join(f"CASE WHEN l[{p}] IS NOT NULL AND {when} THEN {{'k': l[{p}].k + {cost}{paid(edit)}, 'a': l[{p}].a || '{edit}'}} END" for p, cost, edit, when in options) + "], lambda x: x IS NOT NULL))"
+    ends = ", ".join(f"CASE WHEN l[{p}] IS NOT NULL THEN {{'k': l[{p}].k + {5 * k}, 'a': l[{p}].a || '{'I' * k}'}} END" for p, k in ((1, 0), (1, 2), (2, 2), (3, 1), (4, 0), (4, 2)))
+    key = "concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))"
+    # The reflected polynomial, a bit a step.
+    bits = f"flatten(list_transform(string_split({key}, ''), lambda y: list_transform(range(8), lambda j: (ascii(y)::BIGINT >> j) & 1)))"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda r, y: xor(r >> 1, 3988292384 * (xor(r, y) & 1))), 4294967295)"
+    return f"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS x FROM conversations),
+g AS (SELECT conv_id, turn, CASE WHEN x = 4 THEN 'user' ELSE role END AS role, CASE WHEN x = 1 THEN '' WHEN x = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN x = 3 THEN 2 ELSE 1 END)) AS copy FROM o WHERE x <> 0),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, rtrim(text, {white}) AS z FROM g),
+t AS (SELECT conv_id, turn, role, text, i, left(role, 1) AS c, CASE WHEN z = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(z, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS f FROM e),
+h AS (SELECT conv_id, role, i, coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS bad FROM t),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (f = 'blank') AS blank, count(*) FILTER (f = 'duplicate') AS duplicate, count(*) FILTER (f = 'truncated') AS truncated, max(i) AS m FROM t GROUP BY conv_id),
+q AS (SELECT conv_id, 0::BIGINT AS i, [{{'k': 0, 'a': ''}}, NULL, NULL, NULL] AS l FROM n UNION ALL SELECT q.conv_id, t.i, [{", ".join(least(steps[k]) for k in range(1, 5))}] FROM q JOIN t ON t.conv_id IS NOT DISTINCT FROM q.conv_id AND t.i = q.i + 1),
+b AS (SELECT conv_id, list_min(list_filter([{ends}], lambda x: x IS NOT NULL)) AS b FROM q JOIN n USING (conv_id) WHERE q.i = n.m),
+w AS (SELECT conv_id, b.k AS cost, b.a AS audit, unnest(string_split(b.a, '')) AS edit, unnest(range(len(b.a))) AS j FROM b),
+y AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS i FROM w WHERE edit <> ''),
+u AS (SELECT y.conv_id, j, edit, role, text, count(*) OVER (PARTITION BY y.conv_id ORDER BY j) AS place, max(CASE WHEN edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY y.conv_id) AS led FROM y LEFT JOIN t ON t.conv_id = y.conv_id AND t.i = y.i AND edit <> 'I' WHERE edit <> 'D'),
+v AS (SELECT conv_id, string_agg(concat(CASE WHEN edit = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END, ':', CASE WHEN edit = 'I' THEN '' ELSE text END), chr(10) ORDER BY j) AS whole FROM u GROUP BY conv_id)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.k, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN n USING (conv_id) LEFT JOIN (SELECT conv_id, count(*) FILTER (bad) AS illegal FROM h GROUP BY conv_id) USING (conv_id) LEFT JOIN b USING (conv_id) LEFT JOIN v USING (conv_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _license_sql(), "op5_decontaminate": _DECONTAMINATE_SQL, "op6_minhash_dedup": _MINHASH_SQL, "op7_ego_join": _EGO_SQL, "op8_phrase_dedup": _PHRASE_SQL}
+    return {"op1_license_scan": _license_sql(), "op5_decontaminate": _DECONTAMINATE_SQL, "op6_minhash_dedup": _MINHASH_SQL, "op7_ego_join": _EGO_SQL, "op8_phrase_dedup": _PHRASE_SQL, "op11_pivot_search": _PIVOT_SQL, "op12_conversation_repair": _repair_sql(), "op13_lexical_search": _LEXICAL_SQL}
