@@ -58,16 +58,25 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
 ]
 
-# A line that only names a holder, by its lower-case form with a year or sign, or by its own form with capitalised names; characters that never tell licences apart. Both regular-expression dialects read them alike.
+# A line that only names a holder, by its lower-case form with a year or sign, or by the word Copyright and words each of which can belong to a holder's name; characters that never tell licences apart. No pattern repeats a group, as Java's matcher recurses for each time. Both regular-expression dialects read them alike.
 COPYRIGHT_LINE = r"^[ \t/*#;%-]*((copyright|\(c\)|©|&copy;)[ \t]*(\(c\)|©|&copy;|[0-9<\[{])|©|all rights reserved)[^\n]*$"
-HOLDER_LINE = r"^[ \t/*#;%-]*Copyright([ \t]+((by|and|&)[ \t]+)?[A-Z][A-Za-z0-9.&'-]*,?)+[ \t\r]*$"
+HOLDER_START = r"^[ \t/*#;%-]*Copyright[ \t]"
+HOLDER_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x7F][^\x00-\x25\x28-\x2C\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[.,;:]*|(all|and|author|authors|by|community|contributor|contributors|de|den|der|developers|et|from|its|la|of|or|original|other|others|project|reserved|rights|team|the|van|von)[.,;:]*|&|https?://[^ \t\r]+|<[^ \t\r<>]+>[.,;:]*|\([^ \t\r()]+\)[.,;:]*"
+#: Longer lines are no holder lines.
+HOLDER_LENGTH = 10_000
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F«»‐‑‒–—―‘’“”„…©®™]+"
 
 
+def names_holder(line: Column) -> Column:
+    """Whether a line is the word Copyright with a holder's name, of which each word is judged alone."""
+    words = F.filter(F.split(F.regexp_replace(line, HOLDER_START, ""), "[ \t\r]+"), lambda w: w != "")
+    return line.rlike(HOLDER_START) & (F.length(line) <= HOLDER_LENGTH) & (F.size(words) > 0) & F.forall(words, lambda w: w.rlike(f"^({HOLDER_WORD})$"))
+
+
 def canonical_line(line: Column) -> Column:
     """The canonical form of one line; empty for lines that only name a copyright holder."""
     low = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    kept = F.when(low.rlike(COPYRIGHT_LINE) | line.rlike(HOLDER_LINE), F.lit("")).otherwise(low)
+    kept = F.when(low.rlike(COPYRIGHT_LINE) | names_holder(line), F.lit("")).otherwise(low)
     words = F.concat(F.lit(" "), F.regexp_replace(kept, PUNCTUATION, " "), F.lit(" "))
     for old, new in SPELLINGS:
         words = F.replace(words, F.lit(f" {old} "), F.lit(f" {new} "))

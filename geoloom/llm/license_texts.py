@@ -10,7 +10,7 @@ import re
 import sys
 from pathlib import Path
 
-from .license_scan import COPYRIGHT_LINE, HOLDER_LINE, NOTICES, PUNCTUATION, SPELLINGS
+from .license_scan import COPYRIGHT_LINE, HOLDER_LENGTH, HOLDER_START, HOLDER_WORD, NOTICES, PUNCTUATION, SPELLINGS
 
 COMMON = Path("/usr/share/common-licenses")
 #: Of the long texts: file and licence. Their first line is the title, the second often a version.
@@ -54,12 +54,18 @@ def short_texts() -> list[tuple[str, str]]:
     return [*out, ("Zlib", _ZLIB), ("Unlicense", _UNLICENSE), ("Unlicense", _UNLICENSE.rsplit("\n", 1)[0])]
 
 
+def names_holder(line: str) -> bool:
+    """As license_scan.names_holder()."""
+    words = re.sub(HOLDER_START, "", line).replace("\t", " ").replace("\r", " ").split(" ")
+    return bool(re.search(HOLDER_START, line)) and len(line) <= HOLDER_LENGTH and any(words) and all(re.fullmatch(HOLDER_WORD, w) for w in words if w)
+
+
 def canonical(text: str) -> str:
     """The canonical form of a text, as license_scan makes it."""
     out = []
     for line in text.split("\n"):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
-        words = " " + re.sub(PUNCTUATION, " ", "" if re.search(COPYRIGHT_LINE, low) or re.search(HOLDER_LINE, line) else low) + " "
+        words = " " + re.sub(PUNCTUATION, " ", "" if re.search(COPYRIGHT_LINE, low) or names_holder(line) else low) + " "
         for old, new in SPELLINGS:
             words = words.replace(f" {old} ", f" {new} ")
         out.append(re.sub(" +", " ", words).strip(" "))

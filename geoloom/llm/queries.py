@@ -10,7 +10,7 @@ from .ego_join import embedding_duplicates
 from .hilbert_shards import hilbert_shards
 from .language_id import language_digest
 from .lexical_search import ranked_search
-from .license_scan import COPYRIGHT_LINE, HOLDER_LINE, NOTICES, PUNCTUATION, SPELLINGS, license_scan
+from .license_scan import COPYRIGHT_LINE, HOLDER_LENGTH, HOLDER_START, HOLDER_WORD, NOTICES, PUNCTUATION, SPELLINGS, license_scan
 from .minhash_dedup import near_duplicates
 from .pack import best_fit_pack
 from .phrase_dedup import repeated_phrase_digest
@@ -85,8 +85,9 @@ def _text(x: str) -> str:
 
 
 def _license_sql() -> str:
+    holder = rf"{HOLDER_START}[ \t\r]*({HOLDER_WORD})([ \t\r]+({HOLDER_WORD}))*[ \t\r]*$"
     low = "translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    words = f"concat(' ', regexp_replace(CASE WHEN regexp_matches({low}, {_text(COPYRIGHT_LINE)}) OR regexp_matches(x, {_text(HOLDER_LINE)}) THEN '' ELSE {low} END, {_text(PUNCTUATION)}, ' ', 'g'), ' ')"
+    words = f"concat(' ', regexp_replace(CASE WHEN regexp_matches({low}, {_text(COPYRIGHT_LINE)}) OR (length(x) <= {HOLDER_LENGTH} AND regexp_matches(x, {_text(holder)})) THEN '' ELSE {low} END, {_text(PUNCTUATION)}, ' ', 'g'), ' ')"
     for old, new in SPELLINGS:
         words = f"replace({words}, ' {old} ', ' {new} ')"
     canon = f"list_filter(list_transform(string_split(coalesce(t, ''), chr(10)), lambda x: trim(regexp_replace({words}, ' +', ' ', 'g'))), lambda y: y <> '')"
