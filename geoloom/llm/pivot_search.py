@@ -262,7 +262,9 @@ def top_products(vectors: DataFrame, best: int = BEST, every: int = QUERY_IDS, i
     # A row for each part, of so many at most.
     spans = [f(F.get("far", F.lit(j))).alias(f"{name}{j}") for name, f in (("low", F.min), ("high", F.max)) for j in range(len(pivots))]
     rows = table.groupBy("part").agg(F.max("square").alias("longest"), *spans).orderBy("part").collect()
-    flat = np.array([r[2:] for r in rows], np.float64).reshape(len(rows), -1)
+    if not rows:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    flat = np.array([r[2:] for r in rows], np.float64)
     boxes = spark.sparkContext.broadcast((np.array([r["part"] for r in rows], np.int64), flat[:, : len(pivots)], flat[:, len(pivots) :], np.array([r["longest"] for r in rows], np.float64)))
 
     queries = table.where(F.col("vec_id") % every == 0).select("row", "vec_id", "vector", "square", "far", F.lit(float("-inf")).alias("known"))
@@ -277,8 +279,6 @@ def top_products(vectors: DataFrame, best: int = BEST, every: int = QUERY_IDS, i
         dealt = dealt.select("part", "kind", "row", "vec_id", "vector", "square", "far", "known", "share")
         return stage.table(dealt.mapInArrow(_met(best), "row long, query_id long, vec_id long, target long, score long"))
 
-    if not rows:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     first = met(queries.mapInArrow(_routed(boxes, True), meeting))
     found = first
     if len(rows) > 1:
