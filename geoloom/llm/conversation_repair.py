@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import pick, released
+from .common import Stage, pick, released
 
 #: Costs of the edits, and of a truncated turn that stays.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
@@ -33,6 +33,8 @@ KEPT = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER, "a
 #: The macro edits in their order; two inserts go round the grammar's loop, so more are never cheaper.
 RUN = 2
 CODES = sorted("I" * k + edit for k in range(RUN + 1) for edit in "DKR")
+#: From any state the turns to come cost at most so much more than from any other: inserts that make its last role the other's, or a system turn deleted. States that cost more than the least and this are on no cheapest way, and without them there are few layers.
+FARTHEST = RUN * INSERT + DELETE
 #: Faults of a turn.
 NONE, BLANK, DUPLICATE, CUT = range(4)
 # White space, ends of sentences, initials of roles, pairs of them that may follow each other.
@@ -62,9 +64,9 @@ def step(layer: Layer, initial: str, fault: int) -> tuple[Layer, int, tuple]:
             for edit, to, price in edits:
                 reached[to].append((at[0] + k * INSERT + price, at[1], CODES.index("I" * k + edit), parent))
             state = TURN[state]
-    best = [min(x) if x else None for x in reached]
+    least = min(min(x) for x in reached if x)[0]
+    best = [min(x) if x and min(x)[0] <= least + FARTHEST else None for x in reached]
     ranks = {audit: i for i, audit in enumerate(sorted({b[1:3] for b in best if b}))}
-    least = min(b[0] for b in best if b)
     return tuple(b and (b[0] - least, ranks[b[1:3]]) for b in best), least, tuple(b and (b[3], b[2]) for b in best)
 
 
@@ -248,7 +250,7 @@ def _streamed(conversations: DataFrame, ids: DataFrame | None) -> DataFrame:
     ended = F.rtrim("text", F.lit(SPACE))
     fault = F.when(ended == "", BLANK).when(F.right(ended, F.lit(1)).isin(*STOPS), NONE).otherwise(CUT)
     texts = base.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    rows = texts.withColumn("fault", fault).groupBy("conv_id", "turn", "role", "digest", "fault").agg(F.count("*").alias("copies"))
+    rows = Stage(conversations.sparkSession, "repair").table(texts.withColumn("fault", fault).groupBy("conv_id", "turn", "role", "digest", "fault").agg(F.count("*").alias("copies")))
     # The first turn of each role and text is marked by one row more that counts for nothing, so no key has to be joined or gathered.
     first = rows.groupBy("conv_id", "role", "digest", "fault").agg(F.min(F.struct(F.col("turn").isNotNull().alias("known"), "turn")).alias("first"))
     marks = first.select("conv_id", F.col("first.turn").alias("turn"), "role", "digest", "fault", F.lit(0).cast("long").alias("copies"), F.lit(True).alias("opens"))
