@@ -23,8 +23,8 @@ from .common import ALNUM_LOWER, Stage, pick, released, word_hashes
 BEST, SCALE, LENGTH, SATURATION = 10, 1_000_000_000, 90, 8
 #: Bits of the filter of wanted terms; documents of which a term's postings stay in one share; terms of items that are broadcast.
 FILTER_BITS, SHARE, BROADCAST_ROWS = 20, 4_000_000, 1_000_000
-#: Bytes of a text that are split into words at once.
-SLICE = 1 << 20
+#: Bytes of a text that are split into words at once, and terms that are hashed and passed on at once.
+SLICE, TERMS = 1 << 20, 1 << 16
 
 
 def term_counts(text: bytes) -> Counter:
@@ -39,7 +39,8 @@ def term_counts(text: bytes) -> Counter:
 
 
 def _bits(terms: list[bytes]) -> np.ndarray:
-    return (word_hashes(b" ".join(terms))[0] & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    found = [word_hashes(b" ".join(terms[i : i + TERMS]))[0] & np.uint64((1 << FILTER_BITS) - 1) for i in range(0, len(terms), TERMS)]
+    return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
 
 
 def _item_terms(batches):
@@ -53,21 +54,28 @@ def _item_terms(batches):
 def _postings(shared):
     """(term, row, doc_id, n, tf) of the terms that the filter knows; with a null term a batch's documents (tf) and terms (n)."""
 
+    def made(batch, first, held, sizes, terms, times):
+        """Postings of the documents from number `first` on; held: how many terms each has in terms and times."""
+        kept = np.flatnonzero(shared.value[_bits(terms)])
+        at = np.repeat(np.arange(len(held)), held)[kept]
+        of = pa.array(at + first)
+        return pa.RecordBatch.from_arrays([pa.array([terms[i] for i in kept], pa.binary()), batch.column(0).take(of), batch.column(1).take(of), pa.array(np.asarray(sizes, np.int64)[at]), pa.array(np.asarray(times, np.int64)[kept])], ["term", "row", "doc_id", "n", "tf"])
+
     def run(batches):
         for batch in batches:
-            sizes, terms, times, held = [], [], [], []
-            for x in batch.column(2).cast(pa.binary()):
-                counts = term_counts(x.as_py() or b"")
-                sizes.append(sum(counts.values()))
+            all_terms, documents, first, held, sizes, terms, times = 0, 0, 0, [], [], [], []
+            for i, x in enumerate(batch.column(2)):
+                counts = term_counts(x.cast(pa.binary()).as_py() or b"")
+                sizes.append(counts.total())
                 held.append(len(counts))
                 terms.extend(counts)
                 times.extend(counts.values())
-            kept = np.flatnonzero(shared.value[_bits(terms)]) if terms else np.zeros(0, np.int64)
-            of = pa.array(np.repeat(np.arange(len(held)), held)[kept])
-            columns = [pa.array([terms[i] for i in kept], pa.binary()), batch.column(0).take(of), batch.column(1).take(of), pa.array(sizes, pa.int64()).take(of), pa.array(np.asarray(times, np.int64)[kept])]
-            totals = [pa.array([v], c.type) for v, c in zip((None, None, None, sum(sizes), sum(s > 0 for s in sizes)), columns, strict=True)]
-            for part in (columns, totals):
-                yield pa.RecordBatch.from_arrays(part, ["term", "row", "doc_id", "n", "tf"])
+                all_terms, documents = all_terms + sizes[-1], documents + (sizes[-1] > 0)
+                if len(terms) >= TERMS or i == batch.num_rows - 1:
+                    yield made(batch, first, held, sizes, terms, times)
+                    first, held, sizes, terms, times = i + 1, [], [], [], []
+            totals = [pa.array([v], t) for v, t in zip((None, None, None, all_terms, documents), (pa.binary(), pa.int64(), batch.schema.field(1).type, pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays(totals, ["term", "row", "doc_id", "n", "tf"])
 
     return released(run)
 
