@@ -119,13 +119,38 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
     return F.size(F.filter(edges(ring), crossed)) % 2 == 1
 
 
-def in_polygon(x: Column, y: Column, polygon: Column) -> Column:
-    """Inside the outer ring and in none of the holes."""
-    return in_ring(x, y, F.element_at(polygon, 1)) & ~F.exists(F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(1))), lambda hole: in_ring(x, y, hole))
+def turn(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
+    """1, 0 or -1: whether p lies to the left of the line from a to b, on it or to its right."""
+    return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 
 
-def in_multipolygon(x: Column, y: Column, parts: Column) -> Column:
-    return F.exists(parts, lambda p: in_polygon(x, y, p))
+def on_ring(x: Column, y: Column, ring: Column) -> Column:
+    """Whether a point is on one of a ring's edges."""
+
+    def touched(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        within = x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+        return within & (turn(a["x"], a["y"], b["x"], b["y"], x, y) == 0)
+
+    return F.exists(edges(ring), touched)
+
+
+def in_polygon(x: Column, y: Column, polygon: Column, border: bool = False) -> Column:
+    """Inside the outer ring and in none of the holes. With border, points on any ring are inside, else the half-open rule decides."""
+    holes = F.slice(polygon, 2, F.greatest(F.size(polygon) - 1, F.lit(1)))
+    inside = in_ring(x, y, F.element_at(polygon, 1)) & ~F.exists(holes, lambda hole: in_ring(x, y, hole))
+    return inside | F.exists(polygon, lambda r: on_ring(x, y, r)) if border else inside
+
+
+def in_multipolygon(x: Column, y: Column, parts: Column, border: bool = False) -> Column:
+    return F.exists(parts, lambda p: in_polygon(x, y, p, border))
+
+
+def segments_meet(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column, dx: Column, dy: Column) -> Column:
+    """Whether the segments from a to b and from c to d share a point."""
+    level = lambda a, b, c, d: (F.greatest(a, b) >= F.least(c, d)) & (F.greatest(c, d) >= F.least(a, b))
+    apart = lambda *p: turn(*p[:4], *p[4:6]) * turn(*p[:4], *p[6:]) <= 0
+    return level(ax, bx, cx, dx) & level(ay, by, cy, dy) & apart(ax, ay, bx, by, cx, cy, dx, dy) & apart(cx, cy, dx, dy, ax, ay, bx, by)
 
 
 def ring_area(ring: Column) -> Column:
@@ -160,9 +185,9 @@ def bbox(parts: Column) -> Column:
     return F.struct(take(F.array_min, "x").alias("xmin"), take(F.array_min, "y").alias("ymin"), take(F.array_max, "x").alias("xmax"), take(F.array_max, "y").alias("ymax"))
 
 
-def vertex_mean(parts: Column) -> Column:
-    """struct(x, y): the mean of all vertices, the closing ones too."""
-    p = points(parts)
+def vertex_mean(parts: Column, closing: bool = True) -> Column:
+    """struct(x, y): the mean of all vertices, with the closing ones of the rings or without."""
+    p = points(parts) if closing else F.flatten(F.transform(F.flatten(parts), lambda r: F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0)))))
     mean = lambda k: F.aggregate(p, F.lit(0.0), lambda s, q: s + q[k]) / F.size(p)
     return F.struct(mean("x").alias("x"), mean("y").alias("y"))
 

@@ -224,12 +224,12 @@ def joined(sep: str, *columns: Column) -> Column:
     return F.concat_ws(sep, *(blank_to_null(c) for c in columns))
 
 
-def archive_name(path: Column) -> Column:
-    """struct(dataset, cadence) from a file name: a time stamp and a cadence at its end are no part of the dataset."""
-    stem = F.regexp_replace(F.lower(F.regexp_extract(path, r"([^/]+)$", 1)), r"\.[a-z]+$", "")
-    dated = F.regexp_replace(stem, "[-_][0-9]{8,14}$", "")
-    cadence = F.coalesce(F.nullif(F.regexp_extract(dated, "[-_](annual|monthly|ava|mly)$", 1), F.lit("")), F.lit("annual"))
-    return F.struct(F.regexp_replace(dated, "[-_](annual|monthly|ava|mly)$", "").alias("dataset"), F.when(cadence.isin("monthly", "mly"), "monthly").otherwise("annual").alias("cadence"))
+def archive_name(path: Column, otherwise: str = "annual") -> Column:
+    """struct(dataset, cadence) from a file name: the time stamp with a cadence at its end is no part of the dataset; names without a cadence get the given one."""
+    name = F.regexp_extract(path, r"([^/]+)$", 1)
+    dataset = F.regexp_replace(F.regexp_replace(name, r"\.zip$", ""), "(?i)_[0-9]{4}-[0-9]{2}-[0-9]{2}_[0-9]{2}-[0-9]{2}-[0-9]{2}_(annual|monthly)$", "")
+    cadence = F.nullif(F.lower(F.regexp_extract(name, r"(?i)_(annual|monthly)\.zip$", 1)), F.lit(""))
+    return F.struct(dataset.alias("dataset"), F.coalesce(cadence, F.lit(otherwise)).alias("cadence"))
 
 
 def glob_regex(pattern: str) -> str:
@@ -243,9 +243,10 @@ def key(sep: str, *columns: Column, upper: bool = False) -> Column:
 
 
 def byte_size(c: Column) -> Column:
-    units = ("B", "KB", "MB", "GB", "TB")
-    rung = F.least(F.floor(F.log2(F.greatest(c, F.lit(1))) / 10), F.lit(len(units) - 1)).cast("int")
-    return F.when(rung == 0, F.format_string("%d B", c.cast("long"))).otherwise(F.format_string("%.1f %s", c / F.pow(F.lit(1024.0), rung), F.element_at(F.array(*map(F.lit, units)), rung + 1)))
+    """Sizes as people read them: kilobytes and megabytes with one decimal, larger ones with two."""
+    rungs = [(4, "TB", 2), (3, "GB", 2), (2, "MB", 1), (1, "KB", 1)]
+    told = reduce(lambda when, r: when.when(c >= 1024 ** r[0], F.format_string(f"%.{r[2]}f {r[1]}", c / float(1024 ** r[0]))), rungs, F)
+    return told.otherwise(F.format_string("%d B", c.cast("long")))
 
 
 def variable_prefix(c: Column) -> Column:

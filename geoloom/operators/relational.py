@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """The first row of each key by order: an aggregation, so that a crowded key is reduced before the shuffle."""
-    ordering = F.struct(*order, *[F.col(c) for c in df.columns if c not in keys and _comparable(df, c)])
+    """The first row of each key by order, in which nulls come last: an aggregation, so that a crowded key is reduced before the shuffle."""
+    ordering = F.struct(*(x for o in order for x in (o.isNull(), o)), *[F.col(c) for c in df.columns if c not in keys and _comparable(df, c)])
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
@@ -26,7 +26,7 @@ def _comparable(df: DataFrame, c: str) -> bool:
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row with the greatest value of a numeric order column in each key."""
+    """The row with the greatest value of a numeric order column in each key; a row without one only where the key has no other."""
     return first_per_key(df, keys, F.negative(F.col(order)))
 
 

@@ -92,6 +92,15 @@ def scored_distances(factors: DataFrame) -> DataFrame:
     return factors.withColumn("_d", F.explode(own)).drop("distances", "score").select("*", "_d.*").drop("_d")
 
 
+def feature_totals(factors: DataFrame, features: DataFrame) -> DataFrame:
+    """factors with the number of features (layer, value) that each takes, of its layer and, where it names values, with one of them, and their score in all. Features are counted by layer and value before they meet factors."""
+    counts = features.groupBy("layer", "value").agg(F.count("*").alias("_n"))
+    takes = (F.size("values") == 0) | F.coalesce(F.array_contains("values", F.col("value")), F.lit(False))
+    joined = factors.join(counts, "layer", "left").withColumn("_n", F.when(takes, F.col("_n")))
+    keys = [c for c in factors.columns if c != "narrow"]
+    return joined.groupBy(*keys).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("features")).withColumn("total", F.col("score") * F.col("features"))
+
+
 def labelled_variables(variables: DataFrame, metadata: DataFrame, headers: DataFrame) -> DataFrame:
     """(id, label, groups) of the variables (id, category) that a table's headers (id, label) have: the header's label, else the metadata's; the sorted categories that list the variable."""
     listed = variables.groupBy("id").agg(F.array_sort(F.collect_set("category")).alias("groups"))

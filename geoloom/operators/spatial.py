@@ -1,4 +1,10 @@
-"""Spatial joins as equi-joins on grid cells, with an exact predicate after them."""
+"""Spatial joins as equi-joins on grid cells, with an exact predicate after them.
+
+Shapes are indexed by their boxes in a tree of grids whose cells are powers of four: a box lies in the level whose cells
+are just larger than it, and so in four of them at most, however large it is. What looks for boxes looks into its own
+cells of each level that has any. Boxes, ids and cells go through these joins; geometries are fetched by id for the
+pairs whose boxes meet.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..sources.scratch import scratch_path
+from . import relational
+
+#: The least and greatest level; a level's cells have sides of 2 to its power.
+LEAST, MOST = -40, 40
 
 
 def cells_of_box(box: Column, step: float) -> Column:
@@ -20,25 +31,115 @@ def boundary_index(df: DataFrame, id_columns: list[str], name_columns: list[str]
     return kept.select(F.coalesce(*(F.col(c).cast("string") for c in id_columns)).alias("boundary_id"), F.coalesce(*(F.col(c).cast("string") for c in name_columns)).alias("boundary_name"), parts, geo.bbox(F.col(parts)).alias("box"))
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, parts: str = "parts", step: float = 0.25) -> DataFrame:
-    """All pairs of a point and a polygon that holds it. polygons have a `box`; they are replicated to the cells they meet."""
-    gridded = polygons.withColumn("_c", F.explode(cells_of_box(F.col("box"), step))).withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")
-    placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)).withColumn("_cx", geo.cell(F.col(x), 0.0, step)).withColumn("_cy", geo.cell(F.col(y), 0.0, step))
-    joined = placed.join(gridded, ["_cx", "_cy"])
-    in_box = F.col(x).between(F.col("box.xmin"), F.col("box.xmax")) & F.col(y).between(F.col("box.ymin"), F.col("box.ymax"))
-    return joined.where(in_box).where(geo.in_multipolygon(F.col(x), F.col(y), F.col(parts))).drop("_cx", "_cy")
+def level_of(box: Column) -> Column:
+    """The level of a box: an even number, of the smallest cells that are no smaller than it."""
+    side = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
+    return F.greatest(F.lit(LEAST), F.least(F.lit(MOST), F.when(side > 0, 2 * F.ceil(F.log2(side) / 2)).otherwise(LEAST))).cast("int")
+
+
+def cells_at(box: Column, levels: Column) -> Column:
+    """array<struct<level, cx, cy>> of the cells of these levels that a box meets."""
+    span = lambda low, high, size: F.sequence(F.floor(box[low] / size).cast("long"), F.floor(box[high] / size).cast("long"))
+    cell = lambda n, x, y: F.struct(n.alias("level"), x.alias("cx"), y.alias("cy"))
+    return F.flatten(F.transform(levels, lambda n: geo.bound(F.pow(F.lit(2.0), n), lambda size: F.flatten(F.transform(span("xmin", "xmax", size), lambda x: F.transform(span("ymin", "ymax", size), lambda y: cell(n, x, y)))))))
+
 
+def levels_in(df: DataFrame) -> list[int]:
+    """The levels of a table's boxes, few as there are."""
+    return sorted(r[0] for r in df.select(level_of(F.col("box")).alias("level")).distinct().collect())
 
-def first_polygon(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, order: str, value: str, parts: str = "parts", step: float = 0.25) -> DataFrame:
+
+def box_pairs(left: DataFrame, right: DataFrame, left_levels: list[int], right_levels: list[int]) -> DataFrame:
+    """Rows of left and right whose boxes (`lbox`, `rbox`) share a point, each pair once. Levels are those of either side's boxes; without left_levels left only looks for boxes of right, as points do."""
+
+    def placed(df: DataFrame, box: str, own: bool, other: list[int], mark: str) -> DataFrame:
+        level = level_of(F.col(box))
+        visited = F.filter(F.lit(other).cast("array<int>"), lambda n: n > level if own else n >= level)
+        cells = F.concat(F.array(level), visited) if own else visited
+        return df.select("*", F.inline(cells_at(F.col(box), cells))).withColumn(mark, (F.col("level") == level) if own else F.lit(False))
+
+    cells = placed(left, "lbox", bool(left_levels), right_levels, "_l").join(placed(right, "rbox", True, left_levels, "_r"), ["level", "cx", "cy"])
+    c = F.col
+    meet = (c("lbox.xmin") <= c("rbox.xmax")) & (c("rbox.xmin") <= c("lbox.xmax")) & (c("lbox.ymin") <= c("rbox.ymax")) & (c("rbox.ymin") <= c("lbox.ymax"))
+    # Of the cells in which two meet, the one that holds the lower corner of what they share stands.
+    size = F.pow(F.lit(2.0), c("level"))
+    first = (F.floor(F.greatest(c("lbox.xmin"), c("rbox.xmin")) / size) == c("cx")) & (F.floor(F.greatest(c("lbox.ymin"), c("rbox.ymin")) / size) == c("cy"))
+    return cells.where((c("_l") | c("_r")) & meet & first).drop("level", "cx", "cy", "_l", "_r")
+
+
+class ShapeIndex:
+    """Shapes with a number and a box each, in a table of which boxes are read without the geometries."""
+
+    def __init__(self, df: DataFrame, parts: str = "parts"):
+        spark, path = df.sparkSession, scratch_path(df.sparkSession, "shapes")
+        kept = df.where(F.col(parts).isNotNull() & (F.size(geo.points(F.col(parts))) > 0))
+        kept.withColumn("_shape", F.monotonically_increasing_id()).withColumn("box", geo.bbox(F.col(parts))).write.parquet(path)
+        self.parts, self.table = parts, spark.read.parquet(path)
+        self.levels = levels_in(self.table)
+
+    def boxes(self, shape: str, box: str) -> DataFrame:
+        return self.table.select(F.col("_shape").alias(shape), F.col("box").alias(box))
+
+    def geometry(self, shape: str, parts: str) -> DataFrame:
+        return self.table.select(F.col("_shape").alias(shape), F.col(self.parts).alias(parts))
+
+    def edges(self, shape: str, wanted: DataFrame) -> DataFrame:
+        """(shape, box, ax, ay, bx, by) for each edge of the wanted shapes."""
+        rings = self.geometry(shape, "_p").join(wanted.select(shape).distinct(), shape, "left_semi").select(shape, F.explode(F.flatten("_p")).alias("_r"))
+        e = rings.select(shape, F.explode(geo.edges(F.col("_r"))).alias("_e")).select(shape, *(F.col(f"_e.{p}.{k}").alias(p + k) for p in "ab" for k in "xy"))
+        low, high = (F.struct(*(f(f"a{k}", f"b{k}").alias(f"{k}{n}") for k in "xy")) for f, n in ((F.least, "min"), (F.greatest, "max")))
+        return e.withColumn("box", F.struct(low["xmin"].alias("xmin"), low["ymin"].alias("ymin"), high["xmax"].alias("xmax"), high["ymax"].alias("ymax")))
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, parts: str = "parts", border: bool = False) -> DataFrame:
+    """All pairs of a point and a polygon that holds it, with the columns of both. With border, points on a ring are inside. Points without finite coordinates are in none."""
+    index = ShapeIndex(polygons, parts)
+    finite = lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False))
+    placed = points.where(finite(F.col(x)) & finite(F.col(y))).withColumn("lbox", F.struct(F.col(x).alias("xmin"), F.col(y).alias("ymin"), F.col(x).alias("xmax"), F.col(y).alias("ymax")))
+    near = box_pairs(placed, index.boxes("_shape", "rbox"), [], index.levels).drop("lbox", "rbox")
+    return near.join(index.table, "_shape").where(geo.in_multipolygon(F.col(x), F.col(y), F.col(parts), border)).drop("_shape")
+
+
+def polygons_intersecting(left: DataFrame, right: DataFrame, left_id: str, right_id: str, parts: str = "parts") -> DataFrame:
+    """(left_id, right_id) of the shapes that share a point, be it of their borders only.
+
+    Two shapes meet if edges of theirs do, or else if a part of one lies in the other as a whole. Edges meet by cells as
+    boxes do, so no pair of shapes compares all edges of one with all of the other.
+    """
+    one, two = ShapeIndex(left, parts), ShapeIndex(right, parts)
+    near = box_pairs(one.boxes("_one", "lbox"), two.boxes("_two", "rbox"), one.levels, two.levels).select("_one", "_two")
+    mine, theirs = one.edges("_one", near), two.edges("_two", near)
+    c = F.col
+    meeting = box_pairs(mine.withColumnRenamed("box", "lbox"), theirs.toDF("_two", "cx_", "cy_", "dx_", "dy_", "rbox"), levels_in(mine), levels_in(theirs))
+    crossing = meeting.where(geo.segments_meet(*(c(k) for k in ("ax", "ay", "bx", "by", "cx_", "cy_", "dx_", "dy_")))).select("_one", "_two").distinct()
+    apart = near.join(crossing, ["_one", "_two"], "left_anti").join(one.geometry("_one", "_p"), "_one").join(two.geometry("_two", "_q"), "_two")
+    within = lambda p, q: F.exists(c(p), lambda part: geo.in_multipolygon(part[0][0]["x"], part[0][0]["y"], c(q)))
+    inside = apart.where(within("_p", "_q") | within("_q", "_p")).select("_one", "_two")
+    ids = lambda index, shape, name: index.table.select(c("_shape").alias(shape), name)
+    return crossing.unionByName(inside).join(ids(one, "_one", left_id), "_one").join(ids(two, "_two", right_id), "_two").select(left_id, right_id)
+
+
+def area_cascade(areas: DataFrame, known: DataFrame, area_id: str, name: str, known_id: str, known_name: str, parts: str = "parts") -> DataFrame:
+    """(area_id, tier, known_id): for each area the known shapes of the first tier that has any: those of its name (1), those whose mean vertex lies in it or on its border (2), those that share a point with it (3). Areas with none keep a null. Only areas without a match go on to the next tier."""
+    kept = known.select(F.col(known_id), F.col(known_name).alias("_name"), F.col(parts).alias("_known"))
+    first = areas.select(area_id, F.col(name).alias("_name")).join(kept, "_name").select(area_id, known_id)
+    rest = areas.select(area_id, parts).join(first, area_id, "left_anti")
+    centres = kept.withColumn("_m", geo.vertex_mean(F.col("_known"), closing=False)).select(known_id, F.col("_m.x").alias("_x"), F.col("_m.y").alias("_y"))
+    second = points_in_polygons(centres, rest, "_x", "_y", parts, border=True).select(area_id, known_id)
+    third = polygons_intersecting(rest.join(second, area_id, "left_anti"), kept.withColumnRenamed("_known", parts), area_id, known_id, parts)
+    return relational.cascade(areas, area_id, [first, second, third], known_id)
+
+
+def first_polygon(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, order: str, value: str, parts: str = "parts") -> DataFrame:
     """Every point with `value` of the first polygon by `order` that holds it, null if none does, also if that polygon's value is null."""
-    hits = points_in_polygons(points.select(point_id, x, y), polygons.select(order, value, parts, "box"), x, y, parts, step)
+    hits = points_in_polygons(points.select(point_id, x, y), polygons.select(order, value, parts), x, y, parts)
     best = hits.groupBy(point_id).agg(F.min_by(F.struct(value), order).alias("_b")).select(point_id, F.col(f"_b.{value}").alias(value))
     return points.join(best, point_id, "left")
 
 
 def membership(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, level: str, order: str, value: str) -> DataFrame:
     """(point_id, members): for each level the first polygon that holds the point, as a map without nulls."""
-    hits = points_in_polygons(points.select(point_id, x, y).dropDuplicates([point_id]), polygons.select(level, order, value, "parts", "box"), x, y)
+    hits = points_in_polygons(points.select(point_id, x, y).dropDuplicates([point_id]), polygons.select(level, order, value, "parts"), x, y)
     best = hits.groupBy(point_id, level).agg(F.min_by(value, order).alias("_v")).where("_v is not null")
     return points.select(point_id).distinct().join(best.groupBy(point_id).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(level, "_v")))).alias("members")), point_id, "left")
 

@@ -14,7 +14,7 @@ from .function_queries import cycled, cycled_sql
 # Joins
 
 
-@query("""WITH b AS (SELECT l_orderkey, l_shipdate, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_suppkey DESC) = 1) SELECT o_orderkey, l_suppkey FROM orders JOIN b ON l_orderkey = o_orderkey""")
+@query("""WITH b AS (SELECT l_orderkey, l_shipdate, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC NULLS LAST, l_suppkey DESC NULLS LAST) = 1) SELECT o_orderkey, l_suppkey FROM orders JOIN b ON l_orderkey = o_orderkey""")
 def last_wins_join(spark, sf_dir):
     """An inner join in which a key's last row stands."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
@@ -396,14 +396,19 @@ _DISTANCES = ", ".join(f"('{d}', {m}, {s})" for _, d, _, mode, _, _, near, _, _
 
 @query(f"""WITH f(ref, description, layer, mode, given, score) AS (VALUES {", ".join(f"('{r}', '{d}', '{y}', '{m}', {_list_sql(v)}, {s})" for r, d, y, m, _, v, _, s, _ in FACTORS)}), v(variant, refs, descriptions, layers, buffer) AS (VALUES {", ".join(f"('{k}', {_list_sql(r)}, {_list_sql(d)}, {_list_sql(y)}, {b})" for k, r, d, y, _, b in VARIANTS)}),
 n(variant, ref, kept) AS (VALUES {", ".join(f"('{k}', '{r}', {_list_sql(kept)})" for k, _, _, _, narrow, _ in VARIANTS for r, kept in narrow.items())}), m(description, metres, points) AS (VALUES {_DISTANCES}),
-k AS (SELECT variant, ref, f.description, array_to_string(CASE WHEN kept IS NULL THEN given ELSE list_filter(given, lambda x: list_contains(kept, x)) END, '|') AS "values", mode, score, buffer FROM f CROSS JOIN v LEFT JOIN n USING (variant, ref) WHERE NOT list_contains(refs, ref) AND NOT list_contains(descriptions, f.description) AND NOT list_contains(layers, layer))
-SELECT variant, ref, description, "values", CASE WHEN mode = 'proximity' THEN metres ELSE buffer END AS distance, CASE WHEN mode = 'proximity' THEN points ELSE score END AS score FROM k LEFT JOIN m USING (description)""")
+k AS (SELECT variant, ref, f.description, array_to_string(CASE WHEN kept IS NULL THEN given ELSE list_filter(given, lambda x: list_contains(kept, x)) END, '|') AS "values", mode, score, buffer FROM f CROSS JOIN v LEFT JOIN n USING (variant, ref) WHERE NOT list_contains(refs, ref) AND NOT list_contains(descriptions, f.description) AND NOT list_contains(layers, layer)),
+a AS (SELECT description, row_number() OVER (ORDER BY description) - 1 AS i, layer, given FROM f), p AS (SELECT layer, CASE WHEN len(given) > 0 THEN given[p_partkey % len(given) + 1] END AS v, count(*) AS n FROM part JOIN a ON i = p_partkey % (SELECT count(*) FROM a) GROUP BY ALL),
+s AS (SELECT variant, ref, description, "values", CASE WHEN k.mode = 'proximity' THEN metres ELSE buffer END AS distance, CASE WHEN k.mode = 'proximity' THEN points ELSE k.score END AS score, f.layer FROM k JOIN f USING (ref, description) LEFT JOIN m USING (description))
+t AS (SELECT variant, ref, description, "values", distance, score, coalesce(sum(n), 0)::BIGINT AS features FROM s LEFT JOIN p ON p.layer = s.layer AND ("values" = '' OR list_contains(string_split("values", '|'), v)) GROUP BY ALL) SELECT *, score * features AS total FROM t""")
 def factor_variants(spark, sf_dir):
-    """The factors of each variant, some dropped, some narrowed, by the distances at which they score."""
+    """The factors of each variant, some dropped, some narrowed, by the distances at which they score, with the features (parts that stand for them) whose layer and value they take, and their scores."""
     factors = values(spark, FACTORS, "ref string, description string, layer string, mode string, field string, values array<string>, distances array<struct<distance:int, score:int>>, score int, condition string")
     variants = values(spark, VARIANTS, "variant string, drop_refs array<string>, drop_descriptions array<string>, drop_layers array<string>, narrow map<string, array<string>>, buffer int")
     scored = selection.scored_distances(selection.varied_factors(factors, variants))
-    return scored.select("variant", "ref", "description", F.array_join("values", "|").alias("values"), "distance", "score")
+    order = values(spark, [(i, layer, given) for i, (_, layer, given) in enumerate(sorted((d, y, v) for _, d, y, _, _, v, _, _, _ in FACTORS))], "i int, layer string, given array<string>")
+    parts = table(spark, sf_dir, "part").join(F.broadcast(order), F.col("p_partkey") % len(FACTORS) == F.col("i"))
+    features = parts.select("layer", F.when(F.size("given") > 0, F.try_element_at("given", (F.col("p_partkey") % F.size("given") + 1).cast("int"))).alias("value"))
+    return selection.feature_totals(scored, features).select("variant", "ref", "description", F.array_join("values", "|").alias("values"), "distance", "score", "features", "total")
 
 
 @query("""SELECT event_id, try_cast(CASE WHEN user_id % 3 = 0 THEN 'x' ELSE event_id::VARCHAR END AS BIGINT) AS result, CASE WHEN user_id % 3 = 0 THEN 'no number' END AS error FROM events""")
@@ -446,12 +451,13 @@ def merged_chains(spark, sf_dir):
     return graph.chains(edges, "g", "a", "b").select("g", F.array_min("nodes").alias("first_node"), F.size("nodes").alias("nodes"))
 
 
-@query("""WITH m AS (SELECT DISTINCT p_partkey % 19 AS r, p_partkey * 7 % 23 AS c FROM part WHERE p_partkey % 19 < 17 AND p_partkey * 7 % 23 < 21), ring AS (SELECT r.i AS r, c.i AS c FROM range(2, 9) r(i), range(3, 12) c(i) WHERE r.i IN (2, 8) OR c.i IN (3, 11)) SELECT count(*) AS cells, min(r) AS low FROM (SELECT r, c FROM ring UNION SELECT i, j FROM range(3, 8) a(i), range(4, 11) b(j))""")
+@query("""WITH RECURSIVE m AS (SELECT l_partkey * 7919 % 61 AS r, l_orderkey * 31 % 53 AS c FROM lineitem GROUP BY ALL HAVING count(*) % 2 = 1), g AS (SELECT i AS r, j AS c FROM range(61) a(i), range(53) b(j)), e AS (SELECT * FROM g ANTI JOIN m USING (r, c)),
+o AS (SELECT r, c FROM e WHERE r IN (0, 60) OR c IN (0, 52) UNION SELECT e.r, e.c FROM o JOIN e ON abs(e.r - o.r) + abs(e.c - o.c) = 1)
+SELECT r::INTEGER AS "row", c::INTEGER AS col FROM g ANTI JOIN o USING (r, c)""")
 def filled_region(spark, sf_dir):
-    """A ring of cells with what it encloses."""
-    rows, cols = spark.range(2, 9).select(F.col("id").cast("int").alias("row")), spark.range(3, 12).select(F.col("id").cast("int").alias("col"))
-    ring = rows.crossJoin(cols).where("row in (2, 8) or col in (3, 11)")  # literals
-    return graph.fill_holes(ring, 20, 20).agg(F.count("*").alias("cells"), F.min("row").cast("long").alias("low"))
+    """The cells that hold an odd number of lines, with all cells that they enclose."""
+    cells = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") * 7919 % 61).cast("int").alias("row"), (F.col("l_orderkey") * 31 % 53).cast("int").alias("col")).agg(F.count("*").alias("n"))
+    return graph.fill_holes(cells.where("n % 2 = 1").select("row", "col"), 61, 53)
 
 
 @query("""SELECT true AS known_form, count(*) AS n FROM nation""")

@@ -189,20 +189,19 @@ def labels_and_blanks(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", text.joined(" · ", seg, x, F.col("c_name")).alias("label"), parse.null_to_blank(x).alias("blank"), parse.first_present(x, seg).alias("first"))
 
 
-_FILES = ("/a/no2lur_a-monthly-20230101.zip", "/a/b/GRLAN_AVA_20200101120000.ZIP", "/x/nhx_annual.zip", "/x/wtutv.zip", "/x/._dtr_mly-20190909.zip")
+_FILES = ("/a/no2lur_a_2024-01-31_09-05-00_monthly.zip", "/a/b/GRLAN_AVA_2020-01-01_12-00-00_ANNUAL.zip", "/a/nhacs_ava_2026-05-07_20-31-54_annual.zip", "/x/wtutv.zip", "/x/cbm_monthly.zip", "/x/._dtr_mly_2026-05-07_20-31-54_annual.zip", "/a/aqfpm_01_2026-01-02_03-04-05_annual.zip")
 
 
-@query(rf"""WITH f AS (SELECT p_partkey AS k, {cycled_sql("p_partkey", *_FILES)} AS path FROM part), s AS (SELECT k, path, regexp_replace(regexp_replace(lower(regexp_extract(path, '([^/]+)$', 1)), '\.[a-z]+$', ''), '[-_][0-9]{{8,14}}$', '') AS stem FROM f)
-SELECT k, regexp_replace(stem, '[-_](annual|monthly|ava|mly)$', '') AS dataset, CASE WHEN regexp_extract(stem, '[-_](annual|monthly|ava|mly)$', 1) IN ('monthly', 'mly') THEN 'monthly' ELSE 'annual' END AS cadence, regexp_matches(path, '^/a/.*\.zip$') AS wanted, regexp_replace(string_split(stem, '_')[1], '[0-9]', '', 'g') AS prefix FROM s WHERE NOT regexp_matches(path, '/\._[^/]*$')""")
+@query(rf"""WITH f AS (SELECT p_partkey AS k, {cycled_sql("p_partkey", *_FILES)} AS path FROM part), n AS (SELECT k, path, string_split(path, '/')[-1] AS name FROM f)
+SELECT k, regexp_replace(regexp_replace(name, '\.zip$', ''), '_\d{{4}}-\d{{2}}-\d{{2}}_\d{{2}}-\d{{2}}-\d{{2}}_(annual|monthly)$', '', 'i') AS dataset, coalesce(nullif(lower(regexp_extract(name, '_(annual|monthly)\.zip$', 1, 'i')), ''), 'annual') AS cadence, regexp_matches(path, '^/a/.*\.zip$') AS wanted, regexp_replace(string_split(name, '_')[1], '[0-9]|\.zip$', '', 'g') AS prefix FROM n WHERE NOT starts_with(name, '._')""")
 def archive_names(spark, sf_dir):
     """Datasets and cadences from file names, by a glob, without side-car files."""
     f = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), cycled(F.col("p_partkey"), *_FILES).alias("path")).where(~F.element_at(F.split("path", "/"), -1).startswith("._"))
     name = text.archive_name(F.col("path"))
-    stem = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract("path", "([^/]+)$", 1)), r"\.[a-z]+$", ""), "[-_][0-9]{8,14}$", "")
-    return f.select("k", name["dataset"].alias("dataset"), name["cadence"].alias("cadence"), F.col("path").rlike(text.glob_regex("/a/*.zip")).alias("wanted"), text.variable_prefix(stem).alias("prefix"))
+    return f.select("k", name["dataset"].alias("dataset"), name["cadence"].alias("cadence"), F.col("path").rlike(text.glob_regex("/a/*.zip")).alias("wanted"), text.variable_prefix(name["dataset"]).alias("prefix"))
 
 
-@query("""WITH b AS (SELECT doc_id, n_chars * (doc_id % 7 + 1) ** 9 AS b FROM documents) SELECT doc_id, CASE WHEN b < 1024 THEN format('{} B', b::BIGINT) WHEN b < 1048576 THEN printf('%.1f KB', floor(b / 1024 * 10 + 0.5) / 10) WHEN b < 1073741824 THEN printf('%.1f MB', floor(b / 1048576 * 10 + 0.5) / 10) WHEN b < 1099511627776 THEN printf('%.1f GB', floor(b / 1073741824 * 10 + 0.5) / 10) ELSE printf('%.1f TB', floor(b / 1099511627776 * 10 + 0.5) / 10) END AS size FROM b""")
+@query("""WITH b AS (SELECT doc_id, n_chars * (doc_id % 7 + 1) ** 9 AS b FROM documents) SELECT doc_id, CASE WHEN b >= 1024 ** 4 THEN printf('%.2f TB', floor(b / 1024 ** 4 * 100 + 0.5) / 100) WHEN b >= 1024 ** 3 THEN printf('%.2f GB', floor(b / 1024 ** 3 * 100 + 0.5) / 100) WHEN b >= 1024 ** 2 THEN printf('%.1f MB', floor(b / 1024 ** 2 * 10 + 0.5) / 10) WHEN b >= 1024 THEN printf('%.1f KB', floor(b / 1024 * 10 + 0.5) / 10) ELSE format('{} B', b::BIGINT) END AS size FROM b""")
 def byte_sizes(spark, sf_dir):
     """Sizes as people read them."""
     b = F.col("n_chars") * F.pow(F.col("doc_id") % 7 + 1, F.lit(9.0))

@@ -119,15 +119,32 @@ def clip_filter(spark, sf_dir):
     index = spatial.boundary_index(shaped, ["k"], ["no_name", "name"])
     k = F.col("c_custkey")
     pts = table(spark, sf_dir, "customer").select("c_custkey", lon(k).alias("px"), lat(k).alias("py"))
-    return spatial.points_in_polygons(pts, index, "px", "py", step=2.0).select("c_custkey").distinct()
+    return spatial.points_in_polygons(pts, index, "px", "py").select("c_custkey").distinct()
 
 
-@query(f"""WITH {_BOXES} SELECT k FROM b WHERE x + (w * 2 + w / 4 * 3 + w * 3 / 4 * 2) / 10 BETWEEN -132 AND -122 AND y + (h * 2 + h / 4 * 2 + h * 3 / 4 * 2 + h / 4) / 10 BETWEEN 49 AND 57""")
+@query(f"""WITH {_BOXES} SELECT k FROM b WHERE round(x + w / 2, 9) BETWEEN -132 AND -122 AND round(y + h / 2, 9) BETWEEN 49 AND 57""")
 def centres_within(spark, sf_dir):
-    """Polygons whose mean vertex lies in a given one."""
-    b = supplier_boxes(spark, sf_dir).select("k", geo.vertex_mean(F.col("parts")).alias("m")).select("k", F.col("m.x").alias("mx"), F.col("m.y").alias("my"))
-    region = spark.range(1).select(F.array(F.array(box_ring(F.lit(-132.0), F.lit(49.0), F.lit(10.0), F.lit(8.0)))).alias("parts")).withColumn("box", geo.bbox(F.col("parts")))
-    return b.join(spatial.points_in_polygons(b, region, "mx", "my", step=2.0).select("k"), "k", "left_semi").select("k")
+    """Polygons whose mean vertex lies in a given one or on its border."""
+    b = supplier_boxes(spark, sf_dir).select("k", geo.vertex_mean(F.col("parts"), closing=False).alias("m")).select("k", F.round("m.x", 9).alias("mx"), F.round("m.y", 9).alias("my"))
+    region = spark.range(1).select(F.array(F.array(box_ring(F.lit(-132.0), F.lit(49.0), F.lit(10.0), F.lit(8.0)))).alias("parts"))
+    return b.join(spatial.points_in_polygons(b, region, "mx", "my", border=True).select("k"), "k", "left_semi").select("k")
+
+
+_AREAS = f"a AS (SELECT c_custkey, {lon_sql('c_custkey')} AS ax, {lat_sql('c_custkey')} AS ay, 0.1 + c_custkey % 6 / 4.0 AS aw, 0.1 + c_custkey % 5 / 4.0 AS ah FROM customer)"
+
+
+@query(f"""WITH {_BOXES}, {_AREAS}, t1 AS (SELECT c_custkey, k AS target FROM a JOIN b ON k = c_custkey),
+t2 AS (SELECT c_custkey, k AS target FROM a, b WHERE x + w / 2 BETWEEN ax AND ax + aw AND y + h / 2 BETWEEN ay AND ay + ah),
+t3 AS (SELECT c_custkey, k AS target FROM a, b WHERE ax <= x + w AND x <= ax + aw AND ay <= y + h AND y <= ay + ah AND NOT (ax > x + w / 4 AND ax + aw < x + w * 3 / 4 AND ay > y + h / 4 AND ay + ah < y + h * 3 / 4)),
+u AS (SELECT c_custkey, 1 AS tier, target FROM t1 UNION ALL SELECT c_custkey, 2, target FROM t2 UNION ALL SELECT c_custkey, 3, target FROM t3), m AS (SELECT c_custkey, min(tier) AS tier FROM u GROUP BY 1)
+SELECT a.c_custkey, m.tier, u.target FROM a LEFT JOIN m USING (c_custkey) LEFT JOIN u ON u.c_custkey = a.c_custkey AND u.tier = m.tier""")
+def cascade_match(spark, sf_dir):
+    """Areas by name, else by the centres that lie in them, else by the shapes that share a point with them; a hole that holds an area shares none."""
+    k, c = F.col("c_custkey"), F.col
+    areas = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("basin-"), k).alias("slug"), lon(k).alias("x"), lat(k).alias("y"), (0.1 + k % 6 / 4.0).alias("w"), (0.1 + k % 5 / 4.0).alias("h"))
+    areas = areas.select("c_custkey", "slug", F.array(F.array(box_ring(c("x"), c("y"), c("w"), c("h")))).alias("parts"))
+    known = supplier_boxes(spark, sf_dir).select(c("k").alias("target"), F.concat(F.lit("basin-"), "k").alias("name"), "parts")
+    return spatial.area_cascade(areas, known, "c_custkey", "slug", "target", "name")
 
 
 _ROADS = [(1, 0.0, 0.0, 100.0, 0.0), (2, 0.0, 60.0, 100.0, 60.0), (3, 50.0, -50.0, 50.0, 150.0), (4, 0.0, 5.0, 100.0, 25.0)]

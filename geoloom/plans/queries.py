@@ -5,6 +5,8 @@ Coordinates are derived from integer keys; polygons, segments, aliases and trees
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..operators import aggregates as agg
 from ..operators import graph, relational, spatial
 from ..sources import landed
 from ..streaming.incremental import session_counts, tumbling_counts
-from .base import _SQL, lat, lat_sql, lon, lon_sql, oracle_sql, queries, query, table
+from .base import lat, lat_sql, lon, lon_sql, oracle_sql, queries, query, table
 
 _lon, _lat = lon_sql, lat_sql
 
@@ -137,12 +139,6 @@ def factor_mask_score(spark, sf_dir):
     return _factor_masks(table(spark, sf_dir, "part"))
 
 
-@query(_SQL["factor_mask_score"])
-def factor_mask_score_whole(spark, sf_dir):
-    """factor_mask_score, under its earlier name."""
-    return _factor_masks(table(spark, sf_dir, "part"))
-
-
 def _factor_masks(parts):
     k = F.col("p_partkey")
     shapes = parts.select(k.alias("id"), (k % 3).alias("factor"), F.when(k % 2 == 0, 1.5).otherwise(2.5).alias("d"), ((k * 7919 % 3000) / 100.0).alias("ax"), ((k * 104729 % 3000) / 100.0).alias("ay"))
@@ -184,14 +180,8 @@ def fuzzy_token_match(spark, sf_dir):
 @query("""WITH s AS (SELECT c_custkey, c_nationkey FROM customer), t1 AS (SELECT c_custkey, s_suppkey AS target FROM s JOIN supplier ON s_suppkey = c_custkey), t2 AS (SELECT c_custkey, s_suppkey AS target FROM s JOIN supplier ON s_nationkey = c_nationkey),
 u AS (SELECT c_custkey, 1 AS tier, target FROM t1 UNION ALL SELECT c_custkey, 2, target FROM t2), m AS (SELECT c_custkey, min(tier) AS tier FROM u GROUP BY 1)
 SELECT s.c_custkey, m.tier, u.target FROM s LEFT JOIN m USING (c_custkey) LEFT JOIN u ON u.c_custkey = s.c_custkey AND u.tier = m.tier""")
-def cascade_match(spark, sf_dir):
-    """The matches of the first tier that has any."""
-    return _cascade(spark, sf_dir)
-
-
-@query(_SQL["cascade_match"])
-def cascade_match_whole(spark, sf_dir):
-    """cascade_match, under its earlier name."""
+def key_cascade(spark, sf_dir):
+    """Tiers of keys alone: the matches of the first tier that has any."""
     return _cascade(spark, sf_dir)
 
 
@@ -221,7 +211,7 @@ def dedupe_with_duplicates(spark, sf_dir):
     return out.select("doc_id", F.array_join("sources", ",").alias("sources"), F.coalesce(F.array_join(F.transform("duplicates", lambda x: x.cast("string")), ","), F.lit("")).alias("duplicates"))
 
 
-@query("""SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""")
+@query("""SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) = 1""")
 def latest_per_key(spark, sf_dir):
     """The latest row of each key, ties to the first."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
@@ -240,12 +230,6 @@ def edge_route_offsets(spark, sf_dir):
     return _edge_routes(table(spark, sf_dir, "lineitem"))
 
 
-@query(_SQL["edge_route_offsets"])
-def edge_route_offsets_whole(spark, sf_dir):
-    """edge_route_offsets, under its earlier name."""
-    return _edge_routes(table(spark, sf_dir, "lineitem"))
-
-
 def _edge_routes(lineitem):
     r = lineitem.select("l_suppkey", (F.col("l_partkey") % 50).alias("edge")).distinct()
     return agg.edge_offsets(r, ["edge"], [agg.numeric_first(F.col("l_suppkey").cast("string")), F.col("l_suppkey")]).select("edge", "l_suppkey", "shared", "offset")
@@ -338,10 +322,14 @@ def matrix_pivot(spark, sf_dir):
     return cells.select("y", F.element_at(F.lit(names), F.col("i") + 1).alias("p"), "total").where("total is not null")
 
 
-@query("""WITH RECURSIVE e(parent, child) AS (VALUES (1, 2), (1, 3), (2, 4), (4, 5)), t AS (SELECT 1 AS id, 0 AS depth, '1' AS path UNION ALL SELECT child, depth + 1, path || ' / ' || child FROM t JOIN e ON parent = id) SELECT id, depth, path FROM t""")
+@query("""WITH RECURSIVE e AS (SELECT 'all' AS parent, 'r' || r_regionkey AS child FROM region UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey FROM nation UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey FROM supplier),
+t AS (SELECT 'all' AS id, 0 AS depth, 'all' AS path UNION ALL SELECT child, depth + 1, path || ' / ' || child FROM t JOIN e ON parent = id) SELECT id, depth, path FROM t""")
 def tree_flatten(spark, sf_dir):
-    """A tree as rows with paths."""
-    return graph.flatten_tree(spark.createDataFrame([(1, 2), (1, 3), (2, 4), (4, 5)], "parent int, child int"), spark.createDataFrame([(1,)], "id int"))
+    """Regions, nations, customers and suppliers as one tree, its nodes as rows with paths."""
+    name = lambda prefix, c: F.concat(F.lit(prefix), F.col(c))
+    edges = [("region", F.lit("all"), name("r", "r_regionkey")), ("nation", name("r", "n_regionkey"), name("n", "n_nationkey")), ("customer", name("n", "c_nationkey"), name("c", "c_custkey")), ("supplier", name("n", "s_nationkey"), name("s", "s_suppkey"))]
+    tree = reduce(DataFrame.unionByName, (table(spark, sf_dir, t).select(parent.alias("parent"), child.alias("child")) for t, parent, child in edges))
+    return graph.flatten_tree(tree, spark.createDataFrame([("all",)], "id string"))
 
 
 @query("""SELECT 'quality_known' AS rule, count(*) FILTER (NOT coalesce(quality IN (0, 1), false)) AS failures FROM labels UNION ALL SELECT 'not_toxic', count(*) FILTER (NOT coalesce(toxic = 0, false)) FROM labels UNION ALL SELECT 'labelled', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
@@ -418,12 +406,6 @@ def pending_work(spark, sf_dir):
     return _pending(spark, sf_dir, table(spark, sf_dir, "orders"))
 
 
-@query(_SQL["pending_work"])
-def pending_work_whole(spark, sf_dir):
-    """pending_work, under its earlier name."""
-    return _pending(spark, sf_dir, table(spark, sf_dir, "orders"))
-
-
 def _pending(spark, sf_dir, orders):
     return relational.pending(orders.select("o_orderkey"), table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.relational import first_per_key, upsert
+from ..operators.relational import last_per_key, upsert
 
 
 def upsert_batches(stream: DataFrame, table: str, keys: list[str], order: str, checkpoint: str):
-    """A streaming query that keeps the last row of each key in versions of a table (table/<batch>); each batch reads the version before it and writes its own, so a batch that is run again gives the same."""
+    """A streaming query that keeps the last row of each key in versions of a table (table/<batch>); each batch reads the version before it and writes its own, so a batch that is run again gives the same. A row of a later batch stands unless its order is less, or missing where the state's is not."""
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = first_per_key(batch, keys, F.negative(F.col(order)))
+        new = last_per_key(batch, keys, order)
         if number:
-            new = upsert(spark.read.parquet(f"{table}/{number - 1}"), new, keys)
+            old = spark.read.parquet(f"{table}/{number - 1}")
+            seen = old.select(*keys, F.col(order).alias("_seen"))
+            newer = new.join(seen, keys, "left").where(F.col("_seen").isNull() | (F.col(order) >= F.col("_seen"))).drop("_seen")
+            new = upsert(old, newer, keys)
         new.write.mode("overwrite").parquet(f"{table}/{number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

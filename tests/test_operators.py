@@ -50,7 +50,7 @@ def test_cell_join_is_brute_force(spark):
             rings = {r[3]: r[4] for r in RINGS if r[0] == n}
             if inside(x, y, rings[0]) and not any(inside(x, y, p) for k, p in rings.items() if k):
                 want.add((i, n))
-    got = spatial.points_in_polygons(spark.createDataFrame(points, "k int, x double, y double"), polygons(spark), "x", "y", step=0.7)
+    got = spatial.points_in_polygons(spark.createDataFrame(points, "k int, x double, y double"), polygons(spark), "x", "y")
     assert {(r["k"], r["n"]) for r in got.collect()} == want and want
 
 
