@@ -4,7 +4,8 @@ Patterns find the protected entities. Over the whole corpus, words near them are
 entity, words in a wider window together with the entity itself, and all their other occurrences too; how much of a
 kind's or an entity's information a word discloses is its pointwise mutual information with it over its own
 information. Words over the upper threshold are removed and those over the lower one generalised, as the entities are:
-those that disclose an entity in all texts, those that only disclose a kind in texts that hold entities.
+those that disclose an entity in all texts, those that only disclose a kind in texts that hold entities. Evidence for an
+entity counts by independent contexts: copies of a passage, exact or near, are one.
 """
 
 from __future__ import annotations
@@ -19,16 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Stage, added, chunks, in_passes, pick, word_hashes
+from .common import Stage, added, chunks, in_passes, mixed, pick, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that count as near, and distinct entities a word must be near to be judged.
 NEAR, ENTITIES = 3, 5
-#: Words on either side of an entity that can disclose itself, and how often a word must be there to be judged.
-WIDE, OCCURRENCES = 25, 5
+#: Words on either side of an entity that can disclose itself, in how many contexts a word must be there to be judged, and the share of its occurrences there that these must be. Orders of words by which contexts are told apart.
+WIDE, CONTEXTS, INDEPENDENT, ORDERS = 25, 5, 0.25, 3
 GENERALISE, REMOVE = 0.8, 0.95
 #: Words of one broadcast table; more are searched by further passes, one after the other. Bits of the filter that picks the words to count.
 WORDS_A_PASS, FILTER_BITS = 200_000, 20
+#: Rows that a task passes on at once.
+ROWS = 1 << 16
 # Letters and all that is not ASCII make words, A to Z lower-cased.
 LETTERS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 # Fixed patterns; those for whole runs of digits cannot start inside one, so none is tried twice.
@@ -86,26 +89,51 @@ def near_words(start: np.ndarray, end: np.ndarray, low: int, high: int, near: in
     return np.concatenate((np.arange(max(0, before - near), before), np.arange(after, min(len(start), after + near))))
 
 
+def contexts(words: np.ndarray) -> list[np.ndarray]:
+    """For each order the context of each word of a window: the least pair of neighbours without that word. Copies of a passage, and copies with a few words changed, mostly have one context; windows that share a name or a phrase have different ones in some order."""
+    first, second = words[:-1], words[1:]
+    with np.errstate(over="ignore"):
+        pairs = mixed(first * np.uint64(0x9FB21C651E98DF25) + second)
+    out = []
+    for k in range(ORDERS):
+        keys, seen = mixed(pairs ^ np.uint64((0xA0761D6478BD642F * (k + 1)) & 0xFFFFFFFFFFFFFFFF)), np.zeros(len(words), np.uint64)
+        if len(keys):
+            at = int(keys.argmin())
+            seen[:] = keys[at]
+            for w in {int(first[at]), int(second[at])}:
+                rest = keys[(first != np.uint64(w)) & (second != np.uint64(w))]
+                seen[words == np.uint64(w)] = rest.min() if len(rest) else 0
+        out.append(seen.astype(np.int64))
+    return out
+
+
 def _near_counts(at: int, near: int, wide: int):
-    """Rows of (word, kind, entity) for words near entities, and of (word, null, entity) for those in the wider window: each word once for each entity, however often that is spelled out there."""
+    """Rows of (word, kind, entity, null, null) for words near entities, and for each order of (word, null, entity, perm, context) for those in the wider window: each word once for each entity, however often that is spelled out there."""
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
+
+    def rows(text: str) -> list[tuple]:
+        hashes, start, end = words_at(text)
+        around, out = {}, []
+        for low, high, kind in entities(text):
+            entity = int.from_bytes(hashlib.blake2b(text[low:high].encode(), digest_size=8).digest(), "little", signed=True)
+            out += [(h, kind, entity, None, None) for h in hashes[near_words(start, end, low, high, near)].astype(np.int64).tolist()]
+            around.setdefault(entity, set()).update(near_words(start, end, low, high, wide).tolist())
+        for entity, places in around.items():
+            if places:
+                words = hashes[sorted(places)]
+                for k, seen in enumerate(contexts(words)):
+                    out += [(h, None, entity, k, c) for h, c in zip(words.astype(np.int64).tolist(), seen.tolist(), strict=True)]
+        return out
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for value in batch.column(at):
+            found = []
+            for i, value in enumerate(batch.column(at)):
                 text = value.as_py()
-                if not text or not (found := entities(text)):
-                    continue
-                hashes, start, end = words_at(text)
-                around = {}
-                for low, high, kind in found:
-                    entity = int.from_bytes(hashlib.blake2b(text[low:high].encode(), digest_size=8).digest(), "little", signed=True)
-                    rows += [(h, kind, entity) for h in hashes[near_words(start, end, low, high, near)].astype(np.int64).tolist()]
-                    around.setdefault(entity, set()).update(near_words(start, end, low, high, wide).tolist())
-                for entity, places in around.items():
-                    rows += [(h, None, entity) for h in hashes[sorted(places)].astype(np.int64).tolist()]
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64()), strict=True)], ["word", "kind", "entity"])
+                found += rows(text) if text else []
+                if found and (len(found) >= ROWS or i == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], ["word", "kind", "entity", "perm", "context"])
+                    found = []
 
     return run
 
@@ -127,17 +155,19 @@ def _all_counts(at: int, shared):
     return run
 
 
-def disclosures(docs: DataFrame, text_col: str = "text", near: int = NEAR, least: int = ENTITIES, wide: int = WIDE, occurrences: int = OCCURRENCES) -> DataFrame:
-    """(word, disclosure, of_entity) for the hashes of words near at least so many distinct entities of a kind, or at least so often in the wider window of one entity: the greatest share of a kind's or an entity's information, and of an entity's alone, that the word gives away, 1 if it never occurs elsewhere. A word gives away an entity only if half of its occurrences at least are in the entity's window. Counted over all rows."""
+def disclosures(docs: DataFrame, text_col: str = "text", near: int = NEAR, least: int = ENTITIES, wide: int = WIDE, least_contexts: int = CONTEXTS) -> DataFrame:
+    """(word, disclosure, of_entity) for the hashes of words near at least so many distinct entities of a kind, or in at least so many independent contexts in the wider window of one entity: the greatest share of a kind's or an entity's information, and of an entity's alone, that the word gives away, 1 if it never occurs elsewhere. A word gives away an entity only if half of its occurrences at least are in the entity's window. Counted over all rows."""
     spark, at = docs.sparkSession, docs.columns.index(text_col)
     stage = Stage(spark, "pii")
-    met = stage.table(docs.mapInArrow(_near_counts(at, near, wide), "word long, kind int, entity long").groupBy("word", "kind", "entity").agg(F.count("*").alias("n")))
-    by_kind, by_entity = met.where("kind is not null"), met.where("kind is null")
+    met = stage.table(docs.mapInArrow(_near_counts(at, near, wide), "word long, kind int, entity long, perm int, context long").groupBy("word", "kind", "entity", "perm", "context").agg(F.count("*").alias("n")))
+    by_kind = met.where("kind is not null")
+    in_order = met.where("kind is null").groupBy("word", "entity", "perm").agg(F.count("*").alias("contexts"), F.sum("n").alias("n"))
+    by_entity = stage.table(in_order.groupBy("word", "entity").agg(F.max("contexts").alias("contexts"), F.max("n").alias("n")))
     near_kind = {r["kind"]: r["n"] for r in by_kind.groupBy("kind").agg(F.sum("n").alias("n")).collect()}  # one row a kind
     kinds = by_kind.groupBy("word", "kind").agg(F.count("*").alias("entities"), F.sum("n").alias("n")).where(F.col("entities") >= least)
     around = by_entity.groupBy("entity").agg(F.sum("n").alias("around"))
-    owned = by_entity.where(F.col("n") >= occurrences).join(around, "entity")
-    judged = stage.table(kinds.select("word", "kind", "n", F.lit(None).cast("long").alias("around")).unionByName(owned.select("word", "kind", "n", "around")))
+    owned = by_entity.where((F.col("contexts") >= least_contexts) & (F.col("contexts") >= INDEPENDENT * F.col("n"))).join(around, "entity")
+    judged = stage.table(kinds.select("word", "kind", "n", F.lit(None).cast("long").alias("around")).unionByName(owned.select("word", F.lit(None).cast("int").alias("kind"), "n", "around")))
     bits = np.zeros(1 << FILTER_BITS, bool)
     # As many rows as the filter has bits at most.
     bits[[r[0] for r in judged.select(F.col("word").bitwiseAND((1 << FILTER_BITS) - 1).alias("bit")).distinct().collect()]] = True

@@ -283,7 +283,8 @@ def test_disclosure_is_brute_force(spark):
             words[at:at] = [["anna", "bobby", "router"][k], people[k]]
         texts.append(" ".join(words))
     near, wide, least, often = 3, 6, 2, 3
-    total, every, by_kind, by_entity = 0, defaultdict(int), defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    total, every, by_kind, by_entity, seen = 0, defaultdict(int), defaultdict(lambda: defaultdict(int)), defaultdict(int), defaultdict(lambda: [set() for _ in range(pii.ORDERS)])
+    hashed = lambda w: int(pii.words_at(w)[0][0])
     around, near_kind = defaultdict(int), defaultdict(int)
     for t in texts:
         words = [(m[0], m.start(), m.end()) for m in re.finditer("[a-z]+", t)]
@@ -299,17 +300,23 @@ def test_disclosure_is_brute_force(spark):
             places[t[low:high]] |= set(before[-wide:] + after[:wide])
         for e, own in places.items():
             around[e] += len(own)
-            for i in own:
-                by_entity[words[i][0], e] += 1
+            window = [words[i][0] for i in sorted(own)]
+            for w in window:
+                by_entity[w, e] += 1
+                pairs = [(a, b) for a, b in zip(window, window[1:], strict=False) if w not in (a, b)]
+                for k, kept in enumerate(seen[w, e]):
+                    keys = [int(pii.mixed(pii.mixed(np.array([(hashed(a) * 0x9FB21C651E98DF25 + hashed(b)) % 2**64], np.uint64)) ^ np.uint64(0xA0761D6478BD642F * (k + 1) % 2**64))[0]) for a, b in pairs]
+                    kept.add(min(keys, default=0))
     want = {}
     told = lambda n, w, share: min(1.0, math.log2(n / every[w] / share) / -math.log2(share))
     for (w, kind), of in by_kind.items():
         if len(of) >= least:
             want[w] = max(want.get(w, -9), told(sum(of.values()), w, near_kind[kind] / total))
     for (w, e), n in by_entity.items():
-        if n >= often:
+        own = max(map(len, seen[w, e]))
+        if own >= often and own >= pii.INDEPENDENT * n:
             want[w] = max(want.get(w, -9), told(n, w, around[e] / total) if 2 * n >= every[w] else 0.0)
-    got = {r["word"]: r["disclosure"] for r in pii.disclosures(documents(spark, texts), near=near, least=least, wide=wide, occurrences=often).collect()}
+    got = {r["word"]: r["disclosure"] for r in pii.disclosures(documents(spark, texts), near=near, least=least, wide=wide, least_contexts=often).collect()}
     assert got == {int(pii.words_at(w)[0].astype(np.int64)[0]): pytest.approx(v) for w, v in want.items()}
     assert {"anna", "bobby", "router"} <= set(want) and max(want[w] for w in common if w in want) < min(want[w] for w in ("anna", "bobby", "router"))
 
@@ -326,6 +333,26 @@ def test_names_that_disclose_one_address_are_removed_everywhere(spark):
     assert alone["base_spans"] == "" and alone["spans"].count(":") == 2
 
 
+def test_copies_of_a_passage_are_one_piece_of_evidence(spark):
+    """Names in independent contexts of an address disclose it; words of passages with an address that is copied, exactly or nearly, do not."""
+    rng = random.Random(31)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(4000)]
+    weights = [1 / (i + 10) for i in range(4000)]
+    words = lambda n: rng.choices(vocabulary, weights, k=n)
+    names, texts = [f"Qname{c}x" for c in "abcdefghij"], []
+    for i, name in enumerate(names):
+        for _ in range(12):
+            texts.append(" ".join([*words(40), name, "Surname", f"box{i}@people.example", *words(40)]))
+    for i, copies in enumerate((6, 6, 6, 12, 30, 100)):
+        passage = [*words(40), f"desk{i}@office.example", *words(40)]
+        for j in range(copies):
+            texts.append(" ".join(w if "@" in w or i % 2 == 0 or rng.random() > 0.04 else rng.choice(vocabulary) for w in passage))
+    texts += [" ".join(words(80)) for _ in range(400)]
+    found = {r["word"] for r in pii.disclosures(documents(spark, texts)).collect() if (r["of_entity"] or 0) >= pii.GENERALISE}
+    of = {int(pii.words_at(n)[0].astype(np.int64)[0]) for n in names}
+    assert of <= found and len(found - of) <= 1
+
+
 def test_decontamination_is_brute_force(spark):
     rng = random.Random(4)
     words = ["ab", "b", "c1", "été", "X", "y"]
