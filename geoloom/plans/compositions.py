@@ -398,7 +398,7 @@ _DISTANCES = ", ".join(f"('{d}', {m}, {s})" for _, d, _, mode, _, _, near, _, _
 n(variant, ref, kept) AS (VALUES {", ".join(f"('{k}', '{r}', {_list_sql(kept)})" for k, _, _, _, narrow, _ in VARIANTS for r, kept in narrow.items())}), m(description, metres, points) AS (VALUES {_DISTANCES}),
 k AS (SELECT variant, ref, f.description, array_to_string(CASE WHEN kept IS NULL THEN given ELSE list_filter(given, lambda x: list_contains(kept, x)) END, '|') AS "values", mode, score, buffer FROM f CROSS JOIN v LEFT JOIN n USING (variant, ref) WHERE NOT list_contains(refs, ref) AND NOT list_contains(descriptions, f.description) AND NOT list_contains(layers, layer)),
 a AS (SELECT description, row_number() OVER (ORDER BY description) - 1 AS i, layer, given FROM f), p AS (SELECT layer, CASE WHEN len(given) > 0 THEN given[p_partkey % len(given) + 1] END AS v, count(*) AS n FROM part JOIN a ON i = p_partkey % (SELECT count(*) FROM a) GROUP BY ALL),
-s AS (SELECT variant, ref, description, "values", CASE WHEN k.mode = 'proximity' THEN metres ELSE buffer END AS distance, CASE WHEN k.mode = 'proximity' THEN points ELSE k.score END AS score, f.layer FROM k JOIN f USING (ref, description) LEFT JOIN m USING (description))
+s AS (SELECT variant, ref, description, "values", CASE WHEN k.mode = 'proximity' THEN metres ELSE buffer END AS distance, CASE WHEN k.mode = 'proximity' THEN points ELSE k.score END AS score, f.layer FROM k JOIN f USING (ref, description) LEFT JOIN m USING (description)),
 t AS (SELECT variant, ref, description, "values", distance, score, coalesce(sum(n), 0)::BIGINT AS features FROM s LEFT JOIN p ON p.layer = s.layer AND ("values" = '' OR list_contains(string_split("values", '|'), v)) GROUP BY ALL) SELECT *, score * features AS total FROM t""")
 def factor_variants(spark, sf_dir):
     """The factors of each variant, some dropped, some narrowed, by the distances at which they score, with the features (parts that stand for them) whose layer and value they take, and their scores."""
