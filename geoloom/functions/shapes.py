@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import arrangement
 from .geo import MULTIPOLYGON
 
 
@@ -107,6 +108,13 @@ def simplified(parts: Column, tolerance: float) -> Column:
     return _each(parts, lambda m: [[simplified_ring(r, tolerance) for r in p] for p in m])
 
 
+def made_valid(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """Valid polygons of what lies in an odd number of the rings. Rings that touch none are grouped by what lies in what; others are cut where they meet first. Spikes and what rings share go."""
+    closed = [np.vstack((r, r[:1])) if len(r) and (r[0] != r[-1]).any() else r for r in rings]
+    cut = arrangement.repaired([r for r in closed if len(r) >= 4 and np.isfinite(r).all()])
+    return regrouped(closed) if cut is None else cut
+
+
 def repaired(parts: Column) -> Column:
-    """A multipolygon whose rings are grouped anew by what lies in what; degenerate rings go."""
-    return _each(parts, lambda m: regrouped([r for p in m for r in p]))
+    """A multipolygon made valid from its rings, in whatever order and however they cross."""
+    return _each(parts, lambda m: made_valid([r for p in m for r in p]))

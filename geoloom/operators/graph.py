@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
+
 
 def shared_edges(df: DataFrame, edge: str, route: str, sets: list[str], order: str, coordinates: str) -> DataFrame:
     """A row for each edge and route: its sorted sets, and the coordinates of its first occurrence."""
@@ -15,41 +16,52 @@ def shared_edges(df: DataFrame, edge: str, route: str, sets: list[str], order: s
 
 
 def chains(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
-    """(group, chain, nodes): the edges of each group joined where exactly two meet, by following them from ends and junctions; circles start at their least node.
+    """(group, nodes): the edges of each group joined where exactly two meet, from the lesser end; circles start at their least node, towards its lesser neighbour.
 
-    A group is one bundle of routes along one road, which real networks bound; it is handled in one task.
+    Every step along an edge points to the one after it, the last one to itself. Round by round each takes over where
+    the one that it points to points, so that n steps need log2(n) joins of narrow rows, and no task holds a group.
+    Steps that never come to an end are on circles, which are cut at their least node and ranked again.
     """
-    kind = df.schema[group].dataType.simpleString()
-
-    def walk(key, edges: pd.DataFrame) -> pd.DataFrame:
-        around: dict[str, set[str]] = {}
-        for x, y in zip(edges[a], edges[b], strict=True):
-            if x != y:
-                around.setdefault(x, set()).add(y)
-                around.setdefault(y, set()).add(x)
-        left = {tuple(sorted((x, y))) for x, ys in around.items() for y in ys}
-        found = []
-
-        def follow(x: str, y: str) -> None:
-            nodes = [x, y]
-            left.discard(tuple(sorted((x, y))))
-            while len(around[nodes[-1]]) == 2:
-                onward = [n for n in sorted(around[nodes[-1]]) if tuple(sorted((nodes[-1], n))) in left]
-                if len(onward) != 1:
-                    break
-                left.discard(tuple(sorted((nodes[-1], onward[0]))))
-                nodes.append(onward[0])
-            found.append(nodes)
-
-        for only_ends in (True, False):
-            for x in sorted(around):
-                if not only_ends or len(around[x]) != 2:
-                    for y in sorted(around[x]):
-                        if tuple(sorted((x, y))) in left:
-                            follow(x, y)
-        return pd.DataFrame({group: key[0], "chain": range(len(found)), "nodes": found})
-
-    return df.select(group, F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b)).groupBy(group).applyInPandas(walk, f"{group} {kind}, chain int, nodes array<string>")
+    name = F.col
+    ends = df.select(group, name(a).cast("string").alias("_a"), name(b).cast("string").alias("_b")).where("_a != _b")
+    edges = ends.select(group, F.least("_a", "_b").alias("u"), F.greatest("_a", "_b").alias("v")).distinct()
+    steps = edges.unionByName(edges.select(group, name("v").alias("u"), name("u").alias("v"))).withColumn("id", F.monotonically_increasing_id())
+    steps = _written(steps, "steps")
+    through = steps.groupBy(group, "u").agg(F.count("*").alias("n")).where("n = 2").select(group, name("u").alias("v"))
+    onward = steps.select(group, name("u").alias("v"), name("v").alias("w"), name("id").alias("to"))
+    follow = steps.join(through, [group, "v"]).join(onward, [group, "v"]).where("w != u").select("id", "to")
+    state = steps.join(follow, "id", "left").select("id", "u", "v", F.coalesce("to", "id").alias("to"))
+    ranked, endless = _ranked(state)
+    if endless:
+        circles = ranked.where("endless")
+        cut = circles.select("id", "u", "v", F.when(name("v") == name("least"), name("id")).alias("own"), "least").join(follow, "id").select("id", "u", "v", F.coalesce("own", "to").alias("to"))
+        ranked = ranked.where("not endless").unionByName(_ranked(cut)[0].where("not endless"))
+    nodes = F.transform(F.array_sort(F.collect_list(F.struct(F.negative("hops").alias("at"), "u", "v"))), lambda x: x["u"])
+    found = ranked.join(steps.select("id", group), "id").groupBy(group, "to").agg(F.concat(nodes, F.array(F.max_by("v", F.negative("hops")))).alias("nodes"))
+    size = F.size("nodes")
+    pair = lambda i, k: F.struct(F.element_at("nodes", i).alias("p"), F.element_at("nodes", k).alias("q"))
+    # Each chain has been found from both of its ends.
+    return found.where(pair(F.lit(1), F.lit(2)) <= pair(size, size - 1)).select(group, "nodes")
+
+
+def _ranked(state: DataFrame) -> tuple[DataFrame, int]:
+    """(id, u, v, to, hops, least, endless) of (id, u, v, to): the last step that each comes to and how many it takes there; of endless steps, whose number is the second value, the least node on their way."""
+    now = _written(state.withColumn("hops", (F.col("to") != F.col("id")).cast("long")).withColumn("least", F.col("u")), "ranks")
+    far, before = 1, -1
+    while True:
+        still = now.where(F.col("hops") == far).count()
+        if still == 0 or (still == before and far >= still):
+            return now.withColumn("endless", F.col("hops") == far), still
+        other = now.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("hops").alias("_hops"), F.col("least").alias("_least"))
+        now = _written(now.join(other, "to").select("id", "u", "v", F.col("_to").alias("to"), (F.col("hops") + F.col("_hops")).alias("hops"), F.least("least", "_least").alias("least")), "ranks")
+        far, before = 2 * far, still
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def flatten_tree(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -72,6 +72,18 @@ def repaired_polygons(spark, sf_dir):
     return out.select("k", F.size("p").alias("polygons"), F.aggregate("p", F.lit(0), lambda s, q: s + F.size(q) - 1).alias("holes"), F.round(geo.multipolygon_area(c("p")), 6).alias("area"))
 
 
+@query(f"""WITH {_BOXES} SELECT k, 2 + (k % 2)::INTEGER AS polygons, round(CASE WHEN k % 2 = 0 THEN w * h / 2 ELSE w * h / 2 + w * h end, 6) AS area FROM b""")
+def crossing_rings(spark, sf_dir):
+    """Rings that cross themselves, with a spike, some with a box beside that shares a border: cut where they meet, made of what lies in an odd number of them."""
+    c = F.col
+    b = supplier_boxes(spark, sf_dir)
+    x, y, w, h = c("x"), c("y"), c("w"), c("h")
+    eight = ring((x, y), (x + w, y + h), (x + w, y), (x, y + h), (x, y + h * 2), (x, y + h), (x, y))
+    beside = F.when(c("k") % 2 == 1, F.array(F.array(box_ring(x + w, y + h, w, h)))).otherwise(F.array().cast(geo.MULTIPOLYGON))
+    out = b.select("k", shapes.repaired(F.concat(F.array(F.array(eight)), beside)).alias("p"))
+    return out.select("k", F.size("p").alias("polygons"), F.round(geo.multipolygon_area(c("p")), 6).alias("area"))
+
+
 @query(f"""SELECT s_suppkey AS k, round({_X}, 6) AS x, round({_Y}, 6) AS y, round(0.6 * cos(radians(53.9)) * 111320.0 * ({_X} - -122.75) / 0.6, 3) AS lx, round({_Y} * 110540.0, 3) AS ly FROM supplier WHERE {_X} BETWEEN -126 AND -120""")
 def plane_coordinates(spark, sf_dir):
     """Metres of a local plane, and of zone 10 north and back."""

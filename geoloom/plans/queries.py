@@ -14,7 +14,7 @@ from ..functions import dates, geo, parse, text
 from ..operators import aggregates as agg
 from ..operators import graph, relational, spatial
 from ..sources import landed
-from ..streaming.incremental import session_counts, tumbling_counts
+from ..streaming.incremental import session_counts, sliding_counts, tumbling_counts, without_repeats
 from .base import lat, lat_sql, lon, lon_sql, oracle_sql, queries, query, table
 
 _lon, _lat = lon_sql, lat_sql
@@ -392,6 +392,18 @@ def user_sessions(spark, sf_dir):
     return session_counts(table(spark, sf_dir, "events"), "ts", "user_id")
 
 
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) - to_hours(s) AS start, event_type, count(*) AS n FROM events, range(3) r(s) GROUP BY ALL""")
+def sliding_events(spark, sf_dir):
+    """Extension, X06: windows of three hours that begin every hour."""
+    return sliding_counts(table(spark, sf_dir, "events"), "ts", "3 hours", "1 hour", "event_type")
+
+
+@query("""SELECT user_id, event_type, min(ts) AS ts FROM events GROUP BY ALL""")
+def first_events(spark, sf_dir):
+    """Extension, X06: the first event of each user and type; in a stream the repeats within the watermark go."""
+    return without_repeats(table(spark, sf_dir, "events").select("user_id", "event_type", "ts"), "ts", "user_id", "event_type")
+
+
 @query("""SELECT r.r_name AS name, n_nationkey AS k FROM nation JOIN region h ON n_regionkey = h.r_regionkey JOIN region r ON contains(lower(n_name || ' of ' || h.r_name), lower(r.r_name)) WHERE len(r.r_name) >= 4""")
 def contained_names(spark, sf_dir):
     """Names that occur in texts, by an equi-join on their first letters."""

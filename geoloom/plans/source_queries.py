@@ -64,6 +64,16 @@ def feature_collections(spark, sf_dir):
     return back.where(F.trim(F.coalesce("name", F.lit(""))) != "").select("k", "name", F.col("geometry_type").alias("kind"), F.size(parts[0][0]).alias("points"))
 
 
+@query("""SELECT o_orderkey AS k, o_orderpriority AS name, 'Point' AS kind, (o_orderkey % 360)::DOUBLE AS x FROM orders""")
+def large_collections(spark, sf_dir):
+    """All orders as one collection, written in sorted parts and read by ranges of bytes."""
+    k = F.col("o_orderkey")
+    f = table(spark, sf_dir, "orders").select(k.alias("k"), sinks.feature(sinks.point((k % 360).cast("double"), F.lit(50.0)), k=k, name=F.col("o_orderpriority")).alias("f"))
+    sinks.write_feature_collection(f, path := scratch_path(spark, "collection"), "f", "k")
+    back = landed.split_geojson(spark, [f"{path}/{part}" for part in ("0-head", "1-features", "2-end")], "k long, name string")
+    return back.select("k", "name", F.col("geometry_type").alias("kind"), F.from_json("coordinates", "array<double>")[0].alias("x"))
+
+
 @query("""SELECT c_custkey, c_name, c_acctbal AS x FROM customer""")
 def paged_services(spark, sf_dir):
     """Pages of features, united; their number must be the one that the service counts."""

@@ -47,6 +47,29 @@ def geojson(spark: SparkSession, path: str | list[str], properties: str, lines:
     return found.select(F.posexplode("c.features").alias("feature_index", "f")).select("feature_index", F.col("f.properties.*"), F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
 
 
+def split_geojson(spark: SparkSession, path: str | list[str], properties: str) -> DataFrame:
+    """As geojson(), without the features' numbers, for large collections: one file is read by many tasks, each from the first feature that begins in its range of bytes. Files of one call are written alike: every feature begins with its type, spaced as the first one of all. Other files raise an error, and are for geojson()."""
+    feature = f"struct<type:string,id:string,geometry:struct<type:string,coordinates:string>,properties:struct<{properties}>>"
+    mark = '"Feature"'
+    # A quote inside of a JSON text is escaped, so the mark is no part of one.
+    heads = spark.read.text(path, lineSep=mark).where(F.regexp_count("value", F.lit(r'"type"\s*:\s*"FeatureCollection"')) > 0).select(F.regexp_extract("value", r'(\{\s*"type"\s*:\s*)$', 1))
+    found = heads.first()
+    if found is None:
+        return geojson(spark, path, properties)
+    if not found[0]:
+        raise ValueError("features do not begin with their type: read them with geojson()")
+    begin = found[0] + mark
+    parts = spark.read.text(path, lineSep=begin)
+    # What stands before the first feature of a file holds no other one; a part with another feature is written unlike.
+    other = F.col("value").rlike(r'"type"\s*:\s*"Feature"')
+    alike = F.coalesce(F.when(~other, True), F.raise_error(F.concat(F.lit("features are written in several ways: "), F.substring("value", 1, 80))).cast("boolean"))
+    head = F.col("value").rlike(r'^\s*\{[\s\S]*"type"\s*:\s*"FeatureCollection"')
+    # Before a file's first feature there may be a comma, and in a file without any the end of the collection.
+    between = F.col("value").rlike(r"^\s*,?\s*(\][\s\S]*)?$")
+    rows = parts.where(alike & ~head & ~between).select(F.from_json(F.concat(F.lit(begin), F.regexp_replace("value", r"[\s,]+$", "")), feature).alias("f"), "value")
+    return rows.where(_proven(F.col("f.type") == "Feature", "value")).select(F.col("f.properties.*"), F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("coordinates"))
+
+
 def _proven(condition: Column, text: str) -> Column:
     """True, or an error that shows where the text begins."""
     return F.coalesce(F.when(condition, True), F.raise_error(F.concat(F.lit("no feature or collection: "), F.substring(text, 1, 80))).cast("boolean"))

@@ -33,6 +33,22 @@ def feature_collection(df: DataFrame, feature_column: str, *order: str) -> DataF
     return rows.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.transform("f", lambda x: x[feature_column]), ","), F.lit("]}")).alias("value"))
 
 
+def write_feature_collection(df: DataFrame, path: str, feature_column: str, *order: str) -> None:
+    """One collection of any size as a folder of parts, which in the order of their paths are the document: `0-head`, the sorted features in `1-features`, `2-end`. Parts are written by many tasks; a file system that joins files makes one of them without reading any. landed.split_geojson() reads the folder."""
+    spark = df.sparkSession
+    rows = df.select(F.struct(*order, feature_column).alias("_r"))
+    first = rows.agg(F.min("_r").alias("_r"))
+    begin = first.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.coalesce(F.col(f"_r.{feature_column}"), F.lit(""))).alias("value"))
+    begin.coalesce(1).write.text(f"{path}/0-head")
+    # All but one row that is equal to the first follow it.
+    same = F.equal_null(F.col("_r"), F.col("_first"))
+    marked = rows.crossJoin(F.broadcast(first.withColumnRenamed("_r", "_first"))).withColumn("_same", same)  # one row
+    again = marked.where("_same").groupBy("_r").agg(F.count("*").alias("n")).where("n > 1").select("_r", F.explode(F.sequence(F.lit(2), F.col("n").cast("int")))).select("_r")
+    rest = marked.where("not _same").select("_r").unionByName(again).orderBy("_r")
+    rest.select(F.concat(F.lit(","), F.col(f"_r.{feature_column}"))).write.text(f"{path}/1-features")
+    spark.range(1).select(F.lit("]}")).coalesce(1).write.text(f"{path}/2-end")
+
+
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """With a header; only what holds a comma, a quote or a line break is quoted, quotes are doubled."""
     df.write.csv(path, header=True, quote='"', escape='"', emptyValue="", compression=compression or "none")

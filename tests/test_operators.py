@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.operators import aggregates, graph, relational, spatial
-from geoloom.sources import landed, sinks
+from geoloom.sources import landed, paged, sinks
 from geoloom.streaming import incremental
 
 
@@ -89,6 +89,24 @@ def test_chains_and_holes(spark):
     assert graph.fill_holes(spark.createDataFrame(ring, "row int, col int"), 5, 5).count() == 9
 
 
+def test_long_chains_are_no_task(spark):
+    """A chain of 20,000 edges, a circle of 1,000 and single edges in one group."""
+    rng = random.Random(3)
+    names = [f"n{i:05}" for i in range(20_001)]
+    rng.shuffle(names)
+    circle = [f"z{i:04}" for i in range(1000)]
+    rng.shuffle(circle)
+    edges = [(1, *p) for p in zip(names, names[1:], strict=False)] + [(1, a, b) for a, b in zip(circle, circle[1:] + circle[:1], strict=True)] + [(1, "p", "q"), (1, "q", "p"), (1, "p", "p"), (2, "p", "q")]
+    rng.shuffle(edges)
+    got = {(r["group"], len(r["nodes"])): r["nodes"] for r in graph.chains(spark.createDataFrame(edges, "group int, a string, b string"), "group", "a", "b").collect()}
+    assert set(got) == {(1, 20_001), (1, 1001), (1, 2), (2, 2)}
+    assert got[1, 20_001] == (names if names[0] < names[-1] else names[::-1])
+    k = circle.index(min(circle))
+    turned = circle[k:] + circle[:k]
+    turned = turned if turned[1] < turned[-1] else turned[:1] + turned[:0:-1]
+    assert got[1, 1001] == [*turned, turned[0]]
+
+
 def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "a.csv").write_text('﻿x,y,x\n1,"say ""hi""",2\n3\n', encoding="utf-8")
     rows = landed.csv_rows(spark, str(tmp_path / "a.csv"))
@@ -113,6 +131,164 @@ def test_sources_and_sinks(spark, tmp_path):
     assert '"FeatureCollection"' in sinks.feature_collection(df, "f", "id").first()[0]
 
 
+def test_collections_of_any_size_round_trip(spark, tmp_path):
+    """Parts joined in the order of their paths are one document; repeated rows and an empty table, too. One file is read by several tasks."""
+    import json
+
+    df = spark.range(30_000).select((F.col("id") % 29_990).alias("id"), F.when(F.col("id") % 7 == 0, 'a "Feature" {"type":"Feature" of [x]}').otherwise("n").alias("name"))
+    df = df.withColumn("f", sinks.feature(sinks.point(F.col("id") / 10, F.lit(1.5)), id=F.col("id"), name=F.col("name")))
+    whole = lambda path: "".join(p.read_text() for p in sorted(path.rglob("part-*")))
+    sinks.write_feature_collection(df.repartition(7), str(tmp_path / "c"), "f", "id")
+    document = json.loads(whole(tmp_path / "c"))
+    want = sorted((r["id"], r["name"]) for r in df.collect())
+    assert document["type"] == "FeatureCollection" and [f["properties"]["id"] for f in document["features"]] == [i for i, _ in want]
+    for spaced in (False, True):
+        (tmp_path / "one.json").write_text(json.dumps({"type": "FeatureCollection", "name": "x", "features": document["features"], "bbox": [1, 2]}, separators=None if spaced else (",", ":")) + "\n")
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+        got = landed.split_geojson(spark, str(tmp_path / "one.json"), "id long, name string")
+        assert got.rdd.getNumPartitions() > 5 and sorted((r["id"], r["name"]) for r in got.collect()) == want and got.where("geometry_type = 'Point' and coordinates like '[%,1.5]'").count() == len(want)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    sinks.write_feature_collection(df.limit(0), str(tmp_path / "none"), "f", "id")
+    assert json.loads(whole(tmp_path / "none")) == {"type": "FeatureCollection", "features": []}
+    (tmp_path / "mixed.json").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{},"geometry":null},{ "type": "Feature","properties":{},"geometry":null}]}')
+    with pytest.raises(Exception, match="several ways"):
+        landed.split_geojson(spark, str(tmp_path / "mixed.json"), "id long").collect()
+    (tmp_path / "late.json").write_text('{"type":"FeatureCollection","features":[{"id":1,"type":"Feature","properties":{"id":4},"geometry":null}]}')
+    with pytest.raises(ValueError, match="begin with their type"):
+        landed.split_geojson(spark, str(tmp_path / "late.json"), "id long")
+
+
+class Service:
+    """A local service of 25 features; the first two answers to each page, and to each range of its archive, are errors."""
+
+    def __init__(self, archive=b""):
+        import collections
+        import http.server
+        import json
+        import threading
+        import urllib.parse
+
+        self.asked = collections.Counter()
+        service = self
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def log_message(self, *_):
+                pass
+
+            def _answer(self, code, data=b"", **headers):
+                self.send_response(code)
+                self.send_header("Content-Length", str(len(data)) if data else headers.pop("Content_Length", "0"))
+                self.end_headers()
+                self.wfile.write(data)
+
+            def do_HEAD(self):
+                self._answer(200, Content_Length=str(len(archive)))
+
+            def do_GET(self):
+                url = urllib.parse.urlparse(self.path)
+                q = {k: v[0] for k, v in urllib.parse.parse_qs(url.query).items()}
+                key = (url.path, q.get("resultOffset"), self.headers.get("Range"))
+                service.asked[key] += 1
+                if url.path == "/broken":
+                    return self._answer(200, b'{"error": {"code": 400, "message": "no such layer"}}')
+                if service.asked[key] <= 2:
+                    return self._answer(503)
+                if url.path == "/z.zip":
+                    low, high = map(int, self.headers["Range"].removeprefix("bytes=").split("-"))
+                    return self._answer(206, archive[low : high + 1])
+                if "returnCountOnly" in q:
+                    return self._answer(200, b'{"count": 25}')
+                low, n = int(q["resultOffset"]), int(q["resultRecordCount"])
+                rows = [{"type": "Feature", "properties": {"id": i, "name": None if i == 3 else f"n{i}", "x": i}, "geometry": {"type": "Point", "coordinates": [i, 1]}} for i in range(low, min(low + n, 25))]
+                return self._answer(200, json.dumps({"features": rows}).encode())
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}"
+
+
+def test_paged_services_are_read_by_page_with_retries(spark):
+    spark.dataSource.register(paged.PagedService)
+    service = Service()
+    read = lambda path, **more: spark.read.format("paged_service").schema("id long, name string, x double, geometry string, absent string").options(url=service.url + path, page="10", pause="0.01", **more).load()
+    df = read("/layer")
+    assert df.rdd.getNumPartitions() == 3
+    got = sorted(tuple(r) for r in df.collect())
+    assert [g[0] for g in got] == list(range(25)) and got[3][1] is None and got[4] == (4, "n4", 4.0, '{"type": "Point", "coordinates": [4, 1]}', None)
+    assert all(n >= 3 for n in service.asked.values())
+    with pytest.raises(Exception, match="no such layer"):
+        read("/broken").collect()
+    with pytest.raises(Exception, match="503"):
+        read("/other", tries="2").collect()
+    calls = []
+    with pytest.raises(TimeoutError):
+        paged.with_retries(lambda: (_ for _ in ()).throw(TimeoutError()), 4, 1.0, calls.append)
+    assert calls == [1.0, 2.0, 4.0]
+
+
+def test_members_of_remote_archives_are_partitions(spark):
+    import io
+    import zipfile
+
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a/stops.txt", "\ufeffk,v\r\n1,x\n")
+        z.writestr("b/stops.txt", "k,v\n2,é")
+        z.writestr("other.bin", np.random.default_rng(1).bytes(3_000_000))
+    service = Service(held.getvalue())
+    spark.dataSource.register(paged.ZippedLines)
+    df = spark.read.format("zipped_lines").options(url=service.url + "/z.zip", pattern="stops", pause="0.01").load()
+    assert df.rdd.getNumPartitions() == 2
+    assert sorted(map(tuple, df.collect())) == [("a/stops.txt", 0, "k,v"), ("a/stops.txt", 1, "1,x"), ("b/stops.txt", 0, "k,v"), ("b/stops.txt", 1, "2,é")]
+
+
+def test_late_rows_sessions_and_repeats_of_a_stream(spark, tmp_path):
+    """Rows behind the watermark are in no window, a session closes once the watermark has passed it, repeats within it go, and keyed state ignores what is older."""
+    import datetime
+
+    at = lambda m: datetime.datetime(2024, 1, 1, 12) + datetime.timedelta(minutes=m)
+    schema = "k string, ts timestamp, i int"
+    batches = [[("a", at(0), 1), ("a", at(5), 2), ("b", at(1), 9)], [("a", at(200), 3), ("a", at(200), 3)], [("a", at(2), 4), ("b", at(210), 1), ("c", at(211), None)], [("b", at(400), 5), ("c", at(401), 7)]]
+
+    def run(name, made, mode):
+        source, seen = tmp_path / name / "in", []
+        for n, rows in enumerate(batches):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
+            stream = made(spark.readStream.schema(schema).parquet(str(source)))
+            stream.writeStream.outputMode(mode).option("checkpointLocation", str(tmp_path / name / "c")).foreachBatch(lambda df, _: seen.extend(map(tuple, df.collect()))).trigger(availableNow=True).start().awaitTermination(120)
+        return seen
+
+    windows = run("w", lambda s: incremental.sliding_counts(s, "ts", "20 minutes", "10 minutes", "k", late="30 minutes"), "append")
+    assert (at(0), "a", 2) in windows and (at(-10), "a", 2) in windows and (at(200), "a", 2) in windows  # the row of minute 2 in the third batch is late
+    sessions = run("s", lambda s: incremental.session_counts(s, "ts", "k", "30 minutes", "30 minutes"), "append")
+    assert ("a", at(0), at(35), 2) in sessions and ("b", at(1), at(31), 1) in sessions
+    once = run("d", lambda s: incremental.without_repeats(s, "ts", "k", "i", late="30 minutes"), "append")
+    assert once.count(("a", at(200), 3)) == 1 and ("a", at(0), 1) in once and not any(r[2] == 4 for r in once)
+
+
+def test_keyed_state_of_a_stream(spark, tmp_path):
+    pytest.importorskip("google.protobuf")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    seen = []
+    for rows in ([("a", 1, "x"), ("b", None, "y")], [("a", 0, "old"), ("b", 4, "z")], [("b", None, "none"), ("a", 2, "w")]):
+        spark.createDataFrame(rows, "k string, i int, v string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = incremental.latest_rows(spark.readStream.schema("k string, i int, v string").parquet(str(tmp_path / "in")), "k", "i")
+        seen.append([])
+        stream.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "c")).foreachBatch(lambda df, _: seen[-1].extend(map(tuple, df.collect()))).trigger(availableNow=True).start().awaitTermination(120)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    assert [sorted(s, key=str) for s in seen] == [[("a", 1, "x"), ("b", None, "y")], [("b", 4, "z")], [("a", 2, "w")]]
+
+
+def test_undated_rows_do_not_replace_state(spark, tmp_path):
+    for i, rows in enumerate(([("a", 5, 1), ("b", None, 2)], [("a", None, 9), ("a", 3, 8), ("b", 1, 3)])):
+        spark.createDataFrame(rows, "k string, i int, v int").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("k string, i int, v int").parquet(str(tmp_path / "in"))
+        incremental.upsert_batches(stream, str(tmp_path / "t"), ["k"], "i", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(60)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t" / "1")).collect())) == [("a", 5, 1), ("b", 1, 3)]
+
+
 def test_incremental_upsert(spark, tmp_path):
     for i, rows in enumerate(([("a", 1, 1)], [("a", 2, 5), ("b", 1, 7)])):
         spark.createDataFrame(rows, "k string, i int, v int").write.mode("append").parquet(str(tmp_path / "in"))
