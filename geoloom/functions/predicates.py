@@ -54,3 +54,12 @@ def long_enough(ax: Column, ay: Column, bx: Column, by: Column, least: float = 2
 
 def accepted_geocode(status: Column, score: Column, locality: Column, town: str, least: float = 75) -> Column:
     return (status == "matched") & (score >= least) & (F.lower(locality) == town.lower())
+
+
+#: Categories that count as useful whatever the flags say.
+USEFUL = ("healthy_food_outlet", "retail_service", "retail_service_candidate", "food_or_household_retail")
+
+
+def useful_business(healthy_food: Column, retail_services: Column, category: Column) -> Column:
+    """Whether a classified business is kept: flagged as either, or of a useful class. Nulls are no reason to keep it."""
+    return F.coalesce(healthy_food, F.lit(False)) | F.coalesce(retail_services, F.lit(False)) | F.coalesce(category.isin(*USEFUL), F.lit(False))

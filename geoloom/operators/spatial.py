@@ -132,11 +132,20 @@ def area_cascade(areas: DataFrame, known: DataFrame, area_id: str, name: str, kn
 
 def first_polygon(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, order: str, value: str, parts: str = "parts") -> DataFrame:
     """Every point with `value` of the first polygon by `order` that holds it, null if none does, also if that polygon's value is null."""
-    hits = points_in_polygons(points.select(point_id, x, y), polygons.select(order, value, parts), x, y, parts)
+    hits = points_in_polygons(points.select(point_id, x, y), polygons.select(*dict.fromkeys((order, value, parts))), x, y, parts)
     best = hits.groupBy(point_id).agg(F.min_by(F.struct(value), order).alias("_b")).select(point_id, F.col(f"_b.{value}").alias(value))
     return points.join(best, point_id, "left")
 
 
+def first_of_places(rows: DataFrame, polygons: DataFrame, place: list[str], x: str, y: str, order: str, value: str, parts: str = "parts") -> DataFrame:
+    """rows with `value` of the first polygon by `order` that holds them, found once for each distinct place (key columns, of which the coordinates depend) and joined back; places may be null."""
+    number = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in place] + [F.col(c).isNull() for c in place]
+    keyed = rows.withColumn("_place", F.to_json(F.struct(*(c.alias(f"k{i}") for i, c in enumerate(number)))))
+    places = keyed.groupBy("_place").agg(F.first(x).alias("_x"), F.first(y).alias("_y"))
+    found = first_polygon(places, polygons, "_place", "_x", "_y", order, value, parts).select("_place", value)
+    return keyed.join(found, "_place", "left").drop("_place")
+
+
 def membership(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, level: str, order: str, value: str) -> DataFrame:
     """(point_id, members): for each level the first polygon that holds the point, as a map without nulls."""
     hits = points_in_polygons(points.select(point_id, x, y).dropDuplicates([point_id]), polygons.select(level, order, value, "parts"), x, y)

@@ -438,12 +438,15 @@ def incremental_state(spark, sf_dir):
     return state
 
 
-@query("""SELECT user_id, count(*) AS events, (SELECT count(*) FROM (SELECT DISTINCT user_id, hour(ts) FROM events)) AS probes FROM events GROUP BY user_id""")
-def cached_probes(spark, sf_dir):
-    """An expensive step once for each distinct key, its outcome joined back."""
-    e = table(spark, sf_dir, "events").select("user_id", F.hour("ts").alias("h"))
-    probes = e.distinct().agg(F.count("*").alias("probes"))
-    return e.groupBy("user_id").agg(F.count("*").alias("events")).crossJoin(F.broadcast(probes))  # one row
+_CLASSES = ("healthy_food_outlet", "warehouse", "retail_service_candidate", None, "home_business", "office")
+
+
+@query(f"""WITH b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_acctbal > 8000 END AS h, c_acctbal < -500 AS r, {cycled_sql("c_custkey", *_CLASSES)} AS c FROM customer) SELECT k FROM b WHERE coalesce(h, false) OR r OR coalesce(c IN ('healthy_food_outlet', 'retail_service', 'retail_service_candidate', 'food_or_household_retail'), false)""")
+def useful_businesses(spark, sf_dir):
+    """businesses of other classes go unless a flag keeps them."""
+    k = F.col("c_custkey")
+    kept = predicates.useful_business(F.when(k % 4 != 0, F.col("c_acctbal") > 8000), F.col("c_acctbal") < -500, cycled(k, *_CLASSES))
+    return table(spark, sf_dir, "customer").where(kept).select(k.alias("k"))
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey % 40 AS g, (l_partkey % 7)::VARCHAR AS a, (l_partkey % 7 + 1)::VARCHAR AS b FROM lineitem WHERE l_partkey % 7 <> l_orderkey % 5), s AS (SELECT g, a, b, 1 AS n FROM e x WHERE NOT EXISTS (SELECT 1 FROM e y WHERE y.g = x.g AND y.b = x.a) UNION ALL SELECT s.g, s.a, e.b, n + 1 FROM s JOIN e ON e.g = s.g AND e.a = s.b)

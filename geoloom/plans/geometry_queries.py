@@ -190,7 +190,7 @@ def feature_texts(spark, sf_dir):
 
 @query(f"""SELECT c_custkey FROM customer WHERE c_acctbal IS NOT NULL AND {lon_sql("c_custkey")} BETWEEN -130 AND -120""")
 def finite_points(spark, sf_dir):
-    """rows with finite coordinates, within bounds."""
+    """rows with finite coordinates, within bounds."""
     k = F.col("c_custkey")
     return table(spark, sf_dir, "customer").where(predicates.finite(lon(k), lat(k), F.col("c_acctbal")) & lon(k).between(-130, -120)).select("c_custkey")
 

@@ -226,7 +226,7 @@ def stop_span_summary(spark, sf_dir):
 
 @query("""WITH r AS (SELECT DISTINCT l_suppkey, l_partkey % 50 AS edge FROM lineitem), w AS (SELECT edge, l_suppkey, count(*) OVER (PARTITION BY edge) AS shared, row_number() OVER (PARTITION BY edge ORDER BY l_suppkey) - 1 AS place FROM r) SELECT edge, l_suppkey, shared, CASE WHEN shared > 1 THEN (place - (shared - 1) / 2.0) * 4.0 ELSE 0.0 END AS "offset" FROM w""")
 def edge_route_offsets(spark, sf_dir):
-    """Routes of an edge side by side."""
+    """Routes of an edge side by side."""
     return _edge_routes(table(spark, sf_dir, "lineitem"))
 
 
@@ -358,11 +358,36 @@ def segment_counts(spark, sf_dir):
 
 @query("""SELECT p_brand, array_to_string(list_sort(list(DISTINCT p_type)), '|') AS types, array_to_string(list_transform(list_sort(list(DISTINCT p_size)), lambda x: x::VARCHAR), '|') AS sizes, min_by(p_name, p_partkey) AS first_name FROM part GROUP BY p_brand""")
 def sets_by_brand(spark, sf_dir):
-    """Sorted sets and a first value."""
+    """Sorted sets and a first value."""
     s = agg.sets_by(table(spark, sf_dir, "part"), "p_brand", ["p_type", "p_size"], "p_name", "p_partkey")
     return s.select("p_brand", F.array_join("p_type_set", "|").alias("types"), F.array_join(F.transform("p_size_set", lambda x: x.cast("string")), "|").alias("sizes"), F.col("first_p_name").alias("first_name"))
 
 
+@query("""WITH p AS (SELECT p_brand, nullif(trim(CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_type END), '') AS t, nullif(trim(p_name), '') AS n FROM part) SELECT p_brand, coalesce(array_to_string(list_sort(list(DISTINCT t) FILTER (t IS NOT NULL)), '|'), '') AS types, coalesce(len(list(DISTINCT n) FILTER (n IS NOT NULL)), 0)::INTEGER AS names FROM p GROUP BY p_brand""")
+def metadata_values(spark, sf_dir):
+    """The distinct values of each field that are not blank."""
+    p = table(spark, sf_dir, "part").select("p_brand", F.when(F.col("p_partkey") % 3 == 0, " ").otherwise(F.col("p_type")).alias("types"), F.col("p_name").alias("names"))
+    return agg.compact_metadata(p, "p_brand", ["types", "names"]).select("p_brand", F.array_join("types", "|").alias("types"), F.size("names").alias("names"))
+
+
+@query("""WITH e AS (SELECT least(l_partkey % 9, l_suppkey % 7) || '-' || greatest(l_partkey % 9, l_suppkey % 7) AS edge, l_orderkey % 11 AS route, l_returnflag AS flag, l_linestatus AS status, l_orderkey * 10 + l_linenumber AS o, l_quantity AS q FROM lineitem)
+SELECT edge, route, array_to_string(list_sort(list(DISTINCT flag)), '') AS flags, array_to_string(list_sort(list(DISTINCT status)), '') AS statuses, min({'o': o, 'q': q}).q AS q FROM e GROUP BY edge, route""")
+def undirected_edges(spark, sf_dir):
+    """Edges of both directions under one key, with each route's sets and the coordinates of its first row."""
+    a, b = F.col("l_partkey") % 9, F.col("l_suppkey") % 7
+    e = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", F.least(a, b), F.greatest(a, b)).alias("edge"), (F.col("l_orderkey") % 11).alias("route"), F.col("l_returnflag").alias("flags"), F.col("l_linestatus").alias("statuses"), F.struct(F.col("l_orderkey") * 10 + F.col("l_linenumber"), "l_quantity").alias("o"), F.col("l_quantity").alias("q"))
+    return graph.shared_edges(e, "edge", "route", ["flags", "statuses"], "o", "q").select("edge", "route", F.array_join("flags", "").alias("flags"), F.array_join("statuses", "").alias("statuses"), "q")
+
+
+@query(f"""WITH pts AS (SELECT DISTINCT user_id AS k, {_lon("user_id")} AS x, {_lat("user_id")} AS y, 0 AS v FROM events), {_PIP}, f AS (SELECT k, n FROM hits QUALIFY row_number() OVER (PARTITION BY k ORDER BY n) = 1) SELECT n, count(*) AS events, count(DISTINCT user_id) AS probes FROM events LEFT JOIN f ON k = user_id GROUP BY n""")
+def cached_probes(spark, sf_dir):
+    """The spatial step once for each distinct place, its outcome joined back to all rows of it."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"))
+    x, y = lon(F.col("k")), lat(F.col("k"))
+    found = spatial.first_of_places(e.withColumn("x", x).withColumn("y", y), polygons(spark), ["k"], "x", "y", "n", "n")
+    return found.groupBy("n").agg(F.count("*").alias("events"), F.count_distinct("k").alias("probes"))
+
+
 @query("""SELECT c_custkey, CASE WHEN c_nationkey >= 8 THEN 1900 + c_nationkey * 10 ELSE 2000 + c_nationkey END AS y, least(1.0, greatest(0.0, CASE WHEN c_acctbal / 100 > 1 THEN c_acctbal / 10000 ELSE c_acctbal / 100 END)) AS ratio, regexp_extract(c_name, '[0-5]', 0)::INT AS "level", floor(c_acctbal * 10 + 0.5) / 10 AS up, round_even(c_acctbal, 1) AS even FROM customer""")
 def number_dialects(spark, sf_dir):
     """Parsing and rounding dialects."""

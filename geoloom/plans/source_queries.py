@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import graph, relational
-from ..sources import landed, sinks
+from ..sources import landed, sinks, table_functions
 from ..sources.scratch import scratch_path
-from .base import query, table, values
+from .base import lat, lat_sql, lon, lon_sql, query, table, values
 from .function_queries import cycled, cycled_sql
 
 
 @query(r"""SELECT doc_id, replace(source || ', "' || lang || '"', 'x', '') AS label, coalesce(n_chars::VARCHAR, '') AS size FROM documents""")
 def csv_round_trip(spark, sf_dir):
-    """Text with commas and quotes, written and read by line."""
+    """Text with commas and quotes, written and read by line."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.replace(F.concat("source", F.lit(', "'), "lang", F.lit('"')), F.lit("x"), F.lit("")).alias("label"), F.col("n_chars").cast("string").alias("size"))
     sinks.write_csv(d, path := scratch_path(spark, "csv"))
     return landed.csv_rows(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"), "label", F.coalesce("size", F.lit("")).alias("size"))
@@ -76,7 +76,7 @@ def large_collections(spark, sf_dir):
 
 @query("""SELECT c_custkey, c_name, c_acctbal AS x FROM customer""")
 def paged_services(spark, sf_dir):
-    """Pages of features, united; their number must be the one that the service counts."""
+    """Pages of features, united; their number must be the one that the service counts."""
     c = table(spark, sf_dir, "customer")
     batches = landed.id_batches(c, "c_custkey", 50)
     attributes = F.struct("c_custkey", "c_name")
@@ -107,13 +107,30 @@ def esri_arrays(spark, sf_dir):
     return landed.esri_features(spark, path, "k int, unit string").select("k", "unit", "x")
 
 
-@query("""SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal <= 0""")
+@query(f"""SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal <= 0 AND {lon_sql("c_custkey")} <= -122.5 AND {lon_sql("c_custkey")} + 1 >= -133.25 AND {lat_sql("c_custkey")} <= 57.25 AND {lat_sql("c_custkey")} + 1 >= 50""")
 def server_filters(spark, sf_dir):
-    """The conditions of a request, on landed rows."""
-    conditions = {"SEGMENT": "BUILDING", "CREDIT": None}
-    assert landed.wfs_request("layer", (1, 2, 3, 4), conditions, 20000)["CQL_FILTER"] == "BBOX(GEOMETRY,1,2,3,4) AND SEGMENT='BUILDING' AND CREDIT IS NULL"
+    """The conditions and the box of a request, on landed rows with an extent each."""
+    k, conditions = F.col("c_custkey"), {"SEGMENT": "BUILDING", "CREDIT": None}
     columns = {"SEGMENT": F.col("c_mktsegment"), "CREDIT": F.when(F.col("c_acctbal") > 0, F.col("c_acctbal"))}
-    return table(spark, sf_dir, "customer").where(landed.wfs_matches(columns, conditions)).select(F.col("c_custkey").alias("k"))
+    extent = F.struct(lon(k).alias("xmin"), lat(k).alias("ymin"), (lon(k) + 1).alias("xmax"), (lat(k) + 1).alias("ymax"))
+    return table(spark, sf_dir, "customer").where(landed.wfs_matches(columns, conditions, (-133.25, 50, -122.5, 57.25), extent)).select(k.alias("k"))
+
+
+@query("""SELECT page_id, 'https://maps.example/' || page_id || '/MapServer/0/query' AS url, 't' || (page_id * 17) AS token FROM pages""")
+def service_tokens(spark, sf_dir):
+    """The token and the address that a page's script holds."""
+    script = F.concat(F.lit("<script>var gistoken = 't"), F.col("page_id") * 17, F.lit("'; mapserverUrl='https://maps.example/"), "page_id", F.lit("/MapServer//';</script>"), "html")
+    return table(spark, sf_dir, "pages").select("page_id", landed.service_access(script).alias("a")).select("page_id", "a.*")
+
+
+@query("""SELECT c_mktsegment AS segment, count(*) AS "rows", (SELECT count(*) + count(DISTINCT c_mktsegment) FROM customer) AS copied FROM customer GROUP BY 1""")
+def copied_exports(spark, sf_dir):
+    """Exports by segment, their rows counted without headers and blank lines, and a copy with its number of lines."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.regexp_replace("c_mktsegment", " ", "-").alias("segment"))
+    c.repartition("segment").sortWithinPartitions("segment").write.partitionBy("segment").csv(path := scratch_path(spark, "exports"), header=True)
+    lines = sinks.copied(spark, f"{path}/*", scratch_path(spark, "copy"))
+    found = landed.exported_rows(spark, f"{path}/*").groupBy(F.regexp_extract("file", "segment=([^/]+)/", 1).alias("segment")).agg(F.sum("rows").alias("rows"))
+    return found.withColumn("copied", F.lit(lines).cast("long"))
 
 
 @query("""SELECT event_id AS id, value AS cloud, 'landsat-' || (8 + event_id % 2) AS platform FROM events WHERE value < 40 AND event_id % 4 < 2""")
@@ -155,6 +172,23 @@ def zipped_csv(spark, sf_dir):
     return landed.archive_csv(zips, r"^stops\.txt$", ["k", "name", "segment"]).select("path", F.col("k").cast("long").alias("k"), "name", "segment")
 
 
+@query("""SELECT '/z/' || c_nationkey || '.zip' AS path, m AS member, sum(CASE WHEN m = 'stops.txt' THEN 1 ELSE 0 END)::BIGINT + 1 AS lines FROM customer, (VALUES ('readme.txt'), ('stops.txt')) v(m) GROUP BY ALL""")
+def archive_table_functions(spark, sf_dir):
+    """Members of archives and their lines by table functions that SQL calls for each row."""
+    table_functions.register(spark)
+    zips = _zipped(table(spark, sf_dir, "customer"), "c_nationkey", "stops.txt", {"c_custkey": "k", "c_name": "name"})
+    return spark.sql("select z.path, m.member, count(l.value) as lines from {zips} z, lateral zip_members(z.content) m, lateral zip_lines(z.content, '.txt$') l where m.member = l.member group by all", zips=zips)
+
+
+@query("""WITH e AS (SELECT user_id, event_id, event_type, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), g AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM e)
+SELECT user_id::VARCHAR AS "key", min(event_id)::VARCHAR AS start, event_type AS "value", count(*) AS n FROM g GROUP BY user_id, g, event_type""")
+def partition_runs(spark, sf_dir):
+    """Runs of each user's events by a table function over a partitioned and ordered table."""
+    table_functions.register(spark)
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return spark.sql("select * from value_runs(table(select * from {events}) partition by user_id order by event_id)", events=events)
+
+
 @query("""SELECT '/z/' || n_regionkey || '.zip' AS path, m AS member FROM (SELECT DISTINCT n_regionkey FROM nation), (VALUES ('readme.txt'), ('nations.csv')) v(m) UNION ALL SELECT '/z/bad.zip', NULL""")
 def archive_listing(spark, sf_dir):
     """Members of archives; one that cannot be read is a row."""
@@ -278,7 +312,7 @@ def archived_fallback(spark, sf_dir):
 
 @query("""SELECT o_orderpriority AS p, '{"rows":' || count(*) || ',"first":"' || strftime(min(o_orderdate), '%Y-%m-%d') || '","last":"' || strftime(max(o_orderdate), '%Y-%m-%d') || '"}' AS value FROM orders GROUP BY 1""")
 def manifests(spark, sf_dir):
-    """Counts and ranges of each part as JSON text."""
+    """Counts and ranges of each part as JSON text."""
     d = F.date_format
     rows = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("p")).agg(F.count("*").alias("rows"), d(F.min("o_orderdate"), "yyyy-MM-dd").alias("first"), d(F.max("o_orderdate"), "yyyy-MM-dd").alias("last"))
     return rows.select("p", F.to_json(F.struct("rows", "first", "last")).alias("value"))

@@ -206,11 +206,28 @@ def wfs_request(layer: str, box: tuple[float, float, float, float], conditions:
     return {"service": "WFS", "request": "GetFeature", "typeNames": layer, "outputFormat": "application/json", "maxFeatures": str(most), "CQL_FILTER": " AND ".join(parts)}
 
 
-def wfs_matches(columns: dict[str, Column], conditions: dict[str, str | None]) -> Column:
-    """The same conditions on landed rows."""
+def wfs_matches(columns: dict[str, Column], conditions: dict[str, str | None], box: tuple[float, float, float, float] | None = None, extent: Column | None = None) -> Column:
+    """The same conditions on landed rows; with a box, only those whose extent (struct of xmin, ymin, xmax, ymax) meets it, borders included."""
     from functools import reduce
 
-    return reduce(lambda a, b: a & b, (columns[k].isNull() if v is None else columns[k] == v for k, v in conditions.items()), F.lit(True))
+    kept = reduce(lambda a, b: a & b, (columns[k].isNull() if v is None else columns[k] == v for k, v in conditions.items()), F.lit(True))
+    if box is None:
+        return kept
+    west, south, east, north = box
+    return kept & (extent["xmin"] <= east) & (extent["xmax"] >= west) & (extent["ymin"] <= north) & (extent["ymax"] >= south)
+
+
+def service_access(page: Column) -> Column:
+    """struct(url, token) of the map service that a page of the property register names in its script; a page without either raises an error."""
+    token, server = F.regexp_extract(page, r"gistoken\s*=\s*'([^']+)'", 1), F.regexp_extract(page, r"mapserverUrl\s*=\s*'([^']+)'", 1)
+    found = F.when((token != "") & (server != ""), F.struct(F.concat(F.regexp_replace(server, "/+$", ""), F.lit("/0/query")).alias("url"), token.alias("token")))
+    return F.coalesce(found, F.raise_error(F.lit("no token and server address on the page")).cast("struct<url:string,token:string>"))
+
+
+def exported_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, rows) of CSV exports: lines that are not blank, without each file's header."""
+    lines = spark.read.text(path).where(F.trim("value") != "").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return lines.select("file", (F.col("n") - 1).alias("rows"))
 
 
 def key_values(cells: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,12 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     df.write.csv(path, header=True, quote='"', escape='"', emptyValue="", compression=compression or "none")
 
 
+def copied(spark: SparkSession, source: str, target: str) -> int:
+    """The text files below source copied line by line to target by many tasks; their number of lines, counted in the copy."""
+    spark.read.text(source).write.text(target)
+    return spark.read.text(target).count()
+
+
 def manifest(df: DataFrame, *aggregates: Column) -> DataFrame:
     """One row of counts and ranges as JSON text."""
     return df.agg(*aggregates).select(F.to_json(F.struct("*")).alias("value"))
