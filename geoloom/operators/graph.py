@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import scratch_path
+from ..sources.scratch import written
 
 
 def shared_edges(df: DataFrame, edge: str, route: str, sets: list[str], order: str, coordinates: str) -> DataFrame:
@@ -26,7 +26,7 @@ def chains(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
     ends = df.select(group, name(a).cast("string").alias("_a"), name(b).cast("string").alias("_b")).where("_a != _b")
     edges = ends.select(group, F.least("_a", "_b").alias("u"), F.greatest("_a", "_b").alias("v")).distinct()
     steps = edges.unionByName(edges.select(group, name("v").alias("u"), name("u").alias("v"))).withColumn("id", F.monotonically_increasing_id())
-    steps = _written(steps, "steps")
+    steps = written(steps, "steps")
     through = steps.groupBy(group, "u").agg(F.count("*").alias("n")).where("n = 2").select(group, name("u").alias("v"))
     onward = steps.select(group, name("u").alias("v"), name("v").alias("w"), name("id").alias("to"))
     follow = steps.join(through, [group, "v"]).join(onward, [group, "v"]).where("w != u").select("id", "to")
@@ -46,24 +46,17 @@ def chains(df: DataFrame, group: str, a: str, b: str) -> DataFrame:
 
 def _ranked(state: DataFrame) -> tuple[DataFrame, int]:
     """(id, u, v, to, hops, least, endless) of (id, u, v, to): the last step that each comes to and how many it takes there; of endless steps, whose number is the second value, the least node on their way."""
-    now = _written(state.withColumn("hops", (F.col("to") != F.col("id")).cast("long")).withColumn("least", F.col("u")), "ranks")
+    now = written(state.withColumn("hops", (F.col("to") != F.col("id")).cast("long")).withColumn("least", F.col("u")), "ranks")
     far, before = 1, -1
     while True:
         still = now.where(F.col("hops") == far).count()
         if still == 0 or (still == before and far >= still):
             return now.withColumn("endless", F.col("hops") == far), still
         other = now.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("hops").alias("_hops"), F.col("least").alias("_least"))
-        now = _written(now.join(other, "to").select("id", "u", "v", F.col("_to").alias("to"), (F.col("hops") + F.col("_hops")).alias("hops"), F.least("least", "_least").alias("least")), "ranks")
+        now = written(now.join(other, "to").select("id", "u", "v", F.col("_to").alias("to"), (F.col("hops") + F.col("_hops")).alias("hops"), F.least("least", "_least").alias("least")), "ranks")
         far, before = 2 * far, still
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder, read again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def flatten_tree(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(id, depth, path) of all nodes below the roots of (parent, child); level by level, as deep as the tree is. A path that comes back to a node of its own raises an error."""
     level = roots.select(F.col("id"), F.lit(0).alias("depth"), F.array(F.col("id").cast("string")).alias("path"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..sources.scratch import scratch_path
+from ..sources.scratch import scratch_path, written
 from . import relational
 
 #: The least and greatest level; a level's cells have sides of 2 to its power.
@@ -108,10 +108,12 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, left_id: str, right
     """
     one, two = ShapeIndex(left, parts), ShapeIndex(right, parts)
     near = box_pairs(one.boxes("_one", "lbox"), two.boxes("_two", "rbox"), one.levels, two.levels).select("_one", "_two")
+    near = written(near, "near")
     mine, theirs = one.edges("_one", near), two.edges("_two", near)
     c = F.col
     meeting = box_pairs(mine.withColumnRenamed("box", "lbox"), theirs.toDF("_two", "cx_", "cy_", "dx_", "dy_", "rbox"), levels_in(mine), levels_in(theirs))
     crossing = meeting.where(geo.segments_meet(*(c(k) for k in ("ax", "ay", "bx", "by", "cx_", "cy_", "dx_", "dy_")))).select("_one", "_two").distinct()
+    crossing = written(crossing, "crossing")
     apart = near.join(crossing, ["_one", "_two"], "left_anti").join(one.geometry("_one", "_p"), "_one").join(two.geometry("_two", "_q"), "_two")
     within = lambda p, q: F.exists(c(p), lambda part: geo.in_multipolygon(part[0][0]["x"], part[0][0]["y"], c(q)))
     inside = apart.where(within("_p", "_q") | within("_q", "_p")).select("_one", "_two")
@@ -122,10 +124,10 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, left_id: str, right
 def area_cascade(areas: DataFrame, known: DataFrame, area_id: str, name: str, known_id: str, known_name: str, parts: str = "parts") -> DataFrame:
     """(area_id, tier, known_id): for each area the known shapes of the first tier that has any: those of its name (1), those whose mean vertex lies in it or on its border (2), those that share a point with it (3). Areas with none keep a null. Only areas without a match go on to the next tier."""
     kept = known.select(F.col(known_id), F.col(known_name).alias("_name"), F.col(parts).alias("_known"))
-    first = areas.select(area_id, F.col(name).alias("_name")).join(kept, "_name").select(area_id, known_id)
+    first = written(areas.select(area_id, F.col(name).alias("_name")).join(kept, "_name").select(area_id, known_id), "tier")
     rest = areas.select(area_id, parts).join(first, area_id, "left_anti")
     centres = kept.withColumn("_m", geo.vertex_mean(F.col("_known"), closing=False)).select(known_id, F.col("_m.x").alias("_x"), F.col("_m.y").alias("_y"))
-    second = points_in_polygons(centres, rest, "_x", "_y", parts, border=True).select(area_id, known_id)
+    second = written(points_in_polygons(centres, rest, "_x", "_y", parts, border=True).select(area_id, known_id), "tier")
     third = polygons_intersecting(rest.join(second, area_id, "left_anti"), kept.withColumnRenamed("_known", parts), area_id, known_id, parts)
     return relational.cascade(areas, area_id, [first, second, third], known_id)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import scratch_path
+from ..sources.scratch import written
 from . import aggregates as agg
 
 
@@ -97,9 +97,7 @@ def simplified_layer(layer: DataFrame, key: str, keep: float, parts: str = "part
     so borders of neighbours go on meeting. Every ring keeps its three weightiest vertices at least, so no shape vanishes.
     """
     vertices = ring_vertices(layer, key, parts)
-    path = scratch_path(layer.sparkSession, "weights")
-    vertex_weights(vertices).write.parquet(path)
-    weights = layer.sparkSession.read.parquet(path)
+    weights = written(vertex_weights(vertices), "weights")
     weighed = vertices.drop("area").join(weights, "v")
     by_ring = Window.partitionBy(key, "part", "ring").orderBy(F.desc_nulls_first("area"), "place")  # the vertices of one ring
     needed = weighed.withColumn("_n", F.row_number().over(by_ring)).where("_n <= 3").select("v").distinct().withColumn("needed", F.lit(True))
