@@ -458,13 +458,13 @@ def merged_chains(spark, sf_dir):
     return graph.chains(edges, "g", "a", "b").select("g", F.array_min("nodes").alias("first_node"), F.size("nodes").alias("nodes"))
 
 
-@query("""WITH RECURSIVE m AS (SELECT l_partkey * 7919 % 61 AS r, l_orderkey * 31 % 53 AS c FROM lineitem GROUP BY ALL HAVING count(*) % 2 = 1), g AS (SELECT i AS r, j AS c FROM range(61) a(i), range(53) b(j)), e AS (SELECT * FROM g ANTI JOIN m USING (r, c)),
-o AS (SELECT r, c FROM e WHERE r IN (0, 60) OR c IN (0, 52) UNION SELECT e.r, e.c FROM o JOIN e ON abs(e.r - o.r) + abs(e.c - o.c) = 1)
+@query("""WITH RECURSIVE m AS (SELECT l_partkey * 7919 % 23 AS r, l_orderkey * 31 % 19 AS c FROM lineitem GROUP BY ALL HAVING count(*) % 2 = 1), g AS (SELECT i AS r, j AS c FROM range(23) a(i), range(19) b(j)), e AS (SELECT * FROM g ANTI JOIN m USING (r, c)),
+o AS (SELECT r, c FROM e WHERE r IN (0, 22) OR c IN (0, 18) UNION SELECT e.r, e.c FROM o JOIN e ON abs(e.r - o.r) + abs(e.c - o.c) = 1)
 SELECT r::INTEGER AS "row", c::INTEGER AS col FROM g ANTI JOIN o USING (r, c)""")
 def filled_region(spark, sf_dir):
     """The cells that hold an odd number of lines, with all cells that they enclose."""
-    cells = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") * 7919 % 61).cast("int").alias("row"), (F.col("l_orderkey") * 31 % 53).cast("int").alias("col")).agg(F.count("*").alias("n"))
-    return graph.fill_holes(cells.where("n % 2 = 1").select("row", "col"), 61, 53)
+    cells = table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") * 7919 % 23).cast("int").alias("row"), (F.col("l_orderkey") * 31 % 19).cast("int").alias("col")).agg(F.count("*").alias("n"))
+    return graph.fill_holes(cells.where("n % 2 = 1").select("row", "col"), 23, 19)
 
 
 @query("""SELECT true AS known_form, count(*) AS n FROM nation""")
