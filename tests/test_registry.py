@@ -51,11 +51,11 @@ def test_whole_queries_leave_no_row_out(spark):
     if not Path(DATA).is_dir():
         pytest.skip("no test tables here")
     rows = {n: [tuple(r) for r in spark.read.parquet(f"{DATA}/{n}.parquet").select(*c).collect()] for n, c in {"customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_returnflag", "l_suppkey", "l_partkey"], "part": ["p_partkey"]}.items()}
-    got = {n: [tuple(r) for r in plans.queries()[n](spark, DATA).collect()] for n in ("cascade_match", "pending_work", "edge_route_offsets", "factor_mask_score")}
+    got = {n: [tuple(r) for r in plans.queries()[n](spark, DATA).collect()] for n in ("key_cascade", "pending_work", "edge_route_offsets", "factor_mask_score")}
 
     same = {k: [s for s, _ in rows["supplier"] if s == k] for k, _ in rows["customer"]}
     want = [(k, tier, t) for k, n in rows["customer"] for near in [[s for s, m in rows["supplier"] if m == n]] for tier, found in [(1, same[k]) if same[k] else (2, near) if near else (None, [None])] for t in found]
-    assert sorted(got["cascade_match"], key=str) == sorted(want, key=str)
+    assert sorted(got["key_cascade"], key=str) == sorted(want, key=str)
 
     done = {k for k, flag, _, _ in rows["lineitem"] if flag == "R"}
     assert sorted(got["pending_work"]) == sorted((k,) for (k,) in rows["orders"] if k not in done)
