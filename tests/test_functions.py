@@ -46,7 +46,7 @@ def test_text(spark):
     assert one(spark, text.numeric_entities(F.col("c")), c="a&#65;b&#x;&#233;") == "aAb&#x;é"
     assert one(spark, text.absolute_url(F.col("c"), "http://a.org/x/"), c="/b") == "https://a.org/b"
     assert one(spark, text.url_stem(F.col("c")), c="https://a.org/b/c d.html?x=1") == "c_d"
-    assert one(spark, text.archive_name(F.col("c")), c="/x/no2lur_a-monthly-20230101.zip").asDict() == {"dataset": "no2lur_a", "cadence": "monthly"}
+    assert one(spark, text.archive_name(F.col("c")), c="/x/no2lur_a_2023-01-01_10-20-30_monthly.zip").asDict() == {"dataset": "no2lur_a", "cadence": "monthly"}
     assert one(spark, text.violation_kind(F.col("c")), c="Number of non-critical violations") == "non_critical"
     assert one(spark, text.prefix_family(F.col("c")), c="no2lur_a") == "air-quality"
     assert one(spark, text.prefix_family(F.col("c")), c="wtwbm_x") == "weather-biometeorology"
