@@ -8,9 +8,9 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import geo, text
 from ..operators import graph, relational
-from ..sources import landed, sinks, table_functions
+from ..sources import landed, sinks, table_functions, tiles
 from ..sources.scratch import scratch_path
 from .base import lat, lat_sql, lon, lon_sql, query, table, values
 from .function_queries import cycled, cycled_sql
@@ -348,3 +348,40 @@ def counted_layers(spark, sf_dir):
     c.agg(F.count("*").alias("count")).select(F.to_json(F.struct("count")).alias("value")).write.text(path := scratch_path(spark, "probe"))
     probe = spark.read.text(path).select(F.from_json("value", "count bigint")["count"].alias("expected"))
     return landed.checked_count(c, probe.first()["expected"]).crossJoin(F.broadcast(probe))  # one row
+
+
+_WORLD = 512 * 4096
+_PX = lambda lon: f"floor(({lon} + 180) / 360 * {_WORLD} + 0.5)::BIGINT"
+_PY = lambda lat: f"floor((1 - ln(tan(radians({lat})) + 1 / cos(radians({lat}))) / pi()) / 2 * {_WORLD} + 0.5)::BIGINT"
+
+
+def _through_archive(spark, shapes, properties, layer, schema, tile_units):
+    """Shapes cut into tiles of zoom 9, the tiles written as an archive, read again and taken apart."""
+    tiles.write_archive(tiles.tiled(shapes, "parts", properties, [9], layer), path := scratch_path(spark, "tiles"), {"name": layer})
+    spark.dataSource.register(tiles.TileArchive)
+    return tiles.features(spark.read.format("tile_archive").option("path", path).load(), layer, schema, tile_units)
+
+
+@query(f"""WITH b AS (SELECT s_suppkey AS k, {lon_sql("s_suppkey")} AS x, {lat_sql("s_suppkey")} AS y, (s_suppkey % 5 + 1)::DOUBLE AS w, (s_suppkey % 3 + 1)::DOUBLE AS h FROM supplier),
+q AS (SELECT k, {_PX("x")} AS x0, {_PX("x + w")} AS x1, {_PY("y + h")} AS y0, {_PY("y")} AS y1, {_PX("x + w / 4")} AS hx0, {_PX("x + w / 4 + w / 2")} AS hx1, {_PY("y + h / 4 + h / 2")} AS hy0, {_PY("y + h / 4")} AS hy1 FROM b),
+t AS (SELECT *, unnest(range(x0 // 4096, (x1 - 1) // 4096 + 1)) AS tx FROM q), u AS (SELECT *, unnest(range(y0 // 4096, (y1 - 1) // 4096 + 1)) AS ty FROM t),
+a AS (SELECT k, tx, ty, (least(x1, (tx + 1) * 4096) - greatest(x0, tx * 4096)) * (least(y1, (ty + 1) * 4096) - greatest(y0, ty * 4096)) - greatest(0, least(hx1, (tx + 1) * 4096) - greatest(hx0, tx * 4096)) * greatest(0, least(hy1, (ty + 1) * 4096) - greatest(hy0, ty * 4096)) AS area FROM u)
+SELECT k, tx::INT AS tile_x, ty::INT AS tile_y, area::DOUBLE AS area FROM a WHERE area > 0""")
+def tiled_areas(spark, sf_dir):
+    """Polygons with holes as vector tiles in an archive, and their areas in each tile, in its units, as read."""
+    from .geometry_queries import supplier_boxes
+
+    found = _through_archive(spark, supplier_boxes(spark, sf_dir), ["k"], "areas", "k long", True)
+    return found.select("k", "tile_x", "tile_y", geo.multipolygon_area(F.col("parts")).alias("area"))
+
+
+@query(f"""WITH p AS (SELECT c_custkey AS k, c_mktsegment AS segment, CASE WHEN c_acctbal > 0 THEN c_acctbal::DOUBLE END AS balance, {_PX(lon_sql("c_custkey"))} AS px, {_PY(lat_sql("c_custkey"))} AS py FROM customer)
+SELECT k, segment, balance, round(px / {_WORLD}::DOUBLE * 360 - 180, 6) AS lon, round(degrees(atan(sinh(pi() * (1 - 2 * py / {_WORLD}::DOUBLE)))), 6) AS lat FROM p WHERE balance IS NOT NULL""")
+def tiled_points(spark, sf_dir):
+    """Points with properties as vector tiles in an archive; as read, in degrees, those with a finite value."""
+    c, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    place = F.array(F.array(F.array(F.struct(lon(k).alias("x"), lat(k).alias("y")))))
+    shapes = c.select(k.alias("k"), F.col("c_mktsegment").alias("segment"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal").cast("double")).alias("balance"), place.alias("parts"))
+    found = _through_archive(spark, shapes, ["k", "segment", "balance"], "points", "k long, segment string, balance double", False)
+    at = F.col("parts")[0][0][0]
+    return found.where("balance is not null").select("k", "segment", "balance", F.round(at["x"], 6).alias("lon"), F.round(at["y"], 6).alias("lat"))
