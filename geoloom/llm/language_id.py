@@ -21,6 +21,8 @@ from .common import added, pick, picked
 BUCKETS, ORDERS = 1 << 15, (1, 2, 3)
 #: Rows of each language that the weights are learned from, in expectation (twice as many at most), and languages of one model: more raise an error, as none may be left out.
 SAMPLE_A_LANGUAGE, LANGUAGES = 800, 512
+#: Bytes of features of the whole sample, in expectation; each language has an equal share of them.
+SAMPLE_BYTES = 128 << 20
 UNKNOWN = "und"
 
 
@@ -38,14 +40,18 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     codes = np.where(letter, codes, 32)
     codes = codes[letter | np.concatenate(([True], letter[:-1]))]
     codes = np.concatenate(([32], codes, [32])).astype(np.uint64)
-    counts = np.zeros(BUCKETS, np.int64)
+    hashes = []
     for order in ORDERS:
         h = np.full(max(0, len(codes) - order + 1), order, np.uint64)
         with np.errstate(over="ignore"):
             for k in range(order):
                 h = (h ^ codes[k : k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(32)
-        counts += np.bincount((h & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        hashes.append((h & np.uint64(BUCKETS - 1)).astype(np.int64))
+    every = np.concatenate(hashes)
+    if len(every) < BUCKETS // 4:  # sorting the few is cheaper than a pass over all buckets
+        return np.unique(every, return_counts=True)
+    counts = np.bincount(every, minlength=BUCKETS)
     at = np.flatnonzero(counts)
     return at, counts[at]
 
@@ -112,25 +118,28 @@ def calibrated(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
-def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_A_LANGUAGE, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> LanguageModel:
-    """Learns from the rows of train whose label is not null and whose text has letters; rows that repeat an id and a label count once among the sampled ones."""
+def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_A_LANGUAGE, sample_bytes: int = SAMPLE_BYTES, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> LanguageModel:
+    """Learns from the rows of train whose label is not null and whose text has letters; rows that repeat an id and a label count once among the sampled ones. A label's share of rows is such that neither the sample's rows nor its bytes are more than given, in expectation: of very long texts fewer are taken."""
     rows = picked(train, doc_id=(id_col, "string"), text=(text_col, "string"), lang=(lang_col, "string")).where("lang is not null and text is not null")
     top = rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()
     if len(top) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} different labels: give a table of languages, or raise LANGUAGES if the driver has the memory")
     languages = sorted(r["lang"] for r in top)
+    index = {x: i for i, x in enumerate(languages)}
 
     def frequencies(batches):
-        seen, n = np.zeros(BUCKETS, np.int64), 0
+        seen, n, pairs = np.zeros(BUCKETS, np.int64), 0, np.zeros(len(languages), np.int64)
         for batch in batches:
-            for text in batch.column(0):
+            for text, lang in zip(*batch.columns, strict=True):
                 if found := features(text.as_py()):
                     seen[found[0]] += 1
                     n += 1
+                    pairs[index[lang.as_py()]] += len(found[0])
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], n))], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((at, [-1], -2 - np.arange(len(languages))))), pa.array(np.concatenate((seen[at], [n], pairs)))], ["bucket", "n"])
 
-    counts = {r["bucket"]: r["n"] for r in rows.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # BUCKETS + 1 rows at most
+    counts = {r["bucket"]: r["n"] for r in rows.select("text", "lang").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # BUCKETS + LANGUAGES + 1 rows at most
+    pairs = {x: counts.pop(-2 - i, 0) for x, i in index.items()}
     idf = np.zeros(BUCKETS)
     n = counts.pop(-1, 0)
     for bucket, df in counts.items():
@@ -139,7 +148,8 @@ def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str =
     if not languages:
         return model
 
-    share = F.element_at(F.create_map(*(F.lit(v) for r in top for v in (r["lang"], min(1.0, sample / r["count"])))), F.col("lang"))
+    enough = {r["lang"]: min(1.0, sample / r["count"], sample_bytes / len(languages) / (8 * max(1, pairs[r["lang"]]))) for r in top}
+    share = F.element_at(F.create_map(*(F.lit(v) for item in enough.items() for v in item)), F.col("lang"))
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
     chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang").limit(2 * sample * len(languages))
 
@@ -148,7 +158,6 @@ def fit_language_model(train: DataFrame, id_col: str = "doc_id", text_col: str =
             out = [(i, lang, at.astype("<u4").tobytes(), c.astype("<u4").tobytes()) for i, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (found := features(text)) for at, c in [found]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.string(), pa.string(), pa.binary(), pa.binary()), strict=True)], ["doc_id", "lang", "at", "counts"])
 
-    index = {x: i for i, x in enumerate(languages)}
     learn, check = [], []
     for r in sorted(chosen.mapInArrow(encoded, "doc_id string, lang string, at binary, counts binary").collect(), key=lambda r: (r["doc_id"] or "", r["lang"], bytes(r["at"]))):
         at, c = np.frombuffer(r["at"], "<u4").astype(np.int64), np.frombuffer(r["counts"], "<u4")

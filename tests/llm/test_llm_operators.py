@@ -171,6 +171,41 @@ def test_no_language_is_left_out(spark, monkeypatch):
         language_id.fit_language_model(docs)
 
 
+def test_language_features_are_counts_of_all_grams():
+    def plain(text):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        codes = [32, *(ord(c) for i, c in enumerate(letters) if c != " " or i == 0 or letters[i - 1] != " "), 32]
+        counts, mask = {}, (1 << 64) - 1
+        for order in language_id.ORDERS:
+            for i in range(len(codes) - order + 1):
+                h = order
+                for c in codes[i : i + order]:
+                    h = (h ^ c) * 0x9E3779B97F4A7C15 & mask
+                    h ^= h >> 32
+                counts[h & (language_id.BUCKETS - 1)] = counts.get(h & (language_id.BUCKETS - 1), 0) + 1
+        return counts
+
+    rng = random.Random(8)
+    for n in (1, 3, 200, 2_000, 2_800, 30_000):  # below and above the length from which all buckets are counted
+        text = "".join(rng.choice("abcdefghij éß  .,1") for _ in range(n)) + "a"
+        at, counts = language_id.features(text)
+        assert dict(zip(at.tolist(), counts.tolist(), strict=True)) == plain(text) and (np.diff(at) > 0).all()
+
+
+def test_language_sample_is_bounded_in_bytes(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnop ") for _ in range(400)) + "a" * (i % 2), ("x", "y")[i % 2], "s", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    sizes = {i: 8 * len(language_id.features(t)[0]) for i, t, *_ in rows}
+    seen = []
+    learn = language_id.follow_leader
+    monkeypatch.setattr(language_id, "follow_leader", lambda model, given, *rest: (seen.append(given), learn(model, given, *rest)))
+    for limit in (1 << 30, sum(sizes.values()) // 8):
+        language_id.fit_language_model(docs, epochs=1, sample_bytes=limit)
+    # Of 400 rows, the 79 at places 5, 10 ... are kept for the temperature; then it is an eighth of all, about.
+    assert len(seen[0]) == 321 and 15 <= len(seen[1]) <= 75 and {y for y, *_ in seen[1]} == {0, 1}
+
+
 def naive_leader(languages, rows, epochs, alpha, beta, l1, l2):
     """Follow-the-regularised-leader, a weight at a time."""
     z, n = defaultdict(float), defaultdict(float)
