@@ -229,7 +229,9 @@ def write_archive(found: DataFrame, folder: str, metadata: dict | None = None, p
             put(f"2-tiles/part-{task.partitionId():05d}", (c for part in ((head,), stream) for c in part))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["p", "tile_id", "z", "size", "features"])
 
-    ordered = found.select("tile_id", "z", "features", "data", "part").repartitionByRange(partitions, "tile_id").sortWithinPartitions("tile_id", "part").drop("part")
+    # Ranges are found by a look at all ids, which must not make the tiles again.
+    made = written(found.select("tile_id", "z", "features", "data", "part"), "tiles")
+    ordered = made.repartitionByRange(partitions, "tile_id").sortWithinPartitions("tile_id", "part").drop("part")
     listed = written(ordered.mapInArrow(body, "p int, tile_id long, z int, size long, features long"), "tile-directory")
     parts = sorted(listed.groupBy("p").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min("z").alias("low"), F.max("z").alias("high")).collect(), key=lambda r: r["p"])  # a row a partition
     before, total = {}, 0
