@@ -154,6 +154,21 @@ def scored_matches(by_name: DataFrame, by_address: DataFrame, left_id: str, righ
     return best.groupBy(right_id).agg(F.min_by(F.struct(left_id, "score"), F.struct(-F.col("score"), left_id)).alias("m")).select(f"m.{left_id}", right_id, "m.score")
 
 
+def scored_by_keys(left: DataFrame, right: DataFrame, left_id: str, right_id: str, name: list[str], address: list[str]) -> DataFrame:
+    """scored_matches of rows that agree in all columns of a name or of an address, which both sides have. A row that repeats an id has the same keys or keys that follow from the ids.
+
+    A left row's best match is the least right row of both keys, else of the address, else of the name: three least
+    rows by key, looked up, whatever the number of pairs that agree.
+    """
+    found, best = left.where(F.col(left_id).isNotNull()), []
+    for keys, score in ((list(dict.fromkeys(name + address)), 100), (address, 85), (name, 75)):
+        least = right.where(F.col(right_id).isNotNull()).groupBy(*keys).agg(F.min(right_id).alias(f"_r{score}"))
+        found = found.join(least, keys, "left")
+        best.append(F.when(F.col(f"_r{score}").isNotNull(), F.struct(F.lit(-score).alias("s"), F.col(f"_r{score}").alias("r"))))
+    one = found.select(left_id, F.coalesce(*best).alias("m")).where("m is not null").groupBy(left_id).agg(F.min("m").alias("m"))
+    return one.groupBy(F.col("m.r").alias(right_id)).agg(F.min(F.struct("m.s", left_id)).alias("b")).select(f"b.{left_id}", right_id, F.negative("b.s").alias("score"))
+
+
 def part_set_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, parts: str = "parts") -> DataFrame:
     """(left_id, right_id, exact): the last right row with the same set of parts, else the one that shares most, at least two and all of one side; of these the one with fewer parts, then the first."""
     keyed = lambda df: df.withColumn("_key", F.array_join(F.array_sort(parts), "|"))

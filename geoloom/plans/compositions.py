@@ -72,10 +72,8 @@ s AS (SELECT l, r, CASE WHEN bool_or(n) AND bool_or(a) THEN 100 WHEN bool_or(a)
 b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY l ORDER BY score DESC, r) = 1) SELECT l, r, score FROM b QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, l) = 1""")
 def scored_pairs(spark, sf_dir):
     """Pairs scored by what they agree in, each side once."""
-    c, s = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("l"), "c_nationkey"), table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("r"), "s_nationkey")
-    by_name = c.join(s, F.col("l") % 40 == F.col("r") % 40).select("l", "r")
-    by_address = c.join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("l") % 10 == F.col("r") % 10)).select("l", "r")
-    return relational.scored_matches(by_name, by_address, "l", "r")
+    keyed = lambda name, k, nation, mark: table(spark, sf_dir, name).select(F.col(k).alias(mark), (F.col(k) % 40).alias("name"), F.col(nation).alias("nation"), (F.col(k) % 10).alias("street"))
+    return relational.scored_by_keys(keyed("customer", "c_custkey", "c_nationkey", "l"), keyed("supplier", "s_suppkey", "s_nationkey", "r"), "l", "r", ["name"], ["nation", "street"])
 
 
 @query("""WITH q AS (SELECT c_custkey AS id, unnest([0, 1]) AS rank, unnest([c_custkey % 50, c_nationkey + 100]) AS q FROM customer), g AS (SELECT q, 60.0 + q % 41 AS score FROM range(200) t(q) WHERE q % 7 <> 0 AND 60 + q % 41 >= 75 AND q % 3 <> 0)

@@ -35,3 +35,14 @@ def test_tiers_of_keys_are_those_of_the_cascade(spark):
     # Ids that the first tier matches make no pairs in the second.
     many, few = spark.range(1000).select("id", F.lit(1).alias("k")), spark.range(1000).select(F.col("id").alias("n"), F.lit(1).alias("k2"), F.col("id").alias("t"))
     assert most_rows(relational.key_cascade(many, "id", few, "t", [("id", "n"), ("k", "k2")])) <= 16000
+
+
+def test_scores_by_keys_are_those_of_all_pairs(spark):
+    draw = random.Random(3)
+    side = lambda n, mark: spark.createDataFrame([(i, i % 7 if i % 11 else None, draw.choice([1, 2, 3, None])) for i in range(n)], f"{mark} int, name int, street int")
+    left, right = side(60, "l"), side(40, "r")
+    pairs = lambda c: left.join(right.withColumnRenamed(c, "other"), F.col(c) == F.col("other")).select("l", "r")
+    want = sorted(map(tuple, relational.scored_matches(pairs("name"), pairs("street"), "l", "r").collect()))
+    assert sorted(map(tuple, relational.scored_by_keys(left, right, "l", "r", ["name"], ["street"]).collect())) == want
+    ids = lambda n, mark: spark.range(n).select(F.col("id").alias(mark), F.lit(1).alias("name"), F.lit(1).alias("street"))
+    assert most_rows(relational.scored_by_keys(ids(2000, "l"), ids(1000, "r"), "l", "r", ["name"], ["street"])) <= 4000
