@@ -167,10 +167,11 @@ def sets_by(df: DataFrame, key: str, sets: list[str], first: str | None = None,
     return df.groupBy(key).agg(*(F.array_sort(F.collect_set(c)).alias(f"{c}_set") for c in sets), *extra)
 
 
-def cumulative_buckets(df: DataFrame, distance: str, limits: tuple[int, ...]) -> DataFrame:
-    """One row: how many are within each limit, beyond the last, and known at all."""
-    d = F.col(distance)
-    return df.agg(*(F.count_if(d <= m).alias(f"within_{m}") for m in limits), F.count_if(d > limits[-1]).alias(f"over_{limits[-1]}"), F.count(d).alias("known"))
+def cumulative_buckets(df: DataFrame, distance: str, limits: tuple[int, ...], times: str | None = None) -> DataFrame:
+    """One row: how many are within each limit, beyond the last, and known at all; a row counts as often as its column `times` says."""
+    d, n = F.col(distance), F.col(times) if times else F.lit(1).cast("long")
+    count = lambda condition: F.coalesce(F.sum(F.when(condition, n)), F.lit(0).cast("long"))
+    return df.agg(*(count(d <= m).alias(f"within_{m}") for m in limits), count(d > limits[-1]).alias(f"over_{limits[-1]}"), count(d.isNotNull()).alias("known"))
 
 
 def label_counts(df: DataFrame, labels: str, empty: str = "Unknown") -> DataFrame:

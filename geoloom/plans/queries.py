@@ -276,9 +276,12 @@ _HAVERSINE = f"2 * 6371.0 * asin(sqrt(least(1.0, sin(radians({_lat('s_suppkey')}
 @query(f"""WITH d AS (SELECT round({_HAVERSINE}, 6) AS d FROM customer JOIN supplier ON c_nationkey = s_nationkey) SELECT count(*) FILTER (d <= 100) AS within_100, count(*) FILTER (d <= 500) AS within_500, count(*) FILTER (d <= 1000) AS within_1000, count(*) FILTER (d > 1000) AS over_1000, count(d) AS known FROM d""")
 def haversine_buckets(spark, sf_dir):
     """How many distances are within limits."""
-    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    km = geo.haversine_m(lon(F.col("c_custkey")), lat(F.col("c_custkey")), lon(F.col("s_suppkey")), lat(F.col("s_suppkey"))) / 1000
-    return agg.cumulative_buckets(c.join(s, F.col("c_nationkey") == F.col("s_nationkey")).select(F.round(km, 6).alias("d")), "d", (100, 500, 1000))
+    # Rows at one place are one with their number: distances are those of places.
+    places = lambda name, nation, k, mark: table(spark, sf_dir, name).where(F.col(nation).isNotNull()).groupBy(F.col(nation).alias(f"{mark}n"), lon(F.col(k)).alias(f"{mark}x"), lat(F.col(k)).alias(f"{mark}y")).agg(F.count("*").alias(f"{mark}c"))
+    c, s = places("customer", "c_nationkey", "c_custkey", "l"), places("supplier", "s_nationkey", "s_suppkey", "r")
+    km = geo.haversine_m(F.col("lx"), F.col("ly"), F.col("rx"), F.col("ry")) / 1000
+    met = relational.spread_join(c, s, "ln", "rn")
+    return agg.cumulative_buckets(met.select(F.round(km, 6).alias("d"), (F.col("lc") * F.col("rc")).alias("pairs")), "d", (100, 500, 1000), "pairs")
 
 
 @query("""SELECT count(v) AS n, round(avg(v), 6) AS mean, median(v) AS median, round(quantile_cont(v, 0.9), 6) AS p90 FROM (SELECT c_acctbal AS v FROM customer)""")

@@ -46,3 +46,19 @@ def test_scores_by_keys_are_those_of_all_pairs(spark):
     assert sorted(map(tuple, relational.scored_by_keys(left, right, "l", "r", ["name"], ["street"]).collect())) == want
     ids = lambda n, mark: spark.range(n).select(F.col("id").alias(mark), F.lit(1).alias("name"), F.lit(1).alias("street"))
     assert most_rows(relational.scored_by_keys(ids(2000, "l"), ids(1000, "r"), "l", "r", ["name"], ["street"])) <= 4000
+
+
+def test_buckets_of_places(spark):
+    d = spark.createDataFrame([(50.0, 3), (200.0, 2), (5000.0, 4), (None, 9)], "d double, n long")
+    assert tuple(aggregates.cumulative_buckets(d, "d", (100, 500), "n").first()) == (3, 5, 4, 9)
+    assert tuple(aggregates.cumulative_buckets(d, "d", (100, 500)).first()) == (1, 2, 1, 3)
+
+
+def test_distances_are_those_of_places(spark, tmp_path):
+    from geoloom.plans.queries import queries
+
+    spark.range(2000).select((F.col("id") % 20 * 26000).alias("c_custkey"), F.lit(1).alias("c_nationkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1000).select((F.col("id") * 26000 + 5).alias("s_suppkey"), F.lit(1).alias("s_nationkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    found = queries()["haversine_buckets"](spark, str(tmp_path))
+    assert found.first()["known"] == 2_000_000
+    assert most_rows(found) <= 2000
