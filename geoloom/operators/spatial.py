@@ -172,18 +172,20 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, segme
 def nearest_for_segments(routes: DataFrame, segments: DataFrame, route_id: str, segment_id: str, cell: float, mid_most: float = 130.0, end_most: float = 234.0) -> DataFrame:
     """(route_id, segment_id, score): each route piece (ax, ay, bx, by) and the segment with the least sum of the distance of its middle, a quarter of those of its ends and a penalty for the angle, within both limits; ties go to the least segment."""
     other = segments.select(segment_id, *(F.col(c).alias(f"s{c}") for c in ("ax", "ay", "bx", "by")))
-    box = F.struct(F.least("sax", "sbx").alias("xmin"), F.least("say", "sby").alias("ymin"), F.greatest("sax", "sbx").alias("xmax"), F.greatest("say", "sby").alias("ymax"))
+    # A segment lies in all cells within reach of its box, so a route piece is looked up once, by the cell of its middle.
+    reach = int(-(-mid_most // cell)) * cell
+    box = F.struct((F.least("sax", "sbx") - reach).alias("xmin"), (F.least("say", "sby") - reach).alias("ymin"), (F.greatest("sax", "sbx") + reach).alias("xmax"), (F.greatest("say", "sby") + reach).alias("ymax"))
     gridded = other.withColumn("_c", F.explode(cells_of_box(box, cell))).withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")
     c = F.col
     mx, my = (c("ax") + c("bx")) / 2, (c("ay") + c("by")) / 2
-    reach = F.sequence(F.lit(-int(-(-mid_most // cell))), F.lit(int(-(-mid_most // cell))))
-    probes = routes.select("*", F.explode(reach).alias("_i")).select("*", F.explode(reach).alias("_j")).withColumn("_cx", geo.cell(mx, 0.0, cell) + c("_i")).withColumn("_cy", geo.cell(my, 0.0, cell) + c("_j")).drop("_i", "_j")
+    probes = routes.select(route_id, "ax", "ay", "bx", "by", geo.cell(mx, 0.0, cell).alias("_cx"), geo.cell(my, 0.0, cell).alias("_cy"))
     far = lambda x, y: geo.segment_distance(x, y, c("sax"), c("say"), c("sbx"), c("sby"))
     scored = probes.join(gridded, ["_cx", "_cy"]).withColumn("_mid", far(mx, my)).withColumn("_start", far(c("ax"), c("ay"))).withColumn("_end", far(c("bx"), c("by")))
     scored = scored.where((c("_mid") <= mid_most) & (c("_start") <= end_most) & (c("_end") <= end_most))
     penalty = geo.angle_penalty(c("bx") - c("ax"), c("by") - c("ay"), c("sbx") - c("sax"), c("sby") - c("say"))
     best = scored.groupBy(route_id).agg(F.min(F.struct((c("_mid") + 0.25 * (c("_start") + c("_end")) + penalty).alias("score"), segment_id)).alias("b"))
-    return routes.select(route_id).join(best, route_id, "left").select(route_id, F.col(f"b.{segment_id}").alias(segment_id), F.col("b.score").alias("score"))
+    # As many rows as routes: they meet by a shuffle, never as a copy of all that passes the driver.
+    return routes.select(route_id).join(best.hint("merge"), route_id, "left").select(route_id, F.col(f"b.{segment_id}").alias(segment_id), F.col("b.score").alias("score"))
 
 
 def cells_within(shapes: DataFrame, shape_id: str, distance: Column, cell: float, rows: int, cols: int) -> DataFrame:

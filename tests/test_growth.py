@@ -62,3 +62,13 @@ def test_distances_are_those_of_places(spark, tmp_path):
     found = queries()["haversine_buckets"](spark, str(tmp_path))
     assert found.first()["known"] == 2_000_000
     assert most_rows(found) <= 2000
+
+
+def test_a_piece_of_a_route_is_looked_up_once(spark):
+    draw = random.Random(5)
+    line = lambda i: (i, *(draw.uniform(0, 200) for _ in range(4)))
+    routes, roads = (spark.createDataFrame([line(i) for i in range(n)], f"{k} int, ax double, ay double, bx double, by double") for n, k in ((400, "k"), (3, "seg")))
+    wide, narrow = (spatial.nearest_for_segments(routes, roads, "k", "seg", cell, 30.0, 50.0) for cell in (1000.0, 10.0))
+    assert sorted(wide.collect()) == sorted(narrow.collect()) and wide.where("seg is not null").count() > 5
+    assert "SortMergeJoin" in next(x for x in wide._jdf.queryExecution().executedPlan().toString().splitlines() if "LeftOuter" in x)
+    assert most_rows(narrow) <= 1200 + 3 * 41 * 41
