@@ -100,6 +100,32 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, p
     return near.join(index.table, "_shape").where(geo.in_multipolygon(F.col(x), F.col(y), F.col(parts), border)).drop("_shape")
 
 
+def points_in_any(points: DataFrame, polygons: DataFrame, x: str, y: str, parts: str = "parts") -> DataFrame:
+    """The points that lie inside any of the polygons, each once, however many hold it; the rule is that of points_in_polygons.
+
+    Places are judged once each. The cells of a grid, eight at most to a side of a polygon's box, that none of its edges can
+    enter lie inside it or outside as wholes; a place in a cell that is inside any polygon needs no other. Only the
+    places in no such cell are tested against the polygons around them.
+    """
+    c = F.col
+    places = written(points.where(F.coalesce(F.abs(c(x)) < float("inf"), F.lit(False)) & F.coalesce(F.abs(c(y)) < float("inf"), F.lit(False))).select(c(x).alias("_x"), c(y).alias("_y")).distinct(), "places")
+    shapes = polygons.where(c(parts).isNotNull() & (F.size(geo.points(c(parts))) > 0)).select(c(parts).alias("_p"), geo.bbox(c(parts)).alias("box")).where("box.xmax > box.xmin and box.ymax > box.ymin")
+    shapes = shapes.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a small file of shapes is many cells
+    cells = shapes.select("_p", F.inline(cells_at(c("box"), F.array(level_of(c("box")) - 3)))).withColumn("_s", F.pow(F.lit(2.0), c("level")))
+    low = {k: c(f"c{k}") * c("_s") for k in "xy"}
+    apart = lambda e, k: (F.greatest(e["a"][k], e["b"][k]) < low[k]) | (F.least(e["a"][k], e["b"][k]) > low[k] + c("_s"))
+    entered = F.exists(F.flatten("_p"), lambda r: F.exists(geo.edges(r), lambda e: ~(apart(e, "x") | apart(e, "y"))))
+    whole = cells.where(~entered).where(geo.in_multipolygon(low["x"] + c("_s") / 2, low["y"] + c("_s") / 2, c("_p")))
+    covered = written(whole.select("level", "cx", "cy").distinct(), "covered")
+    levels = sorted(r[0] for r in covered.select("level").distinct().collect())
+    at = F.struct(c("_x").alias("xmin"), c("_y").alias("ymin"), c("_x").alias("xmax"), c("_y").alias("ymax"))
+    within = places.select("_x", "_y", F.inline(cells_at(at, F.lit(levels).cast("array<int>")))).join(covered, ["level", "cx", "cy"], "left_semi").select("_x", "_y").distinct()
+    within = written(within, "within")
+    open_ = places.join(within, ["_x", "_y"], "left_anti")
+    inside = within.unionByName(points_in_polygons(open_, polygons.select(parts), "_x", "_y", parts).select("_x", "_y").distinct())
+    return points.join(inside, (c(x) == c("_x")) & (c(y) == c("_y")), "left_semi")
+
+
 def polygons_intersecting(left: DataFrame, right: DataFrame, left_id: str, right_id: str, parts: str = "parts") -> DataFrame:
     """(left_id, right_id) of the shapes that share a point, be it of their borders only.
 

@@ -72,3 +72,19 @@ def test_a_piece_of_a_route_is_looked_up_once(spark):
     assert sorted(wide.collect()) == sorted(narrow.collect()) and wide.where("seg is not null").count() > 5
     assert "SortMergeJoin" in next(x for x in wide._jdf.queryExecution().executedPlan().toString().splitlines() if "LeftOuter" in x)
     assert most_rows(narrow) <= 1200 + 3 * 41 * 41
+
+
+def test_points_in_any_of_many_polygons(spark, monkeypatch):
+    draw = random.Random(11)
+    box = lambda x, y, w, h: [{"x": a, "y": b} for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))]
+    shapes = [(i, [[box(x, y, w, h), box(x + w / 4, y + h / 4, w / 2, h / 2)]]) for i in range(60) for x, y, w, h in [(draw.uniform(-9, 9), draw.uniform(-9, 9), draw.uniform(0.1, 3), draw.uniform(0.1, 3))]]
+    shapes += [(99, [[[{"x": 20.0, "y": 0.0}, {"x": 30.0, "y": 1.0}, {"x": 22.0, "y": 9.0}, {"x": 20.0, "y": 0.0}]]]), (100, [[[{"x": 5.0, "y": 5.0}]]]), (101, None), (102, [[box(-10.5, -10.5, 20.0, 20.0)]])]
+    polygons = spark.createDataFrame(shapes, "i int, parts array<array<array<struct<x:double,y:double>>>>")
+    rows = [(draw.uniform(-10, 32), draw.uniform(-10, 12)) for _ in range(900)] + [(None, 1.0), (float("nan"), 1.0), (-0.0, 0.0), (20.0, 0.0)]
+    points = spark.createDataFrame([(i, *r) for i, r in enumerate(rows + rows)], "k int, px double, py double")
+    want = sorted({r[0] for r in spatial.points_in_polygons(points, polygons, "px", "py").select("k").collect()})
+    tested = []
+    whole = spatial.points_in_polygons
+    monkeypatch.setattr(spatial, "points_in_polygons", lambda p, *a, **b: (tested.append(p.count()), whole(p, *a, **b))[1])
+    assert sorted(r[0] for r in spatial.points_in_any(points, polygons, "px", "py").select("k").collect()) == want
+    assert len(want) > 200 and tested[0] <= 902 - 30
