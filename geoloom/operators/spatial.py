@@ -147,13 +147,14 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, left_id: str, right
     return crossing.unionByName(inside).join(ids(one, "_one", left_id), "_one").join(ids(two, "_two", right_id), "_two").select(left_id, right_id)
 
 
-def area_cascade(areas: DataFrame, known: DataFrame, area_id: str, name: str, known_id: str, known_name: str, parts: str = "parts") -> DataFrame:
-    """(area_id, tier, known_id): for each area the known shapes of the first tier that has any: those of its name (1), those whose mean vertex lies in it or on its border (2), those that share a point with it (3). Areas with none keep a null. Only areas without a match go on to the next tier."""
-    kept = known.select(F.col(known_id), F.col(known_name).alias("_name"), F.col(parts).alias("_known"))
+def area_cascade(areas: DataFrame, known: DataFrame, area_id: str, name: str, known_id: str, known_name: str, parts: str = "parts", centre: tuple[str, str] | None = None) -> DataFrame:
+    """(area_id, tier, known_id): for each area the known shapes of the first tier that has any: those of its name (1), those whose mean vertex lies in it or on its border (2), those that share a point with it (3). Areas with none keep a null. Only areas without a match go on to the next tier. `centre` names columns of known that hold its mean vertex, where the caller knows it without the rounding of a sum over vertices, which moves centres across borders that they lie on."""
+    mean = geo.vertex_mean(F.col(parts), closing=False)
+    x, y = (F.col(c) for c in centre) if centre else (mean["x"], mean["y"])
+    kept = known.select(F.col(known_id), F.col(known_name).alias("_name"), F.col(parts).alias("_known"), x.alias("_x"), y.alias("_y"))
     first = written(areas.select(area_id, F.col(name).alias("_name")).join(kept, "_name").select(area_id, known_id), "tier")
     rest = areas.select(area_id, parts).join(first, area_id, "left_anti")
-    centres = kept.withColumn("_m", geo.vertex_mean(F.col("_known"), closing=False)).select(known_id, F.col("_m.x").alias("_x"), F.col("_m.y").alias("_y"))
-    second = written(points_in_polygons(centres, rest, "_x", "_y", parts, border=True).select(area_id, known_id), "tier")
+    second = written(points_in_polygons(kept.select(known_id, "_x", "_y"), rest, "_x", "_y", parts, border=True).select(area_id, known_id), "tier")
     third = polygons_intersecting(rest.join(second, area_id, "left_anti"), kept.withColumnRenamed("_known", parts), area_id, known_id, parts)
     return relational.cascade(areas, area_id, [first, second, third], known_id)
 

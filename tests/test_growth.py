@@ -88,3 +88,18 @@ def test_points_in_any_of_many_polygons(spark, monkeypatch):
     monkeypatch.setattr(spatial, "points_in_polygons", lambda p, *a, **b: (tested.append(p.count()), whole(p, *a, **b))[1])
     assert sorted(r[0] for r in spatial.points_in_any(points, polygons, "px", "py").select("k").collect()) == want
     assert len(want) > 200 and tested[0] <= 902 - 30
+
+
+def test_centres_on_borders_are_those_of_the_sql(spark, tmp_path):
+    import duckdb
+
+    from geoloom.plans.queries import oracle_sql, queries
+
+    # Customers whose area has a supplier's centre or hole on its border, in decimals.
+    spark.createDataFrame([(k,) for k in (4954, 5044, 5164, 5254, 5374, 5404, 5434, 6373)], "c_custkey long").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k,) for k in (79, 354, 444, 564, 654, 774, 804, 834)], "s_suppkey long").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    base = duckdb.connect()
+    for t in ("customer", "supplier"):
+        base.execute(f"create view {t} as from '{tmp_path}/{t}.parquet/*.parquet'")
+    want = base.execute(oracle_sql()["cascade_match"]).fetchall()
+    assert sorted(map(str, map(tuple, queries()["cascade_match"](spark, str(tmp_path)).collect()))) == sorted(map(str, want))
