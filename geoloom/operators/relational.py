@@ -171,13 +171,16 @@ def scored_by_keys(left: DataFrame, right: DataFrame, left_id: str, right_id: st
 
 def part_set_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, parts: str = "parts") -> DataFrame:
     """(left_id, right_id, exact): the last right row with the same set of parts, else the one that shares most, at least two and all of one side; of these the one with fewer parts, then the first."""
-    keyed = lambda df: df.withColumn("_key", F.array_join(F.array_sort(parts), "|"))
-    exact = keyed(left).join(keyed(right).groupBy("_key").agg(F.max(right_id).alias(right_id)), "_key").select(left_id, right_id, F.lit(True).alias("exact"))
-    open_ = left.join(exact, left_id, "left_anti").select(left_id, F.size(parts).alias("_n"), F.explode(parts).alias("_part"))
+    # Sets are matched once each, however many rows have them.
+    sets = left.select(F.array_sort(parts).alias("_set")).where("_set is not null").distinct().withColumn("_key", F.array_compact("_set"))
+    known = right.withColumn("_key", F.array_compact(F.array_sort(parts))).groupBy("_key").agg(F.max(right_id).alias(right_id))
+    equal = sets.join(known, "_key").select("_set", right_id, F.lit(True).alias("exact"))
+    open_ = sets.join(equal, "_set", "left_anti").select("_set", F.size("_set").alias("_n"), F.explode("_set").alias("_part"))
     have = right.select(right_id, F.size(parts).alias("_m"), F.explode(parts).alias("_part"))
-    near = open_.join(have, "_part").groupBy(left_id, right_id).agg(F.count("*").alias("_k"), F.first("_n").alias("_n"), F.first("_m").alias("_m")).where("_k >= 2 and (_k = _n or _k = _m)")
-    best = near.groupBy(left_id).agg(F.min_by(right_id, F.struct(-F.col("_k"), "_m", right_id)).alias(right_id))
-    return exact.unionByName(best.select(left_id, right_id, F.lit(False).alias("exact")))
+    near = open_.join(have, "_part").groupBy("_set", right_id).agg(F.count("*").alias("_k"), F.first("_n").alias("_n"), F.first("_m").alias("_m")).where("_k >= 2 and (_k = _n or _k = _m)")
+    best = near.groupBy("_set").agg(F.min_by(right_id, F.struct(-F.col("_k"), "_m", right_id)).alias(right_id)).select("_set", right_id, F.lit(False).alias("exact"))
+    rows = left.select(left_id, F.array_sort(parts).alias("_mine"))
+    return spread_join(rows, equal.unionByName(best), "_mine", "_set").select(left_id, right_id, "exact")
 
 
 def contained_names(texts: DataFrame, names: DataFrame, text_id: str, text: str, name_id: str, name: str, least: int = 4) -> DataFrame:

@@ -103,3 +103,13 @@ def test_centres_on_borders_are_those_of_the_sql(spark, tmp_path):
         base.execute(f"create view {t} as from '{tmp_path}/{t}.parquet/*.parquet'")
     want = base.execute(oracle_sql()["cascade_match"]).fetchall()
     assert sorted(map(str, map(tuple, queries()["cascade_match"](spark, str(tmp_path)).collect()))) == sorted(map(str, want))
+
+
+def test_sets_of_parts_are_matched_once(spark):
+    left = spark.range(3000).select(F.col("id").alias("l"), F.array(F.lit("A"), F.lit("B"), F.when(F.col("id") % 2 == 0, "C").otherwise("D")).alias("parts"))
+    right = spark.createDataFrame([(10, ["B", "A"]), (11, ["C", "B", "A"])], "r int, parts array<string>")
+    found = relational.part_set_matches(left, right, "l", "r")
+    assert {tuple(r) for r in found.groupBy("r", "exact").count().collect()} == {(10, False, 1500), (11, True, 1500)}
+    assert most_rows(found) <= 3000
+    bar = spark.createDataFrame([(1, ["A|B"])], "l int, parts array<string>")
+    assert relational.part_set_matches(bar, right, "l", "r").count() == 0
