@@ -235,7 +235,7 @@ def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent:
 
     live = stage.table(live)
     who = live.select("rep").distinct()
-    sketch = stage.table(texts.join(who, "rep", "left_semi").select("rep", "text").mapInArrow(sketched, "rep long, sketch binary"))
+    sketch = stage.table(texts.join(who, "rep", "left_semi").select("rep", "text").mapInArrow(released(sketched), "rep long, sketch binary"))
     mains, rests = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_main", "n_rest"))
     dealt = live.join(sketch, "rep").withColumn("mains", mains).withColumn("rests", rests)
     own = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
@@ -281,7 +281,7 @@ def _across(stage: Stage, live: DataFrame, texts: DataFrame, size: int, percent:
             a, b = near(group)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return dealt.repartition("key", "kind", "low", "high").sortWithinPartitions("key", "kind", "low", "high").mapInArrow(run, "a long, b long")
+    return dealt.repartition("key", "kind", "low", "high").sortWithinPartitions("key", "kind", "low", "high").mapInArrow(released(run), "a long, b long")
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
