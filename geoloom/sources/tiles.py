@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ def tiled(shapes: DataFrame, parts: str, properties: list[str], zooms: Iterable[
     """(tile_id, z, tile_x, tile_y, part, features, data): the tiles of each zoom.
 
     parts is a multipolygon of degrees; a ring of one point is a point. Properties are text, numbers or truth values;
-    nulls are left out. A shape is cut in one task, tile by tile, so it is held once however many tiles it meets. All
+    nulls are left out. Shapes are dealt over as many tasks as shuffles have partitions, as a small file of them makes
+    many tiles, and cut there by blocks of bounded size, however many tiles a shape meets. All
     features of a tile are kept: where they take more than layer_bytes, they are spread over several layers, named
     layer, layer_2 and so on, each a row, whose data one after the other are one tile; no task holds a crowded tile.
     Rows that are equal in all columns meet in one of them.
@@ -51,27 +53,17 @@ def tiled(shapes: DataFrame, parts: str, properties: list[str], zooms: Iterable[
 
     def run(batches):
         for batch in batches:
-            rows, size = [], 0
-            for i, m in enumerate(batch.column(0)):
-                polygons = [[[(p["x"], p["y"]) for p in r] for r in q] for q in m.as_py() or []]
-                if any(None in p for q in polygons for r in q for p in r):
-                    continue
-                for z in wanted:
-                    for x, y, kind, found in tiles.cut(polygons, z, extent, margin):
-                        rows.append((i, z, x, y, kind, tiles.commands(kind, found)))
-                        size += len(rows[-1][-1]) + 64
-                        if size > layer_bytes:
-                            yield packed(batch, rows)
-                            rows, size = [], 0
-            if rows:
-                yield packed(batch, rows)
-
-    def packed(batch, rows):
-        at, *columns = zip(*rows, strict=True)
-        own = pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).take(pa.array(at)) if properties else None
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int32()] * 4 + [pa.binary()], strict=True)] + (own.columns if own else []), inner.names)
-
-    pieces = written(shapes.select(F.col(parts).cast(geo.MULTIPOLYGON), *properties).mapInArrow(run, inner), "tile-pieces")
+            points, sizes, shape, polygon = _flat(batch.column(0))
+            for z in wanted:
+                for f in tiles.cut_all(tiles.rings_of(points, sizes, shape, polygon, z, extent), z, extent, margin):
+                    data, lengths = tiles.all_commands(f)
+                    ends = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
+                    own = pa.RecordBatch.from_arrays(batch.columns[1:], batch.schema.names[1:]).take(pa.array(f.shape)).columns if properties else []
+                    g = pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, ends.buffers()[1], pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in (np.full(len(f.x), z), f.x, f.y, f.kind)), g, *own], inner.names)
+
+    dealt = shapes.select(F.col(parts).cast(geo.MULTIPOLYGON), *properties).repartition(int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pieces = written(dealt.mapInArrow(run, inner), "tile-pieces")
     # How many layers a tile has is one row a tile; the rows of one tile are told apart by a hash of all they hold.
     sizes = pieces.groupBy("_z", "_x", "_y").agg(F.ceil(F.sum(F.length("_g") + 64) / layer_bytes).cast("int").alias("_n"))
     keyed = pieces.join(sizes.where("_n > 1"), ["_z", "_x", "_y"], "left").withColumn("_part", F.pmod(F.xxhash64("_kind", "_g", *properties), F.coalesce("_n", F.lit(1))).cast("int"))
@@ -86,6 +78,19 @@ def tiled(shapes: DataFrame, parts: str, properties: list[str], zooms: Iterable[
     return keyed.groupBy("_z", "_x", "_y", "_part").applyInArrow(whole, "tile_id long, z int, tile_x int, tile_y int, part int, features long, data binary")
 
 
+def _flat(shapes: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(points, points of each ring, each ring's shape and polygon) of multipolygons as Arrow holds them; shapes with a null place, or of none, have no rings."""
+    rows, polygons = np.arange(len(shapes)), shapes.flatten()
+    polygon_row = np.repeat(rows, pc.fill_null(pc.list_value_length(shapes), 0).to_numpy(zero_copy_only=False))
+    rings = polygons.flatten()
+    ring_polygon = np.repeat(np.arange(len(polygons)), pc.fill_null(pc.list_value_length(polygons), 0).to_numpy(zero_copy_only=False))
+    places = rings.flatten()
+    sizes = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    # A null place reads as one that is not finite.
+    x, y = (pc.fill_null(pc.cast(c, pa.float64()), float("nan")).to_numpy(zero_copy_only=False) for c in places.flatten())
+    return np.column_stack((x, y)), sizes, polygon_row[ring_polygon], ring_polygon
+
+
 def features(found: DataFrame, layer: str, schema: str, tile_units: bool = False) -> DataFrame:
     """(z, tile_x, tile_y, parts, the properties that schema names) for each feature of a layer in rows of tiles: in degrees, or in the tile's units. A layer's further parts (layer_2 ...) count as it. What a feature has not, or has in another kind, is null."""
     own = T._parse_datatype_string(schema)
@@ -102,29 +107,34 @@ def features(found: DataFrame, layer: str, schema: str, tile_units: bool = False
             return int(v) if number and v == int(v) else None
         return float(v) if number else None
 
-    def ring(points, z, x, y, extent):
-        points = points if len(points) == 1 else np.vstack((points, points[:1]))
-        places = points if tile_units else tiles.degrees((points / extent + (x, y)) / (1 << z))
-        return [{"x": float(a), "y": float(b)} for a, b in places]
+    def nested(some, z, x, y, extent):
+        # Rings that are no single points are closed again.
+        start, closed = np.cumsum(some.size) - some.size, some.size > 1
+        points = np.insert(some.points, (start + some.size)[closed], some.points[start[closed]], 0)
+        places = (points.astype(float) if tile_units else tiles.degrees((points / extent + (x, y)) / (1 << z))).reshape(-1, 2)
+        out = pa.StructArray.from_arrays([pa.array(places[:, 0]), pa.array(places[:, 1])], ["x", "y"])
+        for n in (some.size + closed, some.rings, some.polygons):
+            out = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), out)
+        return out.cast(arrow.field(3).type)
+
+    def column(some, field):
+        values = np.array([*(typed(v, field.dataType) for v in some.values), None], object)
+        feature, key, value = some.tags
+        mine = np.array([k == field.name for k in some.keys], bool)[key] if len(key) else np.zeros(0, bool)
+        out = np.full(some.features, None, object)
+        out[feature[mine]] = values[value[mine]]
+        return pa.array(out.tolist(), _arrow(field.dataType))
 
     def run(batches):
         for batch in batches:
             for z, x, y, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for name, extent, some in tiles.layers(data):
+                for name, extent, some in tiles.flat_layers(data):
                     if name != layer and not (name.startswith(f"{layer}_") and name[len(layer) + 1 :].isdigit()):
                         continue
-                    rows = [(z, x, y, [[ring(r, z, x, y, extent) for r in p] for p in polygons], *(typed(p.get(f.name), f.dataType) for f in own)) for _, polygons, p in some]
-                    if rows:
-                        columns = list(zip(*rows, strict=True))
-                        yield pa.RecordBatch.from_arrays([pa.array(c, arrow.field(i).type if i < 4 else None) for i, c in enumerate(columns)], out.names)
-
-    def cast(batches):
-        # A column that is null in a whole batch has no kind of its own.
-        kinds = {f.name: _arrow(f.dataType) for f in own}
-        for b in run(batches):
-            yield pa.RecordBatch.from_arrays([c.cast(kinds[n]) if n in kinds else c for c, n in zip(b.columns, b.schema.names, strict=True)], b.schema.names)
-
-    return found.select("z", "tile_x", "tile_y", "data").mapInArrow(cast, out)
+                    if some.features:
+                        yield pa.RecordBatch.from_arrays([*(pa.array(np.full(some.features, v), pa.int32()) for v in (z, x, y)), nested(some, z, x, y, extent), *(column(some, f) for f in own)], out.names)
+
+    return found.select("z", "tile_x", "tile_y", "data").mapInArrow(run, out)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

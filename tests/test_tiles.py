@@ -173,3 +173,52 @@ def test_empty_and_foreign_archives(spark, tmp_path):
     read = spark.read.format("tile_archive").option("path", str(tmp_path / "c")).load()
     assert sorted(r["tile_id"] for r in read.collect()) == [1, 5, 6, 7, 9]
     assert [r["k"] for r in archives.features(read, "a", "k long").collect()] == [5] * 5
+
+
+def test_many_shapes_are_cut_at_once():
+    draw = random.Random(4)
+    shapes = [[[box(draw.uniform(-170, 160), draw.uniform(-70, 60), w, 4.0), box(-170, -70, 1.0, 1.0)]] for w in (1e-9, 0.3, 8.0, 30.0) for _ in range(50)]
+    rings = [(i, np.asarray(r, float)) for i, s in enumerate(shapes) for p in s for r in p]
+    sizes, owner = np.array([len(r) for _, r in rings]), np.array([i for i, _ in rings])
+    held = tiles.rings_of(np.vstack([r for _, r in rings]), sizes, owner, owner, 6, 4096)
+
+    def features(most):
+        for f in tiles.cut_all(held, 6, most=most):
+            data, lengths = tiles.all_commands(f)
+            ends = np.cumsum(lengths)
+            yield from zip(f.shape.tolist(), f.x.tolist(), f.y.tolist(), (data[a:b].tobytes() for a, b in zip(ends - lengths, ends, strict=True)), strict=True)
+
+    want = sorted((i, x, y, tiles.commands(k, p)) for i, s in enumerate(shapes) for x, y, k, p in tiles.cut(s, 6))
+    assert len(want) > 900 and sorted(features(1 << 17)) == sorted(features(100)) == want
+    assert len(list(tiles.cut_all(held, 6))) == 1 and len(list(tiles.cut_all(held, 6, most=100))) > 20
+
+
+def test_flat_layers_are_the_layers():
+    ring = np.array([(0, 0), (40, 0), (40, 40), (0, 40)])
+    polygons = [[ring, ring[::-1] // 2 + 5], [ring + 100]]
+    line = tiles.varints([9, 4, 4, 18, 0, 16, 16, 0])
+    plain = [(3, tiles.commands(3, polygons), ("a", 1)), (1, tiles.commands(1, [[np.array([(1, 2)])], [np.array([(3, 1)])]]), (None, 2)), (3, tiles.commands(3, [[ring]]), ("a", None))]
+    for given in (plain, [*plain, (2, line, ("b", 3))], []):
+        data = tiles.layer("a", ["s", "n"], given)
+        ((_, _, found),), ((_, extent, flat),) = tiles.layers(data), tiles.flat_layers(data)
+        each = [p for _, p, _ in found]
+        assert extent == 4096 and flat.features == len(found) and flat.polygons.tolist() == [len(p) for p in each]
+        assert flat.rings.tolist() == [len(r) for p in each for r in p] and flat.size.tolist() == [len(r) for p in each for q in p for r in q]
+        assert flat.points.tolist() == [c for p in each for q in p for r in q for c in r.tolist()]
+        got = [{} for _ in found]
+        for f, k, v in zip(*flat.tags, strict=True):
+            got[f][flat.keys[k]] = flat.values[v]
+        assert got == [p for _, _, p in found]
+
+
+def test_shapes_of_one_file_are_cut_by_many_tasks(spark):
+    shapes = spark.range(400).coalesce(1).select("id", geo_box(F.col("id")).alias("parts"))
+    found = archives.tiled(shapes, "parts", ["id"], [7], "a")
+    # The pieces were written by the tasks that cut them.
+    written = [f for f in found.inputFiles() if "tile-pieces" in f]
+    assert len(written) > 1 and found.agg(F.sum("features")).first()[0] >= 400
+
+
+def geo_box(k):
+    x, y = k % 300 - 150.0, k % 100 - 50.0
+    return F.array(F.array(F.array(*(F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))))))
