@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, text
 from ..operators import graph, relational
 from ..sources import landed, sinks, table_functions, tiles
-from ..sources.scratch import scratch_path
+from ..sources.scratch import scratch_path, written
 from .base import lat, lat_sql, lon, lon_sql, query, table, values
 from .function_queries import cycled, cycled_sql
 
@@ -153,16 +155,20 @@ def map_elements(spark, sf_dir):
 
 
 def _zipped(df, by: str, member: str, names: dict[str, str]):
-    """(path, length, content): a ZIP file with a CSV member for each value of `by`; groups are as small as such files are."""
+    """(path, length, content): a ZIP file with a CSV member for each value of `by`. A group is one file, so one task's; its rows are packed as they come, and only the file is held."""
 
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        out = io.BytesIO()
+    def pack(key: tuple[Any, ...], frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, first = io.BytesIO(), True
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("readme.txt", "x")
-            z.writestr(member, "﻿" + frame[list(names)].rename(columns=names).to_csv(index=False))
-        return pd.DataFrame([(f"/z/{frame[by].iloc[0]}.zip", len(out.getvalue()), out.getvalue())], columns=["path", "length", "content"])
+            with z.open(member, "w", force_zip64=True) as f:
+                for frame in frames:
+                    text = frame[list(names)].rename(columns=names).to_csv(index=False, header=first)
+                    f.write((("\ufeff" if first else "") + text).encode())
+                    first = False
+        yield pd.DataFrame([(f"/z/{key[0]}.zip", len(out.getvalue()), out.getvalue())], columns=["path", "length", "content"])
 
-    return df.groupBy(by).applyInPandas(pack, "path string, length long, content binary")
+    return df.select(by, *(n for n in names if n != by)).groupBy(by).applyInPandas(pack, "path string, length long, content binary")
 
 
 @query("""SELECT '/z/' || c_nationkey || '.zip' AS path, c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer""")
@@ -177,7 +183,10 @@ def archive_table_functions(spark, sf_dir):
     """Members of archives and their lines by table functions that SQL calls for each row."""
     table_functions.register(spark)
     zips = _zipped(table(spark, sf_dir, "customer"), "c_nationkey", "stops.txt", {"c_custkey": "k", "c_name": "name"})
-    return spark.sql("select z.path, m.member, count(l.value) as lines from {zips} z, lateral zip_members(z.content) m, lateral zip_lines(z.content, '.txt$') l where m.member = l.member group by all", zips=zips)
+    zips = written(zips.select("path", "content"), "zips")  # read by both
+    members = "select z.path, m.member from {zips} z, lateral zip_members(z.content) m"
+    lines = "select path, member, count(value) as lines from zip_table_lines(table(select path, content from {zips}), '.txt$') group by all"
+    return spark.sql(f"select path, member, lines from ({members}) join ({lines}) using (path, member)", zips=zips)
 
 
 @query("""WITH e AS (SELECT user_id, event_id, event_type, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)), g AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM e)

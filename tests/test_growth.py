@@ -113,3 +113,40 @@ def test_sets_of_parts_are_matched_once(spark):
     assert most_rows(found) <= 3000
     bar = spark.createDataFrame([(1, ["A|B"])], "l int, parts array<string>")
     assert relational.part_set_matches(bar, right, "l", "r").count() == 0
+
+
+def test_lines_of_archives_are_held_some_at_once(spark):
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    from geoloom.sources import table_functions
+
+    def packed(**members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name, text in members.items():
+                z.writestr(f"{name}.txt", text)
+        return out.getvalue()
+
+    n = 3 * table_functions.LINES + 5
+    rows = [("a", packed(x="﻿one\r\ntwo\n", y="")), ("b", None), ("c", packed(z="".join(f"{i}\n" for i in range(n)))), ("d", packed())]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary())], ["path", "content"])
+    assert [len(t) for t in table_functions.ZipTableLines().eval(batch, pa.array([".txt$"]))] == [2, *[table_functions.LINES] * 3, 5]
+    table_functions.register(spark)
+    zips = spark.createDataFrame(rows, "path string, content binary")
+    of_rows = spark.sql("select z.path, l.* from {zips} z, lateral zip_lines(z.content, '.txt$') l", zips=zips)
+    of_table = spark.sql("select * from zip_table_lines(table(select path, content from {zips}), '.txt$')", zips=zips)
+    assert of_table.count() == n + 2 and not of_table.exceptAll(of_rows).count() and not of_rows.exceptAll(of_table).count()
+
+
+def test_archives_are_packed_as_their_rows_come(spark):
+    from geoloom.plans.source_queries import _zipped
+    from geoloom.sources import landed
+
+    rows = spark.range(25_000).select(F.lit(7).alias("by"), F.col("id").alias("v"), F.repeat(F.lit("x"), 5).alias("other"))
+    zips = _zipped(rows, "by", "s.txt", {"v": "k", "by": "b"})
+    found = landed.archive_csv(zips, r"^s\.txt$", ["k", "b"])
+    assert [c for c in zips._jdf.queryExecution().optimizedPlan().toString().split() if c.startswith("other")] == []  # columns that no file needs are not sent
+    assert sorted((r["path"], int(r["k"]), r["b"]) for r in found.collect()) == [("/z/7.zip", i, "7") for i in range(25_000)]
