@@ -104,7 +104,7 @@ def features(found: DataFrame, layer: str, schema: str, tile_units: bool = False
         if isinstance(kind, T.BooleanType):
             return v if isinstance(v, bool) else None
         if isinstance(kind, T.IntegralType):
-            return int(v) if number and v == int(v) else None
+            return int(v) if number and v % 1 == 0 else None  # NaN and infinity leave NaN
         return float(v) if number else None
 
     def nested(some, z, x, y, extent):

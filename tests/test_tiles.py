@@ -153,6 +153,14 @@ def test_archive_round_trip(spark, tmp_path):
         server.shutdown()
 
 
+def test_numbers_that_are_not_finite_are_read_beside_whole_ones(spark):
+    given = [(1, "a", float("inf")), (2, "b", float("nan")), (3, "c", float("-inf")), (4, "d", 2.0)]
+    made = archives.tiled(shapes(spark, [(*g, [[[(5.0, 5.0)]]]) for g in given]), "parts", ["id", "name", "v"], [3], "a")
+    read = {(r["id"], r["name"], str(r["v"])) for r in archives.features(made, "a", "id long, name string, v double").collect()}
+    assert read == {(i, n, str(v)) for i, n, v in given}
+    assert {r["v"] for r in archives.features(made, "a", "v long").collect()} == {None, 2}
+
+
 def test_empty_and_foreign_archives(spark, tmp_path):
     spark.dataSource.register(archives.TileArchive)
     archives.write_archive(archives.tiled(shapes(spark, [(1, None, None, None)]), "parts", ["id"], [3], "a"), str(tmp_path / "a"))
