@@ -37,6 +37,23 @@ def test_tiers_of_keys_are_those_of_the_cascade(spark):
     assert most_rows(relational.key_cascade(many, "id", few, "t", [("id", "n"), ("k", "k2")])) <= 16000
 
 
+def test_results_of_crowded_keys_take_little_room_as_columns(spark, tmp_path):
+    source, known = spark.range(400).select("id", F.lit(1).alias("k")), spark.range(5000).select((F.col("id") + 1000).alias("n"), F.lit(1).alias("k2"), F.col("id").alias("t"))
+    relational.key_cascade(source, "id", known, "t", [("id", "n"), ("k", "k2")]).write.parquet(f"{tmp_path}/r")
+    assert spark.read.parquet(f"{tmp_path}/r").distinct().count() == 2_000_000
+    assert sum(p.stat().st_size for p in tmp_path.glob("r/*.parquet")) < 1_000_000
+
+
+def test_block_join_is_the_join(spark, monkeypatch):
+    left = spark.createDataFrame([(i, i % 3 if i % 5 else 8, "a") for i in range(60)] + [(1, 8, "a"), (7, None, "b")], "i int, k int, s string")
+    right = spark.createDataFrame([(i % 3, None if i % 7 == 0 else i) for i in range(100)] + [(0, 3), (0, 3), (8, 1), (9, 1), (None, 2)], "r int, v int")
+    want = sorted(map(str, left.join(right, F.col("k") == F.col("r")).select("i", "k", "s", "r", "v").collect()))
+    for block, pairs in ((168, 1 << 22), (3, 50), (1, 1)):
+        monkeypatch.setattr(relational, "BLOCK", block)
+        monkeypatch.setattr(relational, "PAIRS", pairs)
+        assert sorted(map(str, relational.block_join(left, right, "k", "r").collect())) == want and len(want) > 1000
+
+
 def test_scores_by_keys_are_those_of_all_pairs(spark):
     draw = random.Random(3)
     side = lambda n, mark: spark.createDataFrame([(i, i % 7 if i % 11 else None, draw.choice([1, 2, 3, None])) for i in range(n)], f"{mark} int, name int, street int")
