@@ -148,15 +148,41 @@ def polygons_intersecting(left: DataFrame, right: DataFrame, left_id: str, right
 
 
 def area_cascade(areas: DataFrame, known: DataFrame, area_id: str, name: str, known_id: str, known_name: str, parts: str = "parts", centre: tuple[str, str] | None = None) -> DataFrame:
-    """(area_id, tier, known_id): for each area the known shapes of the first tier that has any: those of its name (1), those whose mean vertex lies in it or on its border (2), those that share a point with it (3). Areas with none keep a null. Only areas without a match go on to the next tier. `centre` names columns of known that hold its mean vertex, where the caller knows it without the rounding of a sum over vertices, which moves centres across borders that they lie on."""
-    mean = geo.vertex_mean(F.col(parts), closing=False)
-    x, y = (F.col(c) for c in centre) if centre else (mean["x"], mean["y"])
-    kept = known.select(F.col(known_id), F.col(known_name).alias("_name"), F.col(parts).alias("_known"), x.alias("_x"), y.alias("_y"))
-    first = written(areas.select(area_id, F.col(name).alias("_name")).join(kept, "_name").select(area_id, known_id), "tier")
-    rest = areas.select(area_id, parts).join(first, area_id, "left_anti")
-    second = written(points_in_polygons(kept.select(known_id, "_x", "_y"), rest, "_x", "_y", parts, border=True).select(area_id, known_id), "tier")
-    third = polygons_intersecting(rest.join(second, area_id, "left_anti"), kept.withColumnRenamed("_known", parts), area_id, known_id, parts)
-    return relational.cascade(areas, area_id, [first, second, third], known_id)
+    """(area_id, tier, known_id): for each area the known shapes of the first tier that has any: those of its name (1), those whose mean vertex lies in it or on its border (2), those that share a point with it (3). Areas with none keep a null. Only areas without a match go on to the next tier. `centre` names columns of known that hold its mean vertex, where the caller knows it without the rounding of a sum over vertices, which moves centres across borders that they lie on.
+
+    Areas of one geometry, known shapes of one geometry and centres at one place are one each when they are matched; rows
+    meet by the numbers of these, in a join that makes results only.
+    """
+    mean, c = geo.vertex_mean(F.col(parts), closing=False), F.col
+    x, y = (c(k) for k in centre) if centre else (mean["x"], mean["y"])
+    wanted, shapes = numbered_shapes(areas.select(area_id, c(name).alias("_name"), parts), parts, "_shape")
+    kept, others = numbered_shapes(known.select(c(known_id).alias("_target"), c(known_name).alias("_name"), parts, x.alias("_x"), y.alias("_y")), parts, "_other")
+    places = written(kept.select("_x", "_y").distinct().withColumn("_place", F.monotonically_increasing_id()), "places")
+
+    def open_shapes(rest: DataFrame) -> DataFrame:
+        return shapes.join(rest.select("_shape").distinct(), "_shape", "left_semi").withColumnRenamed("_shape", "_key")
+
+    def named(rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+        there = kept.select(c("_name").alias("_key"), "_target")
+        return there, there
+
+    def centred(rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pairs = written(points_in_polygons(places, open_shapes(rest), "_x", "_y", parts, border=True).select("_key", "_place"), "tier")
+        return pairs, pairs.join(places, "_place").join(kept, ["_x", "_y"]).select("_key", "_target")
+
+    def meeting(rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+        pairs = written(polygons_intersecting(open_shapes(rest), others, "_key", "_other", parts), "tier")
+        return pairs, pairs.join(kept, "_other").select("_key", "_target")
+
+    found = relational.keyed_tiers(wanted, area_id, [("_name", named), ("_shape", centred), ("_shape", meeting)], "_target", known.schema[known_id].dataType)
+    return found.withColumnRenamed("_target", known_id)
+
+
+def numbered_shapes(df: DataFrame, parts: str, number: str) -> tuple[DataFrame, DataFrame]:
+    """df with a number in place of its geometries, equal for equal ones and null where there is none; (number, parts)."""
+    keyed = df.withColumn("_digest", F.sha2(F.col(parts).cast("string"), 256))
+    shapes = written(keyed.where("_digest is not null").select("_digest", parts).distinct().withColumn(number, F.monotonically_increasing_id()), "shapes")
+    return written(keyed.drop(parts).join(shapes.select("_digest", number), "_digest", "left").drop("_digest"), "numbered"), shapes.select(number, parts)
 
 
 def first_polygon(points: DataFrame, polygons: DataFrame, point_id: str, x: str, y: str, order: str, value: str, parts: str = "parts") -> DataFrame:

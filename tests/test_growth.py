@@ -122,6 +122,24 @@ def test_centres_on_borders_are_those_of_the_sql(spark, tmp_path):
     assert sorted(map(str, map(tuple, queries()["cascade_match"](spark, str(tmp_path)).collect()))) == sorted(map(str, want))
 
 
+def test_areas_of_one_geometry_are_matched_once(spark, monkeypatch):
+    box = lambda x, y, w, h: [[[{"x": a, "y": b} for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))]]]
+    # One holds both centres, one meets a shape only, one meets none; then a zero with a sign, a name, an id twice, and what is missing.
+    areas = [(i, f"a{i}", (box(0.0, 0.0, 9.0, 9.0), box(0.0, 0.0, 1.5, 1.5), box(50.0, 50.0, 1.0, 1.0))[i % 3]) for i in range(300)]
+    areas += [(300, "a", box(-0.0, 0.0, 9.0, 9.0)), (301, "k7", box(0.0, 0.0, 9.0, 9.0)), (302, "a", None), (303, None, []), (None, "k7", box(0.0, 0.0, 9.0, 9.0)), (304, "a", box(0.0, 0.0, 9.0, 9.0)), (304, "b", box(0.0, 0.0, 1.5, 1.5))]
+    known = [(i, f"k{i}", box(1.0, 1.0, 2.0, 2.0) if i % 2 else box(4.0, 4.0, 2.0, 2.0)) for i in range(40)] + [(40, "k40", None), (41, None, box(80.0, 80.0, 1.0, 1.0))]
+    parts = "parts array<array<array<struct<x:double,y:double>>>>"
+    tested = {}
+    for f in ("points_in_polygons", "polygons_intersecting"):
+        monkeypatch.setattr(spatial, f, lambda a, b, *x, _w=getattr(spatial, f), _f=f, **k: (tested.update({_f: (a.count(), b.count())}), _w(a, b, *x, **k))[1])
+    found = spatial.area_cascade(spark.createDataFrame(areas, f"id int, slug string, {parts}"), spark.createDataFrame(known, f"t int, name string, {parts}"), "id", "slug", "t", "name")
+    all_, odd = range(40), range(1, 40, 2)
+    want = [(i, 2, t) for i in range(0, 300, 3) for t in all_] + [(i, 3, t) for i in range(1, 300, 3) for t in odd] + [(i, None, None) for i in range(2, 300, 3)]
+    want += [(300, 2, t) for t in all_] + [(301, 1, 7), (302, None, None), (303, None, None), (None, None, None)] + [(304, 2, t) for t in all_ for _ in range(2)]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    assert tested["points_in_polygons"][0] <= 4 and tested["points_in_polygons"][1] <= 5 and tested["polygons_intersecting"][0] <= 3 and tested["polygons_intersecting"][1] <= 4
+
+
 def test_sets_of_parts_are_matched_once(spark):
     left = spark.range(3000).select(F.col("id").alias("l"), F.array(F.lit("A"), F.lit("B"), F.when(F.col("id") % 2 == 0, "C").otherwise("D")).alias("parts"))
     right = spark.createDataFrame([(10, ["B", "A"]), (11, ["C", "B", "A"])], "r int, parts array<string>")
